@@ -63,12 +63,21 @@ def publish_projection(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def column_types(df: DataFrame) -> str:
-    """``createTableColumnTypes`` for a JDBC write of ``publish_projection(df)``."""
+# Where a database lacks a type name the map uses (embedded Derby in tests).
+DERBY_TYPES = {"timestamptz": "timestamp", "text": "varchar(32672)",
+               "numeric": "decimal(31,10)"}
+
+
+def column_ddl(df: DataFrame, dialect: dict[str, str] | None = None) -> str:
+    """Column definitions of the target table, derived from the frame's schema (K8).
+
+    A new column in the mart needs no change here.
+    """
+    dialect = dialect or {}
     out = []
     for field in df.schema.fields:
         t = target_type(field.dataType.simpleString())
-        out.append(f"{field.name} {'varchar(32672)' if t == 'text' else t}")
+        out.append(f"{field.name} {dialect.get(t, t)}")
     return ", ".join(out)
 
 
@@ -128,6 +137,15 @@ def _table_exists(conn, schema: str | None, table: str) -> bool:
     return False
 
 
+def _execute(conn, statements) -> None:
+    stmt = conn.createStatement()
+    try:
+        for sql in statements:
+            stmt.executeUpdate(sql)
+    finally:
+        stmt.close()
+
+
 def publish_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str,
                  schema: str | None = None, source: str | None = None,
                  user: str | None = None, password: str | None = None,
@@ -135,48 +153,58 @@ def publish_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str,
                  now: dt.datetime | None = None) -> int:
     """Replace ``schema.table`` in an RDBMS with ``df`` (K7, K8, K9 over JDBC).
 
-    Works with any JDBC database; ``jdbc:derby:`` is recognised for its
-    ``RENAME TABLE`` syntax and lack of table comments, everything else gets
-    ``ALTER TABLE .. RENAME TO`` and ``COMMENT ON TABLE``.
+    1. drop a leftover staging table, create it from the mapped column types;
+    2. executors append the rows over JDBC (observed row count, G1/G2 guards);
+    3. one transaction drops the old table, renames staging, sets the comment.
+
+    ``jdbc:derby:`` gets its ``RENAME TABLE`` syntax and type names and no
+    comment (Derby has none); other URLs get ``ALTER TABLE .. RENAME TO`` and
+    ``COMMENT ON TABLE``.
     """
+    derby = url.startswith("jdbc:derby:")
     projected = publish_projection(df)
     if num_partitions:
         projected = projected.coalesce(num_partitions)
     qualified = f"{schema}.{table}" if schema else table
     staging_name = f"{table}__staging"
     staging = f"{schema}.{staging_name}" if schema else staging_name
-    props = {"createTableColumnTypes": column_types(projected)}
-    if user is not None:
-        props.update({"user": user, "password": password or ""})
+    props = {} if user is None else {"user": user, "password": password or ""}
+
     conn = _jdbc_connection(spark, url, user, password)
     try:
-        if _table_exists(conn, schema, staging_name):
-            stmt = conn.createStatement()
-            stmt.executeUpdate(f"DROP TABLE {staging}")
-            stmt.close()
+        drop = [f"DROP TABLE {staging}"] if _table_exists(conn, schema, staging_name) else []
+        ddl = column_ddl(projected, DERBY_TYPES if derby else None)
+        _execute(conn, drop + [f"CREATE TABLE {staging} ({ddl})"])
     finally:
         conn.close()
-    rows = _write_observed(projected, lambda d: d.write.jdbc(url, staging, mode="error",
-                                                             properties=props))
-    require_rows(rows, qualified)
-    if expected_rows is not None:
-        require_complete(expected_rows, rows, qualified)
 
-    derby = url.startswith("jdbc:derby:")
+    def drop_staging():
+        c = _jdbc_connection(spark, url, user, password)
+        try:
+            _execute(c, [f"DROP TABLE {staging}"])
+        finally:
+            c.close()
+
+    try:
+        rows = _write_observed(projected, lambda d: d.write.jdbc(url, staging, mode="append",
+                                                                 properties=props))
+        require_rows(rows, qualified)
+        if expected_rows is not None:
+            require_complete(expected_rows, rows, qualified)
+    except Exception:
+        drop_staging()
+        raise
+
     conn = _jdbc_connection(spark, url, user, password)
     try:
         conn.setAutoCommit(False)
-        stmt = conn.createStatement()
-        if _table_exists(conn, schema, table):
-            stmt.executeUpdate(f"DROP TABLE {qualified}")
-        if derby:
-            stmt.executeUpdate(f"RENAME TABLE {staging} TO {table}")
-        else:
-            stmt.executeUpdate(f"ALTER TABLE {staging} RENAME TO {table}")
+        swap = [f"DROP TABLE {qualified}"] if _table_exists(conn, schema, table) else []
+        swap.append(f"RENAME TABLE {staging} TO {table}" if derby
+                    else f"ALTER TABLE {staging} RENAME TO {table}")
         if source and not derby:
             comment = provenance(source, now).replace("'", "''")
-            stmt.executeUpdate(f"COMMENT ON TABLE {qualified} IS '{comment}'")
-        stmt.close()
+            swap.append(f"COMMENT ON TABLE {qualified} IS '{comment}'")
+        _execute(conn, swap)
         conn.commit()
     except Exception:
         conn.rollback()
