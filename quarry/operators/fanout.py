@@ -38,6 +38,25 @@ def explode_clean(df: DataFrame, key: str, array_col: str, item_col: str = "tag"
     return earliest_per_group(out, [key, item_col], order_col)
 
 
+def explode_terms(df: DataFrame, key: str, text_col: str, item_col: str = "term",
+                  sep: str = " ", carry: Sequence = (), key_unique: bool = True) -> DataFrame:
+    """``explode_clean`` over ``split(text, sep)``, for whole texts.
+
+    With a space separator no element holds a space, so per-element
+    ``lower(trim(x))`` equals splitting the lower-cased text; the blank filter
+    becomes ``array_remove(.., '')``. Everything stays in codegen'd built-ins
+    (no per-element lambdas), which matters on long documents.
+    """
+    if sep != " ":
+        tmp = df.select(key, F.split(text_col, sep).alias("__terms"), *carry)
+        return explode_clean(tmp, key, "__terms", item_col, carry=[c for c in tmp.columns
+                                                                  if c not in (key, "__terms")],
+                             key_unique=key_unique)
+    terms = F.array_distinct(F.array_remove(F.split(F.lower(F.col(text_col)), " "), ""))
+    out = df.select(key, F.explode(terms).alias(item_col), *carry)
+    return out if key_unique else out.dropDuplicates([key, item_col])
+
+
 def item_count(array_col: str) -> F.Column:
     """Per-row count of distinct cleaned items, 0 for NULL/empty arrays (A1 + P6).
 

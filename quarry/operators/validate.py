@@ -41,9 +41,11 @@ def _is_number(t: Column) -> Column:
     return (t == "BIGINT") | (t == "DOUBLE") | t.startswith("DECIMAL")
 
 
-def reasons_expr(raw: Column) -> Column:
-    """``array<string>`` of rule violations for one raw JSON text; empty = valid."""
-    v = F.try_parse_json(raw)
+def reasons_expr(v: Column) -> Column:
+    """``array<string>`` of rule violations for one parsed record; empty = valid.
+
+    ``v`` is ``try_parse_json(raw)``: NULL for a line that is not JSON.
+    """
     kind = F.schema_of_variant(v)
     field_reasons = []
     for name in REQUIRED_STRINGS:
@@ -89,9 +91,8 @@ def reasons_expr(raw: Column) -> Column:
             .otherwise(per_field))
 
 
-def identifier_expr(raw: Column) -> Column:
+def identifier_expr(raw: Column, v: Column) -> Column:
     """What a reject is logged as (V3): its slug, ``<no slug>``, or the start of the value."""
-    v = F.try_parse_json(raw)
     kind = F.schema_of_variant(v)
     slug = F.try_variant_get(v, "$.slug", "variant")
     slug_text = F.when(F.schema_of_variant(slug) == "STRING",
@@ -104,11 +105,20 @@ def identifier_expr(raw: Column) -> Column:
 
 def gate(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     """The input plus ``reasons``, ``accepted``, ``error_count``, ``identifier`` (V1, V3)."""
-    raw = F.col(raw_col)
-    return (df.withColumn("reasons", reasons_expr(raw))
-            .withColumn("accepted", F.size("reasons") == 0)
+    # Parse once into a column; every rule reads the parsed value. The verdict
+    # is produced by one Generate: a later filter on `accepted` then stays
+    # above it instead of being inlined into the scan, which would evaluate
+    # every rule twice (once in the filter, once in the projection).
+    parsed = df.withColumn("__v", F.try_parse_json(F.col(raw_col)))
+    v = F.col("__v")
+    verdict = F.struct(reasons_expr(v).alias("reasons"),
+                       identifier_expr(F.col(raw_col), v).alias("identifier"))
+    checked = parsed.select(*[F.col(f"`{c}`") for c in df.columns],
+                            F.inline(F.array(verdict)))
+    return (checked.withColumn("accepted", F.size("reasons") == 0)
             .withColumn("error_count", F.size("reasons"))
-            .withColumn("identifier", identifier_expr(raw)))
+            .select(*[F.col(f"`{c}`") for c in df.columns], "reasons", "accepted",
+                    "error_count", "identifier"))
 
 
 def gate_counts(gated: DataFrame) -> DataFrame:

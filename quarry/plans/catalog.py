@@ -23,10 +23,11 @@ from ..operators.batching import (assign_batches, batch_prompts, call_batches, g
                                   parse_answers, prompt_header, rules_answerer)
 from ..operators.classify import label_expr, rules_sql
 from ..operators.dedup import latest_per_key
-from ..operators.fanout import explode_clean, item_count
+from ..operators.fanout import explode_clean, explode_terms, item_count
 from ..operators.joins import lookup, orphans, unseen_keys
 from ..operators.validate import gate, gate_counts, rejects
 from ..sinks.publish import publish_projection
+from ..sources.tables import spread
 
 # Stand-in rule set for part names ("hot gear", "old rod", ...): precedence
 # matters (vintage first) and `old` must not match inside `cold`.
@@ -97,9 +98,8 @@ def tag_popularity(spark, sf_dir):
 
 
 def doc_term_popularity(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", F.split("text", " ").alias("terms"))
-    terms = explode_clean(docs, "doc_id", "terms", "term", carry=[F.col("doc_id").alias("at")])
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    terms = explode_terms(docs, "doc_id", "text", "term", carry=[F.col("doc_id").alias("at")])
     return agg.key_popularity(terms, "term", "at", "docs", "first_doc", "last_doc")
 
 
@@ -210,7 +210,7 @@ def _raw_records(spark, sf_dir) -> DataFrame:
                 s('","remote":null,"tags":['), k, s('],"created_at":"2024-01-0'),
                 (F.col("p_partkey") % 9 + 1).cast("string"), s('"}')))
            .otherwise(F.concat(s('{"slug":"p-'), k, s('","title":'))))
-    return part.select(raw.alias("raw"))
+    return spread(part.select(raw.alias("raw")))
 
 
 def validation_gate(spark, sf_dir):

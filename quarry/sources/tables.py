@@ -16,6 +16,20 @@ def read_nonempty(spark: SparkSession, name: str) -> DataFrame:
     return df
 
 
+def spread(df: DataFrame, minimum: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``minimum`` partitions only if its scan yields fewer.
+
+    Large inputs (many files or row groups) already have more scan splits than
+    the cluster has cores, so this is a no-op there and costs no shuffle. A
+    small or single-row-group file would otherwise put CPU-heavy row work
+    (tokenising, JSON checks) into one task.
+    """
+    minimum = minimum or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= minimum:
+        return df
+    return df.repartition(minimum)
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, schema: str | None = "app",
               partition_column: str | None = None, lower_bound: int | None = None,
               upper_bound: int | None = None, num_partitions: int | None = None,
