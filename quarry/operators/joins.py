@@ -63,11 +63,13 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str | Non
             out_col: str = "rows_found") -> DataFrame:
     """Non-NULL child keys absent from ``parent`` with their row counts.
 
-    Child keys are pre-aggregated (map-side partial count) before the anti
-    join, so a hot key crosses the shuffle once per map task, not once per row.
+    Both sides are reduced to distinct keys with a map-side partial aggregate
+    before the anti join (whose exchange they share), so a hot key crosses the
+    shuffle once per map task, not once per row.
     """
     parent_key = parent_key or key
     child_keys = (child.filter(F.col(key).isNotNull())
                   .groupBy(key).agg(F.count(F.lit(1)).alias(out_col)))
-    parent_keys = parent.select(F.col(parent_key).alias(key)).filter(F.col(key).isNotNull())
+    parent_keys = (parent.select(F.col(parent_key).alias(key)).filter(F.col(key).isNotNull())
+                   .distinct())
     return child_keys.join(parent_keys, on=key, how="left_anti")

@@ -164,7 +164,7 @@ def batch_prompts_q(spark, sf_dir):
 
 
 def parse_answer(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "event_type", "props"))
     content = (
         F.when(F.col("event_id") % 3 == 0,
                F.concat(F.lit("Sure:\n```json\n{\"0\": \" "), F.upper("event_type"),

@@ -27,7 +27,13 @@ RESULT_SETTINGS = {
 }
 
 # Execution settings: runtime re-planning for skew and small shuffles.
+# No broadcast is planned from file-size estimates (they grow with the data and
+# are not a bound); a side is broadcast either after an explicit bounded row
+# count (operators.joins.bounded_broadcast) or by AQE once its shuffle output
+# has been measured below the adaptive threshold.
 EXECUTION_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -64,8 +70,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
     A cluster names it in ``spark.checkpoint.dir``; it is read from the session
-    and never overridden. Only when it is unset (a local test) is a scratch
-    folder created and registered.
+    and never overridden. Only when it is unset on a ``local`` master (tests,
+    the bench) is a scratch folder created and registered; on a cluster an
+    unset folder is an error, since a machine-local folder is not shared.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -75,6 +82,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for it")
     local = tempfile.mkdtemp(prefix="quarry-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
