@@ -82,3 +82,15 @@ def test_jdbc_publish_on_embedded_derby(spark):
                         schema="APP") == 2
     back = spark.read.jdbc(url, "APP.fct_postings").collect()
     assert len(back) == 2 and back[0]["TAGS"] == '["sql"]'
+
+
+def test_jdbc_read_back_partitioned(spark):
+    """A backend table read in parallel range queries."""
+    from quarry.sources.tables import read_jdbc
+    url = f"jdbc:derby:memory:r{uuid.uuid4().hex[:8]};create=true"
+    rows = spark.range(0, 100).selectExpr("id AS user_id", "concat('u', id) AS email")
+    publish_jdbc(spark, rows, url, "users", schema="APP")
+    df = read_jdbc(spark, url, "users", schema="APP", partition_column="USER_ID",
+                   lower_bound=0, upper_bound=100, num_partitions=4)
+    assert df.rdd.getNumPartitions() == 4
+    assert df.count() == 100

@@ -32,3 +32,23 @@ def test_stream_matches_batch_after_each_day(spark, tmpdir_path):
     assert _rows(streamed) == _rows(stage(read_landing(spark, root)))
     titles = {r["posting_id"]: r["title"] for r in streamed.collect()}
     assert titles["data-engineer-acme"] == "Data Engineer II" and len(titles) == 3
+
+
+def test_replayed_day_divergence_is_pinned(spark, tmpdir_path):
+    """A record withdrawn by replaying a day stays in the stream's state,
+    while the batch rebuild drops it. The batch rebuild is the source of truth."""
+    import shutil
+    root = os.path.join(tmpdir_path, "landing")
+    ckpt = tempfile.mkdtemp(prefix="quarry-stream-ckpt-")
+    spark.sql("DROP TABLE IF EXISTS stream_x3")
+    write_day(root, "2026-08-12", [GOOD, dict(GOOD, slug="gone")], mtime=1_786_500_000)
+    start(spark, root, "stream_x3", ckpt).awaitTermination(120)
+    # replay the day without the withdrawn record, under a new file name
+    shutil.rmtree(os.path.join(root, "ingest_date=2026-08-12"))
+    write_day(root, "2026-08-12", [GOOD], name="part-2.json", mtime=1_786_600_000)
+    start(spark, root, "stream_x3", ckpt).awaitTermination(120)
+    spark.catalog.refreshTable("stream_x3")
+    streamed = {r["posting_id"] for r in spark.table("stream_x3").collect()}
+    batch = {r["posting_id"] for r in stage(read_landing(spark, root)).collect()}
+    assert streamed == {"data-engineer-acme", "gone"}
+    assert batch == {"data-engineer-acme"}
