@@ -164,7 +164,9 @@ def publish_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str,
     derby = url.startswith("jdbc:derby:")
     projected = publish_projection(df)
     if num_partitions:
-        projected = projected.coalesce(num_partitions)
+        # Caps concurrent database connections. A repartition, not a coalesce:
+        # coalesce would also shrink the upstream stage to that many tasks.
+        projected = projected.repartition(num_partitions)
     qualified = f"{schema}.{table}" if schema else table
     staging_name = f"{table}__staging"
     staging = f"{schema}.{staging_name}" if schema else staging_name
