@@ -9,6 +9,7 @@ SQL that computes the same rows directly; column names match one to one.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,10 @@ from ..operators.fanout import explode_clean, explode_terms, item_count
 from ..operators.joins import lookup, orphans, unseen_keys
 from ..operators.validate import gate, gate_counts, rejects
 from ..sinks.publish import publish_projection
+from ..session import checkpoint_dir
+from ..sources.landing import unwrap
 from ..sources.tables import spread
+from ..streaming.latest import newest_by_max, run_to_table
 
 # Stand-in rule set for part names ("hot gear", "old rod", ...): precedence
 # matters (vintage first) and `old` must not match inside `cold`.
@@ -63,6 +67,18 @@ def latest_per_key_q(spark, sf_dir):
     return latest_per_key(ev, "user_id", [F.col("ts").desc(), F.col("event_id").desc()])
 
 
+def stream_latest_per_key(spark, sf_dir):
+    """latest_per_key computed by a Structured Streaming aggregation over the file."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+              .parquet(sf_dir.rstrip("/"))).select(
+        "user_id", "event_id", "ts", "event_type")
+    newest = newest_by_max(stream, "user_id", ["ts", "event_id"], ["event_type"])
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-latest-{uuid.uuid4().hex[:12]}"
+    run_to_table(newest, f"{base}/out", f"{base}/state")
+    return spark.read.parquet(f"{base}/out").select("user_id", "event_id", "ts", "event_type")
+
+
 def epoch_to_date(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     instant = epoch_to_instant(F.lit(EPOCH_BASE) + F.col("event_id") * 977)
@@ -213,6 +229,21 @@ def _raw_records(spark, sf_dir) -> DataFrame:
     return spread(part.select(raw.alias("raw")))
 
 
+def payload_records(spark, sf_dir):
+    """S1 over payloads built from conversation rows: both envelope forms, with
+    a scalar string, a number and a null beside each object."""
+    conv = table(spark, sf_dir, "conversations")
+    s = F.lit
+    role = F.coalesce(F.concat(s('"'), F.col("role"), s('"')), s("null"))
+    obj = F.concat(s('{"conv_id":'), F.col("conv_id").cast("string"), s(',"turn":'),
+                   F.col("turn").cast("string"), s(',"role":'), role, s("}"))
+    payload = F.when(F.col("conv_id") % 2 == 0, F.concat(
+        s('{"data":['), obj, s(',"t'), F.col("turn").cast("string"), s('",'),
+        F.col("turn").cast("string"), s(",null]}"))).otherwise(F.concat(s("["), obj, s("]")))
+    payloads = conv.select("conv_id", "turn", payload.alias("payload"))
+    return unwrap(payloads, "payload", keep=("conv_id", "turn"))
+
+
 def validation_gate(spark, sf_dir):
     return gate_counts(gate(_raw_records(spark, sf_dir)))
 
@@ -330,6 +361,7 @@ def pii_hash(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "staging_clean": staging_clean,
     "latest_per_key": latest_per_key_q,
+    "stream_latest_per_key": stream_latest_per_key,
     "epoch_to_date": epoch_to_date,
     "tags_normalised": tags_normalised,
     "tag_count_mart": tag_count_mart,
@@ -345,6 +377,7 @@ QUERIES: dict[str, Query] = {
     "batch_prompts": batch_prompts_q,
     "parse_answer": parse_answer,
     "incremental_union": incremental_union,
+    "payload_records": payload_records,
     "validation_gate": validation_gate,
     "rejects": rejects_q,
     "dq_not_null": dq_not_null,
@@ -496,6 +529,11 @@ def _oracle() -> dict[str, str]:
               SELECT user_id, event_id, ts, event_type,
                      row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
               FROM events) x WHERE rn = 1""",
+        "stream_latest_per_key": """
+            SELECT user_id, event_id, ts, event_type FROM (
+              SELECT user_id, event_id, ts, event_type,
+                     row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+              FROM events) x WHERE rn = 1""",
         "epoch_to_date": f"""
             SELECT event_id,
                    strftime(CAST(TIMESTAMP '1970-01-01 00:00:00'
@@ -557,6 +595,26 @@ def _oracle() -> dict[str, str]:
               (SELECT DISTINCT p_name AS title FROM part WHERE p_size < 2) s
             UNION ALL
             SELECT title, {title_case} AS discipline FROM ({_NEW_TITLES}) n""",
+        "payload_records": """
+            WITH p AS (
+              SELECT conv_id, turn,
+                     '{"conv_id":' || conv_id || ',"turn":' || turn || ',"role":'
+                       || coalesce('"' || role || '"', 'null') || '}' AS obj
+              FROM conversations),
+            w AS (
+              SELECT conv_id, turn,
+                     CASE WHEN conv_id % 2 = 0
+                          THEN '{"data":[' || obj || ',"t' || turn || '",' || turn || ',null]}'
+                          ELSE '[' || obj || ']' END AS payload
+              FROM p),
+            l AS (
+              SELECT conv_id, turn,
+                     CASE WHEN json_type(payload) = 'ARRAY' THEN json_extract(payload, '$[*]')
+                          ELSE json_extract(payload, '$.data[*]') END AS els
+              FROM w)
+            SELECT conv_id, turn, CAST(unnest(range(len(els))) AS INTEGER) AS position,
+                   CAST(unnest(els) AS VARCHAR) AS raw
+            FROM l""",
         "validation_gate": f"""
             SELECT count(*) FILTER (WHERE reasons = '') AS accepted,
                    count(*) FILTER (WHERE reasons <> '') AS rejected

@@ -30,11 +30,14 @@ def posting_schema(with_corrupt: bool = True) -> StructType:
     return StructType.fromDDL(ddl)
 
 
-def unwrap_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """``(source_file, position, raw)``: one row per record of every payload file."""
-    files = (spark.read.text(path, wholetext=True)
-             .select("value", F.col("_metadata.file_path").alias("source_file")))
-    v = F.try_parse_json("value")
+def unwrap(df: DataFrame, payload_col: str = "value", keep: tuple[str, ...] = ()
+           ) -> DataFrame:
+    """``(*keep, position, raw)``: one row per record of every payload in ``payload_col``.
+
+    A payload is a JSON list of records or an object whose ``data`` member is
+    that list; anything else fails the job naming what it got.
+    """
+    v = F.try_parse_json(F.col(payload_col))
     kind = F.schema_of_variant(v)
     data_kind = F.schema_of_variant(F.try_variant_get(v, "$.data", "variant"))
     is_list = kind.startswith("ARRAY")
@@ -42,21 +45,31 @@ def unwrap_payloads(spark: SparkSession, path: str) -> DataFrame:
     got = F.coalesce(F.when(kind.startswith("OBJECT"), F.coalesce(data_kind, F.lit("OBJECT")))
                      .otherwise(kind), F.lit("invalid JSON"))
     # Text form keeps object key order; variant form keeps scalar quoting.
-    texts = F.when(is_list, F.from_json("value", "array<string>")).otherwise(
-        F.from_json("value", "struct<data: array<string>>")["data"])
+    texts = F.when(is_list, F.from_json(F.col(payload_col), "array<string>")).otherwise(
+        F.from_json(F.col(payload_col), "struct<data: array<string>>")["data"])
     values = F.when(is_list, F.try_variant_get(v, "$", "array<variant>")).otherwise(
         F.try_variant_get(v, "$.data", "array<variant>"))
-    checked = files.select(
-        "source_file",
+    checked = df.select(
+        *keep,
         F.when(is_list | is_wrapped, F.arrays_zip(texts.alias("t"), values.alias("v")))
-        .otherwise(F.raise_error(F.concat(F.lit("Expected a list of records, got "), got,
-                                          F.lit(" in "), F.col("source_file"))))
+        .otherwise(F.raise_error(F.concat(F.lit("Expected a list of records, got "), got)))
         .alias("records"))
-    exploded = checked.select("source_file", F.posexplode("records").alias("position", "r"))
+    exploded = checked.select(*keep, F.posexplode("records").alias("position", "r"))
     element_kind = F.schema_of_variant(F.col("r.v"))
     structured = element_kind.startswith("OBJECT") | element_kind.startswith("ARRAY")
     raw = F.when(structured, F.col("r.t")).otherwise(F.to_json(F.col("r.v")))
-    return exploded.select("source_file", "position", raw.alias("raw"))
+    return exploded.select(*keep, "position", raw.alias("raw"))
+
+
+def unwrap_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """``(source_file, position, raw)`` for every payload file under ``path``.
+
+    One file is one row (``wholetext``), so scale comes from many payload
+    files read in parallel.
+    """
+    files = (spark.read.text(path, wholetext=True)
+             .select("value", F.col("_metadata.file_path").alias("source_file")))
+    return unwrap(files, "value", keep=("source_file",))
 
 
 def read_landing(spark: SparkSession, root: str, schema: StructType | None = None,

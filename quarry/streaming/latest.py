@@ -42,6 +42,32 @@ def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int |
             .withColumn("ingested_at", F.col("_metadata.file_modification_time")))
 
 
+def newest_by_max(df: DataFrame, key: str, order_cols, payload_cols) -> DataFrame:
+    """One row per ``key``: the row that is greatest under ``order_cols``.
+
+    ``max(struct(order..., payload...))`` is an algebraic aggregate (partial per
+    task, then merged), valid in a streaming aggregation and equal to the batch
+    ``row_number() over (partition by key order by order_cols desc) = 1`` when
+    the order columns are unique per key.
+    """
+    version = F.struct(*[F.col(c) for c in order_cols], *[F.col(c) for c in payload_cols])
+    newest = df.groupBy(key).agg(F.max(version).alias("__v"))
+    return newest.select(key, *[F.col(f"__v.{c}").alias(c) for c in [*order_cols, *payload_cols]])
+
+
+def run_to_table(df: DataFrame, path: str, checkpoint: str) -> None:
+    """Drain a streaming aggregation into parquet at ``path`` (complete result, availableNow)."""
+
+    def write(batch: DataFrame, _epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    query = (df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+             .foreachBatch(write).trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
 def newest_per_key(raw: DataFrame) -> DataFrame:
     """Staging columns, one row per posting_id, newest version."""
     renamed = raw.select(
