@@ -4,6 +4,12 @@ A check is a query whose rows are failures. ``run_checks`` turns a list of
 checks into one report frame ``(check_name, failures, status)``: each check
 contributes a single aggregated row, so the report is small however large the
 tables are, and nothing but that report is ever brought to the driver.
+
+Row-level checks (not_null, accepted_values, not_in_future, not_empty) carry
+a per-row failure predicate over their relation instead of a failing-rows
+query; ``run_checks`` folds all row checks of the same relation into a single
+aggregate pass. Only uniqueness, grain and referential checks need their own
+(pre-aggregated) shuffles.
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import is_in_future
@@ -20,15 +26,28 @@ from .aggregates import duplicate_groups, empty_check
 from .joins import orphans
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Check:
-    """``failing`` holds one row per failure; ``weight_col`` (optional) says
-    how many failures a row stands for (a pre-aggregated group)."""
+    """Either ``failing`` (one row per failure; ``weight_col`` optionally says how
+    many failures a row stands for) or ``source`` + ``predicate`` (a row of
+    ``source`` fails when the predicate is true; ``empty=True`` instead fails
+    once when ``source`` has no rows)."""
 
     name: str
-    failing: DataFrame
+    failing: DataFrame | None = None
     weight_col: str | None = None
     severity: str = "error"  # "warn" never blocks publishing
+    source: DataFrame | None = None
+    predicate: Column | None = None
+    empty: bool = False
+
+    def failing_rows(self) -> DataFrame:
+        """The failing rows as a query (for inspection of any kind of check)."""
+        if self.failing is not None:
+            return self.failing
+        if self.empty:
+            return empty_check(self.source)
+        return self.source.filter(self.predicate)
 
 
 def not_null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -39,11 +58,8 @@ def not_null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def not_null_checks(model: str, df: DataFrame, columns: Sequence[str]) -> list[Check]:
-    """One ``not_null`` check per column (D1), all computed by a single scan."""
-    counts = not_null_counts(df, columns)
-    return [Check(f"not_null_{model}_{c}",
-                  counts.filter((F.col("column_name") == c) & (F.col("failures") > 0)),
-                  weight_col="failures")
+    """One ``not_null`` row check per column."""
+    return [Check(f"not_null_{model}_{c}", source=df, predicate=F.col(f"`{c}`").isNull())
             for c in columns]
 
 
@@ -72,19 +88,47 @@ def accepted_values_failures(df: DataFrame, column: str, values: Sequence[str])
 
 def accepted_values_check(model: str, df: DataFrame, column: str,
                           values: Sequence[str]) -> Check:
-    return Check(f"accepted_values_{model}_{column}",
-                 accepted_values_failures(df, column, values), weight_col="n")
+    """Rows whose non-NULL value is outside ``values``."""
+    c = F.col(f"`{column}`")
+    return Check(f"accepted_values_{model}_{column}", source=df,
+                 predicate=c.isNotNull() & ~c.isin(list(values)))
 
 
 def not_in_future_check(name: str, df: DataFrame, column: str,
                         now: dt.datetime | None = None, slack: str = "1 day") -> Check:
     """Rows dated later than ``now + slack``."""
-    return Check(name, df.filter(is_in_future(column, now, slack)))
+    return Check(name, source=df, predicate=F.coalesce(is_in_future(column, now, slack),
+                                                        F.lit(False)))
 
 
 def not_empty_check(name: str, df: DataFrame) -> Check:
-    """One failing row when the relation is empty."""
-    return Check(name, empty_check(df))
+    """One failure when the relation is empty."""
+    return Check(name, source=df, empty=True)
+
+
+def _status(check: Check, failures: Column) -> Column:
+    bad = "fail" if check.severity == "error" else "warn"
+    return F.when(failures > 0, F.lit(bad)).otherwise(F.lit("pass"))
+
+
+def _row_check_group(checks: list[Check]) -> DataFrame:
+    """All row checks of one relation in one aggregate pass, unpivoted to report rows."""
+    source = checks[0].source
+    aggs = []
+    for i, check in enumerate(checks):
+        if check.empty:
+            n = F.count(F.lit(1))
+            aggs.append(F.when(n == 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias(f"c{i}"))
+        else:
+            aggs.append(F.count(F.when(check.predicate, 1)).cast("bigint").alias(f"c{i}"))
+    counts = source.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("failures"),
+                              F.lit("fail" if c.severity == "error" else "warn").alias("bad"))
+                     for i, c in enumerate(checks)])
+    out = counts.select(F.inline(rows))
+    return out.select("check_name", "failures",
+                      F.when(F.col("failures") > 0, F.col("bad")).otherwise(F.lit("pass"))
+                      .alias("status"))
 
 
 def run_checks(checks: Sequence[Check]) -> DataFrame:
@@ -94,17 +138,21 @@ def run_checks(checks: Sequence[Check]) -> DataFrame:
     """
     if not checks:
         raise ValueError("no checks to run")
-    rows = []
+    groups: dict[int, list[Check]] = {}
+    parts = []
     for check in checks:
+        if check.failing is None:
+            groups.setdefault(id(check.source), []).append(check)
+            continue
         weight = F.col(check.weight_col) if check.weight_col else F.lit(1)
         failures = F.coalesce(F.sum(weight.cast("bigint")), F.lit(0)).cast("bigint")
-        bad = "fail" if check.severity == "error" else "warn"
-        rows.append(check.failing.agg(failures.alias("failures")).select(
+        parts.append(check.failing.agg(failures.alias("failures")).select(
             F.lit(check.name).alias("check_name"), "failures",
-            F.when(F.col("failures") > 0, F.lit(bad)).otherwise(F.lit("pass")).alias("status")))
-    report = rows[0]
-    for r in rows[1:]:
-        report = report.unionByName(r)
+            _status(check, F.col("failures")).alias("status")))
+    parts += [_row_check_group(group) for group in groups.values()]
+    report = parts[0]
+    for part in parts[1:]:
+        report = report.unionByName(part)
     return report
 
 

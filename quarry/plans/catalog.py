@@ -279,7 +279,7 @@ def dq_accepted_values(spark, sf_dir):
 
 def dq_not_in_future(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    return dq.not_in_future_check("f", ev, "ts", now=FUTURE_NOW).failing.select("event_id")
+    return dq.not_in_future_check("f", ev, "ts", now=FUTURE_NOW).failing_rows().select("event_id")
 
 
 def dq_not_empty(spark, sf_dir):
