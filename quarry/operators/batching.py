@@ -38,7 +38,7 @@ _ID_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
 
 def global_rank(df: DataFrame, order_col: str, rank_col: str = "rn",
-                partitions: int | None = None, stable: bool = False) -> DataFrame:
+                partitions: int | None = None, stable: bool = True) -> DataFrame:
     """Add ``rank_col``: the 1-based position of each row in ``order_col`` order.
 
     ``order_col`` must be unique (ranks of equal values are arbitrary). The
@@ -47,8 +47,12 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str = "rn",
     partition offsets are a running sum over one row per partition (bounded by
     the partition count, so that side is broadcast safely).
 
-    ``stable=True`` checkpoints the indexed rows into the session's checkpoint
-    folder, freezing the numbering against recomputation.
+    The indexed rows feed two branches (partition sizes, and the rows
+    themselves). ``stable=True`` (default) checkpoints them once into the
+    session's shared checkpoint folder, so both branches read the same
+    partitions: recomputing the range exchange would draw new boundary
+    samples, and the sizes would then not describe the rows being numbered.
+    It also cuts the lineage, so a lost executor does not renumber anything.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
