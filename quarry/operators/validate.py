@@ -15,8 +15,8 @@ Rules (lax validation of a posting, as a Pydantic model would apply them):
 * ``remote``: absent, a boolean, 0/1, or one of the yes/no-style strings;
   JSON null is rejected;
 * ``tags``: absent or an array whose elements are all strings; null rejected;
-* ``created_at``: present; an integer or boolean (epoch seconds), a number, a
-  numeric string, or an ISO date / date-time string.
+* ``created_at``: present; an integer or boolean (epoch seconds within the
+  years 1-9999), a number, a numeric string, or an ISO date / date-time string.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ REQUIRED_STRINGS = ("slug", "title", "company_name")
 ISO_DATETIME = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
                 r"([Tt ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?([Zz]|[+-][0-9]{2}(:?[0-9]{2})?)?)?$")
 NUMERIC_STRING = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
+# Epoch seconds a datetime can hold (years 1 to 9999).
+EPOCH_MIN, EPOCH_MAX = -62_135_596_800, 253_402_300_799
 
 
 def _field_type(v: Column, name: str) -> Column:
@@ -76,7 +78,11 @@ def reasons_expr(v: Column) -> Column:
 
     t = _field_type(v, "created_at")
     text = F.try_variant_get(v, "$.created_at", "string")
-    created_ok = ((t == "BOOLEAN") | _is_number(t)
+    whole = F.try_variant_get(v, "$.created_at", "decimal(38,0)")
+    is_integer = (t == "BIGINT") | (t.startswith("DECIMAL") & t.endswith(",0)"))
+    created_ok = ((t == "BOOLEAN")
+                  | (is_integer & whole.between(EPOCH_MIN, EPOCH_MAX))
+                  | (_is_number(t) & ~is_integer)
                   | ((t == "STRING") & (text.rlike(NUMERIC_STRING)
                                         | (text.rlike(ISO_DATETIME)
                                            & F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")

@@ -475,7 +475,10 @@ _GATED = r"""
              THEN len(list_filter(json_extract(js, '$.tags[*]'), lambda x: json_type(x) = 'VARCHAR'))
                   = json_array_length(js, '$.tags')
            ELSE FALSE END AS tags_ok,
-      CASE WHEN t_created IN ('BOOLEAN', 'BIGINT', 'UBIGINT', 'DOUBLE') THEN TRUE
+      CASE WHEN t_created IN ('BOOLEAN', 'DOUBLE') THEN TRUE
+           WHEN t_created IN ('BIGINT', 'UBIGINT')
+             THEN TRY_CAST(json_extract_string(js, '$.created_at') AS HUGEINT)
+                  BETWEEN -62135596800 AND 253402300799
            WHEN t_created = 'VARCHAR' THEN
              regexp_full_match(json_extract_string(js, '$.created_at'), '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)')
              OR (regexp_full_match(json_extract_string(js, '$.created_at'),
