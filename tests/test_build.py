@@ -121,3 +121,21 @@ def test_daily_run_publishes_when_green(spark, tmpdir_path):
     assert res.ingest == {"landed": 2, "accepted": 2, "rejected": 0}
     assert res.published_rows == 2
     assert spark.table("pub_green").columns == ENRICHED_COLUMNS
+
+
+def test_enriched_from_batched_labels_defaults_late_titles(spark, tmpdir_path):
+    """The mart joined to the incremental label table; a title that arrived
+    after the last labelling run is `other`, not missing."""
+    from quarry.plans.postings import enriched_mart
+    from quarry.plans.title_labels import label_titles
+    _fixture(tmpdir_path)
+    stg = stage(read_landing(spark, tmpdir_path))
+    mart = postings_mart(stg)
+    spark.sql("DROP TABLE IF EXISTS labels_j4")
+    label_titles(spark, mart.filter("posting_id <> 'p2'"), "labels_j4")
+    out = enriched_mart(mart, NOW, labels=spark.table("labels_j4"))
+    assert out.columns == ENRICHED_COLUMNS
+    got = {r["posting_id"]: r["discipline"] for r in out.collect()}
+    assert got["p2"] == "other"  # React Native Developer, not labelled yet
+    assert got["data-engineer-acme"] == "data"
+    assert len(got) == 6
