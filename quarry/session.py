@@ -56,7 +56,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
-        .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in {**RESULT_SETTINGS, **EXECUTION_SETTINGS}.items():
