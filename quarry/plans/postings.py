@@ -113,13 +113,22 @@ class Build:
 
 
 def build(spark: SparkSession, landing_root: str, database: str = "default",
-          now: dt.datetime | None = None, labels: DataFrame | None = None) -> Build:
-    """Materialise every model of the build in dependency order (K4, K5)."""
+          now: dt.datetime | None = None, labels: DataFrame | None = None,
+          buckets: int | None = None) -> Build:
+    """Materialise every model of the build in dependency order (K4, K5).
+
+    The three posting-grain tables are bucketed on ``posting_id`` with one
+    bucket count, so the uniqueness, grain and referential checks on them (and
+    the tag view exploded from staging) read co-partitioned data and need no
+    shuffle.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    stg = as_table(stage(read_landing(spark, landing_root)), f"{database}.stg_postings")
+    by_posting = {"bucket_by": "posting_id", "buckets": buckets}
+    stg = as_table(stage(read_landing(spark, landing_root)), f"{database}.stg_postings",
+                   **by_posting)
     tags = as_view(posting_tags(stg), f"{database}_int_posting_tags")
-    mart = as_table(postings_mart(stg), f"{database}.fct_postings")
+    mart = as_table(postings_mart(stg), f"{database}.fct_postings", **by_posting)
     pop = as_table(tag_popularity_mart(tags), f"{database}.fct_tag_popularity")
     enriched = as_table(enriched_mart(mart, now, labels=labels),
-                        f"{database}.fct_postings_enriched")
+                        f"{database}.fct_postings_enriched", **by_posting)
     return Build(stg, tags, mart, pop, enriched)

@@ -139,3 +139,19 @@ def test_enriched_from_batched_labels_defaults_late_titles(spark, tmpdir_path):
     assert got["p2"] == "other"  # React Native Developer, not labelled yet
     assert got["data-engineer-acme"] == "data"
     assert len(got) == 6
+
+
+def test_posting_grain_checks_need_no_shuffle(spark, tmpdir_path):
+    """Staging and the posting marts are bucketed on posting_id: unique, grain and
+    referential checks on them run without a hash exchange (only the popularity
+    mart, keyed by tag, is shuffled; the rest is one partial count per task)."""
+    import contextlib
+    import io
+    _fixture(tmpdir_path)
+    b = build(spark, tmpdir_path, "bt_bucket", now=NOW)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        run_checks(checks(b, NOW)).explain("formatted")
+    text = buf.getvalue()
+    assert text.count("Arguments: hashpartitioning") == 1
+    assert "Arguments: hashpartitioning(tag" in text
