@@ -120,7 +120,7 @@ def build(spark: SparkSession, landing_root: str, database: str = "default",
     The three posting-grain tables are bucketed on ``posting_id`` with one
     bucket count, so the uniqueness, grain and referential checks on them (and
     the tag view exploded from staging) read co-partitioned data and need no
-    shuffle.
+    shuffle; the popularity mart is bucketed on its key, ``tag``.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     by_posting = {"bucket_by": "posting_id", "buckets": buckets}
@@ -128,7 +128,8 @@ def build(spark: SparkSession, landing_root: str, database: str = "default",
                    **by_posting)
     tags = as_view(posting_tags(stg), f"{database}_int_posting_tags")
     mart = as_table(postings_mart(stg), f"{database}.fct_postings", **by_posting)
-    pop = as_table(tag_popularity_mart(tags), f"{database}.fct_tag_popularity")
+    pop = as_table(tag_popularity_mart(tags), f"{database}.fct_tag_popularity",
+                   bucket_by="tag", buckets=buckets)
     enriched = as_table(enriched_mart(mart, now, labels=labels),
                         f"{database}.fct_postings_enriched", **by_posting)
     return Build(stg, tags, mart, pop, enriched)
