@@ -75,7 +75,8 @@ def stream_latest_per_key(spark, sf_dir):
         "user_id", "event_id", "ts", "event_type")
     newest = newest_by_max(stream, "user_id", ["ts", "event_id"], ["event_type"])
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-latest-{uuid.uuid4().hex[:12]}"
-    run_to_table(newest, f"{base}/out", f"{base}/state")
+    run_to_table(newest, f"{base}/out", f"{base}/state",
+                 state_partitions=spark.sparkContext.defaultParallelism)
     return spark.read.parquet(f"{base}/out").select("user_id", "event_id", "ts", "event_type")
 
 

@@ -55,14 +55,35 @@ def newest_by_max(df: DataFrame, key: str, order_cols, payload_cols) -> DataFram
     return newest.select(key, *[F.col(f"__v.{c}").alias(c) for c in [*order_cols, *payload_cols]])
 
 
-def run_to_table(df: DataFrame, path: str, checkpoint: str) -> None:
+def _started(spark: SparkSession, writer, state_partitions: int | None) -> StreamingQuery:
+    """Start ``writer``; ``state_partitions`` sizes its stateful shuffle.
+
+    A streaming aggregation keeps ``spark.sql.shuffle.partitions`` state
+    partitions for the life of its checkpoint (micro-batches are not coalesced
+    by AQE), so the count is chosen when the query first starts. The stream
+    runs in a clone of the session, so the setting is restored right after.
+    """
+    if state_partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
+
+
+def run_to_table(df: DataFrame, path: str, checkpoint: str,
+                 state_partitions: int | None = None) -> None:
     """Drain a streaming aggregation into parquet at ``path`` (complete result, availableNow)."""
 
     def write(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(path)
 
-    query = (df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-             .foreachBatch(write).trigger(availableNow=True).start())
+    writer = (df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+              .foreachBatch(write).trigger(availableNow=True))
+    query = _started(df.sparkSession, writer, state_partitions)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
@@ -91,8 +112,8 @@ def newest_per_key(raw: DataFrame) -> DataFrame:
 
 
 def start(spark: SparkSession, root: str, table: str, checkpoint: str,
-          available_now: bool = True, max_files_per_trigger: int | None = None
-          ) -> StreamingQuery:
+          available_now: bool = True, max_files_per_trigger: int | None = None,
+          state_partitions: int | None = None) -> StreamingQuery:
     """Run the stream into ``table`` (complete result each trigger)."""
 
     def write(batch: DataFrame, _epoch: int) -> None:
@@ -103,4 +124,4 @@ def start(spark: SparkSession, root: str, table: str, checkpoint: str,
              .option("checkpointLocation", checkpoint)
              .foreachBatch(write))
     query = query.trigger(availableNow=True) if available_now else query
-    return query.start()
+    return _started(spark, query, state_partitions)
