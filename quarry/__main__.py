@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--database", required=True)
     p.add_argument("--publish", default=None, help="catalog table to swap the mart into")
     p.add_argument("--labels", default=None, help="table of batched labels to use")
+    p.add_argument("--threads", type=int, default=2, help="models built concurrently")
 
     p = sub.add_parser("publish", help="publish a table to an RDBMS over JDBC")
     p.add_argument("--table", required=True)
@@ -85,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
         from .plans.suite import checks
         from .sinks.publish import publish_table
         labels = spark.table(args.labels) if args.labels else None
-        b = build(spark, args.landing, args.database, labels=labels)
+        b = build(spark, args.landing, args.database, labels=labels, threads=args.threads)
         report = run_checks(checks(b))
         rows = report.collect()  # one small row per check
         for r in rows:
