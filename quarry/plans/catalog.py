@@ -27,6 +27,7 @@ from ..operators.dedup import latest_per_key
 from ..operators.fanout import explode_clean, explode_terms, item_count
 from ..operators.joins import lookup, orphans, unseen_keys
 from ..operators.validate import gate, gate_counts, rejects
+from ..plans.postings import postings_mart, stage
 from ..sinks.publish import publish_projection
 from ..session import checkpoint_dir
 from ..sources.landing import unwrap
@@ -88,6 +89,35 @@ def epoch_to_date(spark, sf_dir):
     return ev.select("event_id", F.date_format(to_day(instant), "yyyy-MM-dd").alias("day"))
 
 
+def _raw_postings(spark, sf_dir) -> DataFrame:
+    """Events in the raw posting shape: each user is a posting with many versions."""
+    ev = table(spark, sf_dir, "events")
+    s = F.lit
+    return ev.select(
+        F.concat(s("u"), F.col("user_id").cast("string")).alias("slug"),
+        F.concat(s("  "), F.col("event_type"), s(" ")).alias("title"),
+        F.concat(s("c"), (F.col("user_id") % 7).cast("string")).alias("company_name"),
+        F.when(F.col("event_id") % 4 == 0, s("   "))
+        .otherwise(F.concat(s("loc"), (F.col("event_id") % 3).cast("string"))).alias("location"),
+        (F.col("value") > 25).alias("remote"),
+        F.array(F.upper("event_type"), F.concat(s(" "), F.col("event_type"), s(" ")),
+                F.concat(s("k"), (F.col("event_id") % 5).cast("string")), s("")).alias("tags"),
+        (s(EPOCH_BASE) + F.col("event_id") * 977).alias("created_at"),
+        F.concat(s("events/part-"), (F.col("event_id") % 3).cast("string")).alias("source_file"),
+        F.to_date("ts").alias("ingest_date"),
+        F.col("ts").cast("timestamp").alias("ingested_at"))
+
+
+def staged_postings_mart(spark, sf_dir):
+    """The published postings mart: stage (P1-P5, W1) -> mart (A1, P5, P6) -> K8 projection."""
+    mart = publish_projection(postings_mart(stage(_raw_postings(spark, sf_dir))))
+    # Registered with zone-free instants and an ISO day (values unchanged under
+    # the UTC session) so the comparison does not depend on client rendering.
+    return (mart.withColumn("posted_date", F.date_format("posted_date", "yyyy-MM-dd"))
+            .withColumn("posted_at", F.col("posted_at").cast("timestamp_ntz"))
+            .withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz")))
+
+
 # ---------------------------------------------------------------- fan-out and marts
 
 def _part_tags(spark, sf_dir) -> DataFrame:
@@ -364,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "latest_per_key": latest_per_key_q,
     "stream_latest_per_key": stream_latest_per_key,
     "epoch_to_date": epoch_to_date,
+    "staged_postings_mart": staged_postings_mart,
     "tags_normalised": tags_normalised,
     "tag_count_mart": tag_count_mart,
     "tag_popularity": tag_popularity,
@@ -544,6 +575,38 @@ def _oracle() -> dict[str, str]:
                                  + to_seconds({EPOCH_BASE} + event_id * 977) AS DATE), '%Y-%m-%d')
                      AS day
             FROM events""",
+        "staged_postings_mart": f"""
+            WITH raw AS (
+              SELECT 'u' || user_id AS slug, '  ' || event_type || ' ' AS title,
+                     'c' || (user_id % 7) AS company_name,
+                     CASE WHEN event_id % 4 = 0 THEN '   ' ELSE 'loc' || (event_id % 3) END
+                       AS location,
+                     value > 25 AS remote,
+                     [upper(event_type), ' ' || event_type || ' ', 'k' || (event_id % 5), '']
+                       AS tags,
+                     {EPOCH_BASE} + event_id * 977 AS created_at,
+                     'events/part-' || (event_id % 3) AS source_file,
+                     CAST(ts AS DATE) AS ingest_date, ts AS ingested_at
+              FROM events),
+            ren AS (
+              SELECT slug AS posting_id, trim(title) AS title, trim(company_name) AS company_name,
+                     NULLIF(trim(location), '') AS location, remote AS is_remote, tags,
+                     TIMESTAMP '1970-01-01 00:00:00' + to_seconds(created_at) AS posted_at,
+                     source_file, ingest_date, ingested_at
+              FROM raw),
+            stg AS (
+              SELECT * FROM (
+                SELECT *, row_number() OVER (PARTITION BY posting_id
+                          ORDER BY ingested_at DESC, ingest_date DESC, source_file DESC) AS rn
+                FROM ren) x WHERE rn = 1)
+            SELECT posting_id, title, company_name, location, is_remote,
+                   to_json(tags)::VARCHAR AS tags,
+                   CAST(coalesce(len(list_distinct(list_filter(
+                     list_transform(tags, lambda x: lower(trim(x))), lambda x: x <> ''))), 0)
+                     AS BIGINT) AS tag_count,
+                   posted_at, strftime(CAST(posted_at AS DATE), '%Y-%m-%d') AS posted_date,
+                   ingested_at
+            FROM stg""",
         "tags_normalised": _TAGS_NORMALISED,
         "tag_count_mart": f"""
             WITH n AS ({_TAGS_NORMALISED}),
