@@ -2,7 +2,8 @@
 
 Publishing happens only when every error-severity check passed (G4): a mart
 that failed its checks is worse than yesterday's mart, so the published table
-is left untouched and the run raises.
+is left untouched and the run raises. A mart that would remove or retype a
+published column is refused as well (G3); adding a column is allowed.
 """
 
 from __future__ import annotations
@@ -39,5 +40,6 @@ def run(spark: SparkSession, landing_root: str, source_name: str, database: str,
     require_passed(report)
     published = None
     if publish_as is not None:
-        published = publish_table(spark, b.enriched, publish_as, source=database, now=now)
+        published = publish_table(spark, b.enriched, publish_as, source=database, now=now,
+                                  check_contract=True)
     return RunResult(landed, b, report, published)

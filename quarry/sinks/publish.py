@@ -1,11 +1,10 @@
 """Publishing a finished table.
 
-Catalog target: the frame is written once, distributed, to a uniquely named
-staging table (the write is observed, so the row count comes from the same
-job); only if that count is non-zero and matches what the caller expects is
-the old table dropped and the staging table renamed into its place, and the
-provenance comment set after the swap. Drop + rename are two catalog
-operations, so a reader can briefly see no table; the old table is never
+Catalog target: the frame is written once, distributed, to a new uniquely
+named version table (the write is observed, so the row count comes from the
+same job); only if that count is non-zero and matches what the caller expects
+is the published name re-pointed at it - by default a view replaced in one
+metadata operation, carrying the provenance comment. The old version is never
 touched before the new one is complete.
 
 JDBC target: the staging table is loaded by the executors with
@@ -23,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from ..operators.contract import breaking_changes
 from ..operators.quality import require_complete, require_rows
 
 # Target column type for each source type name; others -> text.
@@ -93,30 +93,84 @@ def _write_observed(df: DataFrame, writer) -> int:
     return int(obs.get["rows"])
 
 
-def publish_table(spark: SparkSession, df: DataFrame, table: str, source: str | None = None,
-                  expected_rows: int | None = None, now: dt.datetime | None = None) -> int:
-    """Replace catalog table ``table`` with ``df`` via a staging table (K7, K9).
+def _split(name: str, spark: SparkSession) -> tuple[str, str]:
+    db, _, short = name.rpartition(".")
+    return (db or spark.catalog.currentDatabase()), short
+
+
+def _versions(spark: SparkSession, table: str) -> list[str]:
+    """Qualified names of the stored versions of ``table``, oldest first."""
+    db, short = _split(table, spark)
+    prefix = f"{short}__v"
+    names = [t.name for t in spark.catalog.listTables(dbName=db)
+             if t.name.startswith(prefix) and not t.isTemporary]
+    return [f"{db}.{n}" for n in sorted(names)]
+
+
+class ContractBroken(RuntimeError):
+    """The new rows would remove or retype a column of the published relation."""
 
-    Refuses an empty frame (G1) and a row count other than ``expected_rows``
-    (G2); in both cases the staging table is dropped and the old table stays.
+
+def publish_table(spark: SparkSession, df: DataFrame, table: str, source: str | None = None,
+                  expected_rows: int | None = None, now: dt.datetime | None = None,
+                  swap: str = "view", keep_previous: int = 1,
+                  check_contract: bool = False) -> int:
+    """Replace catalog relation ``table`` with ``df`` (K7, K9).
+
+    The rows are written once, distributed, to a new uniquely named table;
+    its observed row count must be non-zero (G1) and equal ``expected_rows``
+    when given (G2), else it is dropped and the published relation is left
+    as it was.
+
+    ``swap="view"`` (default): ``table`` is a view re-pointed at the new
+    version with ``CREATE OR REPLACE VIEW .. COMMENT '<provenance>'`` - one
+    metadata operation, no data moved, no moment without a table; the
+    ``keep_previous`` most recent older versions are kept for rollback and the
+    rest dropped. ``swap="rename"``: drop the old table and rename the new one
+    into its place (two catalog operations; a rename of a managed table moves
+    its directory, which on an object store is a copy).
+
+    ``check_contract=True`` refuses, before writing anything, a frame that
+    removes or retypes a column of the currently published relation (G3);
+    added columns are allowed.
     """
-    staging = f"{table}__staging_{uuid.uuid4().hex[:12]}"
-    rows = _write_observed(df, lambda d: d.write.mode("errorifexists").saveAsTable(staging))
+    if check_contract and spark.catalog.tableExists(table):
+        broken = breaking_changes(spark, spark.table(table).schema, df.schema)
+        if broken:
+            raise ContractBroken(f"{table}: " + "; ".join(broken))
+    stamp = (now or dt.datetime.now(tz=dt.UTC)).strftime("%Y%m%d%H%M%S")
+    version = f"{table}__v{stamp}_{uuid.uuid4().hex[:8]}"
+    rows = _write_observed(df, lambda d: d.write.mode("errorifexists").format("parquet")
+                           .saveAsTable(version))
     try:
         require_rows(rows, table)
         if expected_rows is not None:
             require_complete(expected_rows, rows, table)
     except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-    if source:
-        comment = provenance(source, now).replace("'", "''")
-        spark.sql(f"COMMENT ON TABLE {table} IS '{comment}'")
+    comment = provenance(source, now).replace("'", "''") if source else None
+    if swap == "rename":
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"ALTER TABLE {version} RENAME TO {table}")
+        if comment:
+            spark.sql(f"COMMENT ON TABLE {table} IS '{comment}'")
+        return rows
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {table}")  # first publish over a plain table
+    comment_clause = f" COMMENT '{comment}'" if comment else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {table}{comment_clause} AS SELECT * FROM {version}")
+    older = [v for v in _versions(spark, table) if v != _qualified(spark, version)]
+    for stale in older[:max(0, len(older) - keep_previous)]:
+        spark.sql(f"DROP TABLE IF EXISTS {stale}")
     return rows
 
 
+def _qualified(spark: SparkSession, name: str) -> str:
+    db, short = _split(name, spark)
+    return f"{db}.{short}"
+
+
 def _jdbc_connection(spark: SparkSession, url: str, user: str | None, password: str | None):
     jvm = spark.sparkContext._jvm
     if user is None:

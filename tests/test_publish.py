@@ -39,6 +39,15 @@ def test_provenance_stamp():
     assert provenance("team_a.dev_alex", NOW) == "from team_a.dev_alex at 2026-08-13T11:02Z"
 
 
+def _comment(spark, name):
+    return [r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+            if r["col_name"] == "Comment"]
+
+
+def _versions(spark, prefix):
+    return sorted(t.name for t in spark.catalog.listTables() if t.name.startswith(prefix))
+
+
 def test_catalog_publish_swaps_and_stamps(spark):
     spark.sql("DROP TABLE IF EXISTS pub_cat")
     spark.createDataFrame([("old",)], "v string").write.saveAsTable("pub_cat")
@@ -46,12 +55,23 @@ def test_catalog_publish_swaps_and_stamps(spark):
     t = spark.table("pub_cat")
     assert t.columns == ["posting_id", "jobs_posted", "remote_pct", "is_remote", "posted_at",
                          "tags"]
-    comment = [r for r in spark.sql("DESCRIBE TABLE EXTENDED pub_cat").collect()
-               if r["col_name"] == "Comment"]
-    assert comment and comment[0]["data_type"] == "from dev_alex at 2026-08-13T11:02Z"
-    leftovers = [r.tableName for r in spark.sql("SHOW TABLES").collect()
-                 if r.tableName.startswith("pub_cat__staging")]
-    assert leftovers == []
+    assert _comment(spark, "pub_cat") == ["from dev_alex at 2026-08-13T11:02Z"]
+    assert spark.catalog.getTable("pub_cat").tableType == "VIEW"
+    # two more publishes: the current version plus one previous are kept
+    later = dt.datetime(2026, 8, 14, 9, 0, tzinfo=dt.UTC)
+    publish_table(spark, _f6(spark).union(_f6(spark)), "pub_cat", now=later)
+    publish_table(spark, _f6(spark), "pub_cat", now=later + dt.timedelta(days=1))
+    assert len(_versions(spark, "pub_cat__v")) == 2
+    assert spark.table("pub_cat").count() == 1
+
+
+def test_rename_swap_mode(spark):
+    spark.sql("DROP TABLE IF EXISTS pub_ren")
+    spark.createDataFrame([("old",)], "v string").write.saveAsTable("pub_ren")
+    assert publish_table(spark, _f6(spark), "pub_ren", source="s", now=NOW, swap="rename") == 1
+    assert spark.catalog.getTable("pub_ren").tableType == "MANAGED"
+    assert _comment(spark, "pub_ren") == ["from s at 2026-08-13T11:02Z"]
+    assert _versions(spark, "pub_ren__v") == []
 
 
 def test_first_publish_without_old_table(spark):
@@ -72,6 +92,7 @@ def test_incomplete_refused(spark):
     with pytest.raises(RuntimeError, match="expected 9 rows, got 1"):
         publish_table(spark, _f6(spark), "pub_short", expected_rows=9)
     assert not spark.catalog.tableExists("pub_short")
+    assert _versions(spark, "pub_short__v") == []
 
 
 def test_jdbc_publish_on_embedded_derby(spark):
@@ -94,3 +115,15 @@ def test_jdbc_read_back_partitioned(spark):
                    lower_bound=0, upper_bound=100, num_partitions=4)
     assert df.rdd.getNumPartitions() == 4
     assert df.count() == 100
+
+
+def test_contract_guard_refuses_breaking_change(spark):
+    from quarry.sinks.publish import ContractBroken
+    spark.sql("DROP VIEW IF EXISTS pub_contract")
+    publish_table(spark, _f6(spark), "pub_contract", check_contract=True)
+    wider = _f6(spark).selectExpr("*", "'x' AS salary_band")
+    assert publish_table(spark, wider, "pub_contract", check_contract=True) == 1  # add: safe
+    narrower = _f6(spark).drop("tags")
+    with pytest.raises(ContractBroken, match="removed tags"):
+        publish_table(spark, narrower, "pub_contract", check_contract=True)
+    assert "salary_band" in spark.table("pub_contract").columns
