@@ -28,6 +28,8 @@ from ..sources.landing import POSTING_DDL
 from ..plans.postings import STAGING_COLUMNS
 
 PAYLOAD = ["title", "company_name", "location", "is_remote", "tags", "posted_at"]
+STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None
@@ -60,18 +62,26 @@ def _started(spark: SparkSession, writer, state_partitions: int | None) -> Strea
 
     A streaming aggregation keeps ``spark.sql.shuffle.partitions`` state
     partitions for the life of its checkpoint (micro-batches are not coalesced
-    by AQE), so the count is chosen when the query first starts. The stream
-    runs in a clone of the session, so the setting is restored right after.
+    by AQE), so the count is chosen when the query first starts. State lives in
+    RocksDB unless the session names another provider: off the JVM heap and
+    checkpointed incrementally, so a large key count neither fills the heap
+    nor rewrites all state each trigger. The stream runs in a clone of the
+    session, so the settings are restored right after.
     """
-    if state_partitions is None:
-        return writer.start()
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
+    settings = {STATE_STORE_KEY: spark.conf.get(STATE_STORE_KEY, None) or ROCKSDB_PROVIDER}
+    if state_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         return writer.start()
     finally:
-        spark.conf.set(key, previous)
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def run_to_table(df: DataFrame, path: str, checkpoint: str,
