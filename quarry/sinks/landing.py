@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,15 +65,21 @@ def ingest(spark: SparkSession, payload_path: str, root: str, source_name: str,
            run_date: str | None = None, prefix: str = PRODUCTION_PREFIX) -> dict:
     """Unwrap payloads, gate every record, land them all.
 
-    The gate counts come from one aggregate pass; the batch is landed only if
-    at least one record is valid. Returns ``{"landed", "accepted", "rejected"}``.
+    The gate counts come from one aggregate pass over the unwrapped records
+    (kept between the two actions); the batch is landed only if at least one
+    record is valid. Returns ``{"landed", "accepted", "rejected"}``.
     """
-    records = unwrap_payloads(spark, payload_path)
-    counts = gate_counts(gate(records)).first()
-    accepted, rejected = int(counts["accepted"]), int(counts["rejected"])
-    require_some_valid(accepted, rejected)
-    if rejected:
-        log.warning("%d of %d records failed validation and are still being landed",
-                    rejected, accepted + rejected)
-    landed = land_raw(records, root, source_name, run_date, prefix)
+    # Two actions read the records (the gate counts decide whether to land at
+    # all); keep them between the two instead of unwrapping the payloads twice.
+    records = unwrap_payloads(spark, payload_path).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = gate_counts(gate(records)).first()
+        accepted, rejected = int(counts["accepted"]), int(counts["rejected"])
+        require_some_valid(accepted, rejected)
+        if rejected:
+            log.warning("%d of %d records failed validation and are still being landed",
+                        rejected, accepted + rejected)
+        landed = land_raw(records, root, source_name, run_date, prefix)
+    finally:
+        records.unpersist()
     return {"landed": landed, "accepted": accepted, "rejected": rejected}
