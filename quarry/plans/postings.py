@@ -22,7 +22,6 @@ from ..operators.dedup import latest_per_key
 from ..operators.fanout import explode_clean, item_count
 from ..operators.joins import lookup
 from ..sinks.materialize import as_table, as_view
-from ..sources.landing import read_landing
 
 STAGING_COLUMNS = ["posting_id", "title", "company_name", "location", "is_remote", "tags",
                    "posted_at", "source_file", "ingest_date", "ingested_at"]
@@ -36,15 +35,9 @@ ENRICHED_COLUMNS = ["title", "posting_id", "company_name", "location", "is_remot
                     "enriched_at"]
 
 
-def stage(raw: DataFrame, newest_by_day: bool = False) -> DataFrame:
-    """Rename, clean and keep the newest version of each posting.
-
-    "Newest" is the latest file modification time; ties go to the later day
-    folder, then the later file path, then a hash of the row, so the choice is
-    deterministic. ``newest_by_day=True`` puts the day folder first instead
-    (a replayed old day then no longer wins).
-    """
-    renamed = raw.select(
+def rename_raw(raw: DataFrame) -> DataFrame:
+    """Source names to domain names, cleaned (P1-P4); one row per landed record."""
+    return raw.select(
         F.col("slug").alias("posting_id"),
         trim_spaces("title").alias("title"),
         trim_spaces("company_name").alias("company_name"),
@@ -54,12 +47,28 @@ def stage(raw: DataFrame, newest_by_day: bool = False) -> DataFrame:
         epoch_to_instant("created_at").alias("posted_at"),
         "source_file", "ingest_date", "ingested_at",
     )
+
+
+def newest(renamed: DataFrame, newest_by_day: bool = False) -> DataFrame:
+    """One row per posting_id, the newest version.
+
+    "Newest" is the latest file modification time; ties go to the later day
+    folder, then the later file path, then a hash of the row, so the choice is
+    deterministic (and the same whichever subset of versions it is applied
+    to first, which makes incremental staging exact). ``newest_by_day=True``
+    puts the day folder first instead (a replayed old day then no longer wins).
+    """
     row_hash = F.xxhash64(*[F.col(c) for c in STAGING_COLUMNS])
     order = [F.col("ingested_at").desc_nulls_last(), F.col("ingest_date").desc_nulls_last()]
     if newest_by_day:
         order.reverse()
     order += [F.col("source_file").desc_nulls_last(), row_hash.desc()]
-    return latest_per_key(renamed, "posting_id", order)
+    return latest_per_key(renamed.select(*STAGING_COLUMNS), "posting_id", order)
+
+
+def stage(raw: DataFrame, newest_by_day: bool = False) -> DataFrame:
+    """Rename, clean and keep the newest version of each posting."""
+    return newest(rename_raw(raw), newest_by_day)
 
 
 def posting_tags(stg: DataFrame) -> DataFrame:
@@ -111,14 +120,17 @@ class Build:
     postings: DataFrame
     popularity: DataFrame
     enriched: DataFrame
+    staging_mode: str = "full"
 
 
 def build(spark: SparkSession, landing_root: str, database: str = "default",
           now: dt.datetime | None = None, labels: DataFrame | None = None,
-          buckets: int | None = None, threads: int = 2) -> Build:
+          buckets: int | None = None, threads: int = 2, full: bool = False) -> Build:
     """Materialise every model of the build in dependency order (K4, K5).
 
-    The three posting-grain tables are bucketed on ``posting_id`` with one
+    Staging reads only files landed since the previous build when that is
+    exact (``plans.staging``; ``full=True`` forces a rebuild from all files).
+    The three posting-grain relations are bucketed on ``posting_id`` with one
     bucket count, so the uniqueness, grain and referential checks on them (and
     the tag view exploded from staging) read co-partitioned data and need no
     shuffle; the popularity mart is bucketed on its key, ``tag``.
@@ -127,10 +139,11 @@ def build(spark: SparkSession, landing_root: str, database: str = "default",
     mart, and the popularity mart) are submitted as concurrent Spark jobs from
     ``threads`` driver threads; ``threads=1`` builds them one after another.
     """
+    from .staging import stage_into
+
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     by_posting = {"bucket_by": "posting_id", "buckets": buckets}
-    stg = as_table(stage(read_landing(spark, landing_root)), f"{database}.stg_postings",
-                   **by_posting)
+    stg, mode = stage_into(spark, landing_root, f"{database}.stg_postings", buckets, full)
     tags = as_view(posting_tags(stg), f"{database}_int_posting_tags")
 
     def postings_branch():
@@ -150,4 +163,4 @@ def build(spark: SparkSession, landing_root: str, database: str = "default",
             (mart, enriched), pop = postings_job.result(), popularity_job.result()
     else:
         (mart, enriched), pop = postings_branch(), popularity_branch()
-    return Build(stg, tags, mart, pop, enriched)
+    return Build(stg, tags, mart, pop, enriched, mode)

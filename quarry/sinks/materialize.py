@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +36,57 @@ def as_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
     return df.sparkSession.table(name)
 
 
+def _split(spark: SparkSession, name: str) -> tuple[str, str]:
+    db, _, short = name.rpartition(".")
+    return (db or spark.catalog.currentDatabase()), short
+
+
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """Qualified names of the stored versions of ``name``, oldest first."""
+    db, short = _split(spark, name)
+    prefix = f"{short}__v"
+    found = [t.name for t in spark.catalog.listTables(dbName=db)
+             if t.name.startswith(prefix) and not t.isTemporary]
+    return [f"{db}.{n}" for n in sorted(found)]
+
+
+def write_version(df: DataFrame, name: str, bucket_by: str | None = None,
+                  buckets: int | None = None, stamp: str | None = None) -> tuple[str, int]:
+    """Write ``df`` once to a new table ``{name}__v{stamp}_{id}``; return it and its row count.
+
+    Version names sort by creation time, so the newest is last.
+    """
+    stamp = stamp or dt.datetime.now(tz=dt.UTC).strftime("%Y%m%d%H%M%S")
+    version = f"{name}__v{stamp}_{uuid.uuid4().hex[:8]}"
+    obs = Observation(f"version_{uuid.uuid4().hex[:8]}")
+    writer = (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+              .write.mode("errorifexists").format("parquet"))
+    if bucket_by:
+        n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        writer = writer.bucketBy(n, bucket_by)
+    writer.saveAsTable(version)
+    return version, int(obs.get["rows"])
+
+
+def point_view(spark: SparkSession, name: str, version: str, comment: str | None = None,
+               keep_previous: int = 1) -> None:
+    """Re-point view ``name`` at ``version`` in one statement; drop versions beyond ``keep_previous``.
+
+    Metadata only: no data is moved and readers never see a missing relation.
+    A plain table already holding the name (a first run over an older layout)
+    is dropped first.
+    """
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    clause = f" COMMENT '{comment}'" if comment else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {name}{clause} AS SELECT * FROM {version}")
+    db, short = _split(spark, version)
+    current = f"{db}.{short}"
+    older = [v for v in versions(spark, name) if v != current]
+    for stale in older[:max(0, len(older) - keep_previous)]:
+        spark.sql(f"DROP TABLE IF EXISTS {stale}")
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """A lazy named relation (K5)."""
     df.createOrReplaceTempView(name)

@@ -24,6 +24,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ..operators.contract import breaking_changes
 from ..operators.quality import require_complete, require_rows
+from .materialize import point_view, write_version
 
 # Target column type for each source type name; others -> text.
 TYPE_MAP: dict[str, str] = {
@@ -93,20 +94,6 @@ def _write_observed(df: DataFrame, writer) -> int:
     return int(obs.get["rows"])
 
 
-def _split(name: str, spark: SparkSession) -> tuple[str, str]:
-    db, _, short = name.rpartition(".")
-    return (db or spark.catalog.currentDatabase()), short
-
-
-def _versions(spark: SparkSession, table: str) -> list[str]:
-    """Qualified names of the stored versions of ``table``, oldest first."""
-    db, short = _split(table, spark)
-    prefix = f"{short}__v"
-    names = [t.name for t in spark.catalog.listTables(dbName=db)
-             if t.name.startswith(prefix) and not t.isTemporary]
-    return [f"{db}.{n}" for n in sorted(names)]
-
-
 class ContractBroken(RuntimeError):
     """The new rows would remove or retype a column of the published relation."""
 
@@ -139,9 +126,7 @@ def publish_table(spark: SparkSession, df: DataFrame, table: str, source: str |
         if broken:
             raise ContractBroken(f"{table}: " + "; ".join(broken))
     stamp = (now or dt.datetime.now(tz=dt.UTC)).strftime("%Y%m%d%H%M%S")
-    version = f"{table}__v{stamp}_{uuid.uuid4().hex[:8]}"
-    rows = _write_observed(df, lambda d: d.write.mode("errorifexists").format("parquet")
-                           .saveAsTable(version))
+    version, rows = write_version(df, table, stamp=stamp)
     try:
         require_rows(rows, table)
         if expected_rows is not None:
@@ -156,21 +141,10 @@ def publish_table(spark: SparkSession, df: DataFrame, table: str, source: str |
         if comment:
             spark.sql(f"COMMENT ON TABLE {table} IS '{comment}'")
         return rows
-    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
-        spark.sql(f"DROP TABLE {table}")  # first publish over a plain table
-    comment_clause = f" COMMENT '{comment}'" if comment else ""
-    spark.sql(f"CREATE OR REPLACE VIEW {table}{comment_clause} AS SELECT * FROM {version}")
-    older = [v for v in _versions(spark, table) if v != _qualified(spark, version)]
-    for stale in older[:max(0, len(older) - keep_previous)]:
-        spark.sql(f"DROP TABLE IF EXISTS {stale}")
+    point_view(spark, table, version, comment, keep_previous)
     return rows
 
 
-def _qualified(spark: SparkSession, name: str) -> str:
-    db, short = _split(name, spark)
-    return f"{db}.{short}"
-
-
 def _jdbc_connection(spark: SparkSession, url: str, user: str | None, password: str | None):
     jvm = spark.sparkContext._jvm
     if user is None:
