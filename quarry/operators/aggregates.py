@@ -33,15 +33,28 @@ def empty_check(df: DataFrame, out_col: str = "problem") -> DataFrame:
     return counted.filter(F.col("n") == 0).select(F.lit(1).alias(out_col))
 
 
+def key_counts(df: DataFrame, key: str, out_col: str = "rows_found") -> DataFrame:
+    """Non-NULL values of ``key`` with their row counts.
+
+    The one shape every single-key check (unique, both sides of a referential
+    check) aggregates a relation to. Checks that share it in one plan share
+    its scan and shuffle: Spark reuses an exchange whose subtree is identical.
+    """
+    return (df.filter(F.col(key).isNotNull())
+            .groupBy(key).agg(F.count(F.lit(1)).alias(out_col)))
+
+
 def duplicate_groups(df: DataFrame, keys: Sequence[str], out_col: str = "rows_found") -> DataFrame:
     """Groups of ``keys`` seen more than once, with their count.
 
     For a single column this is dbt's ``unique`` test: NULLs are excluded.
     """
     keys = list(keys)
-    src = df.filter(F.col(keys[0]).isNotNull()) if len(keys) == 1 else df
-    return (src.groupBy(*keys).agg(F.count(F.lit(1)).alias(out_col))
-            .filter(F.col(out_col) > 1))
+    if len(keys) == 1:
+        counted = key_counts(df, keys[0], out_col)
+    else:
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out_col))
+    return counted.filter(F.col(out_col) > 1)
 
 
 def freshness(df: DataFrame, at_col: str, day_col: str) -> DataFrame:

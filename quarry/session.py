@@ -28,9 +28,9 @@ RESULT_SETTINGS = {
 
 # Execution settings: runtime re-planning for skew and small shuffles.
 # No broadcast is planned from file-size estimates (they grow with the data and
-# are not a bound); a side is broadcast either after an explicit bounded row
-# count (operators.joins.bounded_broadcast) or by AQE once its shuffle output
-# has been measured below the adaptive threshold.
+# are not a bound); a side is broadcast either after its rows and bytes were
+# measured under explicit bounds (operators.joins.bounded_broadcast) or by AQE
+# once its shuffle output has been measured below the adaptive threshold.
 EXECUTION_SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",

@@ -75,6 +75,24 @@ def test_bounded_broadcast(spark):
         spark.range(100).join(bounded_broadcast(small, 9), "id"))
 
 
+def test_bounded_broadcast_measures_bytes(spark):
+    # 10 rows of a 1000-character string: few rows, but ~10 kB of values
+    wide = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("s"))
+    assert "BroadcastExchange" in plan(
+        spark.range(100).join(bounded_broadcast(wide, 10, 20_000), "id"))
+    assert "BroadcastExchange" not in plan(
+        spark.range(100).join(bounded_broadcast(wide, 10, 5_000), "id"))
+
+
+def test_report_reuses_key_shuffles(spark):
+    report = catalog.dq_report(spark, SF_SMALL)
+    rows = {r["check_name"]: r["failures"] for r in report.collect()}
+    assert rows["unique_orders_o_orderkey"] == 0
+    final = report._jdf.queryExecution().executedPlan().toString()
+    # orders' key counts feed unique + both relationships; lineitem's feed both relationships
+    assert final.count("ReusedExchange") >= 3
+
+
 def test_lookup_defaults_misses(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     m = spark.createDataFrame([(1, "a")], "k int, v string")
