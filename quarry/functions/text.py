@@ -38,7 +38,7 @@ def clean_array(c) -> Column:
     """
     arr = as_col(c)
     normalised = F.transform(arr, lambda x: F.lower(F.trim(x)))
-    kept = F.filter(normalised, lambda x: F.coalesce(F.trim(x) != F.lit(""), F.lit(False)))
+    kept = F.filter(normalised, lambda x: F.coalesce(x != F.lit(""), F.lit(False)))
     return F.array_distinct(kept)
 
 

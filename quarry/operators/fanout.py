@@ -63,6 +63,7 @@ def item_count(array_col: str) -> F.Column:
     Equal to ``count(*)`` of ``explode_clean`` per key, left-joined back and
     coalesced to 0, when the key is unique.
     """
-    cleaned = clean_array(array_col)
-    # size(NULL) is -1 or NULL depending on ANSI mode; pin it to 0 explicitly.
-    return F.when(cleaned.isNull(), F.lit(0)).otherwise(F.size(cleaned)).cast("bigint")
+    # size(NULL) is -1 or NULL depending on ANSI mode: a NULL array is replaced
+    # by an empty one first, so the cleaning runs once per row, not twice.
+    cleaned = F.coalesce(clean_array(array_col), F.array().cast("array<string>"))
+    return F.size(cleaned).cast("bigint")
