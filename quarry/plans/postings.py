@@ -11,7 +11,7 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, trim_spaces
@@ -58,14 +58,32 @@ def newest(renamed: DataFrame, newest_by_day: bool = False) -> DataFrame:
     to first, which makes incremental staging exact). ``newest_by_day=True``
     puts the day folder first instead (a replayed old day then no longer wins).
     """
-    row_hash = F.xxhash64(*[F.col(c) for c in STAGING_COLUMNS])
-    order = [F.col("ingested_at").desc_nulls_last(), F.col("ingest_date").desc_nulls_last()]
-    if newest_by_day:
-        order.reverse()
-    order += [F.col("source_file").desc_nulls_last(), row_hash.desc()]
+    order = [F.col(c).desc_nulls_last() for c in version_order(newest_by_day)]
+    order.append(row_hash().desc())
     return latest_per_key(renamed.select(*STAGING_COLUMNS), "posting_id", order)
 
 
+def version_order(newest_by_day: bool = False) -> list[str]:
+    """Columns deciding which version of a posting is newest, most significant first."""
+    first = ["ingest_date", "ingested_at"] if newest_by_day else ["ingested_at", "ingest_date"]
+    return [*first, "source_file"]
+
+
+def row_hash(prefix: str = "") -> Column:
+    """The last tie-break of ``newest``: a hash of the whole staging row."""
+    return F.xxhash64(*[F.col(f"{prefix}{c}") for c in STAGING_COLUMNS])
+
+
+def version(prefix: str = "", newest_by_day: bool = False) -> Column:
+    """The ``newest`` order as one struct: of two versions the greater is newer.
+
+    Struct comparison puts a NULL field below any value, as ``desc_nulls_last``
+    does in ``newest``.
+    """
+    return F.struct(*[F.col(f"{prefix}{c}") for c in version_order(newest_by_day)],
+                    row_hash(prefix))
+
+
 def stage(raw: DataFrame, newest_by_day: bool = False) -> DataFrame:
     """Rename, clean and keep the newest version of each posting."""
     return newest(rename_raw(raw), newest_by_day)

@@ -9,8 +9,9 @@ has since been removed or rewritten. Each build therefore:
    checkpointed so every later step sees the same files;
 2. compares it with the manifest stored by the previous build: if any file
    read before is gone or changed (a replayed day), it rebuilds from all
-   files; otherwise it reads only the new files and merges them with the
-   previous staging rows;
+   files; otherwise it reads only the new files and merges their newest
+   versions into the previous staging rows (``merge_newest``: the previous
+   table is read through its buckets, so only the new rows are shuffled);
 3. writes the result as a new bucketed version, re-points the staging view
    at it, and only then stores the new manifest.
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 from ..sinks.materialize import point_view, write_version
 from ..sources.landing import CORRUPT_COL, posting_schema
-from .postings import STAGING_COLUMNS, newest, rename_raw
+from .postings import STAGING_COLUMNS, newest, rename_raw, version
 
 FULL, INCREMENTAL, UNCHANGED = "full", "incremental", "unchanged"
 
@@ -47,6 +48,31 @@ def read_files(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
             .withColumn("ingested_at", F.col("_metadata.file_modification_time")))
 
 
+def merge_newest(previous: DataFrame, fresh: DataFrame, newest_by_day: bool = False
+                 ) -> DataFrame:
+    """``newest(previous + fresh)`` when each side already holds one row per key.
+
+    A full outer join on ``posting_id`` keeps, per key, the side whose
+    ``version`` is greater. ``previous`` is the staging table, bucketed on
+    ``posting_id``: read through its buckets it is already partitioned for the
+    join, so only the new files' rows are shuffled, never the history. NULL
+    keys (one group in ``newest``, never equal in a join) are merged apart, over
+    at most one row from each side.
+    """
+    key = F.col("posting_id")
+    p = previous.filter(key.isNotNull()).alias("p")
+    f = fresh.filter(key.isNotNull()).alias("f")
+    joined = p.join(f, F.col("p.posting_id") == F.col("f.posting_id"), "full_outer")
+    take_fresh = F.col("p.posting_id").isNull() | (
+        F.col("f.posting_id").isNotNull()
+        & (version("f.", newest_by_day) > version("p.", newest_by_day)))
+    merged = joined.select(*[F.when(take_fresh, F.col(f"f.{c}")).otherwise(F.col(f"p.{c}"))
+                             .alias(c) for c in STAGING_COLUMNS])
+    null_keys = newest(previous.filter(key.isNull()).unionByName(fresh.filter(key.isNull())),
+                       newest_by_day)
+    return merged.unionByName(null_keys)
+
+
 def stage_into(spark: SparkSession, landing_root: str, name: str, buckets: int | None = None,
                full: bool = False, newest_by_day: bool = False) -> tuple[DataFrame, str]:
     """Bring staging view ``name`` up to date with the landing zone; return it and the mode."""
@@ -67,11 +93,12 @@ def stage_into(spark: SparkSession, landing_root: str, name: str, buckets: int |
         return spark.table(name), mode
     if mode == FULL:
         candidates = rename_raw(read_files(spark, landing_root, [landing_root]))
+        result = newest(candidates, newest_by_day)
     else:
         previous = spark.table(name).select(*STAGING_COLUMNS)
-        candidates = previous.unionByName(rename_raw(read_files(spark, landing_root, new_paths)))
-    version, _ = write_version(newest(candidates, newest_by_day), name,
-                               bucket_by="posting_id", buckets=buckets)
+        fresh = newest(rename_raw(read_files(spark, landing_root, new_paths)), newest_by_day)
+        result = merge_newest(previous, fresh, newest_by_day)
+    version, _ = write_version(result, name, bucket_by="posting_id", buckets=buckets)
     point_view(spark, name, version)
     snapshot.write.mode("overwrite").format("parquet").saveAsTable(manifest)
     return spark.table(name), mode
