@@ -98,7 +98,10 @@ def stage_into(spark: SparkSession, landing_root: str, name: str, buckets: int |
         previous = spark.table(name).select(*STAGING_COLUMNS)
         fresh = newest(rename_raw(read_files(spark, landing_root, new_paths)), newest_by_day)
         result = merge_newest(previous, fresh, newest_by_day)
-    version, _ = write_version(result, name, bucket_by="posting_id", buckets=buckets)
+    # The merge joins on the previous table's buckets, so its tasks already
+    # hold one bucket each: no re-layout before the bucketed write.
+    version, _ = write_version(result, name, bucket_by="posting_id", buckets=buckets,
+                               align=mode == FULL)
     point_view(spark, name, version)
     snapshot.write.mode("overwrite").format("parquet").saveAsTable(manifest)
     return spark.table(name), mode

@@ -15,6 +15,26 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def bucket_count(df: DataFrame, buckets: int | None) -> int:
+    """The bucket count: ``buckets``, else ``spark.sql.shuffle.partitions``."""
+    return buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def by_bucket(df: DataFrame, bucket_by: str, n: int) -> DataFrame:
+    """``df`` laid out one bucket per task before a write bucketed ``n`` ways on ``bucket_by``.
+
+    A bucketed write makes every task write one file per bucket it holds, so
+    input not partitioned on the key (T tasks each holding all n buckets)
+    would leave T x n small files. Repartitioning on the bucket column with
+    the bucket count applies the bucket function itself (Murmur3 hash mod n),
+    so each bucket is written once. Spark drops this exchange when the input is
+    already so partitioned (a bucketed read, or a shuffle on the key into n
+    partitions). The tables bucketed here are keyed uniquely (``posting_id``,
+    ``tag``), so no bucket is hot.
+    """
+    return df.repartition(n, bucket_by)
+
+
 def as_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
              bucket_by: str | None = None, buckets: int | None = None) -> DataFrame:
     """Full rebuild of a managed table (K4); returns a frame reading it back.
@@ -26,11 +46,12 @@ def as_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
     ``buckets`` defaults to ``spark.sql.shuffle.partitions`` (size it so one
     bucket fits a task at the target scale).
     """
-    writer = df.write.mode("overwrite").format("parquet")
+    n = bucket_count(df, buckets)
+    writer = (by_bucket(df, bucket_by, n) if bucket_by else df).write.mode("overwrite")
+    writer = writer.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
-        n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         writer = writer.bucketBy(n, bucket_by)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
@@ -51,18 +72,23 @@ def versions(spark: SparkSession, name: str) -> list[str]:
 
 
 def write_version(df: DataFrame, name: str, bucket_by: str | None = None,
-                  buckets: int | None = None, stamp: str | None = None) -> tuple[str, int]:
+                  buckets: int | None = None, stamp: str | None = None,
+                  align: bool = True) -> tuple[str, int]:
     """Write ``df`` once to a new table ``{name}__v{stamp}_{id}``; return it and its row count.
 
-    Version names sort by creation time, so the newest is last.
+    Version names sort by creation time, so the newest is last. ``align=False``
+    skips ``by_bucket`` for input the caller knows is already laid out one
+    bucket per task but whose plan cannot show it (a full outer join on the
+    bucket key reports unknown partitioning).
     """
     stamp = stamp or dt.datetime.now(tz=dt.UTC).strftime("%Y%m%d%H%M%S")
     version = f"{name}__v{stamp}_{uuid.uuid4().hex[:8]}"
     obs = Observation(f"version_{uuid.uuid4().hex[:8]}")
-    writer = (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    n = bucket_count(df, buckets)
+    writer = ((by_bucket(observed, bucket_by, n) if bucket_by and align else observed)
               .write.mode("errorifexists").format("parquet"))
     if bucket_by:
-        n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         writer = writer.bucketBy(n, bucket_by)
     writer.saveAsTable(version)
     return version, int(obs.get["rows"])
