@@ -48,7 +48,8 @@ STRINGS = ["x", "", "Data Engineer", 1, 1.5, True, None, ["x"], {"a": 1}]
 LOCATIONS = [None, "Amsterdam", "  ", 3, False, []]
 REMOTES = [True, False, 0, 1, 2, -1, 0.0, 1.0, 0.5, None, "yes", "NO", "On", "off", "t", "F",
            "1", "0", "maybe", "", " yes", "1.0", [], {}]
-TAGS = [[], ["sql"], ["sql", "Python"], ["a", None], [1], ["a", 2], "sql", None, {"a": 1}]
+TAGS = [[], ["sql"], ["sql", "Python"], ["a", None], [1], ["a", 2], "sql", None, {"a": 1},
+        ["null"], ['a"b,c', "x\\"], [["a"]], [True], ["é", "😀"], [None]]
 CREATED = [1786481729, 0, -1, True, False, 1786481729.5, 1.0e9, -3.25, "1786481729", "-5",
            "12.5", "2026-08-11", "2026-08-11T20:55:29Z", "2026-08-11T20:55:29.123+02:00",
            "2026-08-11 20:55", "2026-13-01", "2026-02-30", "yesterday", "", None,
