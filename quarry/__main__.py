@@ -70,8 +70,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--table", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--continuous", action="store_true", help="keep running (default: drain)")
-    p.add_argument("--state-partitions", type=int, default=None,
-                   help="state partitions of a new checkpoint (default: shuffle partitions)")
+    p.add_argument("--buckets", type=int, default=None,
+                   help="posting_id buckets of the table (default: shuffle partitions)")
 
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
@@ -114,7 +114,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         from .streaming.latest import start
         q = start(spark, args.landing, args.table, args.checkpoint,
-                  available_now=not args.continuous, state_partitions=args.state_partitions)
+                  available_now=not args.continuous, buckets=args.buckets)
         q.awaitTermination()
         out = {"stream": "stopped"}
     print(json.dumps(out))

@@ -1,18 +1,24 @@
 """Newest version per key, maintained by Structured Streaming.
 
 The landing folder is a file stream: each trigger picks up files not seen
-before (a new day needs no change anywhere). Records are reduced to the newest
-version per ``posting_id`` with ``max(struct(ingested_at, ingest_date,
-source_file, row_hash, payload...))``, the streaming form of the batch
-``row_number() = 1`` with the same ordering, so after any number of triggers
-the result equals ``postings.stage`` over the same files.
-
-State holds one row per key (unbounded in the number of keys by design, never
-in rows per key). The full result is written each trigger with
-``foreachBatch`` into a table. Known divergence (X3): a record withdrawn by a
-replayed day stays in state, and a file rewritten in place under the same
-name is not re-read; the batch rebuild stays the source of truth after a
-replay.
+before (a new day needs no change anywhere). ``start`` keeps the postings
+staging table current without any streaming state: every micro-batch is
+reduced to the newest version per ``posting_id`` with the batch ``newest``
+ordering and merged into the previous table version with
+``plans.staging.merge_newest`` (the previous version is read through its
+``posting_id`` buckets, so only the micro-batch's rows are shuffled). The
+merged rows are written as a new bucketed version and the table name, a
+view, is re-pointed at it. After any number of triggers the table equals
+``postings.stage`` over the same files. A re-run micro-batch (after a failure)
+merges the same rows again, which changes nothing.
+
+``newest_by_max`` is the stateful form of the same reduction, a streaming
+aggregation of ``max(struct(order..., payload...))`` with one state row per
+key, for streams whose result is small enough to re-emit each trigger.
+
+Known divergence (X3): a record withdrawn by a replayed day stays in the
+table, and a file rewritten in place under the same name is not re-read; the
+batch rebuild stays the source of truth after a replay.
 """
 
 from __future__ import annotations
@@ -22,12 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..functions.text import blank_to_null, trim_spaces
-from ..functions.time import epoch_to_instant
+from ..plans.postings import STAGING_COLUMNS, newest, rename_raw
+from ..plans.staging import merge_newest
+from ..sinks.materialize import point_view, write_version
 from ..sources.landing import POSTING_DDL
-from ..plans.postings import STAGING_COLUMNS
 
-PAYLOAD = ["title", "company_name", "location", "is_remote", "tags", "posted_at"]
 STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -99,39 +104,40 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str,
         raise RuntimeError(str(query.exception()))
 
 
-def newest_per_key(raw: DataFrame) -> DataFrame:
-    """Staging columns, one row per posting_id, newest version."""
-    renamed = raw.select(
-        F.col("slug").alias("posting_id"),
-        trim_spaces("title").alias("title"),
-        trim_spaces("company_name").alias("company_name"),
-        blank_to_null("location").alias("location"),
-        F.col("remote").alias("is_remote"),
-        F.col("tags"),
-        epoch_to_instant("created_at").alias("posted_at"),
-        "source_file", "ingest_date", "ingested_at",
-    )
-    row_hash = F.xxhash64(*[F.col(c) for c in STAGING_COLUMNS])
-    version = F.struct(F.col("ingested_at"), F.col("ingest_date"), F.col("source_file"),
-                       row_hash.alias("row_hash"), *[F.col(c) for c in PAYLOAD])
-    newest = renamed.groupBy("posting_id").agg(F.max(version).alias("v"))
-    return newest.select("posting_id", *[F.col(f"v.{c}").alias(c) for c in PAYLOAD],
-                         F.col("v.source_file").alias("source_file"),
-                         F.col("v.ingest_date").alias("ingest_date"),
-                         F.col("v.ingested_at").alias("ingested_at")).select(*STAGING_COLUMNS)
+def merge_batch(batch: DataFrame, table: str, buckets: int | None = None,
+                newest_by_day: bool = False) -> None:
+    """Fold one micro-batch of landed records into staging table ``table``."""
+    spark = batch.sparkSession
+    if batch.isEmpty():
+        return
+    fresh = newest(rename_raw(batch), newest_by_day)
+    if spark.catalog.tableExists(table):
+        previous = spark.table(table).select(*STAGING_COLUMNS)
+        merged, aligned = merge_newest(previous, fresh, newest_by_day), True
+    else:
+        merged, aligned = fresh, False
+    # The merge joins on the previous version's buckets, so its tasks already
+    # hold one bucket each; a first version is laid out by bucket.
+    version, _ = write_version(merged, table, bucket_by="posting_id", buckets=buckets,
+                               align=not aligned)
+    point_view(spark, table, version)
 
 
 def start(spark: SparkSession, root: str, table: str, checkpoint: str,
           available_now: bool = True, max_files_per_trigger: int | None = None,
-          state_partitions: int | None = None) -> StreamingQuery:
-    """Run the stream into ``table`` (complete result each trigger)."""
+          buckets: int | None = None) -> StreamingQuery:
+    """Keep ``table`` equal to the newest version per key of every landed file.
+
+    Stateless: the stream only tracks which files it has read (in
+    ``checkpoint``); the table itself carries the result between triggers.
+    """
 
     def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").format("parquet").saveAsTable(table)
-
-    query = (newest_per_key(landing_stream(spark, root, max_files_per_trigger))
-             .writeStream.outputMode("complete")
-             .option("checkpointLocation", checkpoint)
-             .foreachBatch(write))
-    query = query.trigger(availableNow=True) if available_now else query
-    return _started(spark, query, state_partitions)
+        merge_batch(batch, table, buckets)
+
+    writer = (landing_stream(spark, root, max_files_per_trigger)
+              .writeStream.outputMode("append")
+              .option("checkpointLocation", checkpoint)
+              .foreachBatch(write))
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()

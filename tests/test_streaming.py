@@ -11,7 +11,7 @@ from .conftest import GOOD, write_day
 
 
 def _rows(df):
-    return sorted(tuple(r[c] for c in STAGING_COLUMNS) for r in df.collect())
+    return sorted((tuple(r[c] for c in STAGING_COLUMNS) for r in df.collect()), key=repr)
 
 
 def test_stream_matches_batch_after_each_day(spark, tmpdir_path):
@@ -52,3 +52,24 @@ def test_replayed_day_divergence_is_pinned(spark, tmpdir_path):
     batch = {r["posting_id"] for r in stage(read_landing(spark, root)).collect()}
     assert streamed == {"data-engineer-acme", "gone"}
     assert batch == {"data-engineer-acme"}
+
+
+def test_rerun_micro_batch_changes_nothing(spark, tmpdir_path):
+    """A micro-batch run again after a failure merges the same rows again: the
+    table is unchanged. A NULL key over two batches stays one row, as in batch."""
+    from quarry.streaming.latest import merge_batch
+
+    root = os.path.join(tmpdir_path, "landing")
+    write_day(root, "2026-08-12", [GOOD, dict(GOOD, slug=None, title="First null")],
+              mtime=1_786_500_000)
+    merge_batch(read_landing(spark, root), "stream_rerun")
+    write_day(root, "2026-08-13", [dict(GOOD, title="Data Engineer II"),
+                                   dict(GOOD, slug=None, title="Second null")],
+              mtime=1_786_600_000)
+    day2 = read_landing(spark, root).filter("ingest_date = DATE'2026-08-13'")
+    merge_batch(day2, "stream_rerun")
+    once = _rows(spark.table("stream_rerun"))
+    merge_batch(day2, "stream_rerun")
+    assert _rows(spark.table("stream_rerun")) == once == _rows(stage(read_landing(spark, root)))
+    titles = {r["posting_id"]: r["title"] for r in spark.table("stream_rerun").collect()}
+    assert titles == {"data-engineer-acme": "Data Engineer II", None: "Second null"}
