@@ -165,6 +165,19 @@ def _table_exists(conn, schema: str | None, table: str) -> bool:
     return False
 
 
+def _count_rows(conn, table: str) -> int:
+    stmt = conn.createStatement()
+    try:
+        rs = stmt.executeQuery(f"SELECT COUNT(*) FROM {table}")
+        try:
+            rs.next()
+            return int(rs.getLong(1))
+        finally:
+            rs.close()
+    finally:
+        stmt.close()
+
+
 def _execute(conn, statements) -> None:
     stmt = conn.createStatement()
     try:
@@ -182,7 +195,9 @@ def publish_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str,
     """Replace ``schema.table`` in an RDBMS with ``df`` (K7, K8, K9 over JDBC).
 
     1. drop a leftover staging table, create it from the mapped column types;
-    2. executors append the rows over JDBC (observed row count, G1/G2 guards);
+    2. executors append the rows over JDBC (observed row count, G1/G2 guards;
+       the staged count in the database must equal it, which catches rows a
+       re-run task inserted twice);
     3. one transaction drops the old table, renames staging, sets the comment.
 
     ``jdbc:derby:`` gets its ``RENAME TABLE`` syntax and type names and no
@@ -221,6 +236,14 @@ def publish_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str,
         require_rows(rows, qualified)
         if expected_rows is not None:
             require_complete(expected_rows, rows, qualified)
+        # Each task commits its own rows. A task re-run after its commit (a
+        # lost executor, speculation) inserts them twice, while the observed
+        # count only sums successful attempts: compare with the database.
+        conn = _jdbc_connection(spark, url, user, password)
+        try:
+            require_complete(rows, _count_rows(conn, staging), f"{qualified} (staged)")
+        finally:
+            conn.close()
     except Exception:
         drop_staging()
         raise

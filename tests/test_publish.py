@@ -105,6 +105,25 @@ def test_jdbc_publish_on_embedded_derby(spark):
     assert len(back) == 2 and back[0]["TAGS"] == '["sql"]'
 
 
+def test_jdbc_publish_refuses_rows_inserted_twice(spark, monkeypatch):
+    """A task re-run after its commit inserts its rows again; the observed
+    count does not see that, the staged count does: refuse, keep the old table."""
+    from quarry.sinks import publish as pub
+    url = f"jdbc:derby:memory:d{uuid.uuid4().hex[:8]};create=true"
+    assert publish_jdbc(spark, _f6(spark), url, "fct_postings", schema="APP") == 1
+
+    original = pub._write_observed
+
+    def write_with_rerun(df, writer):
+        writer(df)  # a first attempt committed, then its executor was lost
+        return original(df, writer)
+
+    monkeypatch.setattr(pub, "_write_observed", write_with_rerun)
+    with pytest.raises(RuntimeError, match="staged"):
+        publish_jdbc(spark, _f6(spark).union(_f6(spark)), url, "fct_postings", schema="APP")
+    assert len(spark.read.jdbc(url, "APP.fct_postings").collect()) == 1
+
+
 def test_jdbc_read_back_partitioned(spark):
     """A backend table read in parallel range queries."""
     from quarry.sources.tables import read_jdbc
