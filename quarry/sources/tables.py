@@ -22,7 +22,8 @@ def spread(df: DataFrame, minimum: int | None = None) -> DataFrame:
     Large inputs (many files or row groups) already have more scan splits than
     the cluster has cores, so this is a no-op there and costs no shuffle. A
     small or single-row-group file would otherwise put CPU-heavy row work
-    (tokenising, JSON checks) into one task.
+    (tokenising, JSON checks) into one task. Meant for scan-level frames:
+    counting the partitions of a frame with an adaptive shuffle would run it.
     """
     minimum = minimum or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= minimum:
