@@ -45,23 +45,37 @@ def _is_number(t: Column) -> Column:
     return (t == "BIGINT") | (t == "DOUBLE") | t.startswith("DECIMAL")
 
 
-def reasons_expr(v: Column) -> Column:
+FIELDS = (*REQUIRED_STRINGS, "location", "remote", "tags", "created_at")
+
+
+def probes(v: Column) -> dict[str, Column]:
+    """Per-record values several rules read: the record's kind, each field's type
+    and ``created_at`` as text. ``gate`` computes them once, as columns."""
+    out = {"kind": F.schema_of_variant(v),
+           "created_text": F.try_variant_get(v, "$.created_at", "string")}
+    out.update({f"type_{name}": _field_type(v, name) for name in FIELDS})
+    return out
+
+
+def reasons_expr(v: Column, p: dict[str, Column] | None = None) -> Column:
     """``array<string>`` of rule violations for one parsed record; empty = valid.
 
-    ``v`` is ``try_parse_json(raw)``: NULL for a line that is not JSON.
+    ``v`` is ``try_parse_json(raw)``: NULL for a line that is not JSON. ``p``
+    holds the ``probes`` of ``v`` (computed inline when omitted).
     """
-    kind = F.schema_of_variant(v)
+    p = p or probes(v)
+    kind = p["kind"]
     field_reasons = []
     for name in REQUIRED_STRINGS:
-        t = _field_type(v, name)
+        t = p[f"type_{name}"]
         field_reasons.append(F.when(t.isNull(), F.lit(f"{name}:missing"))
                              .when(t != "STRING", F.lit(f"{name}:not_string")))
 
-    t = _field_type(v, "location")
+    t = p["type_location"]
     field_reasons.append(F.when(t.isNotNull() & (t != "VOID") & (t != "STRING"),
                                 F.lit("location:not_string")))
 
-    t = _field_type(v, "remote")
+    t = p["type_remote"]
     as_double = F.try_variant_get(v, "$.remote", "double")
     as_text = F.lower(F.try_variant_get(v, "$.remote", "string"))
     remote_ok = (t.isNull() | (t == "BOOLEAN")
@@ -70,7 +84,7 @@ def reasons_expr(v: Column) -> Column:
     field_reasons.append(F.when(t == "VOID", F.lit("remote:null"))
                          .when(~F.coalesce(remote_ok, F.lit(False)), F.lit("remote:not_bool")))
 
-    t = _field_type(v, "tags")
+    t = p["type_tags"]
     # The compact JSON text of the value is an array of string literals only:
     # a null, number, boolean or nested element fails (a type check alone
     # cannot tell ["a", null] from ["a"]). No lambda, so the gate stays codegen'd.
@@ -79,8 +93,8 @@ def reasons_expr(v: Column) -> Column:
     field_reasons.append(F.when(t == "VOID", F.lit("tags:null"))
                          .when(t.isNotNull() & ~all_strings, F.lit("tags:not_string_list")))
 
-    t = _field_type(v, "created_at")
-    text = F.try_variant_get(v, "$.created_at", "string")
+    t = p["type_created_at"]
+    text = p["created_text"]
     whole = F.try_variant_get(v, "$.created_at", "decimal(38,0)")
     is_integer = (t == "BIGINT") | (t.startswith("DECIMAL") & t.endswith(",0)"))
     created_ok = ((t == "BOOLEAN")
@@ -101,11 +115,12 @@ def reasons_expr(v: Column) -> Column:
             .otherwise(per_field))
 
 
-def identifier_expr(raw: Column, v: Column) -> Column:
+def identifier_expr(raw: Column, v: Column, p: dict[str, Column] | None = None) -> Column:
     """What a reject is logged as (V3): its slug, ``<no slug>``, or the start of the value."""
-    kind = F.schema_of_variant(v)
+    p = p or probes(v)
+    kind = p["kind"]
     slug = F.try_variant_get(v, "$.slug", "variant")
-    slug_text = F.when(F.schema_of_variant(slug) == "STRING",
+    slug_text = F.when(p["type_slug"] == "STRING",
                        F.try_variant_get(v, "$.slug", "string")).otherwise(F.to_json(slug))
     scalar = F.when(kind == "STRING",
                     F.concat(F.lit("'"), F.try_variant_get(v, "$", "string"), F.lit("'")))
@@ -119,11 +134,15 @@ def gate(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     # is produced by one Generate: a later filter on `accepted` then stays
     # above it instead of being inlined into the scan, which would evaluate
     # every rule twice (once in the filter, once in the projection).
+    # The probes several rules share are computed once in the projection
+    # below it (a Generate does not eliminate repeated subexpressions).
     parsed = df.withColumn("__v", F.try_parse_json(F.col(raw_col)))
     v = F.col("__v")
-    verdict = F.struct(reasons_expr(v).alias("reasons"),
-                       identifier_expr(F.col(raw_col), v).alias("identifier"))
-    checked = parsed.select(*[F.col(f"`{c}`") for c in df.columns],
+    probed = parsed.select("*", *[c.alias(f"__p_{k}") for k, c in probes(v).items()])
+    p = {k: F.col(f"__p_{k}") for k in probes(v)}
+    verdict = F.struct(reasons_expr(v, p).alias("reasons"),
+                       identifier_expr(F.col(raw_col), v, p).alias("identifier"))
+    checked = probed.select(*[F.col(f"`{c}`") for c in df.columns],
                             F.inline(F.array(verdict)))
     return (checked.withColumn("accepted", F.size("reasons") == 0)
             .withColumn("error_count", F.size("reasons"))
