@@ -27,7 +27,8 @@ from ..operators.dedup import latest_per_key
 from ..operators.fanout import explode_clean, explode_terms, item_count
 from ..operators.joins import lookup, orphans, unseen_keys
 from ..operators.validate import gate, gate_counts, rejects
-from ..plans.postings import postings_mart, stage
+from ..plans.postings import newest, postings_mart, rename_raw, stage
+from ..plans.staging import merge_newest
 from ..sinks.publish import publish_projection
 from ..session import checkpoint_dir
 from ..sources.landing import unwrap
@@ -46,6 +47,7 @@ EVENT_VOCABULARY = ("view", "click", "signup", "purchase")
 BATCH_N = 10
 FUTURE_NOW = dt.datetime(2024, 1, 29, 0, 0, 0)
 EPOCH_BASE = 1_700_000_000
+MERGE_CUTOFF = dt.datetime(2024, 1, 15, 0, 0, 0)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,6 +120,25 @@ def staged_postings_mart(spark, sf_dir):
             .withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz")))
 
 
+def staged_postings_merge(spark, sf_dir):
+    """Incremental staging (``merge_newest``) over raw-shaped records from ``events``.
+
+    The records land in two parts, before and from ``MERGE_CUTOFF`` (a NULL
+    time counts as the first part, so every record lands once): the first part
+    is staged, the second staged and merged into it. The result must equal
+    staging every record at once.
+    """
+    raw = rename_raw(_raw_postings(spark, sf_dir))
+    first = F.coalesce(F.col("ingested_at") < F.lit(MERGE_CUTOFF), F.lit(True))
+    merged = merge_newest(newest(raw.filter(first)), newest(raw.filter(~first)))
+    return merged.select(
+        "posting_id", "title", "company_name", "location", "is_remote",
+        F.to_json("tags").alias("tags"),
+        F.col("posted_at").cast("timestamp_ntz").alias("posted_at"), "source_file",
+        F.date_format("ingest_date", "yyyy-MM-dd").alias("ingest_date"),
+        F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"))
+
+
 # ---------------------------------------------------------------- fan-out and marts
 
 def _part_tags(spark, sf_dir) -> DataFrame:
@@ -395,6 +416,7 @@ QUERIES: dict[str, Query] = {
     "stream_latest_per_key": stream_latest_per_key,
     "epoch_to_date": epoch_to_date,
     "staged_postings_mart": staged_postings_mart,
+    "staged_postings_merge": staged_postings_merge,
     "tags_normalised": tags_normalised,
     "tag_count_mart": tag_count_mart,
     "tag_popularity": tag_popularity,
@@ -432,6 +454,33 @@ QUERIES: dict[str, Query] = {
 
 # ================================================================ oracle SQL
 
+# Raw-shaped postings from events, renamed and reduced to the newest version
+# per key (the CTEs end in `stg`).
+_STAGED_POSTINGS = f"""WITH raw AS (
+              SELECT 'u' || user_id AS slug, '  ' || event_type || ' ' AS title,
+                     'c' || (user_id % 7) AS company_name,
+                     CASE WHEN event_id % 4 = 0 THEN '   ' ELSE 'loc' || (event_id % 3) END
+                       AS location,
+                     value > 25 AS remote,
+                     [upper(event_type), ' ' || event_type || ' ', 'k' || (event_id % 5), '']
+                       AS tags,
+                     {EPOCH_BASE} + event_id * 977 AS created_at,
+                     'events/part-' || (event_id % 3) AS source_file,
+                     CAST(ts AS DATE) AS ingest_date, ts AS ingested_at
+              FROM events),
+            ren AS (
+              SELECT slug AS posting_id, trim(title) AS title, trim(company_name) AS company_name,
+                     NULLIF(trim(location), '') AS location, remote AS is_remote, tags,
+                     TIMESTAMP '1970-01-01 00:00:00' + to_seconds(created_at) AS posted_at,
+                     source_file, ingest_date, ingested_at
+              FROM raw),
+            stg AS (
+              SELECT * FROM (
+                SELECT *, row_number() OVER (PARTITION BY posting_id
+                          ORDER BY ingested_at DESC, ingest_date DESC, source_file DESC) AS rn
+                FROM ren) x WHERE rn = 1)"""
+
+
 def _sql_text(s: str) -> str:
     """A SQL string expression equal to ``s`` (newlines via chr(10))."""
     parts = [("'" + p.replace("'", "''") + "'") for p in s.split("\n")]
@@ -576,29 +625,7 @@ def _oracle() -> dict[str, str]:
                      AS day
             FROM events""",
         "staged_postings_mart": f"""
-            WITH raw AS (
-              SELECT 'u' || user_id AS slug, '  ' || event_type || ' ' AS title,
-                     'c' || (user_id % 7) AS company_name,
-                     CASE WHEN event_id % 4 = 0 THEN '   ' ELSE 'loc' || (event_id % 3) END
-                       AS location,
-                     value > 25 AS remote,
-                     [upper(event_type), ' ' || event_type || ' ', 'k' || (event_id % 5), '']
-                       AS tags,
-                     {EPOCH_BASE} + event_id * 977 AS created_at,
-                     'events/part-' || (event_id % 3) AS source_file,
-                     CAST(ts AS DATE) AS ingest_date, ts AS ingested_at
-              FROM events),
-            ren AS (
-              SELECT slug AS posting_id, trim(title) AS title, trim(company_name) AS company_name,
-                     NULLIF(trim(location), '') AS location, remote AS is_remote, tags,
-                     TIMESTAMP '1970-01-01 00:00:00' + to_seconds(created_at) AS posted_at,
-                     source_file, ingest_date, ingested_at
-              FROM raw),
-            stg AS (
-              SELECT * FROM (
-                SELECT *, row_number() OVER (PARTITION BY posting_id
-                          ORDER BY ingested_at DESC, ingest_date DESC, source_file DESC) AS rn
-                FROM ren) x WHERE rn = 1)
+            {_STAGED_POSTINGS}
             SELECT posting_id, title, company_name, location, is_remote,
                    to_json(tags)::VARCHAR AS tags,
                    CAST(coalesce(len(list_distinct(list_filter(
@@ -607,6 +634,12 @@ def _oracle() -> dict[str, str]:
                    posted_at, strftime(CAST(posted_at AS DATE), '%Y-%m-%d') AS posted_date,
                    ingested_at
             FROM stg""",
+        "staged_postings_merge": f"""
+            {_STAGED_POSTINGS}
+            SELECT posting_id, title, company_name, location, is_remote,
+                   to_json(tags)::VARCHAR AS tags, posted_at, source_file,
+                   strftime(ingest_date, '%Y-%m-%d') AS ingest_date, ingested_at
+            FROM stg""",
         "tags_normalised": _TAGS_NORMALISED,
         "tag_count_mart": f"""
             WITH n AS ({_TAGS_NORMALISED}),
