@@ -57,7 +57,9 @@ def merge_newest(previous: DataFrame, fresh: DataFrame, newest_by_day: bool = Fa
     ``posting_id``: read through its buckets it is already partitioned for the
     join, so only the new files' rows are shuffled, never the history. NULL
     keys (one group in ``newest``, never equal in a join) are merged apart, over
-    at most one row from each side.
+    at most one row from each side; that branch reads its inputs again under an
+    ``IS NULL`` filter, which reaches the staging table's Parquet scan (row
+    group statistics skip the rest) but re-reads the new files.
     """
     key = F.col("posting_id")
     p = previous.filter(key.isNotNull()).alias("p")
