@@ -53,9 +53,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     """
     if max_rows <= 0 or max_bytes <= 0:
         return df
-    stats = df.agg(F.count(F.lit(1)).alias("n"),
-                   F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).first()
-    return F.broadcast(df) if stats["n"] <= max_rows and stats["b"] <= max_bytes else df
+    stats = side_size(df).first()
+    return F.broadcast(df) if stats["rows"] <= max_rows and stats["bytes"] <= max_bytes else df
+
+
+def side_size(df: DataFrame) -> DataFrame:
+    """One row ``(rows, bytes)``: the measured size of ``df`` (partial per task)."""
+    return df.agg(F.count(F.lit(1)).alias("rows"),
+                  F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes"))
 
 
 def attach_counts(left: DataFrame, counts: DataFrame, key: str, count_col: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.aggregates import duplicate_groups, key_popularity
 from quarry.operators.dedup import latest_per_key
-from quarry.operators.joins import bounded_broadcast, lookup, orphans
+from quarry.operators.joins import bounded_broadcast, lookup, orphans, side_size
 from quarry.plans import catalog
 
 from .conftest import SF_SMALL
@@ -84,6 +84,15 @@ def test_bounded_broadcast_measures_bytes(spark):
         spark.range(100).join(bounded_broadcast(wide, 10, 5_000), "id"))
 
 
+def test_broadcast_size_check_gathers_no_rows(spark):
+    side = spark.range(0, 1000, numPartitions=8).select("id", F.lit("abc").alias("s"))
+    text = plan(side_size(side))
+    assert "partial_count" in text and "partial_sum" in text
+    assert "Limit" not in text  # no per-task rows funnelled into one task
+    got = side_size(side).first()
+    assert got["rows"] == 1000 and got["bytes"] == 1000 * (8 + 8 + 8 + 3)
+
+
 def test_report_reuses_key_shuffles(spark):
     report = catalog.dq_report(spark, SF_SMALL)
     rows = {r["check_name"]: r["failures"] for r in report.collect()}
