@@ -39,14 +39,9 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fixed_table(rows: DataFrame, key: str, value: str, size: int) -> Column:
-    """A foldable ``array<double>`` column of ``size`` values by integer key.
+def fixed_table(values: list[float]) -> Column:
+    """A model's table as a foldable ``array<double>``; values are rounded to six decimals.
 
-    ``rows`` holds one row for each key below ``size`` at most; ``size`` is a
-    parameter of the model, never of the data, so this is all the driver gets.
-    Missing keys are 0; values are rounded to six decimals.
+    Its size is a parameter of the model, never of the data.
     """
-    values = ["0"] * size
-    for k, v in rows.select(key, F.round(value, 6)).toLocalIterator():
-        values[k] = repr(v)
-    return F.split(F.lit(",".join(values)), ",").cast("array<double>")
+    return F.split(F.lit(",".join(repr(round(v, 6)) for v in values)), ",").cast("array<double>")

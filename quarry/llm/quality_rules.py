@@ -16,6 +16,8 @@ not shuffled: word windows, lines and n-grams are arrays inside one row.
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,11 +60,11 @@ def gram_buckets(words: Column, buckets: int = BUCKETS) -> Column:
 
 def bucket_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", buckets: int = BUCKETS,
-                  smoothing: float = SMOOTHING) -> DataFrame:
-    """``(bucket, ratio)`` for each of the ``buckets`` buckets: ``ln(p_target / p_raw)``.
+                  smoothing: float = SMOOTHING) -> list[float]:
+    """``ln(p_target / p_raw)`` of each of the ``buckets`` buckets.
 
-    Both multinomials are smoothed by adding ``smoothing`` to every bucket. Without
-    any trusted document every ratio is 0.
+    Both multinomials are counted in one pass and smoothed by adding ``smoothing``
+    to every bucket. Without any trusted document every ratio is 0.
     """
     ids = bounded_broadcast(trusted.select(F.col(f"`{id_col}`").alias("__id"))
                             .dropna().distinct())
@@ -73,25 +75,24 @@ def bucket_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
         let(word_array(F.col("__text")), lambda w: gram_buckets(w, buckets))).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"),
                                          F.count("__target").alias("target"))
-    spark = docs.sparkSession
-    every = (spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-             .join(counts, "bucket", "left").na.fill(0, ["raw", "target"]))
-    total = every.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-    raw, target = total.select("raw").scalar(), total.select("target").scalar()
-    extra = smoothing * buckets
-    ratio = (F.log((F.col("target") + smoothing) / (target + extra))
-             - F.log((F.col("raw") + smoothing) / (raw + extra)))
-    return every.select("bucket", F.when(target > 0, ratio).otherwise(0.0).alias("ratio"))
-
-
-def verdicts(docs: DataFrame, ratios: DataFrame, text_col: str = "text",
+    raw, target = [0] * buckets, [0] * buckets
+    for bucket, n, m in counts.toLocalIterator():
+        raw[bucket], target[bucket] = n, m
+    if not sum(target):
+        return [0.0] * buckets
+    size = [sum(x) + smoothing * buckets for x in (raw, target)]
+    return [log((m + smoothing) / size[1]) - log((n + smoothing) / size[0])
+            for n, m in zip(raw, target)]
+
+
+def verdicts(docs: DataFrame, ratios: list[float], text_col: str = "text",
              min_score: float = MIN_SCORE, buckets: int = BUCKETS) -> DataFrame:
     """``docs`` with one more column, the struct ``__verdict`` of all measures.
 
     NULL texts count as empty (no words, base failed); a text without n-grams
     scores 0. Every row and every other column stays as it is.
     """
-    model = fixed_table(ratios, "bucket", "ratio", buckets)
+    model = fixed_table(ratios)
     text = whole_text(text_col)
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD_BYTE))
 

@@ -14,6 +14,8 @@ leaves the aggregates. All expressions are native; positions are code points.
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,7 @@ CANDIDATE = r"[A-Za-z0-9+/_=\-]{20,}"
 TOKEN = r"[A-Za-z0-9+/_=\-]{4,}"
 ORDINARY_DOCUMENTS = 2000
 SYMBOLS = 128
+ALPHABET = 65
 SMOOTHING = 0.5
 MIN_RATIO = 1.0
 
@@ -93,8 +96,8 @@ def _transitions(value: Column) -> Column:
 
 
 def ratio_table(found: DataFrame, smoothing: float = SMOOTHING,
-                documents: int = ORDINARY_DOCUMENTS) -> DataFrame:
-    """``(t, ratio)``: ``ln(P_random(b|a) / P_ordinary(b|a))`` for each ``t = a * 128 + b``.
+                documents: int = ORDINARY_DOCUMENTS) -> list[float]:
+    """``ln(P_random(b|a) / P_ordinary(b|a))`` at ``a * 128 + b``.
 
     ``found`` has ``__id, __text, __base``. Add-``smoothing`` over the 65 token
     characters that the candidates are made of; a character never seen by a model
@@ -112,16 +115,16 @@ def ratio_table(found: DataFrame, smoothing: float = SMOOTHING,
     counts = (secrets.unionByName(words)
               .select("random", F.explode(_transitions(F.col("token"))).alias("t"))
               .groupBy("t").agg(F.sum("random").alias("r"), F.sum(1 - F.col("random")).alias("o")))
-    every = (found.sparkSession.range(SYMBOLS * SYMBOLS)
-             .select(F.col("id").cast("int").alias("t"))
-             .join(counts, "t", "left").na.fill(0, ["r", "o"])
-             .withColumn("a", F.floor(F.col("t") / SYMBOLS)))
-    alphabet = 65
-    totals = every.groupBy("a").agg(F.sum("r").alias("ra"), F.sum("o").alias("oa"))
-    smooth = lambda n, total: (n + smoothing) / (total + smoothing * alphabet)
-    return every.join(totals, "a").select(
-        "t", (F.log(smooth(F.col("r"), F.col("ra")))
-              - F.log(smooth(F.col("o"), F.col("oa")))).alias("ratio"))
+    size = SYMBOLS * SYMBOLS
+    random, ordinary = [0] * size, [0] * size
+    for t, r, o in counts.toLocalIterator():
+        random[t], ordinary[t] = r, o
+
+    def rates(n: list[int]) -> list[float]:
+        rows = [sum(n[a * SYMBOLS:(a + 1) * SYMBOLS]) + smoothing * ALPHABET for a in range(SYMBOLS)]
+        return [log((x + smoothing) / rows[t // SYMBOLS]) for t, x in enumerate(n)]
+
+    return [x - y for x, y in zip(rates(random), rates(ordinary))]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -137,7 +140,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = (docs.select(F.col(f"`{id_col}`").alias("__id"),
                          whole_text(text_col).alias("__text"))
              .withColumn("__base", base_spans(text)))
-    table = fixed_table(ratio_table(found), "t", "ratio", SYMBOLS * SYMBOLS)
+    table = fixed_table(ratio_table(found))
 
     def likely(value: Column) -> Column:
         return let(_transitions(value), lambda t: F.aggregate(
