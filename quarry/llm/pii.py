@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import bounded_broadcast
+
 KINDS = ("email", "ip", "card", "phone")
 LEARNED = "learned"
 MIN_SUPPORT = 3
@@ -224,7 +226,7 @@ def find_personal_data(docs: DataFrame, scratch, id_col: str = "doc_id", text_co
                .select("__key", "__size", F.array_join(F.transform("__new", lambda s: F.concat_ws(
                    ":", F.lit(LEARNED), s["start"].cast("string"), s["end"].cast("string"))), ",")
                    .alias("__learned")))
-    joined = rows.drop("__found").join(learned, ["__key", "__size"], "left")
+    joined = rows.drop("__found").join(bounded_broadcast(learned), ["__key", "__size"], "left")
     return joined.select(
         F.col("__id").alias(id_col), *[f"n_{k}" for k in KINDS], "base_sha256",
         F.concat_ws(",", F.nullif(F.col("__base"), F.lit("")), "__learned").alias("spans"),
@@ -251,8 +253,6 @@ def redact_documents(docs: DataFrame, found: DataFrame, text_col: str = "text")
     Spans depend on the text alone, so they are joined by the text's hash and
     length. The side with spans is broadcast only if it measures small.
     """
-    from ..operators.joins import bounded_broadcast
-
     spans = bounded_broadcast(found.filter("spans != ''").groupBy("__key", "__size")
                               .agg(F.first("spans").alias("__spans")))
     text = F.col(f"`{text_col}`")
