@@ -10,15 +10,16 @@ more than ``K`` groups: by pigeonhole some group is identical in both sets. A no
 therefore joins the blocks named by the content of each of its groups; blocks of
 one node, almost all of them, end in one window count.
 
-Linking. First every block's nodes are compared with its smallest node, which
-joins a group of near copies in as many pairs as it has nodes. In blocks that
-still hold several components, the nodes' count vectors (shingles per hash
-group) are points in an R-tree: the sum over coordinates of the smaller of a
-point's count and a box's largest count bounds the overlap from above, and boxes
-and points that cannot reach the threshold are cut. Surviving pairs of different
-components are verified on the sets. Pairs inside a component are never listed.
-
-A large block is split into chunks that meet pairwise, so no task holds more than
+Linking. Nodes whose blocks have the same smallest node form a family. First every
+family is compared with that smallest node, which joins a group of near copies in
+as many pairs as it has nodes. In families that still hold several components, the
+nodes' count vectors (shingles per hash group) are points in an R-tree: the sum
+over coordinates of the smaller of a point's count and a box's largest count
+bounds the overlap from above, and boxes and points that cannot reach the threshold
+are cut. Surviving pairs of different components are verified on the sets. Pairs
+inside a component are never listed.
+
+A large family is split into chunks that meet pairwise, so no task holds more than
 two chunks of it. 64-bit hashes stand for shingles and sets; a wrong link needs a
 collision between them.
 """
@@ -39,7 +40,8 @@ from ._text import U64
 
 WORDS = 4
 PERCENT = 85
-GROUPS = 64         # coordinates of a count vector
+LEAST_GROUPS, MOST_GROUPS = 64, 4096  # coordinates of a count vector: about half the set's size
+FULL = 255          # a count of FULL stands for that many or more
 CHUNK_NODES = 2048  # nodes of a block that one side of a task holds
 LEAF = 16           # entries of an R-tree node
 
@@ -142,11 +144,32 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
     return rows.mapInArrow(batches, f"__id {kind}, n_shingles bigint, node bigint, keys array<bigint>")
 
 
-def sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+def count_vector(found: np.ndarray) -> np.ndarray:
+    """Shingles per hash group. The number of groups is a power of two that grows with
+    the set, so that differences seldom fall into one group and hide each other."""
+    groups = min(MOST_GROUPS, max(LEAST_GROUPS, 1 << (max(len(found), 2) // 2).bit_length()))
+    counts = np.bincount((found & U64(groups - 1)).astype(np.int64), minlength=groups)
+    return np.minimum(counts, FULL).astype(np.uint8)
+
+
+def folded(vectors: list[bytes]) -> np.ndarray:
+    """Count vectors as rows of one width, the smallest of theirs: wider ones are added
+    up group by group."""
+    width = min(map(len, vectors))
+    out = np.empty((len(vectors), width), np.uint8)
+    for i, v in enumerate(vectors):
+        wide = np.frombuffer(v, np.uint8)
+        out[i] = wide if len(wide) == width else np.minimum(
+            wide.reshape(-1, width).sum(0, dtype=np.int64), FULL)
+    return out
+
+
+def sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, words: int,
+         scratch) -> DataFrame:
     """``(node, size, counts, shingles)`` of the given nodes (``node, __id``), once each.
 
     Only documents with an id of a wanted node are read; ``counts`` is the count
-    vector (int32), ``shingles`` the sorted set, both as bytes.
+    vector, ``shingles`` the sorted set, both as bytes.
     """
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -156,9 +179,8 @@ def sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, words: i
                 rows, found = set_rows(*_text.column_bytes(texts.slice(low, n)), words)
                 size = np.bincount(rows, minlength=n)
                 node = _text.mix(_group_sums(rows, _text.mix(found), n) + size.astype(U64))
-                at = rows * GROUPS + (found & U64(GROUPS - 1)).astype(np.int64)
-                counts = np.bincount(at, minlength=n * GROUPS).astype(np.int32).reshape(n, GROUPS)
                 cut = np.r_[0, np.cumsum(size)]
+                counts = [count_vector(found[a:b]) for a, b in zip(cut[:-1], cut[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_text.signed(node)), pa.array(size, pa.int64()),
                      pa.array([c.tobytes() for c in counts], pa.binary()),
@@ -171,9 +193,10 @@ def sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, words: i
                          F.col(f"`{text_col}`").cast("string").alias("__text"))
              .join(ids, F.col("__doc").eqNullSafe(F.col("__id")), "left_semi").select("__text"))
     found = texts.mapInArrow(batches, "node bigint, size bigint, counts binary, shingles binary")
-    return (found.join(wanted, "node", "left_semi").groupBy("node")
-            .agg(F.first("size").alias("size"), F.first("counts").alias("counts"),
-                 F.first("shingles").alias("shingles")))
+    found = scratch.save(found.join(wanted, "node", "left_semi"))
+    # One document was read per node, unless ids are NULL or repeated.
+    once = found.groupBy("node").count().filter("count > 1").isEmpty()
+    return found if once else scratch.save(found.dropDuplicates(["node"]))
 
 
 def _needed(total: np.ndarray, percent: int) -> np.ndarray:
@@ -208,8 +231,8 @@ class CountTree:
     def search(self, points: np.ndarray, sizes: np.ndarray, percent: int
                ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``(query, entry)`` index arrays of all pairs that the bound cannot rule out."""
-        for low in range(0, len(points), 256):
-            q = np.arange(low, min(low + 256, len(points)))
+        for low in range(0, len(points), 128):
+            q = np.arange(low, min(low + 128, len(points)))
             top = len(self.levels[-1][0])
             query, node = np.repeat(q, top), np.tile(np.arange(top), len(q))
             for level in range(len(self.levels) - 1, -1, -1):
@@ -229,9 +252,12 @@ class CountTree:
         fits = (100 * most[node] >= percent * own) & (percent * least[node] <= 100 * own)
         query, node = query[fits], node[fits]
         keep = np.zeros(len(query), bool)
-        for at in range(0, len(query), 16_384):
-            s = slice(at, at + 16_384)
-            bound = np.minimum(points[query[s]], upper[node[s]]).sum(1)
+        step = max(1, (1 << 22) // points.shape[1])
+        for at in range(0, len(query), step):
+            s = slice(at, at + step)
+            least_counts = np.minimum(points[query[s]], upper[node[s]])
+            bound = least_counts.sum(1, dtype=np.int64)
+            bound[(least_counts == FULL).any(1)] = np.iinfo(np.int64).max
             # The smallest partner a box can hold asks for the least overlap.
             smallest = np.maximum(least[node[s]], -(-percent * sizes[query[s]] // 100))
             keep[s] = bound >= _needed(sizes[query[s]] + smallest, percent)
@@ -239,15 +265,14 @@ class CountTree:
 
 
 def _tree_pairs(percent: int):
-    """Arrow function over block chunks sorted by (key, first, second): surviving pairs."""
+    """Arrow function over chunk pairs sorted by (family, first, second): surviving pairs."""
     def of(table: pa.Table) -> pa.RecordBatch:
         node = table.column("node").to_numpy()
         root = table.column("root").to_numpy()
         size = table.column("size").to_numpy()
         chunk = table.column("chunk").to_numpy()
         first, second = table.column("first")[0].as_py(), table.column("second")[0].as_py()
-        points = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int32
-                               ).reshape(len(node), GROUPS)
+        points = folded(table.column("counts").to_pylist())
         left = np.flatnonzero(chunk == first)
         right = np.flatnonzero(chunk == second)
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -267,7 +292,7 @@ def _tree_pairs(percent: int):
         held: list[pa.RecordBatch] = []
         name = None
         for part in parts:
-            tags = list(zip(*(part.column(c).to_pylist() for c in ("key", "first", "second"))))
+            tags = list(zip(*(part.column(c).to_pylist() for c in ("family", "first", "second"))))
             cuts = [0, *(i for i in range(1, len(tags)) if tags[i] != tags[i - 1]), len(tags)]
             for low, high in zip(cuts[:-1], cuts[1:]):
                 if low == high:
@@ -302,27 +327,27 @@ def verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(batches, "a bigint, b bigint")
 
 
-def residual_pairs(blocks: DataFrame, roots: DataFrame, members: DataFrame, percent: int,
-                   scratch, chunk_nodes: int = CHUNK_NODES) -> DataFrame:
-    """R-tree pairs of different components in blocks that still hold several.
+def residual_pairs(families: DataFrame, roots: DataFrame, members: DataFrame, percent: int,
+                   chunk_nodes: int = CHUNK_NODES) -> DataFrame:
+    """R-tree pairs of different components inside families that still hold several.
 
-    Blocks of the same nodes are searched once.
+    A family larger than ``chunk_nodes`` is dealt in chunks; every two chunks of it
+    meet in a task of their own.
     """
-    known = (blocks.select("key", "node").join(roots, "node", "left")
-             .select("key", "node", F.coalesce("root", "node").alias("root")))
-    per_key = known.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"),
-        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who"))
-    once = per_key.filter("r0 != r1").groupBy("n", "who").agg(F.min("key").alias("key"))
-    n_chunks = F.ceil(F.col("n") / chunk_nodes)
-    dealt = (known.join(once.select("key", n_chunks.alias("chunks")), "key")
+    known = (families.join(roots, "node", "left")
+             .select("family", "node", F.coalesce("root", "node").alias("root")))
+    open_ones = (known.groupBy("family").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+        .filter("r0 != r1").select("family", F.ceil(F.col("n") / chunk_nodes).alias("chunks")))
+    dealt = (known.join(open_ones, "family")
              .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
-             .select("key", "node", "root", "chunk",
+             .select("family", "node", "root", "chunk",
                      F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-             .select("key", F.least("chunk", "other").alias("first"),
+             .select("family", F.least("chunk", "other").alias("first"),
                      F.greatest("chunk", "other").alias("second"), "chunk", "node", "root"))
     dealt = dealt.join(members.select("node", "size", "counts"), "node")
-    tasks = dealt.repartition("key", "first", "second").sortWithinPartitions("key", "first", "second")
+    tasks = (dealt.repartition("family", "first", "second")
+             .sortWithinPartitions("family", "first", "second"))
     return tasks.mapInArrow(_tree_pairs(percent), "a bigint, b bigint").distinct()
 
 
@@ -345,17 +370,16 @@ def near_duplicates(docs: DataFrame, scratch, id_col: str = "doc_id", text_col:
                   & rows["__id"].eqNullSafe(nodes["__id"]), "left_semi")
             .select("node", F.explode("keys").alias("key")))
     together = Window.partitionBy("key")
-    blocks = scratch.save(
-        keys.withColumns({"least": F.min("node").over(together), "most": F.max("node").over(together)})
-        .filter("least != most").select("key", "node", "least").distinct())
-    involved = blocks.select("node").distinct().join(nodes, "node")
-    members = scratch.save(sets(docs, involved, id_col, text_col, words))
-    stars = blocks.filter("least != node").select(F.col("least").alias("a"),
-                                                  F.col("node").alias("b")).distinct()
+    families = scratch.save(
+        keys.withColumns({"family": F.min("node").over(together), "most": F.max("node").over(together)})
+        .filter("family != most").select("family", "node").distinct())
+    involved = families.select("node").distinct().join(nodes, "node")
+    members = sets(docs, involved, id_col, text_col, words, scratch)
+    stars = families.filter("family != node").select(F.col("family").alias("a"),
+                                                     F.col("node").alias("b"))
     links = scratch.save(verified(stars, members, percent))
     roots = scratch.save(components(links, scratch))
-    more = scratch.save(verified(
-        scratch.save(residual_pairs(blocks, roots, members, percent, scratch)), members, percent))
+    more = scratch.save(verified(residual_pairs(families, roots, members, percent), members, percent))
     whole = scratch.save(components(links.unionByName(more), scratch))
     # Smallest document id per component, then back to every document.
     placed = (nodes.join(whole, "node", "left")
