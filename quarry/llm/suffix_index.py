@@ -40,6 +40,7 @@ from ._text import U64
 LENGTH = 100
 PREFIX = 32
 BATCHES = 4
+GATHER_ROWS = 8192  # window rows (at most 2 * LENGTH bytes each) looked at together
 
 
 def _sliding(values: np.ndarray, width: int, largest: bool) -> np.ndarray:
@@ -116,20 +117,23 @@ def anchor_rows(docs: DataFrame, length: int, prefix: int, batches: int) -> Data
         _merged(rows), "batch int, key bigint, doc bigint, copy bigint, at int")
 
 
-def _merged(rows):
-    """Join the small batches of ``rows`` into larger ones (fewer, cheaper transfers)."""
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        count = 0
-        for out in rows(parts):
-            held.append(out)
-            count += out.num_rows
-            if count >= 50_000:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, count = [], 0
-        if held:
+def _gathered(parts: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Small batches joined into batches of at least ``size`` rows."""
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for part in parts:
+        held.append(part)
+        count += part.num_rows
+        if count >= size:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-    return run
+            held, count = [], 0
+    if count:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _merged(rows):
+    """An Arrow function whose output batches are joined (fewer, cheaper transfers)."""
+    return lambda parts: _gathered(rows(parts), 50_000)
 
 
 class IndexFamily:
@@ -168,8 +172,21 @@ class IndexFamily:
         return table.filter("marked").select("key", "doc", "copy", "at")
 
 
+def packed(positions: DataFrame) -> DataFrame:
+    """``(doc, copy, wanted)``: each document's list of positions as bytes (int32)."""
+    def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            lists = [x.values.to_numpy().astype(np.int32).tobytes() for x in part.column(2)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1),
+                                              pa.array(lists, pa.binary())],
+                                             names=["doc", "copy", "wanted"])
+
+    return positions.select("doc", "copy", "at").mapInArrow(
+        rows, "doc bigint, copy bigint, wanted binary")
+
+
 def windows_around(texts: DataFrame, length: int, prefix: int) -> DataFrame:
-    """``(key, doc, copy, at, first, bytes)`` of each wanted anchor: the bytes that its
+    """``(key, doc, copy, first, bytes)`` of each wanted anchor: the bytes that its
     windows cover, from the first window's start."""
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -179,20 +196,19 @@ def windows_around(texts: DataFrame, length: int, prefix: int) -> DataFrame:
             for i in range(part.num_rows):
                 text = data[offsets[i]:offsets[i + 1]]
                 at, key, first, last = anchors(text, length, prefix)
-                keep = np.isin(at, wanted[i].values.to_numpy())
+                keep = np.isin(at, np.frombuffer(wanted[i].as_buffer(), np.int32))
                 at, key, first, last = at[keep], key[keep], first[keep], last[keep]
                 raw = text.tobytes()
                 n = len(at)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_text.signed(key)), pa.array(np.full(n, doc[i])),
                      pa.array(np.full(n, copy[i])), pa.array(first, pa.int32()),
-                     pa.array((at - first).astype(np.int32)),
                      pa.array([raw[a:b + length] for a, b in zip(first.tolist(), last.tolist())],
                               pa.binary())],
-                    names=["key", "doc", "copy", "first", "lead", "bytes"])
+                    names=["key", "doc", "copy", "first", "bytes"])
 
     return texts.select("doc", "copy", "__text", "wanted").mapInArrow(
-        _merged(rows), "key bigint, doc bigint, copy bigint, first int, lead int, bytes binary")
+        _merged(rows), "key bigint, doc bigint, copy bigint, first int, bytes binary")
 
 
 def repeated_windows(around: DataFrame, length: int) -> DataFrame:
@@ -204,9 +220,7 @@ def repeated_windows(around: DataFrame, length: int) -> DataFrame:
     """
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_key, shown = None, np.zeros(0, U64)
-        for part in parts:
-            if not part.num_rows:
-                continue
+        for part in _gathered(parts, GATHER_ROWS):
             key = part.column("key").to_numpy()
             data, offsets = _bytes(part.column("bytes"))
             sums = _text.prefix_hash(data, fold=False)
@@ -263,11 +277,32 @@ def removed_ranges(docs: DataFrame, scratch, length: int = LENGTH, prefix: int =
         family.add(entries.filter(F.col("batch") == batch).drop("batch"))
     found = scratch.save(family.matches())
     scratch.drop(entries)
-    wanted = scratch.save(found.groupBy("doc", "copy").agg(F.collect_list("at").alias("wanted")))
-    some = docs.join(bounded_broadcast(wanted.select("doc", "copy")), ["doc", "copy"], "left_semi")
-    around = windows_around(some.join(wanted, ["doc", "copy"]), length, prefix)
-    return (repeated_windows(around, length).groupBy("doc", "copy")
-            .agg(F.collect_list(F.struct("low", "high")).alias("ranges")))
+    wanted = scratch.save(packed(found.groupBy("doc", "copy").agg(F.collect_list("at").alias("at"))))
+    scratch.drop(found)
+    around = windows_around(docs.join(bounded_broadcast(wanted), ["doc", "copy"]), length, prefix)
+    return merged_ranges(repeated_windows(around, length).groupBy("doc", "copy")
+                         .agg(F.collect_list(F.struct("low", "high")).alias("ranges")))
+
+
+def merged_ranges(collected: DataFrame) -> DataFrame:
+    """Each document's ranges joined where they touch: ``(doc, copy, ranges)``."""
+    kind = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
+
+    def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            out = []
+            for item in part.column(2):
+                low, high = (item.values.field(k).to_numpy() for k in (0, 1))
+                order = np.argsort(low, kind="stable")
+                low, reach = low[order], np.maximum.accumulate(high[order])
+                new = np.flatnonzero(np.r_[True, low[1:] > reach[:-1]])
+                ends = reach[np.r_[new[1:] - 1, len(low) - 1]]
+                out.append([{"low": a, "high": b} for a, b in zip(low[new].tolist(), ends.tolist())])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, kind)],
+                                             names=["doc", "copy", "ranges"])
+
+    return collected.select("doc", "copy", "ranges").mapInArrow(
+        rows, "doc bigint, copy bigint, ranges array<struct<low:int,high:int>>")
 
 
 def _cut(texts: DataFrame) -> DataFrame:
@@ -275,22 +310,20 @@ def _cut(texts: DataFrame) -> DataFrame:
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             data, offsets = _text.column_bytes(part.column(2))
-            lists = part.column(3)
-            removed, spans, hashes = [], [], []
-            for i in range(part.num_rows):
-                pairs = lists[i].values
-                low, high = (pairs.field(k).to_numpy() for k in (0, 1))
-                size = int(offsets[i + 1] - offsets[i])
-                edge = np.zeros(size + 1, np.int32)
-                np.add.at(edge, low, 1)
-                np.add.at(edge, high, -1)
-                gone = np.cumsum(edge[:size]) > 0
-                removed.append(int(gone.sum()))
-                spans.append(int(np.count_nonzero(np.diff(np.r_[False, gone].astype(np.int8)) == 1)))
-                hashes.append(hashlib.sha256(data[offsets[i]:offsets[i + 1]][~gone].tobytes()).hexdigest())
+            lists = part.column(3).to_pylist()
+            removed, hashes = [], []
+            for i, ranges in enumerate(lists):
+                text = data[offsets[i]:offsets[i + 1]].tobytes()
+                digest, at = hashlib.sha256(), 0
+                for r in ranges:
+                    digest.update(text[at:r["low"]])
+                    at = r["high"]
+                digest.update(text[at:])
+                removed.append(sum(r["high"] - r["low"] for r in ranges))
+                hashes.append(digest.hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(removed, pa.int64()),
-                 pa.array(spans, pa.int64()), pa.array(hashes, pa.string())],
+                 pa.array(list(map(len, lists)), pa.int64()), pa.array(hashes, pa.string())],
                 names=["doc", "copy", "n_removed", "n_spans", "kept_sha256"])
 
     return texts.select("doc", "copy", "__text", "ranges").mapInArrow(
@@ -307,22 +340,26 @@ def dedup_bytes(docs: DataFrame, scratch, id_col: str = "doc_id", text_col: str
     nothing; other columns are ignored; an empty table gives no rows.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    named = docs.select(F.col(f"`{id_col}`").alias("__id"), text.alias("__text")).withColumns({
-        "doc": F.coalesce(F.col("__id").cast("bigint"), F.lit((1 << 63) - 1)),
-        "copy": F.xxhash64("__text")})
-    facts = scratch.save(named.select(
-        "__id", "doc", "copy", F.octet_length("__text").cast("bigint").alias("n_bytes"),
-        F.sha2("__text", 256).alias("sha")))
+    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), text.alias("__text"),
+                       F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit((1 << 63) - 1))
+                       .alias("doc"))
+    plain = scratch.save(rows.select("__id", "doc", F.xxhash64("__text").alias("copy"),
+                                     F.octet_length("__text").cast("bigint").alias("n_bytes"),
+                                     F.sha2("__text", 256).alias("sha")))
+    # Ids that name one text each (the usual case) need no second part of the order.
+    several = not plain.groupBy("doc").count().filter("count > 1").isEmpty()
+    facts = plain if several else plain.withColumn("copy", F.lit(0).cast("bigint"))
+    named = rows.withColumn("copy", F.xxhash64("__text") if several else F.lit(0).cast("bigint"))
     # Whole copies: every text but the first of its bytes, in document order.
-    firsts = facts.groupBy("sha", "copy").agg(F.min("doc").alias("doc"),
-                                              F.min("n_bytes").alias("n_bytes"))
-    unique = scratch.save(firsts.filter(F.col("n_bytes") >= length).select("doc", "copy"))
+    firsts = facts.groupBy("sha").agg(F.min(F.struct("doc", "copy")).alias("f"),
+                                      F.min("n_bytes").alias("n_bytes"))
+    unique = scratch.save(firsts.filter(F.col("n_bytes") >= length).select("f.doc", "f.copy"))
     texts = (named.join(bounded_broadcast(unique), ["doc", "copy"], "left_semi")
              .select("doc", "copy", "__text"))
-    texts = texts.dropDuplicates(["doc", "copy"]) if _repeats(facts) else texts
+    texts = texts.dropDuplicates(["doc", "copy"]) if several else texts
     ranges = scratch.save(removed_ranges(texts, scratch, length, prefix, batches))
     cut = scratch.save(_cut(texts.join(bounded_broadcast(ranges), ["doc", "copy"])))
-    known = (facts.join(firsts.select("sha", F.col("doc").alias("first_doc")), "sha")
+    known = (facts.join(firsts.select("sha", F.col("f.doc").alias("first_doc")), "sha")
              .join(cut, ["doc", "copy"], "left"))
     whole = (F.col("doc") != F.col("first_doc")) & (F.col("n_bytes") >= length)
     empty = hashlib.sha256(b"").hexdigest()
@@ -332,7 +369,3 @@ def dedup_bytes(docs: DataFrame, scratch, id_col: str = "doc_id", text_col: str
         F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("bigint").alias("n_spans"),
         F.when(whole, F.lit(empty)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"))
 
-
-def _repeats(facts: DataFrame) -> bool:
-    """Whether some (id, text) stands in several rows (one partial aggregate)."""
-    return not facts.groupBy("doc", "copy").count().filter("count > 1").isEmpty()
