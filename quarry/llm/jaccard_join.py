@@ -12,12 +12,13 @@ one node, almost all of them, end in one window count.
 
 Linking. Nodes whose blocks have the same smallest node form a family. First every
 family is compared with that smallest node, which joins a group of near copies in
-as many pairs as it has nodes. In families that still hold several components, the
-nodes' count vectors (shingles per hash group) are points in an R-tree: the sum
-over coordinates of the smaller of a point's count and a box's largest count
-bounds the overlap from above, and boxes and points that cannot reach the threshold
-are cut. Surviving pairs of different components are verified on the sets. Pairs
-inside a component are never listed.
+as many pairs as it has nodes: the summed minima of the two count vectors (shingles per
+hash group) bound the overlap, and pairs that may reach the threshold are verified
+on the sets. In families that still hold several components, the nodes' count
+vectors are points in an R-tree: the sum over coordinates of the smaller of a
+point's count and a box's largest count bounds the overlap from above, and boxes and
+points that cannot reach the threshold are cut. Surviving pairs of different
+components are verified. Pairs inside a component are never listed.
 
 A large family is split into chunks that meet pairwise, so no task holds more than
 two chunks of it. 64-bit hashes stand for shingles and sets; a wrong link needs a
@@ -44,6 +45,7 @@ LEAST_GROUPS, MOST_GROUPS = 64, 4096  # coordinates of a count vector: about hal
 FULL = 255          # a count of FULL stands for that many or more
 CHUNK_NODES = 2048  # nodes of a block that one side of a task holds
 LEAF = 16           # entries of an R-tree node
+NEAR_PERCENT = 60   # bound from which two families are searched as one
 
 
 def set_rows(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -307,24 +309,66 @@ def _tree_pairs(percent: int):
     return batches
 
 
+def _of(members: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFrame:
+    """The members that stand in ``pairs``; the list of wanted nodes is broadcast if small."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return members.join(bounded_broadcast(nodes), "node", "left_semi").select("node", *columns)
+
+
+def _both(pairs: DataFrame, members: DataFrame, columns: list[str]) -> DataFrame:
+    """``pairs`` with the columns of ``a`` (prefix ``x_``) and of ``b`` (prefix ``y_``)."""
+    some = _of(members, pairs, columns)
+    for key, prefix in (("a", "x_"), ("b", "y_")):
+        pairs = pairs.join(some.select(F.col("node").alias(key), *[
+            F.col(c).alias(prefix + c) for c in columns]), key)
+    return pairs
+
+
+def overlap_bounds(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """``(a, b, total, bound)``: summed sizes and the summed minima of the count vectors."""
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            total = part.column("x_size").to_numpy() + part.column("y_size").to_numpy()
+            bound = np.empty(part.num_rows, np.int64)
+            for i, pair in enumerate(zip(part.column("x_counts"), part.column("y_counts"))):
+                least = folded([c.as_py() for c in pair]).min(0)
+                bound[i] = total[i] if (least == FULL).any() else least.sum(dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("a"), part.column("b"), pa.array(total), pa.array(bound)],
+                names=["a", "b", "total", "bound"])
+
+    both = _both(pairs, members, ["size", "counts"])
+    return both.select("a", "b", "x_size", "y_size", "x_counts", "y_counts").mapInArrow(
+        batches, "a bigint, b bigint, total bigint, bound bigint")
+
+
 def verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose sets reach the threshold."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             keep = np.zeros(part.num_rows, bool)
-            x, y = part.column("x"), part.column("y")
-            for i in range(part.num_rows):
-                p, q = (np.frombuffer(z[i].as_buffer(), U64) for z in (x, y))
+            for i, pair in enumerate(zip(part.column("x_shingles"), part.column("y_shingles"))):
+                p, q = (np.frombuffer(z.as_buffer(), U64) for z in pair)
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep[i] = 100 * both >= percent * (len(p) + len(q) - both)
             yield part.filter(pa.array(keep)).select(["a", "b"])
 
-    size = lambda c: F.octet_length(c) / 8
-    one = members.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    two = members.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    both = (pairs.join(one, "a").join(two, "b")
-            .filter((100 * size("x") >= percent * size("y")) & (100 * size("y") >= percent * size("x"))))
-    return both.select("a", "b", "x", "y").mapInArrow(batches, "a bigint, b bigint")
+    both = _both(pairs.select("a", "b"), members, ["shingles"])
+    return both.select("a", "b", "x_shingles", "y_shingles").mapInArrow(
+        batches, "a bigint, b bigint")
+
+
+def joined_families(families: DataFrame, scored: DataFrame, percent: int) -> DataFrame:
+    """Families whose smallest node is near another family's smallest node are one.
+
+    A family moves to the smallest such family only (one step, no chains), so that
+    the same pairs are not searched once per smallest node of a group of near copies.
+    """
+    near = scored.filter(100 * F.col("bound") >= percent * (F.col("total") - F.col("bound")))
+    target = (near.select(F.col("a").alias("target"), F.col("b").alias("family"))
+              .groupBy("family").agg(F.min("target").alias("target")))
+    return (families.join(target, "family", "left")
+            .select(F.coalesce("target", "family").alias("family"), "node").distinct())
 
 
 def residual_pairs(families: DataFrame, roots: DataFrame, members: DataFrame, percent: int,
@@ -377,9 +421,13 @@ def near_duplicates(docs: DataFrame, scratch, id_col: str = "doc_id", text_col:
     members = sets(docs, involved, id_col, text_col, words, scratch)
     stars = families.filter("family != node").select(F.col("family").alias("a"),
                                                      F.col("node").alias("b"))
-    links = scratch.save(verified(stars, members, percent))
+    scored = scratch.save(overlap_bounds(stars, members))
+    possible = scored.filter(F.col("bound") * (100 + percent) >= percent * F.col("total"))
+    links = scratch.save(verified(possible, members, percent))
     roots = scratch.save(components(links, scratch))
-    more = scratch.save(verified(residual_pairs(families, roots, members, percent), members, percent))
+    wide = scratch.save(joined_families(families, scored, NEAR_PERCENT))
+    pairs = scratch.save(residual_pairs(wide, roots, members, percent))
+    more = scratch.save(verified(pairs, members, percent))
     whole = scratch.save(components(links.unionByName(more), scratch))
     # Smallest document id per component, then back to every document.
     placed = (nodes.join(whole, "node", "left")
