@@ -316,8 +316,11 @@ def _of(members: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _both(pairs: DataFrame, members: DataFrame, columns: list[str]) -> DataFrame:
-    """``pairs`` with the columns of ``a`` (prefix ``x_``) and of ``b`` (prefix ``y_``)."""
-    some = _of(members, pairs, columns)
+    """``pairs`` with the columns of ``a`` (prefix ``x_``) and of ``b`` (prefix ``y_``).
+
+    Sets and vectors are large values: they are merged by node, never broadcast.
+    """
+    some = _of(members, pairs, columns).hint("merge")
     for key, prefix in (("a", "x_"), ("b", "y_")):
         pairs = pairs.join(some.select(F.col("node").alias(key), *[
             F.col(c).alias(prefix + c) for c in columns]), key)
@@ -389,7 +392,7 @@ def residual_pairs(families: DataFrame, roots: DataFrame, members: DataFrame, pe
                      F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
              .select("family", F.least("chunk", "other").alias("first"),
                      F.greatest("chunk", "other").alias("second"), "chunk", "node", "root"))
-    dealt = dealt.join(members.select("node", "size", "counts"), "node")
+    dealt = dealt.join(members.select("node", "size", "counts").hint("merge"), "node")
     tasks = (dealt.repartition("family", "first", "second")
              .sortWithinPartitions("family", "first", "second"))
     return tasks.mapInArrow(_tree_pairs(percent), "a bigint, b bigint").distinct()
