@@ -27,18 +27,20 @@ from pyspark.sql import functions as F
 
 from . import _pieces
 
-UNKNOWN = -40.0
+# Scores are whole millionths of a nat, so that sums are exact wherever a chunk starts.
+SCALE = 1_000_000
+UNKNOWN = -40 * SCALE
 CACHE_ENTRIES = 600_000
 CACHE_CHARS = 64
 
 
-def piece_scores(vocabulary: _pieces.Vocabulary) -> dict[str, float]:
-    """Log-probability per ordinary piece: the file's own, or Zipf's law over BPE ranks."""
+def piece_scores(vocabulary: _pieces.Vocabulary) -> dict[str, int]:
+    """Scaled log-probability per ordinary piece: the file's own, or Zipf's law over BPE ranks."""
     if not vocabulary.bpe:
-        return {p: vocabulary.scores[i] for p, i in vocabulary.ids.items()}
+        return {p: round(SCALE * vocabulary.scores[i]) for p, i in vocabulary.ids.items()}
     order = sorted(vocabulary.ids, key=lambda p: (vocabulary.rank[p], vocabulary.ids[p]))
     total = math.log(sum(1 / (k + 1) for k in range(len(order))))
-    return {p: -math.log(k + 1) - total for k, p in enumerate(order)}
+    return {p: round(SCALE * (-math.log(k + 1) - total)) for k, p in enumerate(order)}
 
 
 class Codec:
@@ -62,7 +64,7 @@ class Codec:
     def segment(self, chunk: str) -> list[int]:
         """Piece ids of one chunk by the single-pass Viterbi."""
         n = len(chunk)
-        best = [0.0] + [-math.inf] * n
+        best = [0] + [-math.inf] * n
         last = [(0, -1)] * (n + 1)
         filled = 0  # positions up to here have their final score
 
