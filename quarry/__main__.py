@@ -81,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
         from .sinks.landing import ingest
         out = ingest(spark, args.payload, args.landing, args.source, args.run_date, args.prefix)
     elif args.cmd == "build":
-        from .operators.quality import require_passed, run_checks
+        from .operators.quality import require_rows_passed, run_checks
         from .plans.postings import build
         from .plans.suite import checks
         from .sinks.publish import publish_table
@@ -91,10 +91,12 @@ def main(argv: list[str] | None = None) -> int:
         rows = report.collect()  # one small row per check
         for r in rows:
             log.info("%-60s %-5s %d", r["check_name"], r["status"], r["failures"])
-        require_passed(report)
+        require_rows_passed(rows)
         out = {"checks": len(rows)}
         if args.publish:
-            out["published"] = publish_table(spark, b.enriched, args.publish, source=args.database)
+            out["published"] = publish_table(
+                spark, b.enriched, args.publish, source=args.database,
+                expected_rows=b.enriched.count(), check_contract=True)
     elif args.cmd == "publish":
         from .sinks.publish import publish_jdbc
         from .sources.tables import read_nonempty

@@ -22,13 +22,29 @@ def json_object_text(c) -> Column:
     return F.when(found == F.lit(""), F.lit(None).cast("string")).otherwise(found)
 
 
+def whole_json(c) -> Column:
+    """The text as one VARIANT; NULL unless all of it is a single JSON value.
+
+    The JSON parser stops after the first value, so the text is parsed as the
+    first element of a list that ends in a marker: anything after the value
+    (more text, a second value) moves or hides the marker.
+    """
+    marker = "end-of-text"
+    v = F.try_parse_json(F.concat(F.lit("["), as_col(c), F.lit(f',"{marker}"]')))
+    ends = ((F.try_variant_get(v, "$[1]", "string") == marker)
+            & F.try_variant_get(v, "$[2]", "variant").isNull())
+    return F.when(ends, F.try_variant_get(v, "$[0]", "variant"))
+
+
 def answer_map(c) -> Column:
-    """The answer as ``map<string,string>``; NULL when absent or not valid JSON."""
-    return F.from_json(json_object_text(c), "map<string,string>")
+    """The answer as ``map<string,variant>``; NULL when absent or not one JSON object."""
+    return F.try_variant_get(whole_json(json_object_text(c)), "$", "map<string,variant>")
 
 
 def clamp_label(answer: Column, position, vocabulary, fallback: str = "other") -> Column:
-    """``strip().lower()`` the label at ``position``; outside ``vocabulary`` -> fallback."""
-    raw = F.element_at(answer, as_col(position).cast("string"))
-    label = F.lower(F.trim(raw))
+    """The label at ``position`` without surrounding white space, in lower case; outside
+    ``vocabulary`` (or not a string) -> fallback (P16)."""
+    raw = F.try_variant_get(F.element_at(answer, as_col(position).cast("string")), "$", "string")
+    blank = r"[\s\x1c-\x1f]+"
+    label = F.lower(F.regexp_replace(raw, f"(?U)^{blank}|{blank}$", ""))
     return F.when(label.isin(list(vocabulary)), label).otherwise(F.lit(fallback))

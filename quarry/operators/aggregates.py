@@ -80,9 +80,10 @@ def reconcile_counts(df: DataFrame, key: str, reported_col: str) -> DataFrame:
     """Keys whose reported total disagrees with the rows present.
 
     ``reported_col`` carries the producer's claimed row count (or a running
-    number whose maximum is that count); ``actual`` is what is really there.
+    number whose maximum is that count); ``actual`` is what is really there. A
+    key without a reported total disagrees too.
     """
     return (df.groupBy(key)
             .agg(F.max(reported_col).cast("bigint").alias("expected"),
                  F.count(F.lit(1)).alias("actual"))
-            .filter(F.col("expected") != F.col("actual")))
+            .filter(~F.col("expected").eqNullSafe(F.col("actual"))))

@@ -82,18 +82,21 @@ def assign_batches(ranked: DataFrame, batch_size: int = BATCH_SIZE, rank_col: st
 
 
 def prompt_header(vocabulary: Sequence[str] = BATCH_VOCABULARY) -> str:
-    """The instruction block placed before the numbered keys of a batch."""
-    allowed = ", ".join(vocabulary)
-    return (
-        f"Label every job title below with one of: {allowed}.\n"
-        'Reply with a single JSON object such as {"0": "data", "1": "backend"}, '
-        "keyed by the number in front of each title. When in doubt, use `other`.\n\n"
-    )
+    """The instruction block placed before the numbered keys of a batch.
+
+    It is derived from the vocabulary; a caller with other needs passes a header
+    of its own to ``batch_prompts``.
+    """
+    form = json.dumps({str(i): label for i, label in enumerate(vocabulary[:2])})
+    return (f"CATEGORIES: {' | '.join(vocabulary)}\n"
+            f"OUTPUT: line number to category, as JSON like {form}\n"
+            "LINES:\n")
 
 
 def batch_prompts(batched: DataFrame, key_col: str = "title", batch_col: str = "batch_id",
                   pos_col: str = "pos",
-                  vocabulary: Sequence[str] = BATCH_VOCABULARY) -> DataFrame:
+                  vocabulary: Sequence[str] = BATCH_VOCABULARY,
+                  header: str | None = None) -> DataFrame:
     """One row per batch: ``(batch_id, keys, prompt)``.
 
     ``keys`` is ordered by ``pos``; the prompt lists them as ``"{pos}. {key}"``
@@ -106,13 +109,21 @@ def batch_prompts(batched: DataFrame, key_col: str = "title", batch_col: str = "
     return grouped.select(
         batch_col,
         F.transform("__entries", lambda e: e["k"]).alias("keys"),
-        F.concat(F.lit(prompt_header(vocabulary)), F.concat_ws("\n", lines)).alias("prompt"),
+        F.concat(F.lit(prompt_header(vocabulary) if header is None else header),
+                 F.concat_ws("\n", lines)).alias("prompt"),
     )
 
 
 def call_batches(prompts: DataFrame, call: Callable[[str], str],
-                 batch_col: str = "batch_id") -> DataFrame:
-    """Run ``call(prompt) -> text`` once per batch row, in the Python workers."""
+                 batch_col: str = "batch_id", concurrency: int | None = None) -> DataFrame:
+    """Run ``call(prompt) -> text`` once per batch row, in the Python workers.
+
+    The batches are dealt by range of their number over ``concurrency`` tasks
+    (default: the session's default parallelism), so that many calls run at a
+    time: prompts are tiny, and a shuffle sized by bytes would put all of them
+    into one task.
+    """
+    tasks = concurrency or prompts.sparkSession.sparkContext.defaultParallelism
 
     def run(frames):
         for frame in frames:
@@ -121,7 +132,13 @@ def call_batches(prompts: DataFrame, call: Callable[[str], str],
                                 "answer": pd.Series(answers, dtype="object")})
 
     schema = f"{batch_col} bigint, keys array<string>, answer string"
-    return prompts.select(batch_col, "keys", "prompt").mapInPandas(run, schema)
+    dealt = prompts.select(batch_col, "keys", "prompt").repartitionByRange(tasks, batch_col)
+    return dealt.mapInPandas(run, schema)
+
+
+def batch_key(keys_col: str = "keys"):
+    """A name for a batch that depends on its keys alone."""
+    return F.sha2(F.to_json(F.col(keys_col)), 256)
 
 
 def parse_answers(answers: DataFrame, key_col: str = "title", label_col: str = "discipline",

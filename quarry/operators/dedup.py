@@ -31,7 +31,7 @@ def latest_per_key(df: DataFrame, keys, order_by: Sequence[Column]) -> DataFrame
 
 
 def earliest_per_group(df: DataFrame, keys, order_col: str) -> DataFrame:
-    """One row per ``keys`` keeping the smallest ``order_col``.
+    """One row per ``keys`` keeping the smallest ``order_col``, NULL first.
 
     When the frame holds only the keys and ``order_col`` this is exactly
     ``row_number() over (partition by keys order by order_col) = 1``, and it is
@@ -40,5 +40,6 @@ def earliest_per_group(df: DataFrame, keys, order_col: str) -> DataFrame:
     keys = _cols(keys)
     extra = [c for c in df.columns if c not in keys and c != order_col]
     if extra:
-        return latest_per_key(df, keys, [F.col(order_col).asc_nulls_last()])
-    return df.groupBy(*keys).agg(F.min(order_col).alias(order_col)).select(*df.columns)
+        return latest_per_key(df, keys, [F.col(order_col).asc_nulls_first()])
+    least = F.when(F.count(order_col) == F.count(F.lit(1)), F.min(order_col))
+    return df.groupBy(*keys).agg(least.alias(order_col)).select(*df.columns)

@@ -12,6 +12,8 @@ de-duplication need a (partially pre-aggregated) hash aggregate.
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -48,7 +50,7 @@ def explode_terms(df: DataFrame, key: str, text_col: str, item_col: str = "term"
     (no per-element lambdas), which matters on long documents.
     """
     if sep != " ":
-        tmp = df.select(key, F.split(text_col, sep).alias("__terms"), *carry)
+        tmp = df.select(key, F.split(text_col, re.escape(sep)).alias("__terms"), *carry)
         return explode_clean(tmp, key, "__terms", item_col, carry=[c for c in tmp.columns
                                                                   if c not in (key, "__terms")],
                              key_unique=key_unique)

@@ -1,7 +1,7 @@
 """The record gate (V1-V5): check every raw record, alter none.
 
-Each raw line is parsed once into a VARIANT (``try_parse_json``; a broken line
-is NULL, a repeated key keeps its last value with the session setting), and
+Each raw line is parsed once into a VARIANT (``whole_json``; a broken line, or one
+with anything after its value, is NULL, a repeated key keeps its last value with the session setting), and
 each rule is a column expression over it. The result is the input plus
 ``reasons array<string>`` (empty when accepted), ``accepted boolean``,
 ``error_count int`` and ``identifier string``. Nothing is filtered: the
@@ -24,17 +24,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.answers import whole_json
+
 # Strings a lax boolean accepts (compared case-insensitively).
 BOOL_STRINGS = ("0", "off", "f", "false", "n", "no", "1", "on", "t", "true", "y", "yes")
 
 REQUIRED_STRINGS = ("slug", "title", "company_name")
+_HOUR, _SIXTY = "([01][0-9]|2[0-3])", "[0-5][0-9]"
 ISO_DATETIME = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-                r"([Tt ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?([Zz]|[+-][0-9]{2}(:?[0-9]{2})?)?)?$")
+                rf"([Tt _]{_HOUR}:{_SIXTY}(:{_SIXTY}([.,][0-9]{{1,9}})?)?"
+                rf"([Zz]|[+-]{_HOUR}(:?{_SIXTY})?)?)?$")
 NUMERIC_STRING = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
 # Compact JSON of an array whose elements are all strings (possibly none).
 STRING_ARRAY_JSON = r'^\[(?:"(?:[^"\\]++|\\.)*+"(?:,"(?:[^"\\]++|\\.)*+")*+)?\]$'
 # Epoch seconds a datetime can hold (years 1 to 9999).
 EPOCH_MIN, EPOCH_MAX = -62_135_596_800, 253_402_300_799
+# Fractions and numeric strings: beyond MILLIS_FROM they are milliseconds, and the
+# instant must lie in the years 1600 to 9999.
+MILLIS_FROM, FIRST_INSTANT = 20_000_000_000, -11_676_096_000
+
+
+def _instant(x: Column) -> Column:
+    """Whether a number names an instant in range, as seconds or milliseconds."""
+    seconds = F.when(F.abs(x) > MILLIS_FROM, x / 1000).otherwise(x)
+    return F.coalesce(seconds.between(FIRST_INSTANT, EPOCH_MAX), F.lit(False))
 
 
 def _field_type(v: Column, name: str) -> Column:
@@ -60,7 +73,7 @@ def probes(v: Column) -> dict[str, Column]:
 def reasons_expr(v: Column, p: dict[str, Column] | None = None) -> Column:
     """``array<string>`` of rule violations for one parsed record; empty = valid.
 
-    ``v`` is ``try_parse_json(raw)``: NULL for a line that is not JSON. ``p``
+    ``v`` is ``whole_json(raw)``: NULL for a line that is not one JSON value. ``p``
     holds the ``probes`` of ``v`` (computed inline when omitted).
     """
     p = p or probes(v)
@@ -99,8 +112,10 @@ def reasons_expr(v: Column, p: dict[str, Column] | None = None) -> Column:
     is_integer = (t == "BIGINT") | (t.startswith("DECIMAL") & t.endswith(",0)"))
     created_ok = ((t == "BOOLEAN")
                   | (is_integer & whole.between(EPOCH_MIN, EPOCH_MAX))
-                  | (_is_number(t) & ~is_integer)
-                  | ((t == "STRING") & (text.rlike(NUMERIC_STRING)
+                  | (_is_number(t) & ~is_integer
+                     & _instant(F.try_variant_get(v, "$.created_at", "double")))
+                  | ((t == "STRING") & ((text.rlike(NUMERIC_STRING)
+                                         & _instant(text.try_cast("double")))
                                         | (text.rlike(ISO_DATETIME)
                                            & F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
                                            .isNotNull()))))
@@ -136,7 +151,7 @@ def gate(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     # every rule twice (once in the filter, once in the projection).
     # The probes several rules share are computed once in the projection
     # below it (a Generate does not eliminate repeated subexpressions).
-    parsed = df.withColumn("__v", F.try_parse_json(F.col(raw_col)))
+    parsed = df.withColumn("__v", whole_json(raw_col))
     v = F.col("__v")
     probed = parsed.select("*", *[c.alias(f"__p_{k}") for k, c in probes(v).items()])
     p = {k: F.col(f"__p_{k}") for k in probes(v)}
@@ -168,4 +183,4 @@ def require_some_valid(accepted: int, rejected: int) -> None:
     """All-rejected batch aborts; partial rejection only warns (V4, G1)."""
     if accepted == 0:
         raise RuntimeError(
-            f"No valid records: {accepted + rejected} received, {rejected} rejected")
+            f"nothing to land: none of {accepted + rejected} records passed the gate")

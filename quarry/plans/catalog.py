@@ -782,7 +782,7 @@ def _oracle() -> dict[str, str]:
         "reconcile_counts": """
             SELECT l_orderkey, CAST(max(l_linenumber) AS BIGINT) AS expected, count(*) AS actual
             FROM lineitem GROUP BY l_orderkey
-            HAVING CAST(max(l_linenumber) AS BIGINT) <> count(*)""",
+            HAVING CAST(max(l_linenumber) AS BIGINT) IS DISTINCT FROM count(*)""",
         "daily_counts": """
             SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS n
             FROM events GROUP BY CAST(ts AS DATE)""",

@@ -9,6 +9,7 @@ published column is refused as well (G3); adding a column is allowed.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.quality import require_passed, run_checks
 from ..sinks.landing import ingest, source_root
 from ..sinks.publish import publish_table
+from ..sources.landing import stray_files
 from .postings import Build, build
 from .suite import checks
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class RunResult:
@@ -36,10 +40,12 @@ def run(spark: SparkSession, landing_root: str, source_name: str, database: str,
     if payload_path is not None:
         landed = ingest(spark, payload_path, landing_root, source_name, run_date)
     b = build(spark, source_root(landing_root, source_name), database, now, labels)
+    for path in stray_files(spark, source_root(landing_root, source_name)).toLocalIterator():
+        log.warning("outside every ingest_date folder, not read: %s", path["path"])
     report = run_checks(checks(b, now)).cache()
     require_passed(report)
     published = None
     if publish_as is not None:
         published = publish_table(spark, b.enriched, publish_as, source=database, now=now,
-                                  check_contract=True)
+                                  expected_rows=b.enriched.count(), check_contract=True)
     return RunResult(landed, b, report, published)

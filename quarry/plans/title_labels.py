@@ -2,9 +2,11 @@
 
 Only titles not yet in the target table reach the labeller; they are ranked,
 cut into batches of ``batch_size``, sent one prompt per batch, and the parsed
-labels are appended. The answers are checkpointed into the session's shared
-checkpoint folder before parsing, so a lost executor or a failed append never
-pays for (or re-rolls) a batch twice.
+labels are appended. A call is costly, so answers are durable: they are appended
+to an answers table wave by wave, named by their batch's keys, and a batch with a
+stored answer is never sent again. Only answers that hold a JSON object are
+stored; if any batch is left without one the run fails, and the next run asks
+for those batches alone.
 """
 
 from __future__ import annotations
@@ -14,25 +16,62 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.batching import (BATCH_SIZE, BATCH_VOCABULARY, assign_batches, batch_prompts,
-                                  call_batches, global_rank, parse_answers, rules_answerer)
+from ..functions.answers import answer_map
+from ..operators.batching import (BATCH_SIZE, BATCH_VOCABULARY, assign_batches, batch_key,
+                                  batch_prompts, call_batches, global_rank, parse_answers,
+                                  rules_answerer)
 from ..session import checkpoint_dir
 from ..sinks.materialize import append_unseen, ensure_table, new_keys
 
 LABEL_DDL = "title string, discipline string"
+ANSWER_DDL = "batch_key string, answer string"
+WAVES = 4  # calls per task and wave: what a failure can lose
+
+
+class BatchesUnanswered(RuntimeError):
+    """Some batches got no usable answer; the others are stored."""
+
+
+def answer_batches(spark: SparkSession, prompts: DataFrame, call: Callable[[str], str],
+                   store: str, concurrency: int | None = None) -> DataFrame:
+    """``(batch_id, keys, answer)`` of every batch, asking only for those not in ``store``."""
+    ensure_table(spark, store, ANSWER_DDL)
+    checkpoint_dir(spark)
+    keyed = prompts.withColumn("batch_key", batch_key()).checkpoint(eager=True)
+
+    def waiting() -> DataFrame:
+        return keyed.join(spark.table(store).select("batch_key"), "batch_key", "left_anti")
+
+    tasks = concurrency or spark.sparkContext.defaultParallelism
+    first, last = waiting().agg(F.min("batch_id"), F.max("batch_id")).first()
+    if first is not None:
+        for low in range(first, last + 1, tasks * WAVES):
+            wave = waiting().filter(F.col("batch_id").between(low, low + tasks * WAVES - 1))
+            (call_batches(wave, call, concurrency=tasks)
+             .filter(answer_map("answer").isNotNull())
+             .select(batch_key().alias("batch_key"), "answer")
+             .write.mode("append").format("parquet").saveAsTable(store))
+        left = waiting().agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        if left:
+            raise BatchesUnanswered(f"{left} batches have no answer with a JSON object")
+    answers = spark.table(store).dropDuplicates(["batch_key"])
+    return keyed.join(answers, "batch_key").select("batch_id", "keys", "answer")
 
 
 def label_titles(spark: SparkSession, postings: DataFrame, target: str,
                  call: Callable[[str], str] | None = None, batch_size: int = BATCH_SIZE,
-                 vocabulary: Sequence[str] = BATCH_VOCABULARY) -> int:
-    """Label the unseen titles of ``postings`` into table ``target``; return how many."""
+                 vocabulary: Sequence[str] = BATCH_VOCABULARY, concurrency: int | None = None,
+                 header: str | None = None) -> int:
+    """Label the unseen titles of ``postings`` into table ``target``; return how many.
+
+    Answers are kept in ``{target}__answers``.
+    """
     call = call or rules_answerer(vocabulary=vocabulary)
     ensure_table(spark, target, LABEL_DDL)
     todo = new_keys(postings.select("title"), "title", spark, target)
     ranked = assign_batches(global_rank(todo, "title"), batch_size)
-    prompts = batch_prompts(ranked, "title", vocabulary=vocabulary)
-    checkpoint_dir(spark)
-    answers = call_batches(prompts, call).checkpoint(eager=True)
+    prompts = batch_prompts(ranked, "title", vocabulary=vocabulary, header=header)
+    answers = answer_batches(spark, prompts, call, f"{target}__answers", concurrency)
     labels = parse_answers(answers, "title", "discipline", vocabulary)
     return append_unseen(spark, labels, target, "title")
 

@@ -77,8 +77,8 @@ def ingest(spark: SparkSession, payload_path: str, root: str, source_name: str,
         accepted, rejected = int(counts["accepted"]), int(counts["rejected"])
         require_some_valid(accepted, rejected)
         if rejected:
-            log.warning("%d of %d records failed validation and are still being landed",
-                        rejected, accepted + rejected)
+            log.warning("landing %d records, of which %d did not pass the gate",
+                        accepted + rejected, rejected)
         landed = land_raw(records, root, source_name, run_date, prefix)
     finally:
         records.unpersist()

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dedup import latest_per_key
 from ..operators.joins import unseen_keys
 
 
@@ -62,13 +64,46 @@ def _split(spark: SparkSession, name: str) -> tuple[str, str]:
     return (db or spark.catalog.currentDatabase()), short
 
 
+VERSION_PROPERTY = "quarry.version_of"
+
+
 def versions(spark: SparkSession, name: str) -> list[str]:
-    """Qualified names of the stored versions of ``name``, oldest first."""
+    """Qualified names of the stored versions of ``name``, oldest first.
+
+    Only tables whose whole name has the form that ``write_version`` gives and
+    that carry its mark for this very relation: a neighbour named alike is
+    nobody's version.
+    """
     db, short = _split(spark, name)
-    prefix = f"{short}__v"
+    form = re.compile(re.escape(short.lower()) + r"__v[0-9]{14}_[0-9a-f]{8}")
     found = [t.name for t in spark.catalog.listTables(dbName=db)
-             if t.name.startswith(prefix) and not t.isTemporary]
-    return [f"{db}.{n}" for n in sorted(found)]
+             if not t.isTemporary and form.fullmatch(t.name.lower())]
+    return [f"{db}.{n}" for n in sorted(found) if _marked(spark, f"{db}.{n}", short)]
+
+
+def _marked(spark: SparkSession, table: str, short: str) -> bool:
+    marks = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return marks.get(VERSION_PROPERTY) == short.lower()
+
+
+def swap_in(spark: SparkSession, name: str, put) -> None:
+    """Run ``put()``, which creates relation ``name``, in place of a plain table of that name.
+
+    The old table is renamed aside first and dropped only after ``put`` has
+    succeeded; if it fails the old table gets its name back.
+    """
+    aside = None
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        aside = f"{name}__aside_{uuid.uuid4().hex[:8]}"
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    try:
+        put()
+    except Exception:
+        if aside:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+        raise
+    if aside:
+        spark.sql(f"DROP TABLE {aside}")
 
 
 def write_version(df: DataFrame, name: str, bucket_by: str | None = None,
@@ -91,6 +126,9 @@ def write_version(df: DataFrame, name: str, bucket_by: str | None = None,
     if bucket_by:
         writer = writer.bucketBy(n, bucket_by)
     writer.saveAsTable(version)
+    short = _split(df.sparkSession, name)[1].lower()
+    df.sparkSession.sql(
+        f"ALTER TABLE {version} SET TBLPROPERTIES ('{VERSION_PROPERTY}' = '{short}')")
     return version, int(obs.get["rows"])
 
 
@@ -100,12 +138,11 @@ def point_view(spark: SparkSession, name: str, version: str, comment: str | None
 
     Metadata only: no data is moved and readers never see a missing relation.
     A plain table already holding the name (a first run over an older layout)
-    is dropped first.
+    is kept aside until the view stands.
     """
-    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
-        spark.sql(f"DROP TABLE {name}")
     clause = f" COMMENT '{comment}'" if comment else ""
-    spark.sql(f"CREATE OR REPLACE VIEW {name}{clause} AS SELECT * FROM {version}")
+    swap_in(spark, name, lambda: spark.sql(
+        f"CREATE OR REPLACE VIEW {name}{clause} AS SELECT * FROM {version}"))
     db, short = _split(spark, version)
     current = f"{db}.{short}"
     older = [v for v in versions(spark, name) if v != current]
@@ -129,11 +166,14 @@ def append_unseen(spark: SparkSession, rows: DataFrame, name: str, key: str) ->
     """Append the rows of ``rows`` whose ``key`` is not in table ``name``.
 
     Existing rows are kept; an empty increment is a success that leaves the
-    table as it is. Returns the number of rows appended.
+    table as it is. The key stays unique: of several new rows of one key the one
+    with the smallest row hash is appended, and NULL is a key like any other (one
+    row, once). Returns the number of rows appended.
     """
     ensure_table(spark, name, rows.schema)
-    seen = spark.table(name).select(key)
-    new = rows.join(seen, on=key, how="left_anti")
+    seen = spark.table(name).select(F.col(key).alias("__seen"))
+    once = latest_per_key(rows, key, [F.xxhash64(*rows.columns)])
+    new = once.join(seen, F.col(key).eqNullSafe(F.col("__seen")), "left_anti")
     obs = Observation(f"append_{name}")
     new.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").format(
         "parquet").saveAsTable(name)

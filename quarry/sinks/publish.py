@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ..operators.contract import breaking_changes
 from ..operators.quality import require_complete, require_rows
-from .materialize import point_view, write_version
+from .materialize import point_view, swap_in, write_version
 
 # Target column type for each source type name; others -> text.
 TYPE_MAP: dict[str, str] = {
@@ -136,8 +136,7 @@ def publish_table(spark: SparkSession, df: DataFrame, table: str, source: str |
         raise
     comment = provenance(source, now).replace("'", "''") if source else None
     if swap == "rename":
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"ALTER TABLE {version} RENAME TO {table}")
+        swap_in(spark, table, lambda: spark.sql(f"ALTER TABLE {version} RENAME TO {table}"))
         if comment:
             spark.sql(f"COMMENT ON TABLE {table} IS '{comment}'")
         return rows

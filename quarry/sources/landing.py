@@ -7,7 +7,7 @@
   order; scalars keep their quotes), with its file and position.
 * ``read_landing`` (S2-S5): every NDJSON file under the landing root, read
   under a pinned schema (fields absent from older files are NULL; a value of
-  the wrong JSON type is NULL for the whole record, which keeps the line in
+  the wrong JSON type makes that field NULL and keeps the line in
   ``_corrupt_record``); ``ingest_date=`` folders become a DATE column and the
   hidden ``_metadata`` struct supplies file path and modification time.
 * ``stray_files`` lists files a partitioned read silently skips.
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.answers import whole_json
+
 # Pinned field types of a raw posting (source names, before renaming).
 POSTING_DDL = ("slug string, title string, company_name string, location string, "
                "remote boolean, tags array<string>, created_at bigint")
@@ -37,7 +39,7 @@ def unwrap(df: DataFrame, payload_col: str = "value", keep: tuple[str, ...] = ()
     A payload is a JSON list of records or an object whose ``data`` member is
     that list; anything else fails the job naming what it got.
     """
-    v = F.try_parse_json(F.col(payload_col))
+    v = whole_json(payload_col)
     kind = F.schema_of_variant(v)
     data_kind = F.schema_of_variant(F.try_variant_get(v, "$.data", "variant"))
     is_list = kind.startswith("ARRAY")
@@ -52,7 +54,7 @@ def unwrap(df: DataFrame, payload_col: str = "value", keep: tuple[str, ...] = ()
     checked = df.select(
         *keep,
         F.when(is_list | is_wrapped, F.arrays_zip(texts.alias("t"), values.alias("v")))
-        .otherwise(F.raise_error(F.concat(F.lit("Expected a list of records, got "), got)))
+        .otherwise(F.raise_error(F.concat(F.lit("payload is neither a list nor an object around one: "), got)))
         .alias("records"))
     exploded = checked.select(*keep, F.posexplode("records").alias("position", "r"))
     element_kind = F.schema_of_variant(F.col("r.v"))

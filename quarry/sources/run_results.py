@@ -24,9 +24,6 @@ RUN_RESULTS_DDL = (
 LEDGER_DDL = ("invocation_id string, node string, resource_type string, status string, "
               "execution_time double, message string, run_at timestamp")
 
-# Statuses that need no attention; everything else is worth reading.
-GOOD_STATUSES = ("success", "pass")
-
 
 def node_rows(doc: DataFrame) -> DataFrame:
     """Project parsed documents to one ledger row per node."""

@@ -35,7 +35,7 @@ def test_unwrap_list_and_envelope(spark, tmpdir_path):
 
 def test_unwrap_rejects_non_list(spark, tmpdir_path):
     _payload(tmpdir_path, "c.json", {"data": {"not": "a list"}})
-    with pytest.raises(Exception, match="Expected a list of records"):
+    with pytest.raises(Exception, match="neither a list nor an object"):
         unwrap_payloads(spark, tmpdir_path).collect()
 
 
@@ -69,7 +69,7 @@ def test_all_rejected_batch_aborts_and_lands_nothing(spark, tmpdir_path):
     pay = os.path.join(tmpdir_path, "payload")
     _payload(pay, "p.json", ["x", 1])
     root = os.path.join(tmpdir_path, "landing")
-    with pytest.raises(RuntimeError, match="No valid records"):
+    with pytest.raises(RuntimeError, match="nothing to land"):
         ingest(spark, pay, root, "postings", "2026-08-12")
     assert not os.path.exists(source_root(root, "postings"))
 

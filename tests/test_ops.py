@@ -74,7 +74,7 @@ def test_contract_diff(spark):
 def test_read_nonempty_guard(spark):
     spark.sql("DROP TABLE IF EXISTS empty_mart")
     spark.createDataFrame([], "a int").write.saveAsTable("empty_mart")
-    with pytest.raises(ValueError, match="no rows"):
+    with pytest.raises(ValueError, match="is empty"):
         read_nonempty(spark, "empty_mart")
 
 
