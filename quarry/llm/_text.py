@@ -16,7 +16,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 # A chunk holds at most this many bytes of text (one longer text is its own chunk).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = (1 << 20) - 1
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,23 +56,25 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         yield start, len(lengths)
 
 
-@functools.lru_cache(maxsize=4)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C15 | 1
-    inverse = pow(base, -1, 1 << 64)
-    out = []
-    for b in (base, inverse):
-        p = np.full(size, b, U64)
-        p[0] = 1
-        out.append(np.cumprod(p, dtype=U64))
-    return out[0], out[1]
+_tables: tuple[np.ndarray, np.ndarray] | None = None
 
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """``p**i`` and ``p**-i`` modulo 2**64 for ``i`` below ``size`` (cached by power of two)."""
-    n = 1 << max(16, (size - 1).bit_length())
-    p, q = _powers(n)
-    return p[:size], q[:size]
+    """``p**i`` and ``p**-i`` modulo 2**64 for ``i`` below ``size``.
+
+    One pair of tables per process, as long as the longest chunk so far.
+    """
+    global _tables
+    if _tables is None or len(_tables[0]) < size:
+        n = 1 << max(16, (size - 1).bit_length())
+        base = 0x9E3779B97F4A7C15 | 1
+        out = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            p = np.full(n, b, U64)
+            p[0] = 1
+            out.append(np.cumprod(p, dtype=U64))
+        _tables = out[0], out[1]
+    return _tables[0][:size], _tables[1][:size]
 
 
 @functools.cache

@@ -30,7 +30,7 @@ from . import _pieces
 # Scores are whole millionths of a nat, so that sums are exact wherever a chunk starts.
 SCALE = 1_000_000
 UNKNOWN = -40 * SCALE
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 250_000
 CACHE_CHARS = 64
 
 
