@@ -25,13 +25,15 @@ from ..operators.batching import (assign_batches, batch_prompts, call_batches, g
 from ..operators.classify import label_expr, rules_sql
 from ..operators.dedup import latest_per_key
 from ..operators.fanout import explode_clean, explode_terms, item_count
-from ..operators.joins import lookup, orphans, unseen_keys
+from ..operators.joins import attach_counts, lookup, orphans, unseen_keys
 from ..operators.validate import gate, gate_counts, rejects
 from ..plans.postings import newest, postings_mart, rename_raw, stage
 from ..plans.staging import merge_newest
-from ..sinks.publish import publish_projection
+from ..sinks.materialize import append_unseen, versions
+from ..sinks.publish import publish_projection, publish_table
 from ..session import checkpoint_dir
 from ..sources.landing import unwrap
+from ..sources.run_results import node_rows, summarise
 from ..sources.tables import spread
 from ..streaming.latest import newest_by_max, run_to_table
 
@@ -159,6 +161,14 @@ def tag_count_mart(spark, sf_dir):
     return _part_tags(spark, sf_dir).select("p_partkey", item_count("tags").alias("tag_count"))
 
 
+def tag_count_join(spark, sf_dir):
+    """The count mart the long way: fan out with repeated keys, count, left join."""
+    items = _part_tags(spark, sf_dir)
+    tags = explode_clean(items.unionByName(items), "p_partkey", "tags", "tag", key_unique=False)
+    counts = agg.count_per_key(tags, "p_partkey", "tag_count")
+    return attach_counts(items.select("p_partkey"), counts, "p_partkey", "tag_count")
+
+
 def tag_popularity(spark, sf_dir):
     tags = explode_clean(_part_tags(spark, sf_dir), "p_partkey", "tags", "tag",
                          carry=[F.col("p_partkey").alias("at")])
@@ -335,8 +345,10 @@ def dq_not_in_future(spark, sf_dir):
 
 
 def dq_not_empty(spark, sf_dir):
-    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "no-such-type")
-    return agg.empty_check(ev)
+    """The relation under test: line items that refer to no order."""
+    orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    missing = orphans(items, "l_orderkey", orders, "o_orderkey")
+    return agg.empty_check(missing)
 
 
 def _report_checks(spark, sf_dir) -> list[dq.Check]:
@@ -400,6 +412,64 @@ def node_projection(spark, sf_dir):
         clip(F.coalesce("props", F.lit("")), 400).alias("message"))
 
 
+def ledger_rows(spark, sf_dir):
+    """Run-results documents, one per user and day of ``events``, through the ledger projection."""
+    ev = table(spark, sf_dir, "events")
+    result = F.struct(
+        F.concat("event_type", F.lit("."), F.col("event_id").cast("string")).alias("unique_id"),
+        F.col("event_type").alias("status"), F.col("value").cast("double").alias("execution_time"),
+        F.col("props").alias("message"))
+    day = F.date_format("ts", "yyyy-MM-dd")
+    docs = (ev.groupBy("user_id", day.alias("day")).agg(F.collect_list(result).alias("results"))
+            .select(F.struct(
+                F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("invocation_id"),
+                F.concat("day", F.lit("T06:30:15.123Z")).alias("generated_at")).alias("metadata"),
+                "results"))
+    return node_rows(docs).withColumn("run_at", F.date_format("run_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+def status_counts(spark, sf_dir):
+    return summarise(ledger_rows(spark, sf_dir))
+
+
+def incremental_append(spark, sf_dir):
+    """Customers appended twice to a stored table by nation-and-segment key, seen keys kept."""
+    rows = table(spark, sf_dir, "customer").select("c_mktsegment", "c_custkey").withColumn(
+        "label", F.concat_ws("-", "c_mktsegment", (F.col("c_custkey") % 977).cast("string")))
+    keyed = rows.select(F.when(F.col("c_custkey") % 11 > 0, F.col("label")).alias("label"))
+    name = f"quarry_increment_{uuid.uuid4().hex[:12]}"
+    checkpoint_dir(spark)
+    try:
+        first = append_unseen(spark, keyed.filter(F.col("label") < "F"), name, "label")
+        second = append_unseen(spark, keyed, name, "label")
+        again = append_unseen(spark, keyed, name, "label")
+        stored = spark.table(name).checkpoint(eager=True)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return stored.select("label", F.lit(first).cast("bigint").alias("first_run"),
+                         F.lit(second).cast("bigint").alias("second_run"),
+                         F.lit(again).cast("bigint").alias("third_run"))
+
+
+def publish_roundtrip(spark, sf_dir):
+    """``orders`` published three times, read back through the view, then removed."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    name = f"quarry_published_{uuid.uuid4().hex[:12]}"
+    checkpoint_dir(spark)
+    try:
+        for _ in range(3):
+            n = publish_table(spark, rows, name, source="orders", check_contract=True)
+        kept = len(versions(spark, name))
+        back = spark.table(name).checkpoint(eager=True)
+    finally:
+        stored = versions(spark, name)
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
+        for version in stored:
+            spark.sql(f"DROP TABLE IF EXISTS {version}")
+    return back.select("o_orderkey", "o_custkey", F.lit(n).cast("bigint").alias("published"),
+                       F.lit(kept).cast("bigint").alias("versions_kept"))
+
+
 def publish_projection_q(spark, sf_dir):
     projected = publish_projection(_part_tags(spark, sf_dir).drop("title"))
     return projected.withColumnRenamed("tags", "tags_json")
@@ -419,6 +489,11 @@ QUERIES: dict[str, Query] = {
     "staged_postings_merge": staged_postings_merge,
     "tags_normalised": tags_normalised,
     "tag_count_mart": tag_count_mart,
+    "tag_count_join": tag_count_join,
+    "ledger_rows": ledger_rows,
+    "status_counts": status_counts,
+    "incremental_append": incremental_append,
+    "publish_roundtrip": publish_roundtrip,
     "tag_popularity": tag_popularity,
     "doc_term_popularity": doc_term_popularity,
     "classify_titles": classify_titles,
@@ -646,6 +721,29 @@ def _oracle() -> dict[str, str]:
             c AS (SELECT p_partkey, count(*) AS tag_count FROM n GROUP BY p_partkey)
             SELECT p.p_partkey, CAST(coalesce(c.tag_count, 0) AS BIGINT) AS tag_count
             FROM part p LEFT JOIN c ON p.p_partkey = c.p_partkey""",
+        "tag_count_join": f"""
+            WITH n AS ({_TAGS_NORMALISED}),
+            c AS (SELECT p_partkey, count(*) AS tag_count FROM n GROUP BY p_partkey)
+            SELECT p.p_partkey, CAST(coalesce(c.tag_count, 0) AS BIGINT) AS tag_count
+            FROM part p LEFT JOIN c ON p.p_partkey = c.p_partkey""",
+        "ledger_rows": """
+            SELECT 'run-' || CAST(user_id AS VARCHAR) AS invocation_id,
+                   event_type || '.' || CAST(event_id AS VARCHAR) AS node,
+                   event_type AS resource_type, event_type AS status,
+                   CAST(coalesce(value, 0) AS DOUBLE) AS execution_time,
+                   left(coalesce(props, ''), 400) AS message,
+                   strftime(ts, '%Y-%m-%d') || ' 06:30:15' AS run_at FROM events""",
+        "status_counts": """
+            SELECT event_type AS status, count(*) AS n FROM events GROUP BY event_type""",
+        "incremental_append": """
+            WITH k AS (SELECT DISTINCT CASE WHEN c_custkey % 11 > 0 THEN c_mktsegment || '-' ||
+                              CAST(c_custkey % 977 AS VARCHAR) END AS label FROM customer),
+            n AS (SELECT count(*) FILTER (WHERE label < 'F') AS a, count(*) AS b FROM k)
+            SELECT label, a AS first_run, b - a AS second_run, CAST(0 AS BIGINT) AS third_run
+            FROM k, n""",
+        "publish_roundtrip": """
+            SELECT o_orderkey, o_custkey, (SELECT count(*) FROM orders) AS published,
+                   CAST(2 AS BIGINT) AS versions_kept FROM orders""",
         "tag_popularity": f"""
             WITH n AS ({_TAGS_NORMALISED})
             SELECT tag, count(*) AS postings, min(p_partkey) AS first_partkey,
@@ -744,7 +842,8 @@ def _oracle() -> dict[str, str]:
             WHERE ts > TIMESTAMP '2024-01-29 00:00:00' + INTERVAL 1 DAY""",
         "dq_not_empty": """
             SELECT 1 AS problem FROM
-              (SELECT count(*) AS n FROM events WHERE event_type = 'no-such-type') c
+              (SELECT count(*) AS n FROM lineitem WHERE l_orderkey NOT IN
+                 (SELECT o_orderkey FROM orders)) c
             WHERE c.n = 0""",
         "dq_report": f"""
             WITH checks AS (
