@@ -38,6 +38,7 @@ def tmpdir_path():
     return tempfile.mkdtemp(prefix="quarry-t-")
 
 
+# FIXTURES F1.
 GOOD = {
     "slug": "data-engineer-acme",
     "title": "Data Engineer",
