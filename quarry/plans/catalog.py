@@ -28,14 +28,16 @@ from ..operators.fanout import explode_clean, explode_terms, item_count
 from ..operators.joins import attach_counts, lookup, orphans, unseen_keys
 from ..operators.validate import gate, gate_counts, rejects
 from ..plans.postings import newest, postings_mart, rename_raw, stage
-from ..plans.staging import merge_newest
-from ..sinks.materialize import append_unseen, versions
+from ..plans.staging import merge_newest, stage_into
+from ..sinks.landing import land_raw, source_root
+from ..sinks.materialize import append_unseen, current_version, deltas, versions
 from ..sinks.publish import publish_projection, publish_table
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, shared_folder
 from ..sources.landing import unwrap
 from ..sources.run_results import node_rows, summarise
 from ..sources.tables import spread
 from ..streaming.latest import newest_by_max, run_to_table
+from ..streaming.latest import start as start_stream
 
 # Stand-in rule set for part names ("hot gear", "old rod", ...): precedence
 # matters (vintage first) and `old` must not match inside `cold`.
@@ -79,10 +81,11 @@ def stream_latest_per_key(spark, sf_dir):
               .parquet(sf_dir.rstrip("/"))).select(
         "user_id", "event_id", "ts", "event_type")
     newest = newest_by_max(stream, "user_id", ["ts", "event_id"], ["event_type"])
-    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-latest-{uuid.uuid4().hex[:12]}"
-    run_to_table(newest, f"{base}/out", f"{base}/state",
-                 state_partitions=spark.sparkContext.defaultParallelism)
-    return spark.read.parquet(f"{base}/out").select("user_id", "event_id", "ts", "event_type")
+    with shared_folder(spark, "stream-latest") as base:
+        run_to_table(newest, f"{base}/out", f"{base}/state",
+                     state_partitions=spark.sparkContext.defaultParallelism)
+        out = spark.read.parquet(f"{base}/out").select("user_id", "event_id", "ts", "event_type")
+        return out.checkpoint(eager=True)
 
 
 def epoch_to_date(spark, sf_dir):
@@ -132,7 +135,9 @@ def staged_postings_merge(spark, sf_dir):
     """
     raw = rename_raw(_raw_postings(spark, sf_dir))
     first = F.coalesce(F.col("ingested_at") < F.lit(MERGE_CUTOFF), F.lit(True))
-    merged = merge_newest(newest(raw.filter(first)), newest(raw.filter(~first)))
+    checkpoint_dir(spark)
+    parts = [newest(raw.filter(part)).checkpoint(eager=True) for part in (first, ~first)]
+    merged = merge_newest(*parts)
     return merged.select(
         "posting_id", "title", "company_name", "location", "is_remote",
         F.to_json("tags").alias("tags"),
@@ -141,6 +146,88 @@ def staged_postings_merge(spark, sf_dir):
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"))
 
 
+def _event_lines(spark, sf_dir, source: str) -> DataFrame:
+    """``(event_type, raw)``: every event as the JSON line of one posting, sent by ``source``."""
+    ev = table(spark, sf_dir, "events")
+    s = F.lit
+    posting = F.struct(
+        F.concat(s("e"), F.col("event_id").cast("string")).alias("slug"),
+        F.concat(s("  "), F.col("event_type"), s(" ")).alias("title"),
+        s(source).alias("company_name"),
+        F.when(F.col("user_id") % 4 == 0, s("   ")).otherwise(s("here")).alias("location"),
+        (F.col("value") > 25).alias("remote"),
+        F.array(F.upper("event_type"), s("")).alias("tags"),
+        (s(EPOCH_BASE) + F.col("event_id") * 977).alias("created_at"))
+    return ev.select("event_type", F.to_json(posting).alias("raw"))
+
+
+def _staged_view(staged: DataFrame) -> DataFrame:
+    return staged.select(
+        "posting_id", "title", "company_name", "location", "is_remote",
+        F.to_json("tags").alias("tags"),
+        F.col("posted_at").cast("timestamp_ntz").alias("posted_at"),
+        F.date_format("ingest_date", "yyyy-MM-dd").alias("ingest_date"))
+
+
+def _drop_versions(spark: SparkSession, name: str) -> None:
+    parts = [t for v in versions(spark, name) for t in [*deltas(spark, v), v]]
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    for part in [*parts, f"{name}__files"]:
+        spark.sql(f"DROP TABLE IF EXISTS {part}")
+
+
+def landing_roundtrip(spark, sf_dir):
+    """Every event landed by day, staged after each landing, day one then replayed.
+
+    Day one is landed whole, day two corrects the purchases, and the replay of
+    day one withdraws the clicks. Staging runs whole, merges day two's file, then
+    rebuilds because a file that it had read is gone.
+    """
+    with shared_folder(spark, "landing") as root:
+        name = f"quarry_staged_{uuid.uuid4().hex[:12]}"
+        kind = F.col("event_type")
+        landings = [("first", "2026-01-01", F.lit(True)),
+                    ("second", "2026-01-02", kind == "purchase"),
+                    ("replay", "2026-01-01", kind != "click")]
+        modes = []
+        try:
+            for source, day, sent in landings:
+                land_raw(_event_lines(spark, sf_dir, source).filter(sent), root, "postings", day)
+                staged, mode = stage_into(spark, source_root(root, "postings"), name,
+                                          newest_by_day=True)
+                modes.append(mode)
+            kept = _staged_view(staged).checkpoint(eager=True)
+        finally:
+            _drop_versions(spark, name)
+    return kept.withColumn("modes", F.lit(" ".join(modes)))
+
+
+def stream_merge(spark, sf_dir):
+    """The merge stream over three days of landed events, the last of which compacts."""
+    with shared_folder(spark, "stream") as root:
+        name = f"quarry_streamed_{uuid.uuid4().hex[:12]}"
+        kind = F.col("event_type")
+        landings = [("first", "2026-01-01", kind != "signup"),
+                    ("second", "2026-01-02", kind.isin("purchase", "signup")),
+                    ("third", "2026-01-03", kind.isin("purchase", "click"))]
+        stored = []
+        try:
+            for source, day, sent in landings:
+                land_raw(_event_lines(spark, sf_dir, source).filter(sent), f"{root}/in",
+                         "postings", day)
+                query = start_stream(spark, source_root(f"{root}/in", "postings"), name,
+                                     f"{root}/state", compact_every=2)
+                query.awaitTermination()
+                if query.exception() is not None:
+                    raise RuntimeError(str(query.exception()))
+                stored.append(1 + len(deltas(spark, current_version(spark, name))))
+            spark.catalog.refreshTable(name)
+            kept = _staged_view(spark.table(name)).checkpoint(eager=True)
+        finally:
+            _drop_versions(spark, name)
+    return kept.withColumn("stored_tables", F.lit(" ".join(map(str, stored))))
+
+
 # ---------------------------------------------------------------- fan-out and marts
 
 def _part_tags(spark, sf_dir) -> DataFrame:
@@ -487,6 +574,8 @@ QUERIES: dict[str, Query] = {
     "epoch_to_date": epoch_to_date,
     "staged_postings_mart": staged_postings_mart,
     "staged_postings_merge": staged_postings_merge,
+    "landing_roundtrip": landing_roundtrip,
+    "stream_merge": stream_merge,
     "tags_normalised": tags_normalised,
     "tag_count_mart": tag_count_mart,
     "tag_count_join": tag_count_join,
@@ -556,6 +645,15 @@ _STAGED_POSTINGS = f"""WITH raw AS (
                 FROM ren) x WHERE rn = 1)"""
 
 
+# What one landed event becomes in staging, whichever landing it came from.
+_EVENT_STAGED = f"""'e' || event_id AS posting_id, trim(event_type) AS title,
+                   CASE WHEN user_id % 4 = 0 THEN NULL ELSE 'here' END AS location,
+                   value > 25 AS is_remote,
+                   to_json([upper(event_type), ''])::VARCHAR AS tags,
+                   TIMESTAMP '1970-01-01 00:00:00' + to_seconds({EPOCH_BASE} + event_id * 977)
+                     AS posted_at"""
+
+
 def _sql_text(s: str) -> str:
     """A SQL string expression equal to ``s`` (newlines via chr(10))."""
     parts = [("'" + p.replace("'", "''") + "'") for p in s.split("\n")]
@@ -715,6 +813,22 @@ def _oracle() -> dict[str, str]:
                    to_json(tags)::VARCHAR AS tags, posted_at, source_file,
                    strftime(ingest_date, '%Y-%m-%d') AS ingest_date, ingested_at
             FROM stg""",
+        "landing_roundtrip": f"""
+            SELECT {_EVENT_STAGED},
+                   CASE WHEN event_type = 'purchase' THEN 'second' ELSE 'replay' END
+                     AS company_name,
+                   CASE WHEN event_type = 'purchase' THEN '2026-01-02' ELSE '2026-01-01' END
+                     AS ingest_date,
+                   'full incremental full' AS modes
+            FROM events WHERE event_type <> 'click'""",
+        "stream_merge": f"""
+            SELECT {_EVENT_STAGED},
+                   CASE event_type WHEN 'signup' THEN 'second' WHEN 'purchase' THEN 'third'
+                     WHEN 'click' THEN 'third' ELSE 'first' END AS company_name,
+                   CASE event_type WHEN 'signup' THEN '2026-01-02' WHEN 'purchase' THEN '2026-01-03'
+                     WHEN 'click' THEN '2026-01-03' ELSE '2026-01-01' END AS ingest_date,
+                   '1 2 1' AS stored_tables
+            FROM events WHERE event_type IS NOT NULL""",
         "tags_normalised": _TAGS_NORMALISED,
         "tag_count_mart": f"""
             WITH n AS ({_TAGS_NORMALISED}),

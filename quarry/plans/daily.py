@@ -35,11 +35,12 @@ class RunResult:
 def run(spark: SparkSession, landing_root: str, source_name: str, database: str,
         publish_as: str | None = None, payload_path: str | None = None,
         run_date: str | None = None, now: dt.datetime | None = None,
-        labels: DataFrame | None = None) -> RunResult:
+        labels: DataFrame | None = None, newest_by_day: bool = False) -> RunResult:
     landed = None
     if payload_path is not None:
         landed = ingest(spark, payload_path, landing_root, source_name, run_date)
-    b = build(spark, source_root(landing_root, source_name), database, now, labels)
+    b = build(spark, source_root(landing_root, source_name), database, now, labels,
+              newest_by_day=newest_by_day)
     for path in stray_files(spark, source_root(landing_root, source_name)).toLocalIterator():
         log.warning("outside every ingest_date folder, not read: %s", path["path"])
     report = run_checks(checks(b, now)).cache()

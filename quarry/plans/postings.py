@@ -143,11 +143,14 @@ class Build:
 
 def build(spark: SparkSession, landing_root: str, database: str = "default",
           now: dt.datetime | None = None, labels: DataFrame | None = None,
-          buckets: int | None = None, threads: int = 2, full: bool = False) -> Build:
+          buckets: int | None = None, threads: int = 2, full: bool = False,
+          newest_by_day: bool = False) -> Build:
     """Materialise every model of the build in dependency order (K4, K5).
 
     Staging reads only files landed since the previous build when that is
     exact (``plans.staging``; ``full=True`` forces a rebuild from all files).
+    ``newest_by_day`` puts the day folder before the file time in "newest" (change
+    it together with ``full=True``).
     The three posting-grain relations are bucketed on ``posting_id`` with one
     bucket count, so the uniqueness, grain and referential checks on them (and
     the tag view exploded from staging) read co-partitioned data and need no
@@ -161,7 +164,8 @@ def build(spark: SparkSession, landing_root: str, database: str = "default",
 
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     by_posting = {"bucket_by": "posting_id", "buckets": buckets}
-    stg, mode = stage_into(spark, landing_root, f"{database}.stg_postings", buckets, full)
+    stg, mode = stage_into(spark, landing_root, f"{database}.stg_postings", buckets, full,
+                           newest_by_day)
     tags = as_view(posting_tags(stg), f"{database}_int_posting_tags")
 
     def postings_branch():

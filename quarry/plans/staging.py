@@ -9,9 +9,10 @@ has since been removed or rewritten. Each build therefore:
    checkpointed so every later step sees the same files;
 2. compares it with the manifest stored by the previous build: if any file
    read before is gone or changed (a replayed day), it rebuilds from all
-   files; otherwise it reads only the new files and merges their newest
-   versions into the previous staging rows (``merge_newest``: the previous
-   table is read through its buckets, so only the new rows are shuffled);
+   files; otherwise it reads only the new files (their list stays distributed)
+   and merges their newest versions into the previous staging rows
+   (``merge_newest``: the previous table is read through its buckets, so
+   only the new rows are shuffled);
 3. writes the result as a new bucketed version, re-points the staging view
    at it, and only then stores the new manifest.
 
@@ -26,26 +27,40 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from ..sinks.materialize import point_view, write_version
-from ..sources.landing import CORRUPT_COL, posting_schema
+from ..sources.landing import read_landing
 from .postings import STAGING_COLUMNS, newest, rename_raw, version
 
 FULL, INCREMENTAL, UNCHANGED = "full", "incremental", "unchanged"
 
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
-    """``(path, modificationTime)`` of every file a partitioned read of ``root`` sees."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .load(root).select("path", "modificationTime"))
+    """``(path, modificationTime)`` of every file a partitioned read of ``root`` sees.
+
+    Both come from the ``_metadata`` struct, so they equal the ``source_file`` and
+    ``ingested_at`` of the records read from that file.
+    """
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+               .select(F.col("_metadata.file_path").alias("path"),
+                       F.col("_metadata.file_modification_time").alias("modificationTime")))
     return listing.filter(F.col("path").rlike(r"/ingest_date=[^/]+/[^/]+$"))
 
 
-def read_files(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
-    """The landing read of ``read_landing`` restricted to ``paths`` (day folder kept)."""
-    return (spark.read.schema(posting_schema())
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
-            .option("basePath", root).json(paths)
-            .withColumn("source_file", F.col("_metadata.file_path"))
-            .withColumn("ingested_at", F.col("_metadata.file_modification_time")))
+def read_files(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """The landing read of ``read_landing`` restricted to ``files`` (``path``, ``modificationTime``).
+
+    The list itself stays distributed: only its days (at most one per calendar
+    day) and its oldest modification time come to the driver. Both prune the
+    listing before any file is opened; a semi join on the path then keeps
+    exactly the listed files.
+    """
+    day = F.regexp_extract("path", r"/ingest_date=([^/]+)/[^/]+$", 1)
+    span = files.agg(F.collect_set(day).alias("days"), F.min("modificationTime").alias("oldest"))
+    days, oldest = span.first()
+    wanted = files.select(F.col("path").alias("source_file"))
+    return (read_landing(spark, root)
+            .filter(F.col("ingest_date").cast("string").isin(days))
+            .filter(F.col("ingested_at") >= F.lit(oldest))
+            .join(wanted, "source_file", "left_semi"))
 
 
 def merge_newest(previous: DataFrame, fresh: DataFrame, newest_by_day: bool = False
@@ -55,11 +70,12 @@ def merge_newest(previous: DataFrame, fresh: DataFrame, newest_by_day: bool = Fa
     A full outer join on ``posting_id`` keeps, per key, the side whose
     ``version`` is greater. ``previous`` is the staging table, bucketed on
     ``posting_id``: read through its buckets it is already partitioned for the
-    join, so only the new files' rows are shuffled, never the history. NULL
-    keys (one group in ``newest``, never equal in a join) are merged apart, over
-    at most one row from each side; that branch reads its inputs again under an
-    ``IS NULL`` filter, which reaches the staging table's Parquet scan (row
-    group statistics skip the rest) but re-reads the new files.
+    join, so only ``fresh`` is shuffled, never the history. NULL keys (one group
+    in ``newest``, never equal in a join) are merged apart, over at most one row
+    from each side. That branch reads both sides again under an ``IS NULL`` filter,
+    which row group statistics of a stored table answer; give both sides stored.
+    (A union of bucketed tables would do without the join, but Spark 4.1.2
+    zips the wrong buckets when it reads such a union in columns.)
     """
     key = F.col("posting_id")
     p = previous.filter(key.isNotNull()).alias("p")
@@ -70,8 +86,9 @@ def merge_newest(previous: DataFrame, fresh: DataFrame, newest_by_day: bool = Fa
         & (version("f.", newest_by_day) > version("p.", newest_by_day)))
     merged = joined.select(*[F.when(take_fresh, F.col(f"f.{c}")).otherwise(F.col(f"p.{c}"))
                              .alias(c) for c in STAGING_COLUMNS])
-    null_keys = newest(previous.filter(key.isNull()).unionByName(fresh.filter(key.isNull())),
-                       newest_by_day)
+    null_keys = (previous.filter(key.isNull()).select(*STAGING_COLUMNS)
+                 .unionByName(fresh.filter(key.isNull()).select(*STAGING_COLUMNS))
+                 .orderBy(version("", newest_by_day).desc()).limit(1))
     return merged.unionByName(null_keys)
 
 
@@ -86,24 +103,20 @@ def stage_into(spark: SparkSession, landing_root: str, name: str, buckets: int |
     if have_previous and not full:
         seen = spark.table(manifest)
         keys = ["path", "modificationTime"]
-        changed = seen.join(snapshot, on=keys, how="left_anti")
-        if changed.limit(1).count() == 0:
-            new_paths = [r["path"] for r in
-                         snapshot.join(seen, on=keys, how="left_anti").select("path").collect()]
-            mode = INCREMENTAL if new_paths else UNCHANGED
+        if seen.join(snapshot, on=keys, how="left_anti").isEmpty():
+            new_files = snapshot.join(seen, on=keys, how="left_anti").checkpoint(eager=True)
+            mode = UNCHANGED if new_files.isEmpty() else INCREMENTAL
     if mode == UNCHANGED:
         return spark.table(name), mode
     if mode == FULL:
-        candidates = rename_raw(read_files(spark, landing_root, [landing_root]))
-        result = newest(candidates, newest_by_day)
+        result = newest(rename_raw(read_landing(spark, landing_root)), newest_by_day)
     else:
-        previous = spark.table(name).select(*STAGING_COLUMNS)
-        fresh = newest(rename_raw(read_files(spark, landing_root, new_paths)), newest_by_day)
-        result = merge_newest(previous, fresh, newest_by_day)
+        fresh = newest(rename_raw(read_files(spark, landing_root, new_files)), newest_by_day)
+        result = merge_newest(spark.table(name), fresh.checkpoint(eager=True), newest_by_day)
     # The merge joins on the previous table's buckets, so its tasks already
     # hold one bucket each: no re-layout before the bucketed write.
-    version, _ = write_version(result, name, bucket_by="posting_id", buckets=buckets,
-                               align=mode == FULL)
-    point_view(spark, name, version)
+    stored, _ = write_version(result, name, bucket_by="posting_id", buckets=buckets,
+                              align=mode == FULL)
+    point_view(spark, name, stored)
     snapshot.write.mode("overwrite").format("parquet").saveAsTable(manifest)
     return spark.table(name), mode

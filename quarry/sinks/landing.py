@@ -13,12 +13,12 @@ from __future__ import annotations
 import datetime as dt
 import logging
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import require_rows
 from ..operators.validate import gate, gate_counts, require_some_valid
+from ..session import checkpoint_dir
 from ..sources.landing import unwrap_payloads
 
 log = logging.getLogger(__name__)
@@ -65,21 +65,19 @@ def ingest(spark: SparkSession, payload_path: str, root: str, source_name: str,
            run_date: str | None = None, prefix: str = PRODUCTION_PREFIX) -> dict:
     """Unwrap payloads, gate every record, land them all.
 
-    The gate counts come from one aggregate pass over the unwrapped records
-    (kept between the two actions); the batch is landed only if at least one
-    record is valid. Returns ``{"landed", "accepted", "rejected"}``.
+    Payloads are unwrapped and gated once, into the shared checkpoint folder; the
+    counts and the landing write read that, also after a lost executor. The batch
+    is landed only if at least one record is valid. Returns
+    ``{"landed", "accepted", "rejected"}``.
     """
-    # Two actions read the records (the gate counts decide whether to land at
-    # all); keep them between the two instead of unwrapping the payloads twice.
-    records = unwrap_payloads(spark, payload_path).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counts = gate_counts(gate(records)).first()
-        accepted, rejected = int(counts["accepted"]), int(counts["rejected"])
-        require_some_valid(accepted, rejected)
-        if rejected:
-            log.warning("landing %d records, of which %d did not pass the gate",
-                        accepted + rejected, rejected)
-        landed = land_raw(records, root, source_name, run_date, prefix)
-    finally:
-        records.unpersist()
+    checkpoint_dir(spark)
+    records = (gate(unwrap_payloads(spark, payload_path)).select("raw", "accepted")
+               .checkpoint(eager=True))
+    counts = gate_counts(records).first()
+    accepted, rejected = int(counts["accepted"]), int(counts["rejected"])
+    require_some_valid(accepted, rejected)
+    if rejected:
+        log.warning("landing %d records, of which %d did not pass the gate",
+                    accepted + rejected, rejected)
+    landed = land_raw(records, root, source_name, run_date, prefix)
     return {"landed": landed, "accepted": accepted, "rejected": rejected}

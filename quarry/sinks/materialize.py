@@ -65,6 +65,7 @@ def _split(spark: SparkSession, name: str) -> tuple[str, str]:
 
 
 VERSION_PROPERTY = "quarry.version_of"
+CURRENT_PROPERTY = "quarry.current"
 
 
 def versions(spark: SparkSession, name: str) -> list[str]:
@@ -76,14 +77,36 @@ def versions(spark: SparkSession, name: str) -> list[str]:
     """
     db, short = _split(spark, name)
     form = re.compile(re.escape(short.lower()) + r"__v[0-9]{14}_[0-9a-f]{8}")
+    return _marked_tables(spark, db, short, form)
+
+
+def _marked_tables(spark: SparkSession, db: str, short: str, form: re.Pattern) -> list[str]:
     found = [t.name for t in spark.catalog.listTables(dbName=db)
              if not t.isTemporary and form.fullmatch(t.name.lower())]
     return [f"{db}.{n}" for n in sorted(found) if _marked(spark, f"{db}.{n}", short)]
 
 
-def _marked(spark: SparkSession, table: str, short: str) -> bool:
+def deltas(spark: SparkSession, version: str) -> list[str]:
+    """Stored additions to ``version`` (``write_version(..., onto=version)``), oldest first."""
+    db, short = _split(spark, version)
+    form = re.compile(re.escape(short.lower()) + r"__d[0-9]{14}_[0-9a-f]{8}")
+    return _marked_tables(spark, db, short, form)
+
+
+def _property(spark: SparkSession, table: str, key: str) -> str | None:
     marks = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    return marks.get(VERSION_PROPERTY) == short.lower()
+    return marks.get(key)
+
+
+def _marked(spark: SparkSession, table: str, short: str) -> bool:
+    return _property(spark, table, VERSION_PROPERTY) == short.lower()
+
+
+def current_version(spark: SparkSession, name: str) -> str | None:
+    """The version that view ``name`` stands on; NULL where ``name`` is no such view."""
+    if not spark.catalog.tableExists(name):
+        return None
+    return _property(spark, name, CURRENT_PROPERTY)
 
 
 def swap_in(spark: SparkSession, name: str, put) -> None:
@@ -108,16 +131,18 @@ def swap_in(spark: SparkSession, name: str, put) -> None:
 
 def write_version(df: DataFrame, name: str, bucket_by: str | None = None,
                   buckets: int | None = None, stamp: str | None = None,
-                  align: bool = True) -> tuple[str, int]:
+                  align: bool = True, onto: str | None = None) -> tuple[str, int]:
     """Write ``df`` once to a new table ``{name}__v{stamp}_{id}``; return it and its row count.
 
     Version names sort by creation time, so the newest is last. ``align=False``
     skips ``by_bucket`` for input the caller knows is already laid out one
     bucket per task but whose plan cannot show it (a full outer join on the
-    bucket key reports unknown partitioning).
+    bucket key reports unknown partitioning). With ``onto``, a version of ``name``,
+    the table is an addition to it: ``{onto}__d{stamp}_{id}``.
     """
     stamp = stamp or dt.datetime.now(tz=dt.UTC).strftime("%Y%m%d%H%M%S")
-    version = f"{name}__v{stamp}_{uuid.uuid4().hex[:8]}"
+    kind, of = ("d", onto) if onto else ("v", name)
+    version = f"{of}__{kind}{stamp}_{uuid.uuid4().hex[:8]}"
     obs = Observation(f"version_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     n = bucket_count(df, buckets)
@@ -126,28 +151,32 @@ def write_version(df: DataFrame, name: str, bucket_by: str | None = None,
     if bucket_by:
         writer = writer.bucketBy(n, bucket_by)
     writer.saveAsTable(version)
-    short = _split(df.sparkSession, name)[1].lower()
+    short = _split(df.sparkSession, of)[1].lower()
     df.sparkSession.sql(
         f"ALTER TABLE {version} SET TBLPROPERTIES ('{VERSION_PROPERTY}' = '{short}')")
     return version, int(obs.get["rows"])
 
 
 def point_view(spark: SparkSession, name: str, version: str, comment: str | None = None,
-               keep_previous: int = 1) -> None:
+               keep_previous: int = 1, body: str | None = None) -> None:
     """Re-point view ``name`` at ``version`` in one statement; drop versions beyond ``keep_previous``.
 
+    ``body`` is the query the view holds where that is more than all of ``version``.
+
     Metadata only: no data is moved and readers never see a missing relation.
     A plain table already holding the name (a first run over an older layout)
     is kept aside until the view stands.
     """
     clause = f" COMMENT '{comment}'" if comment else ""
+    clause += f" TBLPROPERTIES ('{CURRENT_PROPERTY}' = '{version}')"
     swap_in(spark, name, lambda: spark.sql(
-        f"CREATE OR REPLACE VIEW {name}{clause} AS SELECT * FROM {version}"))
+        f"CREATE OR REPLACE VIEW {name}{clause} AS {body or f'SELECT * FROM {version}'}"))
     db, short = _split(spark, version)
     current = f"{db}.{short}"
     older = [v for v in versions(spark, name) if v != current]
     for stale in older[:max(0, len(older) - keep_previous)]:
-        spark.sql(f"DROP TABLE IF EXISTS {stale}")
+        for part in [*deltas(spark, stale), stale]:
+            spark.sql(f"DROP TABLE IF EXISTS {part}")
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

@@ -56,7 +56,10 @@ def unwrap(df: DataFrame, payload_col: str = "value", keep: tuple[str, ...] = ()
         F.when(is_list | is_wrapped, F.arrays_zip(texts.alias("t"), values.alias("v")))
         .otherwise(F.raise_error(F.concat(F.lit("payload is neither a list nor an object around one: "), got)))
         .alias("records"))
-    exploded = checked.select(*keep, F.posexplode("records").alias("position", "r"))
+    # The outer form, filtered after: from the inner one Spark infers a size(records) > 0
+    # filter below the projection, which would parse every payload a second time.
+    exploded = checked.select(*keep, F.posexplode_outer("records").alias("position", "r")).filter(
+        F.col("position").isNotNull())
     element_kind = F.schema_of_variant(F.col("r.v"))
     structured = element_kind.startswith("OBJECT") | element_kind.startswith("ARRAY")
     raw = F.when(structured, F.col("r.t")).otherwise(F.to_json(F.col("r.v")))

@@ -2,15 +2,16 @@
 
 The landing folder is a file stream: each trigger picks up files not seen
 before (a new day needs no change anywhere). ``start`` keeps the postings
-staging table current without any streaming state: every micro-batch is
-reduced to the newest version per ``posting_id`` with the batch ``newest``
-ordering and merged into the previous table version with
-``plans.staging.merge_newest`` (the previous version is read through its
-``posting_id`` buckets, so only the micro-batch's rows are shuffled). The
-merged rows are written as a new bucketed version and the table name, a
-view, is re-pointed at it. After any number of triggers the table equals
-``postings.stage`` over the same files. A re-run micro-batch (after a failure)
-merges the same rows again, which changes nothing.
+staging table current without any streaming state and without rewriting
+history: every micro-batch is reduced to the newest version per ``posting_id``
+with the batch ``newest`` ordering and stored as a small addition to the current
+version. The table name is a view that merges the version with its additions as
+``plans.staging.merge_newest`` does: the version is read through its
+``posting_id`` buckets, so a reader shuffles the additions only. Every
+``compact_every`` additions the view's rows become the next version. After any
+number of triggers the table equals ``postings.stage`` over the same files. A
+re-run micro-batch (after a failure) adds the same rows again, which changes
+nothing.
 
 ``newest_by_max`` is the stateful form of the same reduction, a streaming
 aggregation of ``max(struct(order..., payload...))`` with one state row per
@@ -28,9 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..plans.postings import STAGING_COLUMNS, newest, rename_raw
+from ..plans.postings import STAGING_COLUMNS, newest, rename_raw, version_order
 from ..plans.staging import merge_newest
-from ..sinks.materialize import point_view, write_version
+from ..sinks.materialize import current_version, deltas, point_view, write_version
 from ..sources.landing import POSTING_DDL
 
 STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
@@ -104,28 +105,73 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str,
         raise RuntimeError(str(query.exception()))
 
 
+COMPACT_EVERY = 16
+
+
+def _merged_sql(version: str, additions: list[str], newest_by_day: bool) -> str:
+    """``merge_newest(version, newest(additions))`` as the text of a view.
+
+    A file's records are all in one part, or the same in two after a re-run: rows of
+    one key that tie across parts are equal, so no row hash has to choose.
+    """
+    order = version_order(newest_by_day)
+    columns = ", ".join(STAGING_COLUMNS)
+    newest_first = ", ".join(f"{c} DESC NULLS LAST" for c in order)
+    union = " UNION ALL ".join(f"SELECT {columns} FROM {t}" for t in additions)
+    p, f = (f"struct({', '.join(f'{side}.{c}' for c in order)})" for side in "pf")
+    picked = ", ".join(f"if(p.posting_id IS NULL OR (f.posting_id IS NOT NULL AND {f} > {p}), "
+                       f"f.{c}, p.{c}) AS {c}" for c in STAGING_COLUMNS)
+    return f"""
+        WITH fresh AS (
+          SELECT {columns} FROM (
+            SELECT *, row_number() OVER (PARTITION BY posting_id ORDER BY {newest_first}) AS nth
+            FROM ({union})) WHERE nth = 1),
+        no_key AS (
+          SELECT {columns} FROM (
+            SELECT {columns} FROM {version} WHERE posting_id IS NULL
+            UNION ALL SELECT {columns} FROM fresh WHERE posting_id IS NULL)
+          ORDER BY {newest_first} LIMIT 1)
+        SELECT {picked}
+        FROM (SELECT * FROM {version} WHERE posting_id IS NOT NULL) p
+        FULL OUTER JOIN (SELECT * FROM fresh WHERE posting_id IS NOT NULL) f
+          ON p.posting_id = f.posting_id
+        UNION ALL SELECT {columns} FROM no_key"""
+
+
 def merge_batch(batch: DataFrame, table: str, buckets: int | None = None,
-                newest_by_day: bool = False) -> None:
-    """Fold one micro-batch of landed records into staging table ``table``."""
+                newest_by_day: bool = False, compact_every: int = COMPACT_EVERY) -> None:
+    """Fold one micro-batch of landed records into staging table ``table``.
+
+    Writes the batch's own rows only, but for every ``compact_every``-th call, which
+    also writes the next version: history is rewritten once in that many triggers.
+    NULL keys are one key, as in ``newest``; an empty batch changes nothing.
+    """
     spark = batch.sparkSession
-    if batch.isEmpty():
-        return
     fresh = newest(rename_raw(batch), newest_by_day)
-    if spark.catalog.tableExists(table):
-        previous = spark.table(table).select(*STAGING_COLUMNS)
-        merged, aligned = merge_newest(previous, fresh, newest_by_day), True
-    else:
-        merged, aligned = fresh, False
-    # The merge joins on the previous version's buckets, so its tasks already
-    # hold one bucket each; a first version is laid out by bucket.
-    version, _ = write_version(merged, table, bucket_by="posting_id", buckets=buckets,
-                               align=not aligned)
-    point_view(spark, table, version)
+    by_key = {"bucket_by": "posting_id", "buckets": buckets}
+    version = current_version(spark, table)
+    if version is None:
+        if spark.catalog.tableExists(table):  # a relation of an older layout
+            fresh = merge_newest(spark.table(table), fresh, newest_by_day)
+        version, _ = write_version(fresh, table, **by_key)
+        point_view(spark, table, version)
+        return
+    # Additions are not bucketed: they are small, and their union must be shuffled.
+    addition, rows = write_version(fresh, table, onto=version)
+    if rows == 0:
+        spark.sql(f"DROP TABLE {addition}")
+        return
+    additions = deltas(spark, version)
+    point_view(spark, table, version, body=_merged_sql(version, additions, newest_by_day))
+    if len(additions) >= compact_every:
+        # Read through the version's buckets: already one bucket per task.
+        compacted, _ = write_version(spark.table(table), table, align=False, **by_key)
+        point_view(spark, table, compacted)
 
 
 def start(spark: SparkSession, root: str, table: str, checkpoint: str,
           available_now: bool = True, max_files_per_trigger: int | None = None,
-          buckets: int | None = None) -> StreamingQuery:
+          buckets: int | None = None, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """Keep ``table`` equal to the newest version per key of every landed file.
 
     Stateless: the stream only tracks which files it has read (in
@@ -133,7 +179,7 @@ def start(spark: SparkSession, root: str, table: str, checkpoint: str,
     """
 
     def write(batch: DataFrame, _epoch: int) -> None:
-        merge_batch(batch, table, buckets)
+        merge_batch(batch, table, buckets, compact_every=compact_every)
 
     writer = (landing_stream(spark, root, max_files_per_trigger)
               .writeStream.outputMode("append")

@@ -156,6 +156,15 @@ def test_posting_grain_checks_need_no_shuffle(spark, tmpdir_path):
     assert "Arguments: hashpartitioning" not in text
 
 
+def _tree(df) -> list[str]:
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue().split("== Physical Plan ==")[1].split("\n\n")[0].splitlines()
+
+
 def _rows_of(df):
     return sorted((tuple(r[c] for c in STAGING_COLUMNS) for r in df.collect()), key=repr)
 
@@ -188,33 +197,59 @@ def test_merge_newest_shuffles_only_the_new_rows(spark, tmpdir_path):
     """merge_newest(previous, newest(new)) == newest(previous + new) for both
     orderings, NULL keys included, and the bucketed previous side reaches the
     join without an exchange."""
-    import contextlib
-    import io
-
-    from quarry.plans.staging import merge_newest, read_files
+    from quarry.plans.staging import landed_files, merge_newest, read_files
 
     _fixture(tmpdir_path)
     write_day(tmpdir_path, "2026-08-12", [dict(GOOD, slug=None, title="Old null")],
               name="extra.json", mtime=T1)
     build(spark, tmpdir_path, "bt_merge", now=NOW)
     previous = spark.table("bt_merge.stg_postings").select(*STAGING_COLUMNS)
-    day = write_day(tmpdir_path, "2026-08-11", [
+    write_day(tmpdir_path, "2026-08-11", [
         dict(GOOD, slug="p3", title="Vue Developer"), dict(GOOD, slug="new1"),
         dict(GOOD, slug=None, title="New null"), dict(GOOD, slug="p4", title="Older day")],
         mtime=1_786_700_000)
-    new = rename_raw(read_files(spark, tmpdir_path, [day]))
+    wanted = landed_files(spark, tmpdir_path).filter(F.col("path").contains("2026-08-11"))
+    landed = read_files(spark, tmpdir_path, wanted)
+    assert landed.select("source_file").distinct().count() == 1 and landed.count() == 4
+    new = rename_raw(landed)
     for by_day in (False, True):
-        got = merge_newest(previous, stage(read_files(spark, tmpdir_path, [day]), by_day), by_day)
+        got = merge_newest(previous, stage(landed, by_day), by_day)
         want = newest(previous.unionByName(new), by_day)
         assert _rows_of(got) == _rows_of(want)
         titles = {r["posting_id"]: r["title"] for r in got.collect()}
         # file time first: the later-written file wins even for an older day folder
         assert titles["p4"] == ("Data Engineer" if by_day else "Older day")
         assert titles[None] == ("Old null" if by_day else "New null")
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        merge_newest(previous, stage(read_files(spark, tmpdir_path, [day]))).explain("formatted")
-    tree = buf.getvalue().split("== Physical Plan ==")[1].split("\n\n")[0].splitlines()
+    tree = _tree(merge_newest(previous, stage(landed)))
     join = next(i for i, ln in enumerate(tree) if "SortMergeJoin FullOuter" in ln)
     left = tree[join + 1:next(i for i in range(join, len(tree)) if "Scan parquet" in tree[i]) + 1]
     assert not any("Exchange" in ln for ln in left)
+
+
+def test_streamed_additions_leave_the_version_unshuffled(spark, tmpdir_path):
+    """Each micro-batch stores its own rows; reading the view never moves the version's
+    rows, and the last batch folds the additions into the next version."""
+    from quarry.sinks.materialize import current_version, deltas, versions
+    from quarry.streaming.latest import merge_batch
+
+    root = os.path.join(tmpdir_path, "days")
+    stored = []
+    for d in range(1, 5):
+        write_day(root, f"2026-08-0{d}", [dict(GOOD, title=f"T{d}"), dict(GOOD, slug=f"s{d}"),
+                                          dict(GOOD, slug=None, title=f"N{d}")],
+                  mtime=1_786_000_000 + d * 1000)
+        day = read_landing(spark, root).filter(f"ingest_date = DATE'2026-08-0{d}'")
+        merge_batch(day, "bt_additions", compact_every=3)
+        merge_batch(day.filter("false"), "bt_additions", compact_every=3)
+        base = current_version(spark, "bt_additions")
+        stored.append((spark.table(base).count(),
+                       [spark.table(t).count() for t in deltas(spark, base)]))
+        assert _rows_of(spark.table("bt_additions")) == _rows_of(stage(read_landing(spark, root)))
+        tree = _tree(spark.table("bt_additions"))
+        joins = [i for i, ln in enumerate(tree) if "SortMergeJoin FullOuter" in ln]
+        assert len(joins) == (1 if stored[-1][1] else 0)
+        for j in joins:
+            scan = next(i for i in range(j, len(tree)) if "Scan parquet" in tree[i])
+            assert not any("Exchange" in ln for ln in tree[j:scan])
+    assert stored == [(3, []), (3, [3]), (3, [3, 3]), (6, [])]
+    assert len(versions(spark, "bt_additions")) == 2

@@ -130,3 +130,10 @@ def test_global_rank_has_no_single_partition_window_over_rows(spark):
     assert not any("Exchange" in ln for ln in streamed)
     # ... and the only single-partition step (the offsets) sits inside the broadcast side
     assert "Window" in "\n".join(tree[bcast:])
+
+
+def test_payloads_are_not_parsed_in_a_filter(spark):
+    text = plan(catalog.payload_records(spark, SF_SMALL))
+    filters = [ln for ln in text.splitlines() if ln.startswith("Condition")]
+    assert not any("parse" in ln for ln in filters)
+    assert "Generate" in text
