@@ -21,6 +21,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .session import configure
+from .streaming.latest import COMPACT_EVERY
 
 log = logging.getLogger("quarry")
 
@@ -46,6 +47,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--publish", default=None, help="catalog table to swap the mart into")
     p.add_argument("--labels", default=None, help="table of batched labels to use")
     p.add_argument("--threads", type=int, default=2, help="models built concurrently")
+    p.add_argument("--newest-by-day", action="store_true",
+                   help="the later day folder wins over the later file (with --full on a change)")
+    p.add_argument("--full", action="store_true", help="restage from every landed file")
 
     p = sub.add_parser("publish", help="publish a table to an RDBMS over JDBC")
     p.add_argument("--table", required=True)
@@ -70,6 +74,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--table", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--continuous", action="store_true", help="keep running (default: drain)")
+    p.add_argument("--interval", default="1 minute", help="trigger interval when continuous")
+    p.add_argument("--compact-every", type=int, default=COMPACT_EVERY,
+                   help="stored additions after which the table is rewritten as one version")
     p.add_argument("--buckets", type=int, default=None,
                    help="posting_id buckets of the table (default: shuffle partitions)")
 
@@ -85,8 +92,12 @@ def main(argv: list[str] | None = None) -> int:
         from .plans.postings import build
         from .plans.suite import checks
         from .sinks.publish import publish_table
+        from .sources.landing import stray_files
         labels = spark.table(args.labels) if args.labels else None
-        b = build(spark, args.landing, args.database, labels=labels, threads=args.threads)
+        b = build(spark, args.landing, args.database, labels=labels, threads=args.threads,
+                  full=args.full, newest_by_day=args.newest_by_day)
+        for path in stray_files(spark, args.landing).toLocalIterator():
+            log.warning("outside every ingest_date folder, not read: %s", path["path"])
         report = run_checks(checks(b))
         rows = report.collect()  # one small row per check
         for r in rows:
@@ -116,7 +127,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         from .streaming.latest import start
         q = start(spark, args.landing, args.table, args.checkpoint,
-                  available_now=not args.continuous, buckets=args.buckets)
+                  available_now=not args.continuous, buckets=args.buckets,
+                  compact_every=args.compact_every, interval=args.interval)
         q.awaitTermination()
         out = {"stream": "stopped"}
     print(json.dumps(out))

@@ -2,7 +2,7 @@
 
 Each model is a pure function of its inputs; ``build`` materialises them in
 dependency order (staging as a table, so the landing files are scanned once;
-the tag grain as a view; marts as tables) and returns the frames.
+the tag grain as a view; marts as versions behind a view) and returns the frames.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from ..operators.classify import DISCIPLINES, UNCLASSIFIED, label_expr
 from ..operators.dedup import latest_per_key
 from ..operators.fanout import explode_clean, item_count
 from ..operators.joins import lookup
-from ..sinks.materialize import as_table, as_view
+from ..sinks.materialize import as_versioned, as_view
 
 STAGING_COLUMNS = ["posting_id", "title", "company_name", "location", "is_remote", "tags",
                    "posted_at", "source_file", "ingest_date", "ingested_at"]
@@ -169,14 +169,14 @@ def build(spark: SparkSession, landing_root: str, database: str = "default",
     tags = as_view(posting_tags(stg), f"{database}_int_posting_tags")
 
     def postings_branch():
-        mart = as_table(postings_mart(stg), f"{database}.fct_postings", **by_posting)
-        enriched = as_table(enriched_mart(mart, now, labels=labels),
-                            f"{database}.fct_postings_enriched", **by_posting)
+        mart = as_versioned(postings_mart(stg), f"{database}.fct_postings", **by_posting)
+        enriched = as_versioned(enriched_mart(mart, now, labels=labels),
+                                f"{database}.fct_postings_enriched", **by_posting)
         return mart, enriched
 
     def popularity_branch():
-        return as_table(tag_popularity_mart(tags), f"{database}.fct_tag_popularity",
-                        bucket_by="tag", buckets=buckets)
+        return as_versioned(tag_popularity_mart(tags), f"{database}.fct_tag_popularity",
+                            bucket_by="tag", buckets=buckets)
 
     if threads > 1:
         with ThreadPoolExecutor(max_workers=threads) as pool:

@@ -179,6 +179,17 @@ def point_view(spark: SparkSession, name: str, version: str, comment: str | None
             spark.sql(f"DROP TABLE IF EXISTS {part}")
 
 
+def as_versioned(df: DataFrame, name: str, bucket_by: str | None = None,
+                 buckets: int | None = None) -> DataFrame:
+    """Full rebuild behind a view (K4): readers keep the old rows until the new ones stand.
+
+    A failed build leaves the view where it was. Layout as in ``as_table``.
+    """
+    version, _ = write_version(df, name, bucket_by, buckets)
+    point_view(df.sparkSession, name, version)
+    return df.sparkSession.table(name)
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """A lazy named relation (K5)."""
     df.createOrReplaceTempView(name)

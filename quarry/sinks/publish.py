@@ -186,10 +186,13 @@ def _execute(conn, statements) -> None:
         stmt.close()
 
 
+JDBC_WRITERS = 8
+
+
 def publish_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str,
                  schema: str | None = None, source: str | None = None,
                  user: str | None = None, password: str | None = None,
-                 expected_rows: int | None = None, num_partitions: int | None = None,
+                 expected_rows: int | None = None, num_partitions: int = JDBC_WRITERS,
                  now: dt.datetime | None = None) -> int:
     """Replace ``schema.table`` in an RDBMS with ``df`` (K7, K8, K9 over JDBC).
 
@@ -199,16 +202,17 @@ def publish_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str,
        re-run task inserted twice);
     3. one transaction drops the old table, renames staging, sets the comment.
 
+    ``num_partitions`` bounds the connections that executors open at a time.
+
     ``jdbc:derby:`` gets its ``RENAME TABLE`` syntax and type names and no
     comment (Derby has none); other URLs get ``ALTER TABLE .. RENAME TO`` and
     ``COMMENT ON TABLE``.
     """
     derby = url.startswith("jdbc:derby:")
     projected = publish_projection(df)
-    if num_partitions:
-        # Caps concurrent database connections. A repartition, not a coalesce:
-        # coalesce would also shrink the upstream stage to that many tasks.
-        projected = projected.repartition(num_partitions)
+    # Caps concurrent database connections. A repartition, not a coalesce:
+    # coalesce would also shrink the upstream stage to that many tasks.
+    projected = projected.repartition(num_partitions)
     qualified = f"{schema}.{table}" if schema else table
     staging_name = f"{table}__staging"
     staging = f"{schema}.{staging_name}" if schema else staging_name

@@ -171,11 +171,13 @@ def merge_batch(batch: DataFrame, table: str, buckets: int | None = None,
 
 def start(spark: SparkSession, root: str, table: str, checkpoint: str,
           available_now: bool = True, max_files_per_trigger: int | None = None,
-          buckets: int | None = None, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+          buckets: int | None = None, compact_every: int = COMPACT_EVERY,
+          interval: str = "1 minute") -> StreamingQuery:
     """Keep ``table`` equal to the newest version per key of every landed file.
 
     Stateless: the stream only tracks which files it has read (in
-    ``checkpoint``); the table itself carries the result between triggers.
+    ``checkpoint``); the table itself carries the result between triggers. Drains
+    what is there by default, else looks again every ``interval``.
     """
 
     def write(batch: DataFrame, _epoch: int) -> None:
@@ -185,5 +187,6 @@ def start(spark: SparkSession, root: str, table: str, checkpoint: str,
               .writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint)
               .foreachBatch(write))
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.start()
+    if available_now:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=interval).start()

@@ -14,6 +14,7 @@ from quarry.plans.postings import (ENRICHED_COLUMNS, MART_COLUMNS, POPULARITY_CO
                                    STAGING_COLUMNS, TAG_COLUMNS, build, newest, posting_tags,
                                    postings_mart, rename_raw, stage)
 from quarry.plans.suite import checks
+from quarry.sinks.materialize import as_versioned, versions
 from quarry.sources.landing import read_landing
 
 from .conftest import GOOD, write_day
@@ -178,6 +179,12 @@ def test_incremental_staging_equals_full_rebuild(spark, tmpdir_path):
     assert first.staging_mode == "full"
     again = build(spark, tmpdir_path, "bt_incr", now=NOW)
     assert again.staging_mode == "unchanged"
+    # a rebuilt mart is a new version behind the same view, the one before it is kept
+    assert len(versions(spark, "bt_incr.fct_postings")) == 2
+    with pytest.raises(Exception):
+        as_versioned(again.postings.select(F.raise_error(F.lit("no")).alias("x")),
+                     "bt_incr.fct_postings")
+    assert spark.table("bt_incr.fct_postings").count() == again.postings.count()
     write_day(tmpdir_path, "2026-08-14", [dict(GOOD, slug="p3", title="Vue Developer"),
                                           dict(GOOD, slug="new1")], mtime=1_786_700_000)
     incr = build(spark, tmpdir_path, "bt_incr", now=NOW)
@@ -229,7 +236,7 @@ def test_merge_newest_shuffles_only_the_new_rows(spark, tmpdir_path):
 def test_streamed_additions_leave_the_version_unshuffled(spark, tmpdir_path):
     """Each micro-batch stores its own rows; reading the view never moves the version's
     rows, and the last batch folds the additions into the next version."""
-    from quarry.sinks.materialize import current_version, deltas, versions
+    from quarry.sinks.materialize import current_version, deltas
     from quarry.streaming.latest import merge_batch
 
     root = os.path.join(tmpdir_path, "days")
