@@ -136,6 +136,29 @@ def _merged(rows):
     return lambda parts: _gathered(rows(parts), 50_000)
 
 
+def _beside(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries in suffix order with those marked that stand beside an equal suffix."""
+    def marked(part: pa.RecordBatch, before, after) -> pa.RecordBatch:
+        key = part.column(0).to_numpy()
+        same = key[1:] == key[:-1]
+        mark = part.column(4).to_numpy(zero_copy_only=False).copy()
+        mark[1:] |= same
+        mark[:-1] |= same
+        mark[0] |= before is None or before == key[0]
+        mark[-1] |= after is None or after == key[-1]
+        return pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(mark)],
+                                          names=part.schema.names)
+
+    held = before = None
+    for part in _gathered(parts, 50_000):
+        if held is not None:
+            yield marked(held, before, part.column(0)[0].as_py())
+            before = held.column(0)[-1].as_py()
+        held = part
+    if held is not None:
+        yield marked(held, before, None)
+
+
 class IndexFamily:
     """Levels of a suffix index; sizes are in batches, equal sizes merge.
 
@@ -149,9 +172,17 @@ class IndexFamily:
 
     @staticmethod
     def scan(entries: DataFrame) -> DataFrame:
-        """Sort by suffix and mark every suffix that stands beside an equal one."""
-        beside = F.count(F.lit(1)).over(Window.partitionBy("key"))
-        return entries.withColumn("marked", F.col("marked") | (beside > 1))
+        """Sort by suffix and mark every suffix that stands beside an equal one.
+
+        Tasks hold ranges of (suffix, document, position), so a suffix that a third
+        of all entries share is cut like any other stretch. A task's first and last
+        entry are marked too, since their neighbours are in other tasks: one mark
+        too many costs a comparison of windows and changes no result.
+        """
+        order = ["key", "doc", "copy", "at"]
+        return (entries.select(*order, "marked").repartitionByRange(*order)
+                .sortWithinPartitions(*order).mapInArrow(_beside, entries.select(
+                    *order, "marked").schema))
 
     def add(self, batch: DataFrame) -> None:
         """Take in a batch of suffixes ``key, doc, copy, at``; merge equal levels."""
