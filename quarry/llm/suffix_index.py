@@ -40,6 +40,7 @@ from ._text import U64
 LENGTH = 100
 PREFIX = 32
 BATCHES = 4
+SPLIT_ROWS = 8192  # suffixes that occur more often are compared in parts of this many
 GATHER_ROWS = 8192  # window rows (at most 2 * LENGTH bytes each) looked at together
 
 
@@ -242,50 +243,84 @@ def windows_around(texts: DataFrame, length: int, prefix: int) -> DataFrame:
         _merged(rows), "key bigint, doc bigint, copy bigint, first int, bytes binary")
 
 
-def repeated_windows(around: DataFrame, length: int) -> DataFrame:
+def frequent(found: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """``(key, parts)`` of the suffixes that occur more than ``split_rows`` times."""
+    return (found.groupBy("key").count().filter(F.col("count") > split_rows)
+            .select("key", F.ceil(F.col("count") / split_rows).cast("int").alias("parts")))
+
+
+def repeated_windows(around: DataFrame, hot: DataFrame, length: int, scratch) -> DataFrame:
     """``(doc, copy, low, high)``: byte ranges covered by windows that start earlier too.
 
-    Rows come by key in document order. A window repeats if a window of the same
-    bytes came before it under its key; what a key has shown so far is kept from
-    one Arrow batch to the next as distinct hashes only.
+    A window repeats if a window of the same bytes came before it under its key.
+    The occurrences of a suffix in ``hot`` are dealt into parts by document; a
+    window that is the first of its kind in its part is kept apart with its hash,
+    and of all parts' firsts the earliest is the true one: the rest repeat it.
     """
-    def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_key, shown = None, np.zeros(0, U64)
-        for part in _gathered(parts, GATHER_ROWS):
-            key = part.column("key").to_numpy()
-            data, offsets = _bytes(part.column("bytes"))
-            sums = _text.prefix_hash(data, fold=False)
-            n = np.diff(offsets) - length + 1
-            owner = np.repeat(np.arange(len(key)), n)
-            start = np.arange(len(owner)) - np.repeat(np.r_[0, np.cumsum(n)[:-1]], n)
-            at = offsets[owner] + start
-            window = _text.mix(_text.range_hash(sums, at, at + length) ^ key.view(U64)[owner])
-            _, once = np.unique(window, return_index=True)
-            again = np.ones(len(window), bool)
-            again[once] = False
-            if open_key is not None:
-                carried = key[owner] == open_key
-                again[carried] |= np.isin(window[carried], shown)
-            last = key[-1]
-            fresh = np.unique(window[key[owner] == last])
-            shown = np.union1d(shown, fresh) if open_key is not None and last == open_key else fresh
-            open_key = last
-            hit = np.flatnonzero(again)
-            if not len(hit):
-                continue
+    n = F.col("parts")
+    dealt = (around.join(bounded_broadcast(hot), "key", "left")
+             .withColumn("part", F.when(n.isNull(), -1).otherwise(
+                 F.pmod(F.xxhash64("doc", "copy"), n).cast("int"))).drop("parts"))
+    ordered = (dealt.repartition("key", "part")
+               .sortWithinPartitions("key", "part", "doc", "copy", "first"))
+    found = scratch.save(ordered.mapInArrow(
+        lambda parts: _repeats(parts, length),
+        "doc bigint, copy bigint, low int, high int, window bigint"))
+    ranges = ["doc", "copy", "low", "high"]
+    nth = F.row_number().over(Window.partitionBy("window").orderBy("doc", "copy", "low"))
+    later = found.filter(F.col("window").isNotNull()).withColumn("nth", nth).filter("nth > 1")
+    return found.filter(F.col("window").isNull()).select(*ranges).unionByName(later.select(*ranges))
+
+
+def _repeats(parts: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Ranges of windows seen before in their group, and each dealt group's first windows.
+
+    A group is a key and part; rows come by group in document order. What a group
+    has shown so far is kept from one Arrow batch to the next as distinct hashes.
+    """
+    names = ["doc", "copy", "low", "high", "window"]
+    open_group, shown = None, np.zeros(0, U64)
+    for batch in _gathered(parts, GATHER_ROWS):
+        key, dealt = batch.column("key").to_numpy(), batch.column("part").to_numpy()
+        doc, copy = batch.column("doc").to_numpy(), batch.column("copy").to_numpy()
+        first = batch.column("first").to_numpy()
+        data, offsets = _bytes(batch.column("bytes"))
+        sums = _text.prefix_hash(data, fold=False)
+        n = np.diff(offsets) - length + 1
+        owner = np.repeat(np.arange(len(key)), n)
+        start = np.arange(len(owner)) - np.repeat(np.r_[0, np.cumsum(n)[:-1]], n)
+        at = offsets[owner] + start
+        window = _text.mix(_text.range_hash(sums, at, at + length) ^ key.view(U64)[owner])
+        local = _text.mix(window ^ dealt.astype(np.int64).view(U64)[owner])
+        _, once = np.unique(local, return_index=True)
+        again = np.ones(len(local), bool)
+        again[once] = False
+        if open_group is not None:
+            carried = ((key == open_group[0]) & (dealt == open_group[1]))[owner]
+            again[carried] |= np.isin(local[carried], shown)
+        last = (key[-1], dealt[-1])
+        fresh = np.unique(local[((key == last[0]) & (dealt == last[1]))[owner]])
+        shown = np.union1d(shown, fresh) if last == open_group else fresh
+        open_group = last
+        hit = np.flatnonzero(again)
+        if len(hit):
             joins = (np.diff(hit) == 1) & (owner[hit[1:]] == owner[hit[:-1]])
             new = np.flatnonzero(np.r_[True, ~joins])
             end = np.r_[new[1:] - 1, len(hit) - 1]
             who = owner[hit[new]]
-            first = part.column("first").to_numpy()[who]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc").take(pa.array(who)), part.column("copy").take(pa.array(who)),
-                 pa.array((first + start[hit[new]]).astype(np.int32)),
-                 pa.array((first + start[hit[end]] + length).astype(np.int32))],
-                names=["doc", "copy", "low", "high"])
-
-    ordered = (around.repartition("key").sortWithinPartitions("key", "doc", "copy", "first"))
-    return ordered.mapInArrow(rows, "doc bigint, copy bigint, low int, high int")
+                [pa.array(doc[who]), pa.array(copy[who]),
+                 pa.array((first[who] + start[hit[new]]).astype(np.int32)),
+                 pa.array((first[who] + start[hit[end]] + length).astype(np.int32)),
+                 pa.nulls(len(who), pa.int64())], names=names)
+        firsts = np.flatnonzero(~again & (dealt >= 0)[owner])
+        if len(firsts):
+            who = owner[firsts]
+            low = (first[who] + start[firsts]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[who]), pa.array(copy[who]), pa.array(low),
+                 pa.array((low + length).astype(np.int32)),
+                 pa.array(_text.signed(window[firsts]))], names=names)
 
 
 def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -296,7 +331,7 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def removed_ranges(docs: DataFrame, scratch, length: int = LENGTH, prefix: int = PREFIX,
-                   batches: int = BATCHES) -> DataFrame:
+                   batches: int = BATCHES, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """``(doc, copy, ranges array<struct<low, high>>)`` of documents that lose bytes.
 
     ``docs`` has distinct ``doc, copy`` (their order is the order of documents) and
@@ -309,10 +344,11 @@ def removed_ranges(docs: DataFrame, scratch, length: int = LENGTH, prefix: int =
     found = scratch.save(family.matches())
     scratch.drop(entries)
     wanted = scratch.save(packed(found.groupBy("doc", "copy").agg(F.collect_list("at").alias("at"))))
+    hot = scratch.save(frequent(found, split_rows))
     scratch.drop(found)
     around = windows_around(docs.join(bounded_broadcast(wanted), ["doc", "copy"]), length, prefix)
-    return merged_ranges(repeated_windows(around, length).groupBy("doc", "copy")
-                         .agg(F.collect_list(F.struct("low", "high")).alias("ranges")))
+    return merged_ranges(repeated_windows(around, hot, length, scratch)
+                         .groupBy("doc", "copy").agg(F.collect_list(F.struct("low", "high")).alias("ranges")))
 
 
 def merged_ranges(collected: DataFrame) -> DataFrame:
@@ -362,7 +398,8 @@ def _cut(texts: DataFrame) -> DataFrame:
 
 
 def dedup_bytes(docs: DataFrame, scratch, id_col: str = "doc_id", text_col: str = "text",
-                length: int = LENGTH, prefix: int = PREFIX, batches: int = BATCHES) -> DataFrame:
+                length: int = LENGTH, prefix: int = PREFIX, batches: int = BATCHES,
+                split_rows: int = SPLIT_ROWS) -> DataFrame:
     """One row per document: ``(id, n_bytes, n_removed, n_spans, kept_sha256)``.
 
     Documents are ordered by id, NULL ids last; texts of one id are ordered by
@@ -388,7 +425,8 @@ def dedup_bytes(docs: DataFrame, scratch, id_col: str = "doc_id", text_col: str
     texts = (named.join(bounded_broadcast(unique), ["doc", "copy"], "left_semi")
              .select("doc", "copy", "__text"))
     texts = texts.dropDuplicates(["doc", "copy"]) if several else texts
-    ranges = scratch.save(removed_ranges(texts, scratch, length, prefix, batches))
+    ranges = scratch.save(removed_ranges(texts, scratch, length, prefix, batches,
+                                         split_rows))
     cut = scratch.save(_cut(texts.join(bounded_broadcast(ranges), ["doc", "copy"])))
     known = (facts.join(firsts.select("sha", F.col("f.doc").alias("first_doc")), "sha")
              .join(cut, ["doc", "copy"], "left"))

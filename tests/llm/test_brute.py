@@ -129,8 +129,8 @@ def test_tree_search_equals_the_bound():
     assert got == set(zip(*(x.tolist() for x in np.nonzero(fits & (185 * least >= 85 * total)))))
 
 
-@pytest.mark.parametrize("batches", [1, 3, 4])
-def test_suffix_dedup(frame, scratch, texts, batches):
+@pytest.mark.parametrize("batches, split_rows", [(1, 8192), (3, 2), (4, 5)])
+def test_suffix_dedup(frame, scratch, texts, batches, split_rows):
     rng = random.Random(batches)
     some = dict(list(texts.items())[:60])
     passage = "".join(rng.choice("abcd ") for _ in range(230))
@@ -139,10 +139,21 @@ def test_suffix_dedup(frame, scratch, texts, batches):
         some[1000 + k] = f"{k}x{passage[low:low + 99 + k]}y{k}" * (1 + k % 2)
     some |= {2000: "ab" * 300, 2001: "é" * 120, 2002: some[0], 2003: passage[:99], 2004: "z" * 100}
     got = {r.doc_id: tuple(r)[1:] for r in suffix_index.dedup_bytes(
-        frame(some.items()), scratch, batches=batches).collect()}
+        frame(some.items()), scratch, batches=batches, split_rows=split_rows).collect()}
     assert got == brute.removed(some)
 
 
+def test_merge_scan_marks_every_repeated_suffix(spark):
+    rows = [(k % 40 if k % 3 else 7, k, 0, k) for k in range(3000)]
+    entries = spark.createDataFrame(rows, "key bigint, doc bigint, copy bigint, at int")
+    single = spark.createDataFrame([(100 + k, k, 0, k) for k in range(500)], entries.schema)
+    both = entries.unionByName(single).selectExpr("*", "false AS marked")
+    out = suffix_index.IndexFamily.scan(both)
+    marked = out.filter("marked")
+    assert out.count() == 3500 and marked.filter("key < 100").count() == 3000
+    assert marked.filter("key >= 100").count() <= 2 * out.rdd.getNumPartitions()
+
+
 def test_decontamination(spark, frame, texts):
     items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     words = items[3].split()
