@@ -5,11 +5,10 @@ long enough. The method adds strings that no pattern names: two first-order
 character models, one of random strings and one of ordinary identifiers, score
 each candidate token by its log-likelihood ratio per transition.
 
-Both models are trained from labelled samples: random strings are the secret
-values of all base matches of the corpus, ordinary identifiers are the tokens of
-``ORDINARY_DOCUMENTS`` documents without a base match (chosen by a hash of their
-id: the documented bound of that sample). Only the 128 x 128 table of ratios
-leaves the aggregates. All expressions are native; positions are code points.
+Both models count the whole corpus: random strings are the secret values of all
+base matches, ordinary identifiers are the tokens of all documents without one.
+Only the 128 x 128 table of counts leaves the aggregate. All expressions are
+native; positions are code points.
 """
 
 from __future__ import annotations
@@ -30,7 +29,6 @@ KINDS = ("assign", "access", "hex", "markov")
 
 CANDIDATE = r"[A-Za-z0-9+/_=\-]{20,}"
 TOKEN = r"[A-Za-z0-9+/_=\-]{4,}"
-ORDINARY_DOCUMENTS = 2000
 SYMBOLS = 128
 ALPHABET = 65
 SMOOTHING = 0.5
@@ -95,25 +93,19 @@ def _transitions(value: Column) -> Column:
         indices(F.size(a) - 1), lambda i: F.get(a, i) * SYMBOLS + F.get(a, i + 1)))
 
 
-def ratio_table(found: DataFrame, smoothing: float = SMOOTHING,
-                documents: int = ORDINARY_DOCUMENTS) -> list[float]:
+def ratio_table(found: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
     """``ln(P_random(b|a) / P_ordinary(b|a))`` at ``a * 128 + b``.
 
-    ``found`` has ``__id, __text, __base``. Add-``smoothing`` over the 65 token
+    ``found`` has ``__text, __base``. Add-``smoothing`` over the 65 token
     characters that the candidates are made of; a character never seen by a model
     has a uniform successor there.
     """
-    secrets = found.select(F.explode("__base").alias("s")).select(
-        F.explode(F.regexp_extract_all(F.col("s.value"), F.lit(TOKEN), F.lit(0))).alias("token"),
-        F.lit(1).alias("random"))
-    plain = found.filter(F.size("__base") == 0)
-    chosen = (plain.select("__id").dropna().distinct().orderBy(F.xxhash64("__id"), "__id")
-              .limit(documents))
-    words = plain.join(F.broadcast(chosen), "__id", "left_semi").select(
-        F.explode(F.regexp_extract_all(F.col("__text"), F.lit(TOKEN), F.lit(0))).alias("token"),
-        F.lit(0).alias("random"))
-    counts = (secrets.unionByName(words)
-              .select("random", F.explode(_transitions(F.col("token"))).alias("t"))
+    random, plain = F.size("__base") > 0, F.size("__base") == 0
+    values = F.when(plain, F.array("__text")).otherwise(F.transform("__base", lambda s: s["value"]))
+    tokens = (found.select(random.cast("int").alias("random"), F.explode(values).alias("value"))
+              .select("random", F.explode(F.regexp_extract_all(
+                  F.col("value"), F.lit(TOKEN), F.lit(0))).alias("token")))
+    counts = (tokens.select("random", F.explode(_transitions(F.col("token"))).alias("t"))
               .groupBy("t").agg(F.sum("random").alias("r"), F.sum(1 - F.col("random")).alias("o")))
     size = SYMBOLS * SYMBOLS
     random, ordinary = [0] * size, [0] * size
@@ -137,9 +129,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids and repeated rows keep a row each; other columns are ignored.
     """
     text = F.col("__text")
-    found = (docs.select(F.col(f"`{id_col}`").alias("__id"),
-                         whole_text(text_col).alias("__text"))
-             .withColumn("__base", base_spans(text)))
+    found = (docs.select(whole_text(text_col).alias("__text"))
+             .select(F.explode(F.array(F.struct("__text", base_spans(text).alias("__base")))).alias("__f"))
+             .select("__f.*"))
     table = fixed_table(ratio_table(found))
 
     def likely(value: Column) -> Column:

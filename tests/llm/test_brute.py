@@ -1,8 +1,10 @@
 """Registered operators against plain Python versions."""
 
+import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -54,6 +56,27 @@ def test_markov_models_add_unnamed_random_strings(frame, texts):
     assert found[99_998] == ""
 
 
+def test_markov_models_count_every_document(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    plain = [letters[k % 26] + letters[k // 26 % 26] + letters[k // 676] * 3 for k in range(3000)]
+    base = [("x token=q7Zx9Kp2 y", ["q7Zx9Kp2"])]
+    counts = {}
+    for values, side in ((plain, 1), (base[0][1], 0)):
+        for v in values:
+            for t in zip(v, v[1:]):
+                counts.setdefault(t, [0, 0])[side] += 1
+    row = lambda a, side: sum(c[side] for (x, _), c in counts.items() if x == a)
+    smooth = secret_scan.SMOOTHING
+    want = {t: math.log((r + smooth) / (row(t[0], 0) + smooth * secret_scan.ALPHABET))
+            - math.log((o + smooth) / (row(t[0], 1) + smooth * secret_scan.ALPHABET))
+            for t, (r, o) in counts.items()}
+    found = spark.createDataFrame([(t,) for t in plain] + [(base[0][0],)], "__text string").select(
+        F.lit(None).cast("bigint").alias("__id"), "__text",
+        secret_scan.base_spans(F.col("__text")).alias("__base"))
+    got = secret_scan.ratio_table(found)
+    assert {(a, b): got[ord(a) * secret_scan.SYMBOLS + ord(b)] for a, b in want} == pytest.approx(want)
+
+
 def test_personal_data(mixed, scratch):
     docs, every = mixed
     for r in pii.find_personal_data(docs, scratch).collect():
