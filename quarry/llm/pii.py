@@ -2,13 +2,15 @@
 
 Base spans are the leftmost non-overlapping matches of four patterns that pass
 their checks. They seed a bootstrap: every identifier-like token (a white-space
-word with a digit or an ``@``) is an instance, and the two words before it with
-its shape are the lexical pattern it occurs in. Spark scores the bipartite graph
-of patterns and instances in rounds: a pattern's confidence is the mean score of
-its distinct instances if at least ``MIN_SUPPORT`` of them are believed, an
-instance scores 1 if it is a seed and else the confidence of its best pattern.
-Instances in confident patterns that overlap no base span become ``learned``
-spans.
+word with a digit or an ``@``, of any length and shape) is an instance, and the
+two words before it are the lexical pattern it occurs in. Spark scores the
+bipartite graph of patterns and instances: a pattern's confidence is the mean
+score of its distinct instances, and it is confident at ``MIN_CONFIDENCE`` if at
+least ``MIN_SUPPORT`` of them are believed. Seeds score 1; an instance is
+believed from the first round that has it in a confident pattern and keeps the
+best such confidence as its score, so a pattern is never raised by what it
+taught itself. Rounds go on until none believes a new instance. Instances in
+confident patterns that overlap no base span become ``learned`` spans.
 
 Graph edges are aggregated per (pattern, instance) before any join, so a hot
 pattern or instance crosses a shuffle once per task. Equal texts have equal
@@ -32,8 +34,6 @@ KINDS = ("email", "ip", "card", "phone")
 LEARNED = "learned"
 MIN_SUPPORT = 3
 MIN_CONFIDENCE = 0.8
-ROUNDS = 3
-MIN_INSTANCE = 6
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -41,7 +41,6 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK = re.compile(r"[0-9@]")
-_SHAPES = ((re.compile(r"[0-9]+"), "9"), (re.compile(r"[^\W\d_]+"), "a"))
 _TRIM = "\"'()[]{}<>.,;:!?*#$%&|"
 _SPACES = "\x20\t\n\x0b\x0c\r"
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
@@ -129,7 +128,7 @@ def candidates(text: str, base: list[tuple[str, int, int]]
         while k < len(taken) and taken[k][1] <= start:
             k += 1
         near = any(a < end and start < b for a, b in taken[max(0, k - 4):k + 8])
-        if end - start >= MIN_INSTANCE and not near:
+        if end > start and not near:
             out.append((start, end, False))
     found = []
     for start, end, seed in sorted(out):
@@ -138,10 +137,7 @@ def candidates(text: str, base: list[tuple[str, int, int]]
         if not one:
             continue  # no words before it: no lexical pattern
         two, _ = _word_before(text, at_one)
-        shape = value
-        for pattern, sign in _SHAPES:
-            shape = pattern.sub(sign, shape)
-        found.append((_hash(two, one, shape), _hash(value), start, end, seed))
+        found.append((_hash(two, one), _hash(value), start, end, seed))
     return found
 
 
@@ -181,32 +177,29 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "__found array<struct<pattern:bigint,instance:bigint,start:bigint,end:bigint,seed:boolean>>"))
 
 
-def score_patterns(occurrences: DataFrame, scratch, rounds: int = ROUNDS,
-                   support: int = MIN_SUPPORT) -> DataFrame:
-    """``(pattern, confidence)`` after ``rounds`` over the pattern-instance graph."""
+def confident_patterns(occurrences: DataFrame, scratch, support: int = MIN_SUPPORT,
+                       confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """``(pattern, confidence)`` of the confident patterns once no round believes more."""
     edges = scratch.save(
         occurrences.groupBy("pattern", "instance").agg(F.max(F.col("seed").cast("double")).alias("s"))
-        .join(occurrences.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("known")),
+        .join(occurrences.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score")),
               "instance")
-        .select("pattern", "instance", "known", F.col("known").alias("score")))
-    for step in range(rounds):
-        patterns = (edges.groupBy("pattern").agg(
-            F.avg("score").alias("mean"), F.sum((F.col("score") >= 0.5).cast("int")).alias("n"))
-            .select("pattern", F.when(F.col("n") >= support, F.col("mean")).otherwise(0.0)
-                    .alias("confidence")))
-        if step == rounds - 1:
+        .select("pattern", "instance", "score"))
+    while True:
+        patterns = scratch.save(
+            edges.groupBy("pattern").agg(F.avg("score").alias("confidence"),
+                                         F.sum((F.col("score") > 0).cast("int")).alias("n"))
+            .filter((F.col("n") >= max(support, 1)) & (F.col("confidence") >= confidence)).drop("n"))
+        fresh = scratch.save(edges.filter("score = 0").join(bounded_broadcast(patterns), "pattern")
+                             .groupBy("instance").agg(F.max("confidence").alias("best")))
+        if fresh.isEmpty():
             return patterns
-        best = (edges.join(patterns, "pattern").groupBy("instance")
-                .agg(F.max("confidence").alias("best")))
-        edges = scratch.save(edges.join(best, "instance").select(
-            "pattern", "instance", "known",
-            F.when(F.col("known") > 0, 1.0).otherwise(F.col("best")).alias("score")))
-    return edges.select("pattern", F.lit(0.0).alias("confidence")).distinct()
+        edges = scratch.save(edges.join(bounded_broadcast(fresh), "instance", "left").select(
+            "pattern", "instance", F.coalesce("best", "score").alias("score")))
 
 
 def find_personal_data(docs: DataFrame, scratch, id_col: str = "doc_id", text_col: str = "text",
-                       rounds: int = ROUNDS, support: int = MIN_SUPPORT,
-                       confidence: float = MIN_CONFIDENCE) -> DataFrame:
+                       support: int = MIN_SUPPORT, confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """One row per document: ``(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, __key, __size)``.
 
     ``spans`` lists base spans by kind, then start, then the learned ones. NULL and
@@ -218,9 +211,9 @@ def find_personal_data(docs: DataFrame, scratch, id_col: str = "doc_id", text_co
              .agg(F.first("__found").alias("__found")))
     occurrences = scratch.save(texts.select("__key", "__size", F.explode("__found").alias("f"))
                                .select("__key", "__size", "f.*"))
-    patterns = score_patterns(occurrences, scratch, rounds, support)
-    confident = patterns.filter(F.col("confidence") >= confidence).select("pattern")
-    learned = (occurrences.filter(~F.col("seed")).join(confident, "pattern", "left_semi")
+    confident = confident_patterns(occurrences, scratch, support, confidence).select("pattern")
+    learned = (occurrences.filter(~F.col("seed"))
+               .join(bounded_broadcast(confident), "pattern", "left_semi")
                .groupBy("__key", "__size")
                .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__new"))
                .select("__key", "__size", F.array_join(F.transform("__new", lambda s: F.concat_ws(

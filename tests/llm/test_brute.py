@@ -97,6 +97,39 @@ def test_contexts_discover_unseen_identifiers(frame, scratch):
     assert learned.count() == 10
 
 
+def test_identifiers_of_new_shapes_are_learned(frame, scratch):
+    rows = [(i, f"some text contact me at user{i}.x@mail{i}.example.com today") for i in range(6)]
+    rows += [(50, "other words contact me at AB-12345 now"), (51, "plain at john7 x99999"),
+             (52, "we call id Q7 now"), (53, "stay clean is 5 or 6 ok")]
+    rows += [(10 + i, f"we call id +1 (555) 555-010{i} ok") for i in range(5)]
+    out = {r.doc_id: r.spans for r in pii.find_personal_data(frame(rows), scratch).collect()}
+    text = dict(rows)
+    cut = lambda i: [text[i][int(a):int(b)] for k, a, b in
+                     (s.split(":") for s in filter(None, out[i].split(","))) if k == "learned"]
+    assert cut(50) == ["AB-12345"] and cut(52) == ["Q7"]
+    assert cut(51) == cut(53) == []
+
+
+def test_confidence_is_not_raised_by_its_own_instances(frame, scratch):
+    rows = [(i, f"x seen near 10.0.0.{i} y") for i in range(7)]
+    rows += [(10 + i, f"x seen near N-{i}00 y") for i in range(3)]  # 7 of 10: below 0.8
+    found = pii.find_personal_data(frame(rows), scratch).collect()
+    assert not any("learned" in r.spans for r in found)
+
+
+def test_belief_passes_through_a_chain_of_patterns(spark, scratch):
+    # pattern k: 20 seeds, four instances taught by pattern k - 1, four for pattern k + 1
+    rows = [(0, i, True) for i in range(40)] + [(0, 1000 + j, False) for j in range(4)]
+    for k in range(1, 7):
+        rows += [(k, 100 * k + i, True) for i in range(20)]
+        rows += [(k, 1000 * at + j, False) for at in (k, k + 1) for j in range(4)]
+    schema = "pattern bigint, instance bigint, seed boolean"
+    confident = lambda some: {r.pattern for r in pii.confident_patterns(
+        spark.createDataFrame(some, schema), scratch).collect()}
+    assert confident(rows) == set(range(7))
+    assert confident([r for r in rows if r[0]]) == set()
+
+
 def test_redaction_replaces_spans():
     text = "write to a.b@c.de or +1 (555) 555-0100"
     assert pii.redact(text, brute.joined(brute.personal(text))) == "write to [EMAIL] or [PHONE]"
