@@ -24,6 +24,10 @@ from quarry.operators.joins import bounded_broadcast
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# The near-copy stage takes the general rule; the query op10_ has its own contract (4, 85).
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that pass the quality rules (operator 8)."""
@@ -33,11 +37,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of smallest id of every group of near copies (operator 10).
 
-    Texts without words and rows without an id stay.
+    Near copies share 80 percent of their distinct runs of five words. Texts without words and rows without an id stay.
     """
     configure(spark)
     with Scratch(spark, "near-copies") as scratch:
-        groups = jaccard_join.near_duplicates(docs, scratch)
+        groups = jaccard_join.near_duplicates(docs, scratch, words=NEAR_WORDS,
+                                              percent=NEAR_PERCENT)
         dropped = scratch.keep(groups.filter("component_id != doc_id").select("doc_id").distinct())
     return docs.join(bounded_broadcast(dropped), "doc_id", "left_anti").select(docs.columns)
 

@@ -284,6 +284,17 @@ def test_url_filter_equals_a_scan(spark):
     assert {r.page_id: r.lists for r in got.collect()} == want
 
 
+def test_pipeline_drops_near_copies_of_five_words_and_four_fifths(spark, frame):
+    words = [f"w{k}" for k in range(200)]
+    tail = lambda n: words + [f"t{k}" for k in range(n)]
+    texts = {1: words, 2: tail(40), 3: words[:90] + [f"r{k}" for k in range(17)] + words[107:],
+             4: tail(60)[::-1], 5: [f"u{k}" for k in range(200)], 6: [f"u{k}" for k in range(260)]}
+    docs = frame((i, " ".join(w)) for i, w in texts.items())
+    out = corpus_pipeline.near_copies(spark, docs, SF)
+    # 2: 196 / 236, 3: 175 / 217 of document 1; 6: 196 / 256 of document 5
+    assert sorted(r.doc_id for r in out.collect()) == [1, 4, 5, 6]
+
+
 def test_pipeline_equals_its_parts_done_plainly(spark, texts):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     good = {r.doc_id for r in labels.filter("quality = 1").collect()}
