@@ -121,11 +121,15 @@ def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(row, start, end)`` of every maximal run of non-separator bytes inside a row."""
-    if not len(data):
+    return runs(~separators[data], offsets)
+
+
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, start, end)`` of every maximal run of marked bytes inside a row."""
+    if not len(inside):
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
-    inside = ~separators[data]
-    first = np.zeros(len(data) + 1, bool)
+    first = np.zeros(len(inside) + 1, bool)
     first[offsets] = True
     begins = inside.copy()
     begins[1:] &= ~inside[:-1] | first[1:-1]

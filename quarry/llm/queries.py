@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, jaccard_join, piece_codec, pii, quality_gam, quality_rules,
-               secret_scan, suffix_index, token_count, url_filter)
+from . import (decontaminate, divergence, jaccard_join, piece_codec, pii, quality_gam, quality_rules,
+               secret_scan, simhash, spelling, suffix_index, token_count, url_filter)
 from ._columns import table
 from ._scratch import Scratch
 
@@ -113,10 +113,29 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         return scratch.keep(jaccard_join.near_duplicates(docs, scratch))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = configure(spark) and table(spark, sf_dir, "documents")
+    with Scratch(spark, "op11") as scratch:
+        return scratch.keep(spelling.variants(docs, scratch))
+
+
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = configure(spark) and table(spark, sf_dir, "documents")
+    with Scratch(spark, "op12") as scratch:
+        return scratch.keep(simhash.near_duplicates(docs, scratch))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = configure(spark) and table(spark, sf_dir, "documents")
+    with Scratch(spark, "op13") as scratch:
+        return scratch.keep(divergence.audit(docs, scratch))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_url_filters, op2_decontamination, op3_secret_scans, op4_sentencepiece,
     op5_quality_classifier, op6_token_counts, op7_personal_data, op8_quality_rules,
-    op9_suffix_dedup, op10_jaccard_join)}
+    op9_suffix_dedup, op10_jaccard_join, op11_spelling_variants, op12_simhash_dedup,
+    op13_source_divergence)}
 
 SQL: dict[str, str] = {
     "op1_url_filters": f"""
@@ -200,4 +219,74 @@ SQL: dict[str, str] = {
         SELECT d.doc_id, (length(d.h) // 2)::BIGINT AS n_bytes, coalesce(r, 0)::BIGINT AS n_removed,
                coalesce(s, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
         FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    # CRC-32 is folded byte by byte; words one letter apart are equal with that letter left out.
+    "op11_spelling_variants": """
+        WITH RECURSIVE bytes AS (
+            SELECT list(c ORDER BY i) AS t FROM (
+                SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, b: CASE WHEN c & 1 = 1
+                       THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(i))),
+        runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                        'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{00C0}-\\x{00FF}]+')) AS w FROM documents),
+        texts AS (SELECT w, count(*) AS n, hex(encode(doc_id || ':' || w)) AS x FROM runs
+                  WHERE length(w) >= 7 GROUP BY doc_id, w),
+        checked AS (
+            SELECT w, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2),
+                   lambda j: ('0x' || substr(x, 2 * j + 1, 2))::BIGINT)),
+                   lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) AS h FROM texts, bytes),
+        words AS (
+            SELECT word, sum(n)::BIGINT AS n FROM (
+                SELECT n, CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2)
+                               ELSE w END AS word FROM checked)
+            WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        cut AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+                FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+        near AS (
+            SELECT a.word, b.word AS other FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+            UNION SELECT word, rest FROM cut WHERE rest IN (SELECT word FROM words)
+            UNION SELECT rest, word FROM cut WHERE rest IN (SELECT word FROM words)),
+        best AS (
+            SELECT n.word, n.other, w.n, row_number() OVER (PARTITION BY n.word ORDER BY w.n DESC, n.other) AS k,
+                   count(*) OVER (PARTITION BY n.word) AS n_near
+            FROM near n JOIN words w ON w.word = n.other),
+        known AS (
+            SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near,
+                   CASE WHEN b.n >= 10 * w.n THEN b.other END AS form, CASE WHEN b.n >= 10 * w.n THEN b.n END AS form_n
+            FROM words w LEFT JOIN best b ON b.word = w.word AND b.k = 1),
+        path AS (
+            SELECT word, word AS root, form FROM known
+            UNION ALL SELECT p.word, k.word, k.form FROM path p JOIN known k ON k.word = p.form)
+        SELECT k.word, k.form, p.root, k.n, k.n_near, k.form_n
+        FROM known k JOIN path p ON p.word = k.word AND p.form IS NULL""",
+    "op13_source_divergence": """
+        WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        t AS (SELECT id, lang, source, term, count(*) AS n FROM (
+                SELECT id, lang, source, unnest(regexp_extract_all(text,
+                       '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d)
+              GROUP BY ALL),
+        kept AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM t GROUP BY lang, term HAVING count(*) >= 3),
+        size AS (SELECT lang, count(term)::HUGEINT AS v, coalesce(sum(kept.n), 0)::HUGEINT AS total
+                 FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY lang),
+        groups AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT g.lang, g.source, k.term, coalesce(sum(t.n), 0)::HUGEINT AS n
+              FROM groups g JOIN kept k USING (lang)
+              LEFT JOIN t ON t.lang = g.lang AND t.source = g.source AND t.term = k.term GROUP BY ALL),
+        p AS (SELECT c.lang, c.source, c.term, c.n, 1 + (1000000000 * (c.n + 1)) // (s.total + size.v) AS p
+              FROM c JOIN (SELECT lang, source, sum(n)::HUGEINT AS total FROM c GROUP BY ALL) s
+                     USING (lang, source) JOIN size USING (lang)),
+        q AS (SELECT lang, term, 1 + (1000000000 * (n + 1)) // (total + v) AS q FROM kept JOIN size USING (lang)),
+        pairs AS (SELECT g.lang, g.source, o.source AS item FROM groups g JOIN groups o
+                  ON g.lang = o.lang AND g.source <> o.source),
+        apart AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+                  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        found AS (
+            SELECT lang, source, 'pair' AS part, item, coalesce(value, 0)::BIGINT AS value
+            FROM pairs LEFT JOIN apart USING (lang, source, item)
+            UNION ALL
+            SELECT p.lang, p.source, 'term', p.term, (((p.p - q.q) * (p.p - q.q)) // q.q)::BIGINT
+            FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q)
+        SELECT * FROM (
+            SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+            FROM found) WHERE part = 'pair' OR rank <= 200""",
 }

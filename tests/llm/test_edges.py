@@ -4,7 +4,7 @@ import pytest
 
 import corpus_pipeline
 from quarry.llm import (decontaminate, jaccard_join, piece_codec, pii, quality_gam, quality_rules,
-                        secret_scan, suffix_index, token_count, url_filter)
+                        secret_scan, simhash, suffix_index, token_count, url_filter)
 from quarry.llm.queries import model_path
 
 from .conftest import ODD
@@ -32,6 +32,7 @@ RUNS = {
     "op8": lambda s, d, x: quality_rules.quality_rules(d, _labels(s).filter("quality = 1")),
     "op9": lambda s, d, x: suffix_index.dedup_bytes(d, x),
     "op10": lambda s, d, x: jaccard_join.near_duplicates(d, x),
+    "op12": lambda s, d, x: simhash.near_duplicates(d, x),
 }
 
 
