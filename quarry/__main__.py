@@ -64,6 +64,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--mart", required=True)
     p.add_argument("--target", required=True)
     p.add_argument("--batch-size", type=int, default=200)
+    p.add_argument("--per-day", type=int, default=None, help="labeller calls allowed per UTC day")
+    p.add_argument("--per-minute", type=int, default=None, help="labeller calls allowed per minute")
 
     p = sub.add_parser("ledger", help="append a run-results document to the ledger table")
     p.add_argument("--run-results", required=True)
@@ -79,6 +81,10 @@ def main(argv: list[str] | None = None) -> int:
                    help="stored additions after which the table is rewritten as one version")
     p.add_argument("--buckets", type=int, default=None,
                    help="posting_id buckets of the table (default: shuffle partitions)")
+    p.add_argument("--withdraw", action="store_true",
+                   help="follow replayed days: records their new files lack leave the table")
+    p.add_argument("--newest-by-day", action="store_true",
+                   help="the later day folder wins over the later file, as in build")
 
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
@@ -91,7 +97,7 @@ def main(argv: list[str] | None = None) -> int:
         from .operators.quality import require_rows_passed, run_checks
         from .plans.postings import build
         from .plans.suite import checks
-        from .sinks.publish import publish_table
+        from .sinks.releases import publish_group
         from .sources.landing import stray_files
         labels = spark.table(args.labels) if args.labels else None
         b = build(spark, args.landing, args.database, labels=labels, threads=args.threads,
@@ -105,9 +111,9 @@ def main(argv: list[str] | None = None) -> int:
         require_rows_passed(rows)
         out = {"checks": len(rows)}
         if args.publish:
-            out["published"] = publish_table(
-                spark, b.enriched, args.publish, source=args.database,
-                expected_rows=b.enriched.count(), check_contract=True)
+            out["published"] = publish_group(
+                spark, args.publish, {args.publish: f"{args.database}.fct_postings_enriched"},
+                source=args.database)[args.publish]
     elif args.cmd == "publish":
         from .sinks.publish import publish_jdbc
         from .sources.tables import read_nonempty
@@ -116,9 +122,10 @@ def main(argv: list[str] | None = None) -> int:
                                          source=args.table, user=args.user,
                                          password=args.password, num_partitions=args.partitions)}
     elif args.cmd == "label":
-        from .plans.title_labels import label_titles
+        from .plans.title_labels import Quota, label_titles
         out = {"labelled": label_titles(spark, spark.table(args.mart), args.target,
-                                        batch_size=args.batch_size)}
+                                        batch_size=args.batch_size,
+                                        quota=Quota(args.per_day, args.per_minute))}
     elif args.cmd == "ledger":
         from .sinks.materialize import append_ledger
         from .sources.run_results import read_run_results
@@ -128,7 +135,8 @@ def main(argv: list[str] | None = None) -> int:
         from .streaming.latest import start
         q = start(spark, args.landing, args.table, args.checkpoint,
                   available_now=not args.continuous, buckets=args.buckets,
-                  compact_every=args.compact_every, interval=args.interval)
+                  compact_every=args.compact_every, interval=args.interval,
+                  newest_by_day=args.newest_by_day, withdraw=args.withdraw)
         q.awaitTermination()
         out = {"stream": "stopped"}
     print(json.dumps(out))

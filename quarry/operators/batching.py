@@ -136,11 +136,6 @@ def call_batches(prompts: DataFrame, call: Callable[[str], str],
     return dealt.mapInPandas(run, schema)
 
 
-def batch_key(keys_col: str = "keys"):
-    """A name for a batch that depends on its keys alone."""
-    return F.sha2(F.to_json(F.col(keys_col)), 256)
-
-
 def parse_answers(answers: DataFrame, key_col: str = "title", label_col: str = "discipline",
                   vocabulary: Sequence[str] = BATCH_VOCABULARY,
                   fallback: str = "other") -> DataFrame:

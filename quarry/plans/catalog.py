@@ -8,6 +8,7 @@ SQL that computes the same rows directly; column names match one to one.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from collections.abc import Callable
@@ -27,10 +28,14 @@ from ..operators.dedup import latest_per_key
 from ..operators.fanout import explode_clean, explode_terms, item_count
 from ..operators.joins import attach_counts, lookup, orphans, unseen_keys
 from ..operators.validate import gate, gate_counts, rejects
+from ..plans.marts import popularity_into
 from ..plans.postings import newest, postings_mart, rename_raw, stage
 from ..plans.staging import merge_newest, stage_into
+from ..plans.title_labels import BatchesUnanswered, label_titles
+from ..sinks.buckets import drop_buckets, manifest, stored_in_buckets
 from ..sinks.landing import land_raw, source_root
-from ..sinks.materialize import append_unseen, current_version, deltas, versions
+from ..sinks.materialize import (ADDED, GONE, append_unseen, current_version, deltas,
+                                 versions)
 from ..sinks.publish import publish_projection, publish_table
 from ..session import checkpoint_dir, shared_folder
 from ..sources.landing import unwrap
@@ -146,19 +151,20 @@ def staged_postings_merge(spark, sf_dir):
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"))
 
 
-def _event_lines(spark, sf_dir, source: str) -> DataFrame:
-    """``(event_type, raw)``: every event as the JSON line of one posting, sent by ``source``."""
+def _event_lines(spark, sf_dir, source: str, tags=None) -> DataFrame:
+    """``(event_id, event_type, raw)``: every event as the JSON line of one posting, sent by ``source``."""
     ev = table(spark, sf_dir, "events")
     s = F.lit
+    tags = F.array(F.upper("event_type"), s("")) if tags is None else tags
     posting = F.struct(
         F.concat(s("e"), F.col("event_id").cast("string")).alias("slug"),
         F.concat(s("  "), F.col("event_type"), s(" ")).alias("title"),
         s(source).alias("company_name"),
         F.when(F.col("user_id") % 4 == 0, s("   ")).otherwise(s("here")).alias("location"),
         (F.col("value") > 25).alias("remote"),
-        F.array(F.upper("event_type"), s("")).alias("tags"),
+        tags.alias("tags"),
         (s(EPOCH_BASE) + F.col("event_id") * 977).alias("created_at"))
-    return ev.select("event_type", F.to_json(posting).alias("raw"))
+    return ev.select("event_id", "event_type", F.to_json(posting).alias("raw"))
 
 
 def _staged_view(staged: DataFrame) -> DataFrame:
@@ -170,7 +176,7 @@ def _staged_view(staged: DataFrame) -> DataFrame:
 
 
 def _drop_versions(spark: SparkSession, name: str) -> None:
-    parts = [t for v in versions(spark, name) for t in [*deltas(spark, v), v]]
+    parts = [t for v in versions(spark, name) for t in [*deltas(spark, v, ADDED + GONE), v]]
     spark.sql(f"DROP VIEW IF EXISTS {name}")
     for part in [*parts, f"{name}__files"]:
         spark.sql(f"DROP TABLE IF EXISTS {part}")
@@ -198,10 +204,64 @@ def landing_roundtrip(spark, sf_dir):
                 modes.append(mode)
             kept = _staged_view(staged).checkpoint(eager=True)
         finally:
-            _drop_versions(spark, name)
+            _drop_staging(spark, name)
     return kept.withColumn("modes", F.lit(" ".join(modes)))
 
 
+def _drop_staging(spark: SparkSession, name: str) -> None:
+    drop_buckets(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}__files")
+
+
+def staging_one_key(spark, sf_dir):
+    """Every event staged, then a file that corrects the first one: what the second build wrote."""
+    with shared_folder(spark, "one-key") as root:
+        name = f"quarry_staged_{uuid.uuid4().hex[:12]}"
+        first = table(spark, sf_dir, "events").agg(F.min("event_id").alias("event_id"))
+        found = []
+        try:
+            for source, day in (("first", "2026-01-01"), ("second", "2026-01-02")):
+                lines = _event_lines(spark, sf_dir, source)
+                if found:
+                    lines = lines.join(F.broadcast(first), "event_id")
+                land_raw(lines, root, "postings", day)
+                staged, mode = stage_into(spark, source_root(root, "postings"), name,
+                                          newest_by_day=True)
+                found.append(manifest(spark, name, stored_in_buckets(spark, name)))
+            kept = _staged_view(staged).checkpoint(eager=True)
+        finally:
+            _drop_staging(spark, name)
+    rewritten = sum(found[0][b] != at for b, at in found[1].items())
+    return kept.withColumns({"mode": F.lit(mode), "buckets_rewritten": F.lit(rewritten)})
+
+
+def maintained_marts(spark, sf_dir):
+    """The popularity mart kept up over three landed days, the last two of which change tags."""
+    source_tags = lambda source: F.array(F.upper("event_type"), F.concat(
+        F.lit(f"{source}-"), (F.col("user_id") % 97).cast("string")))
+    landings = [("first", "2026-01-01", F.col("event_id") % 3 != 0),
+                ("second", "2026-01-02", F.col("event_id") % 5 == 0),
+                ("third", "2026-01-03", F.col("event_id") % 7 == 0)]
+    with shared_folder(spark, "marts") as root:
+        staging = f"quarry_staged_{uuid.uuid4().hex[:12]}"
+        mart = f"{staging}_tags"
+        modes = []
+        try:
+            for source, day, sent in landings:
+                land_raw(_event_lines(spark, sf_dir, source, source_tags(source)).filter(sent),
+                         root, "postings", day)
+                before = stored_in_buckets(spark, staging)
+                stage_into(spark, source_root(root, "postings"), staging, newest_by_day=True)
+                kept, mode = popularity_into(spark, staging, before, mart)
+                modes.append(mode)
+            kept = kept.checkpoint(eager=True)
+        finally:
+            _drop_staging(spark, staging)
+            drop_buckets(spark, mart)
+    return kept.select("tag", "postings", *[F.col(c).cast("timestamp_ntz").alias(c) for c in (
+        "first_seen_at", "last_seen_at")], F.lit(" ".join(modes)).alias("modes"))
+
+
 def stream_merge(spark, sf_dir):
     """The merge stream over three days of landed events, the last of which compacts."""
     with shared_folder(spark, "stream") as root:
@@ -228,6 +288,36 @@ def stream_merge(spark, sf_dir):
     return kept.withColumn("stored_tables", F.lit(" ".join(map(str, stored))))
 
 
+def stream_replay(spark, sf_dir):
+    """The three landings of ``landing_roundtrip`` through the stream that follows replays.
+
+    Each landing is one trigger; the replay of day one withdraws the clicks, and the
+    purchases of day two stand over both of its landings.
+    """
+    with shared_folder(spark, "replay") as root:
+        name = f"quarry_replayed_{uuid.uuid4().hex[:12]}"
+        kind = F.col("event_type")
+        landings = [("first", "2026-01-01", F.lit(True)),
+                    ("second", "2026-01-02", kind == "purchase"),
+                    ("replay", "2026-01-01", kind != "click")]
+        stored = []
+        try:
+            for source, day, sent in landings:
+                land_raw(_event_lines(spark, sf_dir, source).filter(sent), f"{root}/in",
+                         "postings", day)
+                query = start_stream(spark, source_root(f"{root}/in", "postings"), name,
+                                     f"{root}/state", newest_by_day=True, withdraw=True)
+                query.awaitTermination()
+                if query.exception() is not None:
+                    raise RuntimeError(str(query.exception()))
+                stored.append(1 + len(deltas(spark, current_version(spark, name))))
+            spark.catalog.refreshTable(name)
+            kept = _staged_view(spark.table(name)).checkpoint(eager=True)
+        finally:
+            _drop_versions(spark, name)
+    return kept.withColumn("stored_tables", F.lit(" ".join(map(str, stored))))
+
+
 # ---------------------------------------------------------------- fan-out and marts
 
 def _part_tags(spark, sf_dir) -> DataFrame:
@@ -351,6 +441,38 @@ def incremental_union(spark, sf_dir):
     return seen.unionByName(new)
 
 
+def incremental_calls(spark, sf_dir):
+    """Titles labelled in two runs, the first of which gets no answer for its first batch.
+
+    The second run meets new titles as well: it asks for these and for the unanswered
+    ones alone, in new batches. ``run`` is the run that labelled a title.
+    """
+    part = table(spark, sf_dir, "part").select("p_size", F.col("p_name").alias("title"))
+    early = part.filter(F.col("p_size") < 25)
+    first_title = early.filter("title <> ''").agg(F.min("title")).first()[0]
+    answer = rules_answerer(PART_RULES, PART_VOCABULARY)
+
+    def fails_once(prompt):
+        return "cut off" if first_title is not None and f"0. {first_title}\n" in f"{prompt}\n" else answer(prompt)
+
+    target = f"quarry_labels_{uuid.uuid4().hex[:12]}"
+    more = dict(batch_size=BATCH_N, vocabulary=PART_VOCABULARY, header="LINES:\n")
+    checkpoint_dir(spark)
+    try:
+        with contextlib.suppress(BatchesUnanswered):
+            label_titles(spark, early, target, fails_once, **more)
+        seen = spark.table(target).select("title", F.lit(1).alias("run")).checkpoint(eager=True)
+        label_titles(spark, part, target, answer, **more)
+        calls = spark.table(f"{target}__calls").agg(F.sum("calls").alias("calls")).first()["calls"]
+        stored = spark.table(target).checkpoint(eager=True)
+    finally:
+        for t in (target, f"{target}__answers", f"{target}__calls"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+    return stored.join(seen, "title", "left").select(
+        "title", "discipline", F.coalesce("run", F.lit(2)).alias("run"),
+        F.lit(calls).cast("bigint").alias("calls"))
+
+
 # ---------------------------------------------------------------- validation gate
 
 def _raw_records(spark, sf_dir) -> DataFrame:
@@ -575,7 +697,10 @@ QUERIES: dict[str, Query] = {
     "staged_postings_mart": staged_postings_mart,
     "staged_postings_merge": staged_postings_merge,
     "landing_roundtrip": landing_roundtrip,
+    "staging_one_key": staging_one_key,
+    "maintained_marts": maintained_marts,
     "stream_merge": stream_merge,
+    "stream_replay": stream_replay,
     "tags_normalised": tags_normalised,
     "tag_count_mart": tag_count_mart,
     "tag_count_join": tag_count_join,
@@ -595,6 +720,7 @@ QUERIES: dict[str, Query] = {
     "batch_prompts": batch_prompts_q,
     "parse_answer": parse_answer,
     "incremental_union": incremental_union,
+    "incremental_calls": incremental_calls,
     "payload_records": payload_records,
     "validation_gate": validation_gate,
     "rejects": rejects_q,
@@ -821,6 +947,34 @@ def _oracle() -> dict[str, str]:
                      AS ingest_date,
                    'full incremental full' AS modes
             FROM events WHERE event_type <> 'click'""",
+        "staging_one_key": f"""
+            SELECT {_EVENT_STAGED},
+                   CASE WHEN event_id = (SELECT min(event_id) FROM events) THEN 'second' ELSE 'first'
+                     END AS company_name,
+                   CASE WHEN event_id = (SELECT min(event_id) FROM events) THEN '2026-01-02'
+                     ELSE '2026-01-01' END AS ingest_date,
+                   'incremental' AS mode, 1 AS buckets_rewritten
+            FROM events""",
+        "maintained_marts": f"""
+            WITH last AS (
+                SELECT *, CASE WHEN event_id % 7 = 0 THEN 'third' WHEN event_id % 5 = 0 THEN 'second'
+                          ELSE 'first' END AS source,
+                       TIMESTAMP '1970-01-01 00:00:00' + to_seconds({EPOCH_BASE} + event_id * 977) AS at
+                FROM events WHERE event_id % 7 = 0 OR event_id % 5 = 0 OR event_id % 3 <> 0),
+            tags AS (
+                SELECT lower(trim(event_type)) AS tag, at FROM last
+                UNION ALL SELECT source || '-' || (user_id % 97), at FROM last)
+            SELECT tag, count(*) AS postings, min(at) AS first_seen_at, max(at) AS last_seen_at,
+                   'full maintained maintained' AS modes
+            FROM tags WHERE tag <> '' GROUP BY tag""",
+        "stream_replay": f"""
+            SELECT {_EVENT_STAGED},
+                   CASE WHEN event_type = 'purchase' THEN 'second' ELSE 'replay' END
+                     AS company_name,
+                   CASE WHEN event_type = 'purchase' THEN '2026-01-02' ELSE '2026-01-01' END
+                     AS ingest_date,
+                   '1 2 3' AS stored_tables
+            FROM events WHERE event_type <> 'click'""",
         "stream_merge": f"""
             SELECT {_EVENT_STAGED},
                    CASE event_type WHEN 'signup' THEN 'second' WHEN 'purchase' THEN 'third'
@@ -902,6 +1056,15 @@ def _oracle() -> dict[str, str]:
             v AS (SELECT event_id, lower(trim(json_extract_string(js, '$."0"'))) AS lab FROM j)
             SELECT event_id, CASE WHEN lab IN ({vocab}) THEN lab ELSE 'other' END AS label
             FROM v""",
+        "incremental_calls": f"""
+            WITH t AS (SELECT p_name AS title, min(p_size) < 25 AS early FROM part
+                       WHERE p_name IS NOT NULL AND p_name <> '' GROUP BY p_name),
+            r AS (SELECT *, row_number() OVER (PARTITION BY early ORDER BY title) AS rn FROM t),
+            runs AS (SELECT title, CASE WHEN early AND rn > {BATCH_N} THEN 1 ELSE 2 END AS run, early FROM r)
+            SELECT title, {title_case} AS discipline, run,
+                   (SELECT ceil(count(*) FILTER (early) / {BATCH_N}) + ceil(count(*) FILTER (run = 2) / {BATCH_N})
+                    FROM runs)::BIGINT AS calls
+            FROM runs""",
         "incremental_union": f"""
             SELECT title, {title_case} AS discipline FROM
               (SELECT DISTINCT p_name AS title FROM part WHERE p_size < 2) s

@@ -154,29 +154,33 @@ def build(spark: SparkSession, landing_root: str, database: str = "default",
     The three posting-grain relations are bucketed on ``posting_id`` with one
     bucket count, so the uniqueness, grain and referential checks on them (and
     the tag view exploded from staging) read co-partitioned data and need no
-    shuffle; the popularity mart is bucketed on its key, ``tag``.
+    shuffle; the popularity mart is bucketed on its key, ``tag``. Staging and both
+    count marts are copy-on-write: a build writes the buckets its new rows touch and
+    maintains the counts by what changed in them (``plans.marts``).
 
     After staging, the two independent branches (postings mart -> enriched
     mart, and the popularity mart) are submitted as concurrent Spark jobs from
     ``threads`` driver threads; ``threads=1`` builds them one after another.
     """
+    from ..sinks.buckets import stored_in_buckets
+    from .marts import popularity_into, postings_into
     from .staging import stage_into
 
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     by_posting = {"bucket_by": "posting_id", "buckets": buckets}
-    stg, mode = stage_into(spark, landing_root, f"{database}.stg_postings", buckets, full,
-                           newest_by_day)
+    staging = f"{database}.stg_postings"
+    before = stored_in_buckets(spark, staging)
+    stg, mode = stage_into(spark, landing_root, staging, buckets, full, newest_by_day)
     tags = as_view(posting_tags(stg), f"{database}_int_posting_tags")
 
     def postings_branch():
-        mart = as_versioned(postings_mart(stg), f"{database}.fct_postings", **by_posting)
+        mart, _ = postings_into(spark, staging, before, f"{database}.fct_postings", buckets)
         enriched = as_versioned(enriched_mart(mart, now, labels=labels),
                                 f"{database}.fct_postings_enriched", **by_posting)
         return mart, enriched
 
     def popularity_branch():
-        return as_versioned(tag_popularity_mart(tags), f"{database}.fct_tag_popularity",
-                            bucket_by="tag", buckets=buckets)
+        return popularity_into(spark, staging, before, f"{database}.fct_tag_popularity", buckets)[0]
 
     if threads > 1:
         with ThreadPoolExecutor(max_workers=threads) as pool:

@@ -13,8 +13,9 @@ has since been removed or rewritten. Each build therefore:
    and merges their newest versions into the previous staging rows
    (``merge_newest``: the previous table is read through its buckets, so
    only the new rows are shuffled);
-3. writes the result as a new bucketed version, re-points the staging view
-   at it, and only then stores the new manifest.
+3. writes the buckets that the new rows touch (all of them in a rebuild) as a new
+   version that takes over the files of the others (``sinks.buckets``), re-points the
+   staging view at it, and only then stores the new file manifest.
 
 A failure before the manifest is stored leaves the previous manifest, so the
 next build re-reads the same new files; merging them again is idempotent.
@@ -26,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from ..sinks.materialize import point_view, write_version
+from ..sinks.buckets import manifest as bucket_manifest
+from ..sinks.buckets import only, stored_in_buckets, touched_buckets, write_buckets
 from ..sources.landing import read_landing
 from .postings import STAGING_COLUMNS, newest, rename_raw, version
 
@@ -94,13 +96,17 @@ def merge_newest(previous: DataFrame, fresh: DataFrame, newest_by_day: bool = Fa
 
 def stage_into(spark: SparkSession, landing_root: str, name: str, buckets: int | None = None,
                full: bool = False, newest_by_day: bool = False) -> tuple[DataFrame, str]:
-    """Bring staging view ``name`` up to date with the landing zone; return it and the mode."""
+    """Bring staging view ``name`` up to date with the landing zone; return it and the mode.
+
+    An incremental build reads and writes only the buckets that hold a key of the new
+    files, so its cost follows the new rows' spread over buckets, not the history.
+    """
     manifest = f"{name}__files"
     checkpoint_dir(spark)
     snapshot = landed_files(spark, landing_root).checkpoint(eager=True)
-    have_previous = spark.catalog.tableExists(name) and spark.catalog.tableExists(manifest)
+    previous = stored_in_buckets(spark, name)
     mode = FULL
-    if have_previous and not full:
+    if previous and spark.catalog.tableExists(manifest) and not full:
         seen = spark.table(manifest)
         keys = ["path", "modificationTime"]
         if seen.join(snapshot, on=keys, how="left_anti").isEmpty():
@@ -110,13 +116,15 @@ def stage_into(spark: SparkSession, landing_root: str, name: str, buckets: int |
         return spark.table(name), mode
     if mode == FULL:
         result = newest(rename_raw(read_landing(spark, landing_root)), newest_by_day)
+        write_buckets(result, name, "posting_id", buckets)
     else:
-        fresh = newest(rename_raw(read_files(spark, landing_root, new_files)), newest_by_day)
-        result = merge_newest(spark.table(name), fresh.checkpoint(eager=True), newest_by_day)
-    # The merge joins on the previous table's buckets, so its tasks already
-    # hold one bucket each: no re-layout before the bucketed write.
-    stored, _ = write_version(result, name, bucket_by="posting_id", buckets=buckets,
-                              align=mode == FULL)
-    point_view(spark, name, stored)
+        fresh = newest(rename_raw(read_files(spark, landing_root, new_files)), newest_by_day
+                       ).checkpoint(eager=True)
+        n = len(bucket_manifest(spark, name, previous))
+        touched = touched_buckets(fresh, "posting_id", n)
+        # The merge joins on the previous version's buckets, so its tasks already
+        # hold one bucket each: no re-layout before the bucketed write.
+        result = merge_newest(only(spark, previous, touched), fresh, newest_by_day)
+        write_buckets(result, name, "posting_id", previous=previous, touched=touched, align=False)
     snapshot.write.mode("overwrite").format("parquet").saveAsTable(manifest)
     return spark.table(name), mode

@@ -86,27 +86,47 @@ def _marked_tables(spark: SparkSession, db: str, short: str, form: re.Pattern) -
     return [f"{db}.{n}" for n in sorted(found) if _marked(spark, f"{db}.{n}", short)]
 
 
-def deltas(spark: SparkSession, version: str) -> list[str]:
-    """Stored additions to ``version`` (``write_version(..., onto=version)``), oldest first."""
+ADDED, GONE = "d", "g"  # kinds of tables that stand beside a version
+
+
+def deltas(spark: SparkSession, version: str, kinds: str = ADDED) -> list[str]:
+    """Stored additions to ``version`` (``write_version(..., onto=version)``), oldest first.
+
+    ``kinds`` may name further tables beside the version.
+    """
     db, short = _split(spark, version)
-    form = re.compile(re.escape(short.lower()) + r"__d[0-9]{14}_[0-9a-f]{8}")
+    form = re.compile(re.escape(short.lower()) + rf"__[{kinds}][0-9]{{14}}_[0-9a-f]{{8}}")
     return _marked_tables(spark, db, short, form)
 
 
-def _property(spark: SparkSession, table: str, key: str) -> str | None:
+def table_property(spark: SparkSession, table: str, key: str) -> str | None:
     marks = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     return marks.get(key)
 
 
 def _marked(spark: SparkSession, table: str, short: str) -> bool:
-    return _property(spark, table, VERSION_PROPERTY) == short.lower()
+    return table_property(spark, table, VERSION_PROPERTY) == short.lower()
 
 
 def current_version(spark: SparkSession, name: str) -> str | None:
     """The version that view ``name`` stands on; NULL where ``name`` is no such view."""
     if not spark.catalog.tableExists(name):
         return None
-    return _property(spark, name, CURRENT_PROPERTY)
+    return table_property(spark, name, CURRENT_PROPERTY)
+
+
+PINNED_PROPERTY = "quarry.pinned_by"
+
+
+def pins(spark: SparkSession, version: str) -> set[str]:
+    """Published relations that stand on ``version``: it is not dropped while there are any."""
+    return set(filter(None, (table_property(spark, version, PINNED_PROPERTY) or "").split(",")))
+
+
+def pin(spark: SparkSession, version: str, by: str, held: bool = True) -> None:
+    """Note (or, with ``held=False``, strike out) that relation ``by`` stands on ``version``."""
+    now = pins(spark, version) | {by} if held else pins(spark, version) - {by}
+    spark.sql(f"ALTER TABLE {version} SET TBLPROPERTIES ('{PINNED_PROPERTY}' = '{','.join(sorted(now))}')")
 
 
 def swap_in(spark: SparkSession, name: str, put) -> None:
@@ -131,17 +151,18 @@ def swap_in(spark: SparkSession, name: str, put) -> None:
 
 def write_version(df: DataFrame, name: str, bucket_by: str | None = None,
                   buckets: int | None = None, stamp: str | None = None,
-                  align: bool = True, onto: str | None = None) -> tuple[str, int]:
+                  align: bool = True, onto: str | None = None, kind: str = ADDED
+                  ) -> tuple[str, int]:
     """Write ``df`` once to a new table ``{name}__v{stamp}_{id}``; return it and its row count.
 
     Version names sort by creation time, so the newest is last. ``align=False``
     skips ``by_bucket`` for input the caller knows is already laid out one
     bucket per task but whose plan cannot show it (a full outer join on the
     bucket key reports unknown partitioning). With ``onto``, a version of ``name``,
-    the table is an addition to it: ``{onto}__d{stamp}_{id}``.
+    the table is an addition to it, or of another ``kind``: ``{onto}__d{stamp}_{id}``.
     """
     stamp = stamp or dt.datetime.now(tz=dt.UTC).strftime("%Y%m%d%H%M%S")
-    kind, of = ("d", onto) if onto else ("v", name)
+    kind, of = (kind, onto) if onto else ("v", name)
     version = f"{of}__{kind}{stamp}_{uuid.uuid4().hex[:8]}"
     obs = Observation(f"version_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -159,7 +180,8 @@ def write_version(df: DataFrame, name: str, bucket_by: str | None = None,
 
 def point_view(spark: SparkSession, name: str, version: str, comment: str | None = None,
                keep_previous: int = 1, body: str | None = None) -> None:
-    """Re-point view ``name`` at ``version`` in one statement; drop versions beyond ``keep_previous``.
+    """Re-point view ``name`` at ``version`` in one statement; drop versions beyond
+    ``keep_previous`` that nothing else stands on.
 
     ``body`` is the query the view holds where that is more than all of ``version``.
 
@@ -175,7 +197,9 @@ def point_view(spark: SparkSession, name: str, version: str, comment: str | None
     current = f"{db}.{short}"
     older = [v for v in versions(spark, name) if v != current]
     for stale in older[:max(0, len(older) - keep_previous)]:
-        for part in [*deltas(spark, stale), stale]:
+        if pins(spark, stale):
+            continue
+        for part in [*deltas(spark, stale, ADDED + GONE), stale]:
             spark.sql(f"DROP TABLE IF EXISTS {part}")
 
 

@@ -17,9 +17,9 @@ nothing.
 aggregation of ``max(struct(order..., payload...))`` with one state row per
 key, for streams whose result is small enough to re-emit each trigger.
 
-Known divergence (X3): a record withdrawn by a replayed day stays in the
-table, and a file rewritten in place under the same name is not re-read; the
-batch rebuild stays the source of truth after a replay.
+``merge_batch`` keeps one version per key, so a record that a replayed day withdraws
+stays (X3), and a file rewritten in place is not read again. ``start(withdraw=True)``
+follows replays instead: see ``streaming.replays``.
 """
 
 from __future__ import annotations
@@ -108,31 +108,41 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str,
 COMPACT_EVERY = 16
 
 
-def _merged_sql(version: str, additions: list[str], newest_by_day: bool) -> str:
-    """``merge_newest(version, newest(additions))`` as the text of a view.
+def _reduced_sql(rows: str, order: list[str]) -> str:
+    """The newest row per key of relation ``rows`` (a NULL key is one key)."""
+    columns = ", ".join(STAGING_COLUMNS)
+    newest_first = ", ".join(f"{c} DESC NULLS LAST" for c in order)
+    return f"""
+          SELECT {columns} FROM (
+            SELECT *, row_number() OVER (PARTITION BY posting_id ORDER BY {newest_first}) AS nth
+            FROM {rows}) WHERE nth = 1"""
 
-    A file's records are all in one part, or the same in two after a re-run: rows of
-    one key that tie across parts are equal, so no row hash has to choose.
+
+def merged_sql(base: str, additions: list[str], newest_by_day: bool) -> str:
+    """``merge_newest(base, newest(additions))`` as the text of a view.
+
+    ``base`` and ``additions`` are relations or queries in brackets; ``base`` holds one
+    row per key. A file's records are all in one part, or the same in two after a
+    re-run: rows of one key that tie across parts are equal, so no row hash has to choose.
     """
     order = version_order(newest_by_day)
     columns = ", ".join(STAGING_COLUMNS)
+    if not additions:
+        return f"SELECT {columns} FROM {base}"
     newest_first = ", ".join(f"{c} DESC NULLS LAST" for c in order)
     union = " UNION ALL ".join(f"SELECT {columns} FROM {t}" for t in additions)
     p, f = (f"struct({', '.join(f'{side}.{c}' for c in order)})" for side in "pf")
     picked = ", ".join(f"if(p.posting_id IS NULL OR (f.posting_id IS NOT NULL AND {f} > {p}), "
                        f"f.{c}, p.{c}) AS {c}" for c in STAGING_COLUMNS)
     return f"""
-        WITH fresh AS (
-          SELECT {columns} FROM (
-            SELECT *, row_number() OVER (PARTITION BY posting_id ORDER BY {newest_first}) AS nth
-            FROM ({union})) WHERE nth = 1),
+        WITH fresh AS ({_reduced_sql(f'({union})', order)}),
         no_key AS (
           SELECT {columns} FROM (
-            SELECT {columns} FROM {version} WHERE posting_id IS NULL
+            SELECT {columns} FROM {base} WHERE posting_id IS NULL
             UNION ALL SELECT {columns} FROM fresh WHERE posting_id IS NULL)
           ORDER BY {newest_first} LIMIT 1)
         SELECT {picked}
-        FROM (SELECT * FROM {version} WHERE posting_id IS NOT NULL) p
+        FROM (SELECT * FROM {base} WHERE posting_id IS NOT NULL) p
         FULL OUTER JOIN (SELECT * FROM fresh WHERE posting_id IS NOT NULL) f
           ON p.posting_id = f.posting_id
         UNION ALL SELECT {columns} FROM no_key"""
@@ -162,7 +172,7 @@ def merge_batch(batch: DataFrame, table: str, buckets: int | None = None,
         spark.sql(f"DROP TABLE {addition}")
         return
     additions = deltas(spark, version)
-    point_view(spark, table, version, body=_merged_sql(version, additions, newest_by_day))
+    point_view(spark, table, version, body=merged_sql(version, additions, newest_by_day))
     if len(additions) >= compact_every:
         # Read through the version's buckets: already one bucket per task.
         compacted, _ = write_version(spark.table(table), table, align=False, **by_key)
@@ -172,16 +182,23 @@ def merge_batch(batch: DataFrame, table: str, buckets: int | None = None,
 def start(spark: SparkSession, root: str, table: str, checkpoint: str,
           available_now: bool = True, max_files_per_trigger: int | None = None,
           buckets: int | None = None, compact_every: int = COMPACT_EVERY,
-          interval: str = "1 minute") -> StreamingQuery:
+          interval: str = "1 minute", newest_by_day: bool = False,
+          withdraw: bool = False) -> StreamingQuery:
     """Keep ``table`` equal to the newest version per key of every landed file.
 
     Stateless: the stream only tracks which files it has read (in
     ``checkpoint``); the table itself carries the result between triggers. Drains
-    what is there by default, else looks again every ``interval``.
+    what is there by default, else looks again every ``interval``. With ``withdraw``
+    the table also follows replayed days (X3, ``replays.merge_live``); a table is
+    kept in one way for its whole life, as is ``newest_by_day``.
     """
+    from .replays import merge_live
 
     def write(batch: DataFrame, _epoch: int) -> None:
-        merge_batch(batch, table, buckets, compact_every=compact_every)
+        if withdraw:
+            merge_live(batch, root, table, buckets, newest_by_day, compact_every)
+        else:
+            merge_batch(batch, table, buckets, newest_by_day, compact_every)
 
     writer = (landing_stream(spark, root, max_files_per_trigger)
               .writeStream.outputMode("append")
