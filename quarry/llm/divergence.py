@@ -9,7 +9,7 @@ level and are counted with their occurrences per source. Prefixes and terms belo
 threshold are discarded and the rest extended, until no unfinished prefix is left.
 
 A document lies in one task, so its distinct prefixes are counted there and only sums per
-task meet in a shuffle. The kept prefixes of a level go to the next one as a bitmap of
+task meet in a shuffle, one per level. The kept prefixes of a level go to the next one as a bitmap of
 ``SLOTS`` bits, the same size for any input: two prefixes of one slot let a discarded
 prefix through, whose terms are then counted and discarded by their own count.
 
@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import bounded_broadcast
 from . import _text
 from ._text import U64
 
@@ -37,6 +38,7 @@ LEAST_DOCS = 3
 FIRST_BYTES = 4  # prefix of the first level; each further level doubles it
 SLOTS = 1 << 25  # bits of the bitmap of kept prefixes (4 MB)
 TOP = 200
+HELD_ROWS = 1 << 20  # rows that a task adds up at a time
 UNIT = 1_000_000_000
 _FIELDS = ["lang", "source", "prefix", "whole", "docs", "n", "slot"]
 
@@ -116,21 +118,48 @@ def _slots(hashes: np.ndarray, salt: np.ndarray, slots: int) -> np.ndarray:
 
 
 def level(docs: DataFrame, low: int, high: int, kept, slots: int = SLOTS) -> DataFrame:
-    """Sums per (lang, source, prefix) over all documents for one level; ``kept`` is the
-    broadcast bitmap of the previous one."""
+    """Sums per (lang, source, prefix) for one level, with those per (lang, prefix).
+
+    ``kept`` is the broadcast bitmap of the previous level. A task adds up its documents
+    first (``HELD_ROWS`` distinct rows at a time), so one shuffle by (lang, prefix) is all:
+    the sums per source and over all sources are both taken behind it. ``lead`` marks one
+    row of each prefix.
+    """
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = None if kept is None else np.frombuffer(kept.value, np.uint8)
+        held, rows = [], 0
         for part in parts:
             for a, b in _text.chunks(part.column(2)):
                 lang, source, text = (part.column(k).slice(a, b - a) for k in range(3))
                 found = counted_prefixes(lang, source, text, low, high, bitmap, slots)
                 if found is not None:
-                    yield found
+                    held.append(found)
+                    rows += found.num_rows
+            if rows >= HELD_ROWS:
+                summed = _summed(held)
+                if summed.num_rows >= HELD_ROWS // 2:
+                    yield from summed.to_batches()
+                    held, rows = [], 0
+                else:
+                    held, rows = summed.to_batches(), summed.num_rows
+        if held:
+            yield from _summed(held).to_batches()
 
     found = docs.mapInArrow(batches, "lang string, source string, prefix binary, whole boolean, "
                                      "docs bigint, n bigint, slot bigint")
-    return found.groupBy("lang", "source", "prefix", "whole").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.min("slot").alias("slot"))
+    sums = (found.repartition("lang", "prefix").groupBy("lang", "prefix", "whole", "source").agg(
+        F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.min("slot").alias("slot")))
+    of_prefix = Window.partitionBy("lang", "prefix", "whole")
+    return sums.withColumns({
+        "all_docs": F.sum("docs").over(of_prefix), "all_n": F.sum("n").over(of_prefix),
+        "lead": F.row_number().over(of_prefix.orderBy("source")) == 1})
+
+
+def _summed(held: list[pa.RecordBatch]) -> pa.Table:
+    """Rows of equal names added up."""
+    sums = pa.Table.from_batches(held).group_by(_FIELDS[:4], use_threads=False).aggregate(
+        [("docs", "sum"), ("n", "sum"), ("slot", "min")])
+    return sums.select([*_FIELDS[:4], "docs_sum", "n_sum", "slot_min"]).rename_columns(_FIELDS)
 
 
 def kept_bitmap(prefixes: DataFrame, slots: int = SLOTS) -> bytes:
@@ -146,29 +175,26 @@ def kept_bitmap(prefixes: DataFrame, slots: int = SLOTS) -> bytes:
     return bytes(out)
 
 
-def kept_terms(docs: DataFrame, scratch, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
-    """``(lang, term)`` of all kept terms, and their ``(lang, source, term, n)`` counts.
+def kept_terms(docs: DataFrame, scratch, slots: int = SLOTS) -> DataFrame:
+    """``(lang, source, term, n, all_n, lead)``: occurrences of all kept terms, per source and
+    in the language; ``lead`` marks one row per term.
 
     ``docs`` has ``lang, source, text`` without NULLs.
     """
     spark, low, high, kept = docs.sparkSession, 0, FIRST_BYTES, None
     counts = None
     while True:
-        found = scratch.save(level(docs, low, high, kept, slots))
+        found = scratch.save(level(docs, low, high, kept, slots).filter(F.col("all_docs") >= LEAST_DOCS))
         if kept is not None:
             kept.unpersist()
-        whole = found.filter("whole").select("lang", "source", F.col("prefix").cast("string").alias("term"),
-                                             "docs", "n")
-        terms = whole.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(
-            F.col("docs") >= LEAST_DOCS).select("lang", "term")
-        mine = scratch.save(whole.select("lang", "source", "term", "n").join(terms, ["lang", "term"]))
-        counts = mine if counts is None else counts.unionByName(mine)
-        going_on = found.filter(~F.col("whole") & (F.col("docs") >= LEAST_DOCS)).select("slot")
+        whole = found.filter("whole").select(
+            "lang", "source", F.col("prefix").cast("string").alias("term"), "n", "all_n", "lead")
+        counts = whole if counts is None else counts.unionByName(whole)
+        going_on = found.filter(~F.col("whole")).select("slot")
         if going_on.isEmpty():
-            break
+            return counts
         kept = spark.sparkContext.broadcast(kept_bitmap(going_on, slots))
         low, high = high, 2 * high
-    return counts.select("lang", "term").distinct(), counts
 
 
 def share(count: Column | str, n: Column | str, v: Column | str) -> Column:
@@ -197,17 +223,19 @@ def audit(docs: DataFrame, scratch, lang_col: str = "lang", source_col: str = "s
     """
     rows = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(name)
                          for name, c in (("lang", lang_col), ("source", source_col), ("text", text_col))])
-    terms, counts = kept_terms(rows, scratch, slots)
+    counts = kept_terms(rows, scratch, slots)
     groups = rows.select("lang", "source").distinct()
-    sizes = (groups.select("lang").distinct()
-             .join(terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v")), "lang", "left"))
+    sizes = groups.select("lang").distinct().join(
+        counts.groupBy("lang").agg(F.count_if("lead").alias("v"), F.sum("n").alias("all_total")), "lang", "left")
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("held"))
     known = scratch.save(groups.join(sizes, "lang").join(totals, ["lang", "source"], "left").select(
-        "lang", "source", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("v", "total", "held")])
+        "lang", "source", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+                            for c in ("v", "all_total", "total", "held")])
         .withColumn("zero", F.when(F.col("v") > 0, share("0", "total", "v"))))
-    used = scratch.save(counts.join(known, ["lang", "source"]).select(
-        "lang", "source", "term", "n", share("n", "total", "v").alias("p"), "zero"))
-    return _pairs(known, used).unionByName(_terms(known, counts, used))
+    used = scratch.save(counts.join(bounded_broadcast(known), ["lang", "source"]).select(
+        "lang", "source", "term", share("n", "total", "v").alias("p"), "zero",
+        share("all_n", "all_total", "v").alias("q")))
+    return _pairs(known, used).unionByName(_terms(used))
 
 
 def _pairs(known: DataFrame, used: DataFrame) -> DataFrame:
@@ -247,12 +275,9 @@ def _pairs(known: DataFrame, used: DataFrame) -> DataFrame:
     return _ranked(value, "pair")
 
 
-def _terms(known: DataFrame, counts: DataFrame, used: DataFrame) -> DataFrame:
-    whole = known.groupBy("lang").agg(F.max("v").alias("v"), F.sum("total").alias("total"))
-    usual = (counts.groupBy("lang", "term").agg(F.sum("n").alias("n")).join(whole, "lang")
-             .select("lang", "term", share("n", "total", "v").alias("q")))
-    more = (used.join(usual, ["lang", "term"]).filter("p > q")
-            .select("lang", "source", F.col("term").alias("item"), F.expr(gap("p", "q")).alias("value")))
+def _terms(used: DataFrame) -> DataFrame:
+    more = used.filter("p > q").select("lang", "source", F.col("term").alias("item"),
+                                       F.expr(gap("p", "q")).alias("value"))
     return _ranked(more, "term").filter(F.col("rank") <= TOP)
 
 

@@ -198,7 +198,7 @@ def test_prints_of_near_copies_and_odd_rows(frame, scratch, monkeypatch):
             words[rng.randrange(len(words))] = f"n{rng.randrange(99)}"
             rows.append((100 * g + 50 + k, " ".join(words)))
     _same(simhash.near_duplicates(frame(rows), scratch), rows)
-    monkeypatch.setattr(simhash.residual_links, "__defaults__", (4, 5))
+    monkeypatch.setattr(simhash.links, "__defaults__", (4, 5))
     _same(simhash.near_duplicates(frame(rows), scratch), rows)
     assert simhash.near_duplicates(frame(ODD).filter("false"), scratch).count() == 0
 
@@ -218,24 +218,54 @@ def test_prints_within_four_bits_share_a_variant(spark):
     assert all(len(k) == 64 for k in keys.values())
 
 
-def test_links_of_a_large_block_stay_few(spark, scratch):
-    """A block of n nodes in k components gives fewer than k links per pair of chunks."""
+def test_links_of_a_large_block_stay_few(spark):
+    """A block's links form a forest: fewer than its nodes, however many pairs are near."""
     rng = random.Random(6)
     made = {}
     for n in (300, 600):
-        # all in one block: 22 equal low bits; high bits of which many differ by two to six
         prints = list({sum(1 << b for b in rng.sample(range(30, 50), 3)) for _ in range(n)})
-        nodes = _nodes(spark, prints)
-        blocks = scratch.save(simhash.shared_blocks(simhash.variants(nodes)))
-        roots = nodes.selectExpr("node", "node AS root")
-        found = [(r.a % (1 << 64), r.b % (1 << 64)) for r in
-                 simhash.residual_links(blocks.filter("key = 0"), roots, 4, 1 << 20).collect()]
-        assert all((a ^ b).bit_count() <= 4 for a, b in found) and len(found) < len(prints)
-        assert len(set(linked(prints))) == len(prints) - len(found)  # a spanning forest
-        made[n] = len(found)
+        nodes = _nodes(spark, prints).selectExpr("CAST(7 AS BIGINT) AS key", "node")
+        for chunk, most in ((4096, 1), (50, 2 * len(prints) // 50 + 2)):
+            found = [(r.a % (1 << 64), r.b % (1 << 64)) for r in simhash.links(nodes, 4, chunk).collect()]
+            assert all((a ^ b).bit_count() <= 4 for a, b in found)
+            assert len(found) < most * len(prints)
+            pairs = dict.fromkeys(prints)
+            at = {p: i for i, p in enumerate(pairs)}
+            parent = list(range(len(prints)))
+
+            def root(x):
+                while parent[x] != x:
+                    x = parent[x]
+                return x
+
+            for a, b in found:
+                low, high = sorted((root(at[a]), root(at[b])))
+                parent[high] = low
+            assert [root(i) for i in range(len(prints))] == linked(prints)
+            if chunk == 4096:
+                assert len(found) == len(prints) - len(set(linked(prints)))
+                made[n] = len(found)
     assert made[600] <= 2.2 * made[300]
 
 
+def test_blocks_over_the_edge_of_a_batch_stay_whole():
+    import pyarrow as pa
+    rng = random.Random(8)
+    key = np.sort(np.array([rng.randrange(60) for _ in range(900)] + [60] * 400, np.int64))
+    node = np.array([rng.getrandbits(5) << 20 | rng.getrandbits(3) << 40 for _ in key], np.int64)
+    zero = np.zeros(len(key), np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in (key, zero, zero, node)],
+                                       names=["key", "first", "second", "node"])
+    whole = simhash.block_links(1)
+    held, simhash.HELD_ROWS = simhash.HELD_ROWS, 100
+    try:
+        cut = [r for b in whole(iter([batch.slice(i, 37) for i in range(0, len(key), 37)])) for r in b.to_pylist()]
+    finally:
+        simhash.HELD_ROWS = held
+    once = [r for b in whole(iter([batch])) for r in b.to_pylist()]
+    assert sorted(map(repr, cut)) == sorted(map(repr, once)) and once
+
+
 def test_too_many_bits_for_the_segments_are_refused(frame, scratch):
     with pytest.raises(ValueError):
         simhash.near_duplicates(frame(ODD), scratch, bits=6)
@@ -313,11 +343,11 @@ def test_levels_discard_rare_prefixes_and_full_bitmaps_lose_nothing(spark, scrat
         " commonterm commonterminal") for _ in range(60)]
     docs = spark.createDataFrame(rows, "lang string, source string, text string")
     first = divergence.level(docs, 0, 4, None, 1 << 15)
-    short = {(r.prefix.decode() if isinstance(r.prefix, (bytes, bytearray)) else r.prefix): r.docs
-             for r in first.filter("not whole").collect()}
+    short = {(r.prefix.decode() if isinstance(r.prefix, (bytes, bytearray)) else r.prefix): r.all_docs
+             for r in first.filter("not whole").collect() if r.lead}
     want = Counter(p for _, _, t in rows for p in {w[:4] for w in t.split() if len(w) > 4})
     assert short == dict(want)
-    kept = spark.sparkContext.broadcast(divergence.kept_bitmap(first.filter("not whole and docs >= 3"), 1 << 15))
+    kept = spark.sparkContext.broadcast(divergence.kept_bitmap(first.filter("not whole and all_docs >= 3"), 1 << 15))
     second = {bytes(r.prefix) for r in divergence.level(docs, 4, 8, kept, 1 << 15).collect()}
     alive = {p for p, n in want.items() if n >= 3}
     words = {w for _, _, t in rows for w in t.split() if len(w) > 4}
