@@ -10,12 +10,13 @@ segment is indexed by its variants with one bit wild: two segments at most one b
 apart are equal in the variant that hides that bit. All nodes of one variant form a
 block, found by equality.
 
-Links. First each block's nodes are compared with its smallest node, one join row per
-node. Blocks that then still hold several components are searched with exclusive-or
-and bit counts inside a task, smaller components against all others, and only links
-that join two components leave it: fewer than the block has components. A block of
-more than ``CHUNK_NODES`` nodes is dealt in chunks that meet pairwise, so no task holds
-more than two chunks, and pairs of one block are never listed.
+Links. Nodes of one variant meet in a task and are verified there by exclusive-or and
+bit count; most blocks hold one node and give nothing. What leaves the task are links
+that join the block's components: in a block of more than ``SMALL_BLOCK`` nodes one less
+than each component has nodes, found breadth first, so that neither the pairs of a group
+of near copies nor those of chance meetings are ever listed. A block of more than
+``CHUNK_NODES`` nodes is dealt in chunks that meet pairwise, so no task holds more than
+two chunks of it.
 """
 
 from __future__ import annotations
@@ -25,10 +26,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import bounded_broadcast
+from ..sources.tables import spread
 from . import _text
 from ._graph import components
 
@@ -37,8 +39,11 @@ SEED = 42
 BITS = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and width
 BLOCK_SHINGLES = 1 << 16  # shingles whose bits are counted at once
-CHUNK_NODES = 4096
-COMPARED = 1 << 22        # fingerprint pairs compared at once
+SMALL_BLOCK = 16          # nodes up to which blocks are compared together, each with each
+CHUNK_NODES = 4096        # nodes of a block that one side of a task holds
+BLOCK_NODES = 256         # nodes that look for neighbours at once
+COMPARED = 1 << 20        # fingerprint pairs compared at once
+HELD_ROWS = 1 << 16       # rows gathered before their blocks are searched
 
 
 def shingle_hashes(text: bytes, words: int = WORDS) -> Iterator[list[int]]:
@@ -83,10 +88,6 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS
     return rows.mapInArrow(batches, f"__id {rows.schema['__id'].dataType.simpleString()}, node bigint")
 
 
-def differing(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
-
-
 def variants(nodes: DataFrame) -> DataFrame:
     """``(key, node)``: every segment with each of its bits wild once.
 
@@ -101,92 +102,95 @@ def variants(nodes: DataFrame) -> DataFrame:
     return nodes.select(F.explode(F.array(*keys)).alias("key"), "node")
 
 
-def shared_blocks(keyed: DataFrame) -> DataFrame:
-    """``(key, block, node)`` of the variants that several nodes share; ``block`` is the
-    smallest node. Blocks are reduced to it, never gathered."""
-    least = (keyed.groupBy("key").agg(F.min("node").alias("block"), F.max("node").alias("most"))
-             .filter("block != most").select("key", "block"))
-    return keyed.join(least, "key").select("key", "block", "node")
-
-
-def _forest(fingers: np.ndarray, roots: np.ndarray, sides: np.ndarray, bits: int
-            ) -> Iterator[tuple[int, int]]:
-    """Links between nodes of different roots that join all linked ones, no cycles.
+def forest(fingers: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links ``(from, to)`` that join all linked fingerprints, none twice and no cycles.
 
-    ``sides`` is 0 or 1; with both present only links between the sides are sought.
+    Breadth first: nodes reached last are compared with those not reached yet, so a
+    group of near copies costs few comparisons and gives one link less than it has nodes.
     """
-    both = sides.any() and not sides.all()
-    _, group, sizes = np.unique(roots, return_inverse=True, return_counts=True)
-    parent = list(range(len(sizes)))
-
-    def top(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    # The largest component is compared with all others, never with itself.
-    asking = np.flatnonzero(group != np.argmax(sizes))
-    step = max(1, COMPARED // max(1, len(fingers)))
-    for at in range(0, len(asking), step):
-        some = asking[at:at + step]
-        apart = np.bitwise_count(fingers[some, None] ^ fingers[None]) <= bits
-        apart &= group[some, None] != group[None]
-        if both:
-            apart &= sides[some, None] != sides[None]
-        for i, j in zip(*(x.tolist() for x in np.nonzero(apart))):
-            x, y = top(group[some[i]]), top(group[j])
-            if x != y:
-                parent[x] = y
-                yield int(some[i]), j
+    waiting = np.arange(len(fingers))
+    reached = waiting[:0]
+    while len(waiting):
+        if not len(reached):
+            reached, waiting = waiting[:1], waiting[1:]
+        some, reached = reached[:BLOCK_NODES], reached[BLOCK_NODES:]
+        step = max(1, COMPARED // len(some))
+        new = []
+        for at in range(0, len(waiting), step):
+            cut = waiting[at:at + step]
+            near = np.bitwise_count(fingers[some, None] ^ fingers[cut][None]) <= bits
+            hit = near.any(0)
+            yield some[near[:, hit].argmax(0)], cut[hit]
+            new.append(hit)
+        if new:
+            hit = np.concatenate(new)
+            reached, waiting = np.r_[reached, waiting[hit]], waiting[~hit]
+
+
+def small_links(key: np.ndarray, fingers: np.ndarray, bits: int, most: int
+                ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All links inside sorted blocks of at most ``most`` nodes, many blocks at once."""
+    for apart in range(1, min(most, len(key))):
+        a = np.flatnonzero(key[apart:] == key[:-apart])
+        a = a[np.bitwise_count(fingers[a] ^ fingers[a + apart]) <= bits]
+        yield a, a + apart
 
 
 def block_links(bits: int):
-    """Arrow function over rows sorted by (key, first, second): joining links of each block."""
+    """Arrow function over rows sorted by block: links that join each block's components."""
     def of(rows: pa.Table) -> pa.RecordBatch:
         node = rows.column("node").to_numpy()
-        first, second = rows.column("first")[0].as_py(), rows.column("second")[0].as_py()
-        sides = (rows.column("chunk").to_numpy() != first) if first != second else np.zeros(len(node), bool)
-        found = list(_forest(node.view(np.uint64), rows.column("root").to_numpy(), sides, bits))
-        a, b = (np.array(found, np.int64).reshape(-1, 2).T if found else np.zeros((2, 0), np.int64))
+        tags = [rows.column(c).to_numpy() for c in ("key", "first", "second")]
+        new = np.r_[True, np.logical_or.reduce([t[1:] != t[:-1] for t in tags])]
+        starts = np.flatnonzero(new)
+        sizes = np.diff(np.r_[starts, len(node)])
+        block = np.cumsum(new)
+        small = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= SMALL_BLOCK), sizes))
+        found = [(small[i], small[j]) for i, j in small_links(
+            block[small], node[small].view(np.uint64), bits, SMALL_BLOCK)]
+        for start, size in zip(starts[sizes > SMALL_BLOCK], sizes[sizes > SMALL_BLOCK]):
+            found += [(start + i, start + j) for i, j in forest(
+                node[start:start + size].view(np.uint64), bits)]
+        a, b = (np.concatenate([x[k] for x in found]) if found else starts[:0] for k in (0, 1))
         return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        name = None
+        held, rows = [], 0
         for part in parts:
-            tags = np.stack([part.column(c).to_numpy() for c in ("key", "first", "second")])
-            new = np.flatnonzero((tags[:, 1:] != tags[:, :-1]).any(0)) + 1
-            cuts = [0, *new.tolist(), part.num_rows]
-            for low, high in zip(cuts[:-1], cuts[1:]):
-                if low == high:
-                    continue
-                tag = tuple(tags[:, low].tolist())
-                if held and tag != name:
-                    yield of(pa.Table.from_batches(held))
-                    held = []
-                name = tag
-                held.append(part.slice(low, high - low))
+            if not part.num_rows:
+                continue
+            held.append(part)
+            rows += part.num_rows
+            if rows < HELD_ROWS:
+                continue
+            # All but the last block are whole.
+            table = pa.Table.from_batches(held)
+            tags = [table.column(c).to_numpy() for c in ("key", "first", "second")]
+            other = np.flatnonzero(np.logical_or.reduce([t != t[-1] for t in tags]))
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield of(table.slice(0, cut))
+            held = table.slice(cut).combine_chunks().to_batches()
+            rows = table.num_rows - cut
         if held:
             yield of(pa.Table.from_batches(held))
     return batches
 
 
-def residual_links(blocks: DataFrame, roots: DataFrame, bits: int = BITS,
-                   chunk_nodes: int = CHUNK_NODES) -> DataFrame:
-    """Links between components inside blocks that still hold several of them."""
-    known = (blocks.join(bounded_broadcast(roots), "node", "left")
-             .select("key", "node", F.coalesce("root", "node").alias("root")))
-    # A block of one component has no more to give; a block of two nodes was compared whole.
-    still = (known.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("r0"),
-                                      F.max("root").alias("r1"))
-             .filter("r0 != r1 AND n > 2")
-             .select("key", F.ceil(F.col("n") / chunk_nodes).alias("chunks")))
-    dealt = (known.join(still, "key")
+def links(keyed: DataFrame, bits: int = BITS, chunk_nodes: int = CHUNK_NODES) -> DataFrame:
+    """Links ``(a, b)`` that join the components of every block of ``keyed`` (``key, node``)."""
+    crowded = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+               .filter(F.col("n") > chunk_nodes)
+               .select("key", F.ceil(F.col("n") / chunk_nodes).alias("chunks")))
+    dealt = (keyed.join(bounded_broadcast(crowded), "key", "left")
+             .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
              .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
-             .select("key", "node", "root", "chunk",
-                     F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+             # Every two chunks meet; the only chunk of a block meets nobody.
+             .select("key", "node", "chunk", F.explode(
+                 F.when(F.col("chunks") == 1, F.array(F.lit(0).cast("bigint"))).otherwise(F.array_remove(
+                     F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1), F.col("chunk")))).alias("other"))
              .select("key", F.least("chunk", "other").alias("first"),
-                     F.greatest("chunk", "other").alias("second"), "chunk", "node", "root"))
+                     F.greatest("chunk", "other").alias("second"), "node"))
     tasks = dealt.repartition("key", "first", "second").sortWithinPartitions("key", "first", "second")
     return tasks.mapInArrow(block_links(bits), "a bigint, b bigint").distinct()
 
@@ -205,14 +209,8 @@ def near_duplicates(docs: DataFrame, scratch, id_col: str = "doc_id", text_col:
         raise ValueError(f"{len(SEGMENTS)} segments cannot hold {bits} differing bits, one of them at most one")
     rows = scratch.save(fingerprints(docs, id_col, text_col, words))
     nodes = scratch.save(rows.groupBy("node").agg(F.min("__id").alias("__id")))
-    blocks = scratch.save(shared_blocks(variants(nodes.select("node"))))
-    stars = (blocks.filter((F.col("node") != F.col("block"))
-                           & (differing(F.col("node"), F.col("block")) <= bits))
-             .select(F.col("block").alias("a"), F.col("node").alias("b")).distinct())
-    links = scratch.save(stars)
-    roots = scratch.save(components(links, scratch))
-    more = scratch.save(residual_links(blocks, roots, bits))
-    whole = scratch.save(components(links.unionByName(more), scratch))
+    found = scratch.save(links(variants(spread(nodes.select("node"))), bits))
+    whole = scratch.save(components(found, scratch))
     placed = (nodes.join(whole, "node", "left")
               .select("node", "__id", F.coalesce("root", "node").alias("root")))
     names = placed.groupBy("root").agg(F.min("__id").alias("component_id"))
