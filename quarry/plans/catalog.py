@@ -24,6 +24,7 @@ from ..operators import quality as dq
 from ..operators.batching import (assign_batches, batch_prompts, call_batches, global_rank,
                                   parse_answers, prompt_header, rules_answerer)
 from ..operators.classify import label_expr, rules_sql
+from ..operators.contract import contract_changes, register_contract
 from ..operators.dedup import latest_per_key
 from ..operators.fanout import explode_clean, explode_terms, item_count
 from ..operators.joins import attach_counts, lookup, orphans, unseen_keys
@@ -34,14 +35,16 @@ from ..plans.staging import merge_newest, stage_into
 from ..plans.title_labels import BatchesUnanswered, label_titles
 from ..sinks.buckets import drop_buckets, manifest, stored_in_buckets
 from ..sinks.landing import land_raw, source_root
-from ..sinks.materialize import (ADDED, GONE, append_unseen, current_version, deltas,
-                                 versions)
+from ..sinks.materialize import (ADDED, GONE, append_unseen, as_versioned, current_version,
+                                 deltas, versions)
 from ..sinks.publish import publish_projection, publish_table
+from ..sinks.releases import publish_group, rollback
 from ..session import checkpoint_dir, shared_folder
 from ..sources.landing import unwrap
 from ..sources.run_results import node_rows, summarise
 from ..sources.tables import spread
 from ..streaming.latest import newest_by_max, run_to_table
+from ..streaming.ledger import BATCH, append_once, follow_runs
 from ..streaming.latest import start as start_stream
 
 # Stand-in rule set for part names ("hot gear", "old rod", ...): precedence
@@ -621,20 +624,138 @@ def node_projection(spark, sf_dir):
         clip(F.coalesce("props", F.lit("")), 400).alias("message"))
 
 
-def ledger_rows(spark, sf_dir):
-    """Run-results documents, one per user and day of ``events``, through the ledger projection."""
+RUN_NODES = 100  # nodes of one run-results document
+
+
+def _run_documents(spark, sf_dir) -> DataFrame:
+    """Run-results documents from ``events``: a user's day in documents of bounded size."""
     ev = table(spark, sf_dir, "events")
     result = F.struct(
         F.concat("event_type", F.lit("."), F.col("event_id").cast("string")).alias("unique_id"),
         F.col("event_type").alias("status"), F.col("value").cast("double").alias("execution_time"),
         F.col("props").alias("message"))
     day = F.date_format("ts", "yyyy-MM-dd")
-    docs = (ev.groupBy("user_id", day.alias("day")).agg(F.collect_list(result).alias("results"))
+    part = F.floor(F.col("event_id") / RUN_NODES).alias("part")
+    return (ev.groupBy("user_id", day.alias("day"), part).agg(F.collect_list(result).alias("results"))
             .select(F.struct(
                 F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("invocation_id"),
                 F.concat("day", F.lit("T06:30:15.123Z")).alias("generated_at")).alias("metadata"),
                 "results"))
-    return node_rows(docs).withColumn("run_at", F.date_format("run_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+def _ledger_view(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("run_at", F.date_format("run_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+def ledger_rows(spark, sf_dir):
+    """Run-results documents of ``events`` through the ledger projection."""
+    return _ledger_view(node_rows(_run_documents(spark, sf_dir)))
+
+
+def ledger_stream(spark, sf_dir):
+    """The documents landed as files in two parts, then all of them again: each node once.
+
+    Every landing is drained by the ledger stream; ``held`` is the ledger's size after
+    each, and the last epoch is written twice, as after a failure.
+    """
+    with shared_folder(spark, "runs") as root:
+        name = f"quarry_ledger_{uuid.uuid4().hex[:12]}"
+        docs = _run_documents(spark, sf_dir).select(
+            "metadata.invocation_id", F.to_json(F.struct("metadata", "results")).alias("value"))
+        half = F.pmod(F.hash("invocation_id"), F.lit(2)) == 0
+        held = []
+        try:
+            for sent in (half, ~half, F.lit(True)):
+                docs.filter(sent).select("value").write.mode("append").text(f"{root}/in")
+                query = follow_runs(spark, f"{root}/in", name, f"{root}/state", multi_line=False)
+                query.awaitTermination()
+                if query.exception() is not None:
+                    raise RuntimeError(str(query.exception()))
+                spark.catalog.refreshTable(name)
+                held.append(spark.table(name).count())
+            again = spark.table(name).filter(F.col(BATCH) == "runs-1").drop(BATCH)
+            append_once(again.checkpoint(eager=True), name, "runs-1")
+            spark.catalog.refreshTable(name)
+            kept = spark.table(name).drop(BATCH).checkpoint(eager=True)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    first, *rest = held
+    return _ledger_view(kept).withColumns({"first_below_all": F.lit(first < held[-1]),
+                                           "second": F.lit(rest[0]), "third": F.lit(rest[1])})
+
+
+def contract_changes_q(spark, sf_dir):
+    """What a new ``orders`` relation changes against its agreed contract, and the rows it affects."""
+    orders = table(spark, sf_dir, "orders")
+    agreed = orders.select(
+        "o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus",
+        F.array(F.struct("o_custkey", "o_orderdate")).alias("lines"),
+        F.struct("o_orderstatus", F.struct("o_custkey").alias("customer")).alias("state"))
+    proposed = orders.select(
+        "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"), "o_orderstatus",
+        F.array(F.struct(F.col("o_custkey").cast("string").alias("o_custkey"),
+                         F.col("o_orderstatus").alias("o_flag"))).alias("lines"),
+        F.struct(F.col("o_orderstatus"), F.col("o_custkey").alias("customer")).alias("state"),
+        F.col("o_orderdate").alias("o_placed"))
+    name = f"quarry_contract_{uuid.uuid4().hex[:12]}"
+    checkpoint_dir(spark)
+    try:
+        versions_kept = [register_contract(spark, name, f.schema) for f in (orders, agreed, agreed)]
+        changes = contract_changes(spark, name, proposed.schema).checkpoint(eager=True)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}__contract")
+    held = agreed.agg(*[F.count(c).alias(c) for c in agreed.columns])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("rows")) for c in agreed.columns])
+    per_column = held.select(F.explode(rows).alias("h")).select("h.*")
+    column = F.regexp_extract("path", r"^[^.\[{]+", 0)
+    return (changes.join(F.broadcast(per_column), column == F.col("column"), "left")
+            .select("path", "change", "old_type", "new_type", "breaking",
+                    F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows_held"),
+                    F.lit(versions_kept[-1]).cast("bigint").alias("version")))
+
+
+def publish_group_roundtrip(spark, sf_dir):
+    """Two stored marts released together, a release that fails on its second mart, a rollback.
+
+    No release writes a row: published views stand on the marts' own files.
+    """
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    base = f"quarry_release_{uuid.uuid4().hex[:12]}"
+    marts = {f"{base}_{x}_out": f"{base}_{x}" for x in ("a", "b")}
+    out_a, out_b = marts
+    checkpoint_dir(spark)
+
+    def built(limit):
+        as_versioned(orders.filter(F.col("o_orderkey") % 4 < limit).select("o_orderkey", "o_custkey"),
+                     marts[out_a])
+        as_versioned(customers.filter(F.col("c_custkey") % 4 < limit).select("c_custkey"), marts[out_b])
+
+    def count(name):
+        return spark.table(name).count()
+
+    try:
+        built(4)
+        first = publish_group(spark, base, marts, source="orders")
+        own_files = set(spark.table(out_a).inputFiles()) <= set(spark.table(marts[out_a]).inputFiles())
+        built(2)
+        publish_group(spark, base, marts, source="orders")
+        second = count(out_a)
+        as_versioned(customers.filter("false").select("c_custkey"), marts[out_b])
+        as_versioned(orders.select("o_orderkey", "o_custkey").filter("o_orderkey % 4 = 3"), marts[out_a])
+        with contextlib.suppress(ValueError):
+            publish_group(spark, base, marts, source="orders")
+        failed = count(out_a)
+        rollback(spark, base)
+        kept = spark.table(out_a).checkpoint(eager=True)
+        customers_kept = count(out_b)
+    finally:
+        for published, mart in marts.items():
+            spark.sql(f"DROP VIEW IF EXISTS {published}")
+            _drop_versions(spark, mart)
+        spark.sql(f"DROP TABLE IF EXISTS {base}__releases")
+    return kept.withColumns({"first": F.lit(first[out_a]).cast("bigint"), "second": F.lit(second).cast("bigint"),
+                             "after_failure": F.lit(failed).cast("bigint"),
+                             "customers": F.lit(customers_kept).cast("bigint"), "own_files": F.lit(own_files)})
 
 
 def status_counts(spark, sf_dir):
@@ -705,6 +826,9 @@ QUERIES: dict[str, Query] = {
     "tag_count_mart": tag_count_mart,
     "tag_count_join": tag_count_join,
     "ledger_rows": ledger_rows,
+    "ledger_stream": ledger_stream,
+    "contract_changes": contract_changes_q,
+    "publish_group_roundtrip": publish_group_roundtrip,
     "status_counts": status_counts,
     "incremental_append": incremental_append,
     "publish_roundtrip": publish_roundtrip,
@@ -959,12 +1083,12 @@ def _oracle() -> dict[str, str]:
             WITH last AS (
                 SELECT *, CASE WHEN event_id % 7 = 0 THEN 'third' WHEN event_id % 5 = 0 THEN 'second'
                           ELSE 'first' END AS source,
-                       TIMESTAMP '1970-01-01 00:00:00' + to_seconds({EPOCH_BASE} + event_id * 977) AS at
+                       TIMESTAMP '1970-01-01 00:00:00' + to_seconds({EPOCH_BASE} + event_id * 977) AS seen
                 FROM events WHERE event_id % 7 = 0 OR event_id % 5 = 0 OR event_id % 3 <> 0),
             tags AS (
-                SELECT lower(trim(event_type)) AS tag, at FROM last
-                UNION ALL SELECT source || '-' || (user_id % 97), at FROM last)
-            SELECT tag, count(*) AS postings, min(at) AS first_seen_at, max(at) AS last_seen_at,
+                SELECT lower(trim(event_type)) AS tag, seen FROM last
+                UNION ALL SELECT source || '-' || (user_id % 97), seen FROM last)
+            SELECT tag, count(*) AS postings, min(seen) AS first_seen_at, max(seen) AS last_seen_at,
                    'full maintained maintained' AS modes
             FROM tags WHERE tag <> '' GROUP BY tag""",
         "stream_replay": f"""
@@ -1001,6 +1125,36 @@ def _oracle() -> dict[str, str]:
                    CAST(coalesce(value, 0) AS DOUBLE) AS execution_time,
                    left(coalesce(props, ''), 400) AS message,
                    strftime(ts, '%Y-%m-%d') || ' 06:30:15' AS run_at FROM events""",
+        "ledger_stream": """
+            SELECT 'run-' || CAST(user_id AS VARCHAR) AS invocation_id,
+                   event_type || '.' || CAST(event_id AS VARCHAR) AS node,
+                   event_type AS resource_type, event_type AS status,
+                   CAST(coalesce(value, 0) AS DOUBLE) AS execution_time,
+                   left(coalesce(props, ''), 400) AS message,
+                   strftime(ts, '%Y-%m-%d') || ' 06:30:15' AS run_at, true AS first_below_all,
+                   (SELECT count(*) FROM events) AS second, (SELECT count(*) FROM events) AS third
+            FROM events""",
+        "contract_changes": """
+            WITH c(path, change, old_type, new_type, breaking) AS (VALUES
+                ('o_totalprice', 'retyped', 'double', 'decimal(18,2)', true),
+                ('o_orderpriority', 'removed', 'string', NULL, true),
+                ('o_placed', 'added', NULL, (SELECT CASE WHEN typeof(any_value(o_orderdate)) LIKE '%TIME ZONE%'
+                    THEN 'timestamp' ELSE 'timestamp_ntz' END FROM orders), false),
+                ('lines[].o_custkey', 'retyped', 'bigint', 'string', true),
+                ('lines[].o_orderdate', 'removed', (SELECT CASE WHEN typeof(any_value(o_orderdate)) LIKE
+                    '%TIME ZONE%' THEN 'timestamp' ELSE 'timestamp_ntz' END FROM orders), NULL, true),
+                ('lines[].o_flag', 'added', NULL, 'string', false),
+                ('state.customer', 'retyped', 'struct', 'bigint', true))
+            SELECT *, CASE path WHEN 'o_totalprice' THEN (SELECT count(o_totalprice) FROM orders)
+                       WHEN 'o_orderpriority' THEN (SELECT count(o_orderpriority) FROM orders)
+                       WHEN 'o_placed' THEN 0 ELSE (SELECT count(*) FROM orders) END AS rows_held,
+                   CAST(2 AS BIGINT) AS version FROM c""",
+        "publish_group_roundtrip": """
+            SELECT o_orderkey, o_custkey, (SELECT count(*) FROM orders) AS first,
+                   (SELECT count(*) FROM orders WHERE o_orderkey % 4 < 2) AS second,
+                   (SELECT count(*) FROM orders WHERE o_orderkey % 4 < 2) AS after_failure,
+                   (SELECT count(*) FROM customer) AS customers, true AS own_files
+            FROM orders""",
         "status_counts": """
             SELECT event_type AS status, count(*) AS n FROM events GROUP BY event_type""",
         "incremental_append": """

@@ -6,10 +6,12 @@ import os
 import pytest
 from pyspark.sql.types import StructType
 
-from quarry.operators.contract import breaking_changes, contract_diff
+from quarry.operators.contract import (agreed_contract, breaking_changes, contract_changes,
+                                       contract_diff, register_contract)
 from quarry.sinks.materialize import append_ledger
 from quarry.sources.run_results import read_run_results, summarise
 from quarry.sources.tables import read_nonempty
+from quarry.streaming.ledger import append_once, follow_runs
 
 DOC = {
     "metadata": {"invocation_id": "abc", "generated_at": "2026-08-12T06:00:00.123456Z"},
@@ -94,3 +96,57 @@ def test_bucketed_write_leaves_one_file_per_bucket(spark):
         assert len(files) == 4, name
         assert table.count() == 4000
         assert table.groupBy("key").count().count() == 500
+
+
+def _stored(spark, name):
+    spark.catalog.refreshTable(name)
+    return sorted((r["invocation_id"], r["node"], str(r["run_at"]), r["batch"]) for r in spark.table(name).collect())
+
+
+def test_ledger_stream_holds_each_node_once(spark, tmpdir_path):
+    """Documents landed twice, an epoch run again, a stream started anew: one row per node and run."""
+    folder, name = os.path.join(tmpdir_path, "runs"), "ops.ledger_once"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    drain = lambda state, stream="runs": follow_runs(
+        spark, folder, name, os.path.join(tmpdir_path, state), stream).awaitTermination()
+    _write(os.path.join(folder, "one.json"), json.dumps(DOC, indent=2))
+    _write(os.path.join(folder, "bad.json"), "{not json")
+    drain("state")
+    first = _stored(spark, name)
+    assert [r[1] for r in first] == sorted(r["unique_id"] for r in DOC["results"])
+    assert {r[3] for r in first} == {"runs-0"}
+    _write(os.path.join(folder, "copy.json"), json.dumps(DOC))
+    later = dict(DOC, metadata={"generated_at": "2026-08-13T06:00:00Z"})
+    _write(os.path.join(folder, "two.json"), json.dumps(later))
+    drain("state")
+    both = _stored(spark, name)
+    assert both[:3] == first and len(both) == 6 and {r[0] for r in both[3:]} == {"unknown"}
+    drain("state-new", "again")
+    assert _stored(spark, name) == both
+    rows = spark.table(name).filter("batch = 'runs-1'").drop("batch").checkpoint(eager=True)
+    append_once(rows.unionByName(rows), name, "runs-1")  # the epoch run again
+    assert _stored(spark, name) == both
+    append_once(rows.limit(0), name, "nothing")
+    assert _stored(spark, name) == both
+
+
+def test_nested_contract_changes(spark):
+    old = StructType.fromDDL("a struct<b: int, c: array<struct<d: string, e: int>>>, m map<string, int>, "
+                             "gone struct<x: int>, n int not null, same string")
+    new = StructType.fromDDL("a struct<b: bigint, c: array<struct<d: string, f: int>>, g: int>, "
+                             "m map<string, string>, n int, same string, fresh struct<y: int>")
+    found = {r["column_name"]: (r["change"], r["breaking"]) for r in contract_diff(spark, old, new).collect()}
+    assert found == {
+        "a.b": ("retyped", True), "a.c[].e": ("removed", True), "a.c[].f": ("added", False),
+        "a.g": ("added", False), "m{value}": ("retyped", True), "gone": ("removed", True),
+        "n": ("may be null now", True), "fresh": ("added", False)}
+    assert breaking_changes(spark, old, new) == [
+        "retyped a.b: int -> bigint", "removed a.c[].e", "retyped m{value}: int -> string", "removed gone"]
+
+
+def test_contract_versions_are_kept(spark):
+    spark.sql("DROP TABLE IF EXISTS reg__contract")
+    one, two = StructType.fromDDL("a int, b string"), StructType.fromDDL("a int, b string, c double")
+    assert [register_contract(spark, "reg", s) for s in (one, one, two, two, one)] == [1, 1, 2, 2, 3]
+    assert {r["path"] for r in agreed_contract(spark, "reg", 2).collect()} == {"a", "b", "c"}
+    assert [tuple(r)[:2] for r in contract_changes(spark, "reg", two).collect()] == [("c", "added")]

@@ -6,8 +6,11 @@ from decimal import Decimal
 
 import pytest
 
-from quarry.sinks.publish import (column_ddl, provenance, publish_jdbc, publish_projection,
+from quarry.sinks import releases
+from quarry.sinks.materialize import as_versioned
+from quarry.sinks.publish import (ContractBroken, column_ddl, provenance, publish_jdbc, publish_projection,
                                   publish_table, target_type)
+from quarry.sinks.releases import publish_group
 
 NOW = dt.datetime(2026, 8, 13, 11, 2, 30, tzinfo=dt.UTC)
 F6_DDL = ("posting_id string, jobs_posted bigint, remote_pct decimal(5,1), is_remote boolean, "
@@ -146,3 +149,64 @@ def test_contract_guard_refuses_breaking_change(spark):
     with pytest.raises(ContractBroken, match="removed tags"):
         publish_table(spark, narrower, "pub_contract", check_contract=True)
     assert "salary_band" in spark.table("pub_contract").columns
+
+
+def _released(spark, tmp, name, values):
+    return as_versioned(spark.createDataFrame([(v,) for v in values], "v int"), name)
+
+
+def test_a_group_is_released_whole_or_not_at_all(spark, monkeypatch):
+    marts = {"rel_a_out": "rel_a", "rel_b_out": "rel_b"}
+    read = lambda n: sorted(r["v"] for r in spark.table(n).collect())
+    for k, name in enumerate(marts.values()):
+        _released(spark, None, name, [k, 10 + k])
+    assert publish_group(spark, "rel", marts, source="s", now=NOW) == {"rel_a_out": 2, "rel_b_out": 2}
+    assert _comment(spark, "rel_a_out") == ["from s at 2026-08-13T11:02Z"]
+    # published views stand on the mart's own files: nothing was written
+    assert spark.table("rel_a_out").inputFiles() == spark.table("rel_a").inputFiles()
+    _released(spark, None, "rel_a", [7])
+    _released(spark, None, "rel_b", [])
+    with pytest.raises(ValueError, match="no rows"):
+        publish_group(spark, "rel", marts)
+    assert read("rel_a_out") == [0, 10]
+    # builds go on; what is published is kept until no release names it
+    for v in (8, 9):
+        for name in marts.values():
+            _released(spark, None, name, [v])
+    assert read("rel_a_out") == [0, 10]
+    publish_group(spark, "rel", marts)
+    assert read("rel_a_out") == read("rel_b_out") == [9]
+    # a swap that fails in between takes back the one before it
+    for name in marts.values():
+        _released(spark, None, name, [11])
+    real = releases._move
+
+    def fails(session, row):
+        if row["published"] == "rel_b_out" and "rel_b__v" in row["version"] and not failed:
+            failed.append(1)
+            raise RuntimeError("lost the catalog")
+        real(session, row)
+
+    failed = []
+    monkeypatch.setattr(releases, "_move", fails)
+    with pytest.raises(RuntimeError, match="lost the catalog"):
+        publish_group(spark, "rel", marts)
+    assert read("rel_a_out") == read("rel_b_out") == [9]
+    monkeypatch.setattr(releases, "_move", real)
+    assert releases.rollback(spark, "rel") == 1
+    assert read("rel_a_out") == [0, 10] and read("rel_b_out") == [1, 11]
+    assert releases.rollback(spark, "rel") == 2
+    assert read("rel_a_out") == [9]
+
+
+def test_a_group_refuses_broken_contracts_and_plain_tables(spark):
+    _released(spark, None, "rel_c", [1])
+    publish_group(spark, "relc", {"rel_c_out": "rel_c"})
+    as_versioned(spark.createDataFrame([("x",)], "v string"), "rel_c")
+    with pytest.raises(ContractBroken):
+        publish_group(spark, "relc", {"rel_c_out": "rel_c"})
+    spark.range(3).write.mode("overwrite").saveAsTable("rel_plain")
+    with pytest.raises(releases.NotStored):
+        publish_group(spark, "relp", {"rel_plain_out": "rel_plain"})
+    with pytest.raises(ValueError, match="no release"):
+        releases.rollback(spark, "relp")
