@@ -42,6 +42,7 @@ from ..sinks.releases import publish_group, rollback
 from ..session import checkpoint_dir, shared_folder
 from ..sources.landing import unwrap
 from ..sources.run_results import node_rows, summarise
+from ..sources.split_payloads import split_payloads
 from ..sources.tables import spread
 from ..streaming.latest import newest_by_max, run_to_table
 from ..streaming.ledger import BATCH, append_once, follow_runs
@@ -518,6 +519,35 @@ def payload_records(spark, sf_dir):
     return unwrap(payloads, "payload", keep=("conv_id", "turn"))
 
 
+CONVERSATIONS_PER_FILE = 500
+
+
+def payload_split(spark, sf_dir):
+    """S1 over payload files of many records each, lists and wrapped lists, cut by many tasks.
+
+    Every file holds the turns of 500 conversations, after a first element ``null``.
+    """
+    conv = table(spark, sf_dir, "conversations")
+    s = F.lit
+    record = F.concat(s(',{"conv_id":'), F.col("conv_id").cast("string"), s(',"turn":'),
+                      F.col("turn").cast("string"), s(',"role":'),
+                      F.coalesce(F.concat(s('"'), F.col("role"), s('"')), s("null")), s(',"in":{"n":["}"]}}'))
+    turns = conv.select(F.floor(F.col("conv_id") / CONVERSATIONS_PER_FILE).alias("k"), s(1).alias("part"),
+                        "conv_id", "turn", record.alias("value"))
+    wrapped = F.col("k") % 2 == 1
+    edges = turns.select("k").distinct().select("k", F.explode(F.array(
+        F.struct(s(0).alias("part"), F.when(wrapped, '{"meta":{"n":[1]},"data":[null').otherwise("[null").alias("value")),
+        F.struct(s(2).alias("part"), F.when(wrapped, '],"z":{}}').otherwise("]").alias("value")))).alias("e"))
+    lines = turns.unionByName(edges.select("k", "e.part", s(0).cast("bigint").alias("conv_id"),
+                                           s(0).cast("bigint").alias("turn"), "e.value"))
+    with shared_folder(spark, "payloads") as root:
+        (lines.repartition("k").sortWithinPartitions("k", "part", "conv_id", "turn").select("k", "value")
+         .write.partitionBy("k").text(f"{root}/in"))
+        found = split_payloads(spark, f"{root}/in").checkpoint(eager=True)
+    file = F.regexp_extract("source_file", r"/k=([0-9]+)/", 1).cast("bigint")
+    return found.select(file.alias("file"), "position", "raw")
+
+
 def validation_gate(spark, sf_dir):
     return gate_counts(gate(_raw_records(spark, sf_dir)))
 
@@ -846,6 +876,7 @@ QUERIES: dict[str, Query] = {
     "incremental_union": incremental_union,
     "incremental_calls": incremental_calls,
     "payload_records": payload_records,
+    "payload_split": payload_split,
     "validation_gate": validation_gate,
     "rejects": rejects_q,
     "dq_not_null": dq_not_null,
@@ -1224,6 +1255,13 @@ def _oracle() -> dict[str, str]:
               (SELECT DISTINCT p_name AS title FROM part WHERE p_size < 2) s
             UNION ALL
             SELECT title, {title_case} AS discipline FROM ({_NEW_TITLES}) n""",
+        "payload_split": f"""
+            WITH t AS (
+                SELECT conv_id // {CONVERSATIONS_PER_FILE} AS file, conv_id, turn,
+                       '{{"conv_id":' || conv_id || ',"turn":' || turn || ',"role":'
+                       || coalesce('"' || role || '"', 'null') || ',"in":{{"n":["}}"]}}}}' AS raw FROM conversations)
+            SELECT file, (row_number() OVER (PARTITION BY file ORDER BY conv_id, turn))::INTEGER AS position, raw FROM t
+            UNION ALL SELECT DISTINCT file, 0, 'null' FROM t""",
         "payload_records": """
             WITH p AS (
               SELECT conv_id, turn,
