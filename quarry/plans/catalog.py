@@ -32,8 +32,11 @@ from ..operators.validate import gate, gate_counts, rejects
 from ..plans.marts import popularity_into
 from ..plans.postings import newest, postings_mart, rename_raw, stage
 from ..plans.staging import merge_newest, stage_into
+from ..plans.summaries import (distinct_estimates, summarised, summary_report,
+                               summary_verification)
 from ..plans.title_labels import BatchesUnanswered, label_titles
-from ..sinks.buckets import drop_buckets, manifest, stored_in_buckets
+from ..sinks.buckets import (drop_buckets, manifest, only, stored_in_buckets, touched_buckets,
+                             write_buckets)
 from ..sinks.landing import land_raw, source_root
 from ..sinks.materialize import (ADDED, GONE, append_unseen, as_versioned, current_version,
                                  deltas, versions)
@@ -614,6 +617,43 @@ def dq_report(spark, sf_dir):
     return dq.run_checks(_report_checks(spark, sf_dir))
 
 
+def checks_after_append(spark, sf_dir):
+    """The check report of ``orders`` from figures kept per bucket, after one row was added.
+
+    The added row repeats the first order's key, without a priority: the second report
+    reads that key's bucket alone (``buckets_read``) and equals a report of everything.
+    """
+    orders = table(spark, sf_dir, "orders")
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    base = f"quarry_checked_{uuid.uuid4().hex[:12]}"
+    name, other = f"{base}_orders", f"{base}_items"
+    asked = dict(key="o_orderkey", at="o_orderdate", sketched=["o_custkey"], parent=other, parent_key="l_orderkey")
+    checkpoint_dir(spark)
+    try:
+        version = write_buckets(orders, name, "o_orderkey")
+        write_buckets(items, other, "l_orderkey")
+        summarised(spark, name, **asked)
+        first = orders.agg(F.min("o_orderkey").alias("least"))
+        again = (orders.join(F.broadcast(first), F.col("o_orderkey") == F.col("least")).select(orders.columns)
+                 .withColumn("o_orderpriority", F.lit(None).cast("string")).checkpoint(eager=True))
+        touched = touched_buckets(again, "o_orderkey", len(manifest(spark, name, version)))
+        write_buckets(only(spark, version, touched).unionByName(again), name, "o_orderkey",
+                      previous=version, touched=touched)
+        figures, read = summarised(spark, name, **asked)
+        figures = figures.checkpoint(eager=True)
+    finally:
+        for t in (name, other):
+            drop_buckets(spark, t)
+        _drop_versions(spark, f"{name}__summary")
+    exact = orders.agg(F.countDistinct("o_custkey")).first()[0]
+    bounds = distinct_estimates(figures).first()
+    whole = summary_verification(figures).select("rows", "ids", "days_covered", "dedup_held").first()
+    told = {c: F.lit(v) for c, v in whole.asDict().items()}
+    return summary_report(figures, "orders", "o_orderkey").withColumns(
+        {"buckets_read": F.lit(read), **told,
+         "estimate_in_bounds": F.lit(bounds["low"] <= exact <= bounds["high"])})
+
+
 # ---------------------------------------------------------------- ops metrics
 
 def freshness_q(spark, sf_dir):
@@ -886,6 +926,7 @@ QUERIES: dict[str, Query] = {
     "dq_not_in_future": dq_not_in_future,
     "dq_not_empty": dq_not_empty,
     "dq_report": dq_report,
+    "checks_after_append": checks_after_append,
     "freshness": freshness_q,
     "verify_publish": verify_publish,
     "reconcile_counts": reconcile_counts_q,
@@ -1314,6 +1355,28 @@ def _oracle() -> dict[str, str]:
               (SELECT count(*) AS n FROM lineitem WHERE l_orderkey NOT IN
                  (SELECT o_orderkey FROM orders)) c
             WHERE c.n = 0""",
+        "checks_after_append": """
+            WITH o AS (SELECT * FROM orders UNION ALL
+                       SELECT * REPLACE (NULL AS o_orderpriority) FROM orders
+                       WHERE o_orderkey = (SELECT min(o_orderkey) FROM orders)),
+            c AS (
+                SELECT 'not_null_orders_o_orderkey' AS check_name, count(*) FILTER (o_orderkey IS NULL) AS failures FROM o
+                UNION ALL SELECT 'not_null_orders_o_custkey', count(*) FILTER (o_custkey IS NULL) FROM o
+                UNION ALL SELECT 'not_null_orders_o_orderstatus', count(*) FILTER (o_orderstatus IS NULL) FROM o
+                UNION ALL SELECT 'not_null_orders_o_totalprice', count(*) FILTER (o_totalprice IS NULL) FROM o
+                UNION ALL SELECT 'not_null_orders_o_orderdate', count(*) FILTER (o_orderdate IS NULL) FROM o
+                UNION ALL SELECT 'not_null_orders_o_orderpriority', count(*) FILTER (o_orderpriority IS NULL) FROM o
+                UNION ALL SELECT 'unique_orders_o_orderkey', count(*) FROM
+                    (SELECT o_orderkey FROM o WHERE o_orderkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1)
+                UNION ALL SELECT 'relationships_orders_o_orderkey', count(*) FROM o
+                    WHERE o_orderkey IS NOT NULL AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+                UNION ALL SELECT 'not_empty_orders', CASE WHEN count(*) > 0 THEN 0 ELSE 1 END FROM o)
+            SELECT check_name, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status, failures,
+                   1 AS buckets_read, (SELECT count(*) FROM o) AS rows,
+                   (SELECT count(DISTINCT o_orderkey) FROM o) AS ids,
+                   (SELECT count(DISTINCT CAST(o_orderdate AS DATE)) FROM o) AS days_covered,
+                   false AS dedup_held, true AS estimate_in_bounds
+            FROM c""",
         "dq_report": f"""
             WITH checks AS (
               SELECT 'not_null_part_p_name' AS check_name,

@@ -1,5 +1,6 @@
 """Copy-on-write staging (K4) and maintained marts (A1, A2) against builds from scratch."""
 
+import datetime as dt
 import os
 import random
 import shutil
@@ -12,6 +13,10 @@ from quarry.plans.marts import (MAINTAINED, changed_rows, popularity_after, popu
 from quarry.plans.postings import (POPULARITY_COLUMNS, STAGING_COLUMNS, build, posting_tags,
                                    postings_mart, stage, tag_popularity_mart)
 from quarry.plans.staging import stage_into
+from quarry.operators.aggregates import duplicate_groups
+from quarry.operators.joins import orphans
+from quarry.plans.summaries import (SKETCH_ERROR, distinct_estimates, summarised, summary_report,
+                                    summary_verification)
 from quarry.sinks import buckets
 from quarry.sources.landing import read_landing
 
@@ -150,3 +155,46 @@ def test_build_maintains_its_marts(spark, tmpdir_path):
     pop = {r["tag"]: r["postings"] for r in b.popularity.collect()}
     assert pop == {"sql": 39, "python": 39, "new": 1}
     assert b.enriched.count() == 40
+
+
+def test_figures_per_bucket_equal_the_checks_over_everything(spark):
+    """Random changes to two tables: each time the kept figures equal those of the whole tables,
+    and only buckets of which either side changed are read."""
+    rng = random.Random(3)
+    schema, n = "k bigint, v string, at timestamp", 5
+    make = lambda m: spark.createDataFrame(
+        [(rng.choice([None, *range(40)]), rng.choice([None, *"abcdefgh"]),
+          dt.datetime(2026, 8, rng.randrange(1, 9), rng.randrange(24))) for _ in range(m)], schema)
+    buckets.drop_buckets(spark, "fig_a"), buckets.drop_buckets(spark, "fig_b")
+    spark.sql("DROP VIEW IF EXISTS fig_a__summary")
+    rows, parents = make(200), spark.range(0, 40, 2).withColumnRenamed("id", "p")
+    version = buckets.write_buckets(rows, "fig_a", "k", n)
+    buckets.write_buckets(parents, "fig_b", "p", n)
+    asked = dict(key="k", at="at", sketched=["v"], parent="fig_b", parent_key="p")
+    for step in range(4):
+        figures, read = summarised(spark, "fig_a", **asked)
+        stored = spark.table("fig_a")
+        want = {"not_null_fig_k": stored.filter("k IS NULL").count(), "not_null_fig_v": stored.filter("v IS NULL").count(),
+                "not_null_fig_at": 0, "unique_fig_k": duplicate_groups(stored, ["k"]).count(),
+                "relationships_fig_k": orphans(stored, "k", spark.table("fig_b"), "p")
+                .agg(F.coalesce(F.sum("rows_found"), F.lit(0))).first()[0], "not_empty_fig": 0}
+        assert {r["check_name"]: r["failures"] for r in summary_report(figures, "fig", "k").collect()} == want
+        whole = stored.agg(F.count(F.lit(1)), F.countDistinct("k"), F.max("at"), F.countDistinct(F.to_date("at")))
+        assert tuple(summary_verification(figures).first())[:4] == tuple(whole.first())
+        assert distinct_estimates(figures).first()["estimate"] == 8
+        assert read == (n if step == 0 else len(changed))
+        assert summarised(spark, "fig_a", **asked)[1] == 0
+        some = make(2)
+        changed = buckets.touched_buckets(some, "k", n)
+        version = buckets.write_buckets(buckets.only(spark, version, changed).unionByName(some), "fig_a", "k",
+                                        previous=version, touched=changed)
+
+
+def test_sketches_keep_their_error(spark):
+    rows = spark.range(60_000).selectExpr("id % 997 AS k", "CAST(id % 20000 AS STRING) AS v", "id % 50 AS w")
+    buckets.drop_buckets(spark, "fig_s")
+    buckets.write_buckets(rows, "fig_s", "k", 4)
+    figures, _ = summarised(spark, "fig_s", "k", sketched=["v", "w"])
+    found = {r["column"]: r for r in distinct_estimates(figures).collect()}
+    assert found["v"]["low"] <= 20_000 <= found["v"]["high"] and found["w"]["low"] <= 50 <= found["w"]["high"]
+    assert abs(found["v"]["estimate"] - 20_000) <= 20_000 * 3 * SKETCH_ERROR
