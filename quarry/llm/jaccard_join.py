@@ -18,7 +18,8 @@ on the sets. In families that still hold several components, the nodes' count
 vectors are points in an R-tree: the sum over coordinates of the smaller of a
 point's count and a box's largest count bounds the overlap from above, and boxes and
 points that cannot reach the threshold are cut. Surviving pairs of different
-components are verified. Pairs inside a component are never listed.
+components are verified in that task, and only links that join two components leave it:
+fewer than it holds nodes. Pairs inside a component are never listed.
 
 A large family is split into chunks that meet pairwise, so no task holds more than
 two chunks of it. 64-bit hashes stand for shingles and sets; a wrong link needs a
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import bounded_broadcast
@@ -43,9 +44,9 @@ WORDS = 4
 PERCENT = 85
 LEAST_GROUPS, MOST_GROUPS = 64, 4096  # coordinates of a count vector: about half the set's size
 FULL = 255          # a count of FULL stands for that many or more
-CHUNK_NODES = 2048  # nodes of a block that one side of a task holds
+CHUNK_NODES = 2048  # nodes of a family that one side of a task holds
+CHUNK_SHINGLES = 1 << 21  # shingles of them (16 MB)
 LEAF = 16           # entries of an R-tree node
-NEAR_PERCENT = 60   # bound from which two families are searched as one
 
 
 def set_rows(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,7 +124,7 @@ def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.List
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """``(__id, n_shingles, node, keys)`` of every whole text; ``node`` names its set."""
+    """``(__id, text_hash, n_shingles, node, keys)`` of every whole text; ``node`` names its set."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for low, high in _text.chunks(part.column(1)):
@@ -135,15 +136,20 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
                 owner, keys = group_keys(rows, found, n, percent)
                 order = np.argsort(owner, kind="stable")
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).slice(low, n), pa.array(size, pa.int64()),
+                    [part.column(0).slice(low, n), part.column(2).slice(low, n), pa.array(size, pa.int64()),
                      pa.array(_text.signed(node)),
                      _lists(_text.signed(keys[order]), np.bincount(owner, minlength=n), pa.int64())],
-                    names=["__id", "n_shingles", "node", "keys"])
+                    names=["__id", "text_hash", "n_shingles", "node", "keys"])
 
     rows = docs.select(F.col(f"`{id_col}`").alias("__id"),
-                       F.col(f"`{text_col}`").cast("string").alias("__text"))
+                       F.col(f"`{text_col}`").cast("string").alias("__text"), text_hash(text_col).alias("__hash"))
     kind = rows.schema["__id"].dataType.simpleString()
-    return rows.mapInArrow(batches, f"__id {kind}, n_shingles bigint, node bigint, keys array<bigint>")
+    return rows.mapInArrow(batches, f"__id {kind}, text_hash bigint, n_shingles bigint, node bigint, "
+                                    "keys array<bigint>")
+
+
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.col(f"`{text_col}`").cast("string"))
 
 
 def count_vector(found: np.ndarray) -> np.ndarray:
@@ -266,29 +272,40 @@ class CountTree:
         return query[keep], node[keep]
 
 
-def _tree_pairs(percent: int):
-    """Arrow function over chunk pairs sorted by (family, first, second): surviving pairs."""
+def _tree_links(percent: int):
+    """Arrow function over chunk pairs sorted by (family, first, second): joining links.
+
+    The tree names pairs of different components that may reach the threshold; they are
+    verified on the sets here, and only links that join two components leave.
+    """
     def of(table: pa.Table) -> pa.RecordBatch:
         node = table.column("node").to_numpy()
-        root = table.column("root").to_numpy()
         size = table.column("size").to_numpy()
-        chunk = table.column("chunk").to_numpy()
-        first, second = table.column("first")[0].as_py(), table.column("second")[0].as_py()
         points = folded(table.column("counts").to_pylist())
-        left = np.flatnonzero(chunk == first)
-        right = np.flatnonzero(chunk == second)
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        if len(left) and len(right):
-            tree = CountTree(points[right], size[right])
-            for q, entry in tree.search(points[left], size[left], percent):
-                i, j = left[q], right[entry]
-                apart = root[i] != root[j]
-                if first == second:
-                    apart &= node[i] < node[j]
-                a.append(np.minimum(node[i[apart]], node[j[apart]]))
-                b.append(np.maximum(node[i[apart]], node[j[apart]]))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))],
-                                          names=["a", "b"])
+        sets = [np.frombuffer(x, U64) for x in table.column("shingles").to_pylist()]
+        _, group, counts = np.unique(table.column("root").to_numpy(), return_inverse=True, return_counts=True)
+        parent = list(range(len(counts)))
+
+        def top(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        # The largest component is searched by all others, never by itself.
+        asking = np.flatnonzero(group != np.argmax(counts))
+        found = []
+        for q, entry in CountTree(points, size).search(points[asking], size[asking], percent):
+            first = asking[q]
+            apart = (group[first] != group[entry]) & ((first < entry) | (group[entry] == np.argmax(counts)))
+            for i, j in zip(first[apart].tolist(), entry[apart].tolist()):
+                x, y = top(group[i]), top(group[j])
+                if x != y:
+                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                        parent[x] = y
+                        found.append((node[i], node[j]))
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -361,53 +378,41 @@ def verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         batches, "a bigint, b bigint")
 
 
-def joined_families(families: DataFrame, scored: DataFrame, percent: int) -> DataFrame:
-    """Families whose smallest node is near another family's smallest node are one.
-
-    A family moves to the smallest such family only (one step, no chains), so that
-    the same pairs are not searched once per smallest node of a group of near copies.
-    """
-    near = scored.filter(100 * F.col("bound") >= percent * (F.col("total") - F.col("bound")))
-    target = (near.select(F.col("a").alias("target"), F.col("b").alias("family"))
-              .groupBy("family").agg(F.min("target").alias("target")))
-    return (families.join(target, "family", "left")
-            .select(F.coalesce("target", "family").alias("family"), "node").distinct())
-
-
-def residual_pairs(families: DataFrame, roots: DataFrame, members: DataFrame, percent: int,
+def residual_links(families: DataFrame, roots: DataFrame, members: DataFrame, percent: int,
                    chunk_nodes: int = CHUNK_NODES) -> DataFrame:
-    """R-tree pairs of different components inside families that still hold several.
+    """Links that join components inside families that still hold several.
 
-    A family larger than ``chunk_nodes`` is dealt in chunks; every two chunks of it
-    meet in a task of their own.
+    A family of two was compared whole with its smallest node. One of more than
+    ``chunk_nodes`` nodes or ``CHUNK_SHINGLES`` shingles is dealt in chunks; every two
+    chunks of it meet in a task of their own. A chunk pair gives fewer links than it has
+    nodes, however many of its pairs are near.
     """
     known = (families.join(roots, "node", "left")
-             .select("family", "node", F.coalesce("root", "node").alias("root")))
+             .select("family", "node", F.coalesce("root", "node").alias("root"))
+             .join(members.select("node", "size"), "node"))
     open_ones = (known.groupBy("family").agg(
-        F.count(F.lit(1)).alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-        .filter("r0 != r1").select("family", F.ceil(F.col("n") / chunk_nodes).alias("chunks")))
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"),
+        F.min("root").alias("r0"), F.max("root").alias("r1"))
+        .filter("r0 != r1 AND n > 2")
+        .select("family", F.ceil(F.greatest(F.col("n") / chunk_nodes,
+                                            F.col("shingles") / CHUNK_SHINGLES)).alias("chunks")))
     dealt = (known.join(open_ones, "family")
              .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
-             .select("family", "node", "root", "chunk",
-                     F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+             # Every two chunks meet; the only chunk of a family meets nobody.
+             .select("family", "node", "root", "chunk", F.explode(
+                 F.when(F.col("chunks") == 1, F.array(F.lit(0).cast("bigint"))).otherwise(F.array_remove(
+                     F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1), F.col("chunk")))).alias("other"))
              .select("family", F.least("chunk", "other").alias("first"),
-                     F.greatest("chunk", "other").alias("second"), "chunk", "node", "root"))
-    dealt = dealt.join(members.select("node", "size", "counts").hint("merge"), "node")
+                     F.greatest("chunk", "other").alias("second"), "node", "root"))
+    dealt = dealt.join(members.hint("merge"), "node")
     tasks = (dealt.repartition("family", "first", "second")
              .sortWithinPartitions("family", "first", "second"))
-    return tasks.mapInArrow(_tree_pairs(percent), "a bigint, b bigint").distinct()
+    return tasks.mapInArrow(_tree_links(percent), "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, scratch, id_col: str = "doc_id", text_col: str = "text",
-                    words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: ``(id, n_shingles, component_id)``.
-
-    ``component_id`` is the smallest id reachable over links, the document itself
-    included. Texts without words (NULL, empty) have no shingles, no links and
-    their own id. Rows without an id take part, lend no id, and get the component's
-    (NULL if none has one). Repeated rows keep a row each; other columns are
-    ignored; an empty table gives no rows.
-    """
+def classified(docs: DataFrame, scratch, id_col: str, text_col: str, words: int, percent: int
+               ) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows, and ``(node, root)`` of every set."""
     rows = scratch.save(signatures(docs, id_col, text_col, words, percent))
     nodes = scratch.save(rows.filter("n_shingles > 0").groupBy("node").agg(
         F.min("__id").alias("__id")))
@@ -428,16 +433,55 @@ def near_duplicates(docs: DataFrame, scratch, id_col: str = "doc_id", text_col:
     possible = scored.filter(F.col("bound") * (100 + percent) >= percent * F.col("total"))
     links = scratch.save(verified(possible, members, percent))
     roots = scratch.save(components(links, scratch))
-    wide = scratch.save(joined_families(families, scored, NEAR_PERCENT))
-    pairs = scratch.save(residual_pairs(wide, roots, members, percent))
-    more = scratch.save(verified(pairs, members, percent))
+    more = scratch.save(residual_links(families, roots, members, percent))
     whole = scratch.save(components(links.unionByName(more), scratch))
-    # Smallest document id per component, then back to every document.
-    placed = (nodes.join(whole, "node", "left")
-              .select("node", "__id", F.coalesce("root", "node").alias("root")))
+    return rows, nodes.join(whole, "node", "left").select(
+        "node", "__id", F.coalesce("root", "node").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, scratch, id_col: str = "doc_id", text_col: str = "text",
+                    words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per document: ``(id, n_shingles, component_id)``.
+
+    ``component_id`` is the smallest id reachable over links, the document itself
+    included. Texts without words (NULL, empty) have no shingles, no links and
+    their own id. Rows without an id take part, lend no id, and get the component's
+    (NULL if none has one). Repeated rows keep a row each; other columns are
+    ignored; an empty table gives no rows.
+    """
+    rows, placed = classified(docs, scratch, id_col, text_col, words, percent)
     names = placed.groupBy("root").agg(F.min("__id").alias("component_id"))
     classes = placed.join(names, "root").select("node", "component_id")
     return (rows.select("__id", "n_shingles", "node").join(classes, "node", "left")
             .select(F.col("__id").alias(id_col), "n_shingles",
                     F.when(F.col("n_shingles") > 0, F.col("component_id"))
                     .otherwise(F.col("__id")).alias("component_id")))
+
+
+def keep_one(docs: DataFrame, scratch, id_col: str = "doc_id", text_col: str = "text",
+             words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of every group of near copies, its columns unchanged.
+
+    The row of smallest id stays (a row without an id only if its group has none; ties
+    by the hash of the text, then of the whole row), so rows of one id are judged each by
+    their own text, and no text leaves without a near copy that stays. Texts without
+    words are copies of nothing: all of them stay. An empty table gives no rows.
+    """
+    rows, placed = classified(docs, scratch, id_col, text_col, words, percent)
+    ordered = F.struct(F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"),
+                       F.col("text_hash").alias("hash"))
+    members = (rows.filter("n_shingles > 0").join(placed.select("node", "root"), "node")
+               .groupBy("root", ordered.alias("row")).agg(F.count(F.lit(1)).alias("copies")))
+    members = scratch.save(members)
+    best = members.groupBy("root").agg(F.min("row").alias("best"))
+    judged = scratch.save(members.join(best, "root").select(
+        "row.id", "row.hash", F.when(F.col("row") == F.col("best"), F.col("copies")).otherwise(0).alias("copies"))
+        .filter("copies != 1"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col(f"`{id_col}`").alias("doc"), text_hash(text_col).alias("text_hash"))
+    marked = packed.join(bounded_broadcast(judged), F.col("doc").eqNullSafe(F.col("id"))
+                         & (F.col("text_hash") == F.col("hash")), "left")
+    # Rows repeated whole or in id and text: the one of smallest hash.
+    whole = Window.partitionBy("doc", "text_hash").orderBy(F.xxhash64("row"))
+    once = marked.filter("copies > 1").withColumn("nth", F.row_number().over(whole)).filter("nth = 1")
+    return marked.filter("copies IS NULL").select("row.*").unionByName(once.select("row.*"))

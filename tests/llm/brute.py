@@ -102,9 +102,9 @@ def shingle_set(text: str, n: int = 4) -> set:
         {tuple(w)} if w else set())
 
 
-def near_components(texts: dict, percent: int = 85) -> dict:
+def near_components(texts: dict, percent: int = 85, words: int = 4) -> dict:
     """id -> (set size, smallest id reachable)."""
-    sets = {i: shingle_set(t or "") for i, t in texts.items()}
+    sets = {i: shingle_set(t or "", words) for i, t in texts.items()}
     ids = sorted(sets)
     parent = {i: i for i in ids}
 

@@ -163,7 +163,7 @@ def _families(seed: int, groups: int, copies: int, words: int):
 
 @pytest.mark.parametrize("words", [3, 7, 30, 120])
 def test_near_copies_in_chains(frame, scratch, words, monkeypatch):
-    monkeypatch.setattr(jaccard_join.residual_pairs, "__defaults__", (8,))
+    monkeypatch.setattr(jaccard_join.residual_links, "__defaults__", (8,))
     texts = _families(words, 6, 40, words)
     got = {r.doc_id: (r.n_shingles, r.component_id)
            for r in jaccard_join.near_duplicates(frame(texts.items()), scratch).collect()}
@@ -284,6 +284,60 @@ def test_url_filter_equals_a_scan(spark):
     assert {r.page_id: r.lists for r in got.collect()} == want
 
 
+def test_pairs_of_a_near_family_are_not_listed(spark, frame, scratch):
+    """Twice the documents of one near family give at most twice the links, few of whose pairs link."""
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(200)]
+    made = {}
+    for n in (150, 300):
+        texts = {}
+        for i in range(n):
+            words = list(base)
+            for at in rng.sample(range(200), 4):
+                words[at] = f"n{rng.randrange(99_999)}"
+            texts[i] = " ".join(words)
+        docs = frame(texts.items())
+        rows, placed = jaccard_join.classified(docs, scratch, "doc_id", "text", 4, 85)
+        members = jaccard_join.sets(docs, placed.select("node", "__id"), "doc_id", "text", 4, scratch)
+        # all nodes as one family, nothing known: every pair is compared, few links leave
+        family = members.selectExpr("CAST(0 AS BIGINT) AS family", "node")
+        none = members.selectExpr("node", "node AS root").filter("false")
+        links = jaccard_join.residual_links(family, none, members, 85).collect()
+        assert len(links) == members.count() - len({c for _, c in brute.near_components(texts).values()})
+        chunked = jaccard_join.residual_links(family, none, members, 85, 40).count()
+        assert chunked <= 2 * n * -(-n // 40)
+        made[n] = len(links)
+    assert made[300] <= 2.2 * max(made[150], 1) + 2
+
+
+CLASH = ("items", "contaminated", "n_items", "__verdict", "__key", "__size", "row", "doc", "text_hash", "__text", "copies")
+
+
+def test_stages_carry_columns_of_any_name(spark, texts):
+    rows = list(texts.items())[:40]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    more = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in CLASH})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = sorted(stage(spark, docs, SF).collect())
+        out = stage(spark, more, SF)
+        assert out.columns == more.columns, name
+        found = sorted(out.collect())
+        assert [tuple(r)[:5] for r in found] == [tuple(r) for r in plain], name
+        assert all(r[c] == f"{c}{r.doc_id}" for r in found for c in CLASH), name
+
+
+def test_near_copies_are_judged_row_by_row(spark, frame):
+    a, b = ("first text of some words that repeat nowhere else at all", "an altogether other text with its very own words")
+    keep = lambda rows: sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_copies(
+        spark, frame(rows), SF).collect()), key=repr)
+    assert keep([(3, a), (5, a), (5, b), (6, b), (None, a)]) == [(3, a), (5, b)]
+    assert keep([(None, a), (None, a), (None, b), (4, b)]) == [(4, b), (None, a)]
+    assert keep([(7, a), (7, a), (7, None), (7, None), (8, ""), (None, " ")]) == sorted(
+        [(7, a), (7, None), (7, None), (8, ""), (None, " ")], key=repr)
+    assert keep([(1, a), (1, a.upper()), (2, b)]) in ([(1, a), (2, b)], [(1, a.upper()), (2, b)])
+
+
 def test_pipeline_drops_near_copies_of_five_words_and_four_fifths(spark, frame):
     words = [f"w{k}" for k in range(200)]
     tail = lambda n: words + [f"t{k}" for k in range(n)]
@@ -295,19 +349,33 @@ def test_pipeline_drops_near_copies_of_five_words_and_four_fifths(spark, frame):
     assert sorted(r.doc_id for r in out.collect()) == [1, 4, 5, 6]
 
 
-def test_pipeline_equals_its_parts_done_plainly(spark, texts):
+def test_pipeline_equals_its_parts_done_plainly(spark, texts, tmpdir_path):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     good = {r.doc_id for r in labels.filter("quality = 1").collect()}
+    # A copy with about 18 percent of another text behind it: near at 5 words and 80 percent only.
+    tail = texts[max(good & set(texts), key=lambda i: len(texts[i]))].split()
     score = brute.scores(texts, good, quality_rules.BUCKETS, quality_rules.SMOOTHING)
-    kept = {i: t for i, t in texts.items() if not brute.rules(t)["base_failed"]
+    first = next(texts[i].split() for i in sorted(good & set(texts)) if score[i] > 0
+                 and 150 <= len(texts[i].split()) <= 250 and not brute.rules(texts[i])["base_failed"])
+    size = len(brute.shingle_set(" ".join(first)))
+    every = texts | {900_001: " ".join(first + tail[:size * 19 // 100])}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = spark.createDataFrame([(900_001, every[900_001], "en", "s", len(every[900_001]))], docs.schema)
+    docs.unionByName(extra).write.parquet(f"{tmpdir_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmpdir_path}/{name}.parquet")
+    score = brute.scores(every, good, quality_rules.BUCKETS, quality_rules.SMOOTHING)
+    kept = {i: t for i, t in every.items() if not brute.rules(t)["base_failed"]
             and score[i] >= quality_rules.MIN_SCORE}
-    first = {i: t for i, t in kept.items() if brute.near_components(kept)[i][1] == i} if len(
-        kept) < 2 else {i: kept[i] for i, (_, c) in brute.near_components(kept).items() if c == i}
+    groups = brute.near_components(kept, corpus_pipeline.NEAR_PERCENT, corpus_pipeline.NEAR_WORDS)
+    stay = {i: kept[i] for i, (_, c) in groups.items() if c == i}
+    other = {i for i, (_, c) in brute.near_components(kept).items() if c == i}
+    assert 900_001 in other and 900_001 not in stay
     items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
-    clean = {i: t for i, t in first.items()
+    clean = {i: t for i, t in stay.items()
              if not brute.leaked(t, items, decontaminate.WINDOW, decontaminate.SIMILARITY)}
     coder = piece_codec.codec(queries.model_path())
     want = {i: coder.encode(pii.redact(t, brute.joined(brute.personal(t)))).tolist()
             for i, t in clean.items()}
-    got = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, SF).collect()}
+    got = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, tmpdir_path).collect()}
     assert got == want
