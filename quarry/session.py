@@ -60,6 +60,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Checkpoints go once no frame refers to them; a cluster sets it for itself.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in {**RESULT_SETTINGS, **EXECUTION_SETTINGS}.items():
         builder = builder.config(key, value)
