@@ -35,7 +35,8 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def keep(self, df: DataFrame) -> DataFrame:
-        """The result: a reliable checkpoint that Spark removes with the frame."""
+        """The result: a reliable checkpoint, removed with the frame where the session has
+        ``spark.cleaner.referenceTracking.cleanCheckpoints``."""
         return df.checkpoint(eager=True)
 
     def drop(self, df: DataFrame) -> None:

@@ -11,15 +11,22 @@ on the document along it: the document is contaminated if some run of
 ``WINDOW`` aligned tokens (the whole item, if shorter) agrees in at least
 ``SIMILARITY`` of its positions.
 
+The masks miss no such run: ``covering_masks`` adds to the fixed ones until every
+placement of the substitutions that the threshold allows leaves some mask intact
+somewhere in the run. Items shorter than ``WINDOW`` have masks of their own length's
+cover, the shortest a mask over all their tokens.
+
 The benchmark is a stated query set: it goes to the tasks in blocks of at most
-``BLOCK_BYTES`` of text, each against all documents, so any benchmark size works
-in bounded memory and documents are never shuffled.
+``BLOCK_BYTES`` of text, each against all documents, and documents are never shuffled. A
+task holds all blocks of its chain, so its memory follows the benchmark, not the documents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import combinations
 from math import ceil
 
 import numpy as np
@@ -33,10 +40,57 @@ from ._text import U64
 MASKS = ("111111", "11011011", "1101001100101")
 WINDOW = 13
 SIMILARITY = 0.8
+MOST_MASKS = 4  # that one cover may add before it takes masks of fewer tokens
 BLOCK_BYTES = 16 << 20
 _FILTER_BITS = 22
 
 
+def _intact(mask: str, size: int, placements: set[frozenset]) -> set[frozenset]:
+    """Placements of substitutions in ``size`` tokens under which the mask is intact somewhere."""
+    ones = [j for j, bit in enumerate(mask) if bit == "1"]
+    spots = [{at + j for j in ones} for at in range(size - len(mask) + 1)]
+    return {p for p in placements if any(not p & spot for spot in spots)}
+
+
+def _shapes(size: int, weight: int) -> Iterator[str]:
+    """All masks of ``weight`` ones that fit ``size`` tokens."""
+    for span in range(weight, size + 1):
+        for inner in combinations(range(1, span - 1), max(weight - 2, 0)):
+            ones = {0, span - 1, *inner}
+            if len(ones) == weight:
+                yield "".join("1" if j in ones else "0" for j in range(span))
+
+
+@cache
+def covering_masks(size: int, similarity: float = SIMILARITY, masks: tuple[str, ...] = MASKS
+                   ) -> tuple[str, ...]:
+    """Masks that hit every run of ``size`` tokens that agrees in ``similarity`` of them.
+
+    Those of ``masks`` that fit, then the mask that reaches most of the placements still
+    missed, and so on; of as many tokens as a cover of few masks allows.
+    """
+    wrong = size - ceil(similarity * size - 1e-9)
+    every = {frozenset(p) for p in combinations(range(size), wrong)}
+    fixed = tuple(m for m in masks if len(m) <= size)
+    # A short run needs shorter masks anyway, so the fixed ones are only its start at full length.
+    starts = [fixed] if all(len(m) <= size for m in masks) else []
+    for start in [*starts, ()]:
+        for weight in range(min(6, size), 0, -1):
+            chosen, left = list(start), set(every)
+            for mask in start:
+                left -= _intact(mask, size, left)
+            while left and len(chosen) < len(start) + MOST_MASKS:
+                best = max(_shapes(size, weight), key=lambda m: (len(_intact(m, size, left)), -len(m), m))
+                found = _intact(best, size, left)
+                if not found:
+                    break
+                chosen.append(best)
+                left -= found
+            if not left:
+                return tuple(chosen)
+    raise ValueError(f"no mask is intact in {size} tokens with {wrong} substitutions")
+
+
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rows, starts, ends = _text.words(data, offsets, _text.punctuation_table())
     if not len(rows):
@@ -63,18 +117,29 @@ class Block:
 
     items: list
     tokens: list[np.ndarray]
+    masks: tuple[str, ...]
     keys: np.ndarray
     item: np.ndarray
     position: np.ndarray
     filter: np.ndarray
 
     @classmethod
-    def build(cls, items: list, texts: list[str], masks: tuple[str, ...]) -> Block:
+    def build(cls, items: list, texts: list[str], masks: tuple[str, ...], window: int,
+              similarity: float) -> Block:
         data, offsets = _text.column_bytes(pa.array(texts, pa.string()))
         rows, hashes = _tokens(data, offsets)
         first = np.searchsorted(rows, np.arange(len(items) + 1))
         tokens = [hashes[a:b] for a, b in zip(first[:-1], first[1:])]
-        found = [_seeds(rows, hashes, m) for m in masks]
+        size = np.minimum(np.diff(first), window)
+        by_mask: dict[str, list[int]] = {}
+        for n in np.unique(size[size > 0]).tolist():
+            for mask in covering_masks(n, similarity, masks):
+                by_mask.setdefault(mask, []).append(n)
+        found = [(np.zeros(0, np.int64), np.zeros(0, U64))]
+        for mask, sizes in by_mask.items():
+            at, key = _seeds(rows, hashes, mask)
+            asked = np.isin(size[rows[at]], sizes) if len(at) else np.zeros(0, bool)
+            found.append((at[asked], key[asked]))
         at = np.concatenate([f[0] for f in found])
         keys = np.concatenate([f[1] for f in found])
         order = np.argsort(keys, kind="stable")
@@ -82,13 +147,13 @@ class Block:
         bits = np.zeros(1 << _FILTER_BITS, bool)
         bits[(keys >> U64(64 - _FILTER_BITS)).astype(np.int64)] = True
         item = rows[at]
-        return cls(items, tokens, keys, item, at - first[item], bits)
+        return cls(items, tokens, tuple(by_mask), keys, item, at - first[item], bits)
 
-    def search(self, rows: np.ndarray, hashes: np.ndarray, masks: tuple[str, ...],
-               window: int, similarity: float) -> set[tuple[int, int]]:
+    def search(self, rows: np.ndarray, hashes: np.ndarray, window: int, similarity: float
+               ) -> set[tuple[int, int]]:
         """``(row, item index)`` of every verified overlap among these documents."""
         hits = []
-        for mask in masks:
+        for mask in self.masks:
             at, key = _seeds(rows, hashes, mask)
             maybe = self.filter[(key >> U64(64 - _FILTER_BITS)).astype(np.int64)]
             at, key = at[maybe], key[maybe]
@@ -142,8 +207,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     """One row per document: ``(id, [keep_cols], contaminated, items array<bigint>, n_items)``.
 
     ``items`` are the sorted ids of the benchmark items verified in the whole text.
-    NULL and empty texts are clean; items with a NULL id or text, or with fewer
-    tokens than the shortest mask, match nothing; repeated items are reported once;
+    NULL and empty texts are clean; items with a NULL id or text, or without tokens,
+    match nothing; an item of up to four tokens matches where it stands verbatim;
+    repeated items are reported once;
     NULL ids and repeated documents keep a row each; other columns are ignored.
     Without documents there are no rows, without items all documents are clean.
     """
@@ -152,15 +218,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     rows = docs.select(*columns, *[F.col(f"`{c}`").alias(f"__keep{i}") for i, c in enumerate(keep_cols)],
                        F.array().cast("array<bigint>").alias("__items"))
     for items, texts in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        block = spark.sparkContext.broadcast(Block.build(items, texts, masks))
-        rows = rows.mapInArrow(_searcher(block, masks, window, similarity), rows.schema)
+        block = spark.sparkContext.broadcast(Block.build(items, texts, masks, window, similarity))
+        rows = rows.mapInArrow(_searcher(block, window, similarity), rows.schema)
     return rows.select(
         F.col("__id").alias(id_col), *[F.col(f"__keep{i}").alias(c) for i, c in enumerate(keep_cols)],
         (F.size("__items") > 0).alias("contaminated"), F.col("__items").alias("items"),
         F.size("__items").cast("bigint").alias("n_items"))
 
 
-def _searcher(block, masks: tuple[str, ...], window: int, similarity: float):
+def _searcher(block, window: int, similarity: float):
     """An Arrow function that adds one block's items to ``__items``."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Block = block.value
@@ -170,7 +236,7 @@ def _searcher(block, masks: tuple[str, ...], window: int, similarity: float):
             for low, high in _text.chunks(texts):
                 rows, hashes = _tokens(*_text.column_bytes(texts.slice(low, high - low)))
                 if len(rows):
-                    for row, item in known.search(rows, hashes, masks, window, similarity):
+                    for row, item in known.search(rows, hashes, window, similarity):
                         found.setdefault(low + row, set()).add(known.items[item])
             if found:
                 lists = [sorted(found[i].union(x)) if i in found else x

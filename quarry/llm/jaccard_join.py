@@ -43,6 +43,7 @@ from ._text import U64
 WORDS = 4
 PERCENT = 85
 LEAST_GROUPS, MOST_GROUPS = 64, 4096  # coordinates of a count vector: about half the set's size
+NEAR_PERCENT = 60   # bound from which two families are searched as one
 FULL = 255          # a count of FULL stands for that many or more
 CHUNK_NODES = 2048  # nodes of a family that one side of a task holds
 CHUNK_SHINGLES = 1 << 21  # shingles of them (16 MB)
@@ -272,33 +273,53 @@ class CountTree:
         return query[keep], node[keep]
 
 
-def _tree_links(percent: int):
-    """Arrow function over chunk pairs sorted by (family, first, second): joining links.
+def _tree_pairs(table: pa.Table, percent: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """``(i, j)`` row numbers of pairs of different components that may reach the threshold,
+    with the component number of every row."""
+    size = table.column("size").to_numpy()
+    points = folded(table.column("counts").to_pylist())
+    _, group, counts = np.unique(table.column("root").to_numpy(), return_inverse=True, return_counts=True)
+    largest = np.argmax(counts)
+    # The largest component is searched by all others, never by itself.
+    asking = np.flatnonzero(group != largest)
+    for q, entry in CountTree(points, size).search(points[asking], size[asking], percent):
+        first = asking[q]
+        apart = (group[first] != group[entry]) & ((first < entry) | (group[entry] == largest))
+        yield first[apart], entry[apart], group
 
-    The tree names pairs of different components that may reach the threshold; they are
-    verified on the sets here, and only links that join two components leave.
+
+def _involved(percent: int):
+    """Arrow function over chunk pairs: the nodes that stand in any pair of the tree."""
+    def of(table: pa.Table) -> pa.RecordBatch:
+        stands = np.zeros(table.num_rows, bool)
+        for i, j, _ in _tree_pairs(table, percent):
+            stands[i] = stands[j] = True
+        kept = table.select(["family", "first", "second", "node", "root"]).filter(pa.array(stands))
+        return kept.combine_chunks().to_batches(max_chunksize=None)[0] if kept.num_rows else (
+            pa.RecordBatch.from_pylist([], schema=kept.schema))
+    return _per_task(of)
+
+
+def _joining_links(percent: int):
+    """Arrow function over chunk pairs: links that join components.
+
+    Pairs of the tree are verified on the sets here; of those that link, only one leaves
+    for every two components that it joins.
     """
     def of(table: pa.Table) -> pa.RecordBatch:
         node = table.column("node").to_numpy()
-        size = table.column("size").to_numpy()
-        points = folded(table.column("counts").to_pylist())
         sets = [np.frombuffer(x, U64) for x in table.column("shingles").to_pylist()]
-        _, group, counts = np.unique(table.column("root").to_numpy(), return_inverse=True, return_counts=True)
-        parent = list(range(len(counts)))
+        parent: dict[int, int] = {}
 
         def top(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
+            while (up := parent.get(x, x)) != x:
+                x = up
             return x
 
-        # The largest component is searched by all others, never by itself.
-        asking = np.flatnonzero(group != np.argmax(counts))
         found = []
-        for q, entry in CountTree(points, size).search(points[asking], size[asking], percent):
-            first = asking[q]
-            apart = (group[first] != group[entry]) & ((first < entry) | (group[entry] == np.argmax(counts)))
-            for i, j in zip(first[apart].tolist(), entry[apart].tolist()):
-                x, y = top(group[i]), top(group[j])
+        for first, second, group in _tree_pairs(table, percent):
+            for i, j in zip(first.tolist(), second.tolist()):
+                x, y = top(int(group[i])), top(int(group[j]))
                 if x != y:
                     both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                     if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
@@ -306,7 +327,11 @@ def _tree_links(percent: int):
                         found.append((node[i], node[j]))
         a, b = np.array(found, np.int64).reshape(-1, 2).T
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    return _per_task(of)
+
 
+def _per_task(of):
+    """An Arrow function that gives ``of`` the rows of one (family, first, second) at a time."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         name = None
@@ -378,7 +403,21 @@ def verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         batches, "a bigint, b bigint")
 
 
-def residual_links(families: DataFrame, roots: DataFrame, members: DataFrame, percent: int,
+def joined_families(families: DataFrame, scored: DataFrame, percent: int) -> DataFrame:
+    """Families whose smallest node is near another family's smallest node are one.
+
+    A family moves to the smallest such family only (one step, no chains): the families
+    of one group of near copies hold the same nodes, which are then moved and searched
+    once. No pair of a family is lost by it.
+    """
+    near = scored.filter(100 * F.col("bound") >= percent * (F.col("total") - F.col("bound")))
+    target = (near.select(F.col("a").alias("target"), F.col("b").alias("family"))
+              .groupBy("family").agg(F.min("target").alias("target")))
+    return (families.join(target, "family", "left")
+            .select(F.coalesce("target", "family").alias("family"), "node").distinct())
+
+
+def residual_links(families: DataFrame, roots: DataFrame, members: DataFrame, scratch, percent: int,
                    chunk_nodes: int = CHUNK_NODES) -> DataFrame:
     """Links that join components inside families that still hold several.
 
@@ -404,10 +443,17 @@ def residual_links(families: DataFrame, roots: DataFrame, members: DataFrame, pe
                      F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1), F.col("chunk")))).alias("other"))
              .select("family", F.least("chunk", "other").alias("first"),
                      F.greatest("chunk", "other").alias("second"), "node", "root"))
-    dealt = dealt.join(members.hint("merge"), "node")
-    tasks = (dealt.repartition("family", "first", "second")
-             .sortWithinPartitions("family", "first", "second"))
-    return tasks.mapInArrow(_tree_links(percent), "a bigint, b bigint").distinct()
+    tag = ["family", "first", "second"]
+
+    def tasks(rows: DataFrame, columns: list[str]) -> DataFrame:
+        held = rows.join(members.select("node", *columns).hint("merge"), "node")
+        return held.repartition(*tag).sortWithinPartitions(*tag)
+
+    # Sets are large: only those of nodes that the tree could not rule out are moved.
+    involved = scratch.save(tasks(dealt, ["size", "counts"]).mapInArrow(
+        _involved(percent), "family bigint, first bigint, second bigint, node bigint, root bigint"))
+    return tasks(involved, ["size", "counts", "shingles"]).mapInArrow(
+        _joining_links(percent), "a bigint, b bigint").distinct()
 
 
 def classified(docs: DataFrame, scratch, id_col: str, text_col: str, words: int, percent: int
@@ -433,7 +479,8 @@ def classified(docs: DataFrame, scratch, id_col: str, text_col: str, words: int,
     possible = scored.filter(F.col("bound") * (100 + percent) >= percent * F.col("total"))
     links = scratch.save(verified(possible, members, percent))
     roots = scratch.save(components(links, scratch))
-    more = scratch.save(residual_links(families, roots, members, percent))
+    wide = scratch.save(joined_families(families, scored, NEAR_PERCENT))
+    more = scratch.save(residual_links(wide, roots, members, scratch, percent))
     whole = scratch.save(components(links.unionByName(more), scratch))
     return rows, nodes.join(whole, "node", "left").select(
         "node", "__id", F.coalesce("root", "node").alias("root"))

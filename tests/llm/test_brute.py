@@ -227,6 +227,35 @@ def test_decontamination(spark, frame, texts):
     assert {r.doc_id: r["items"] for r in blocks.collect()} == want
 
 
+def test_masks_reach_every_placement_of_the_allowed_substitutions():
+    from itertools import combinations
+    for n in range(1, 14):
+        masks = decontaminate.covering_masks(n)
+        wrong = n - math.ceil(decontaminate.SIMILARITY * n - 1e-9)
+        for places in combinations(range(n), wrong):
+            assert any(all(bit == "0" or at + j not in places for j, bit in enumerate(m))
+                       for m in masks for at in range(n - len(m) + 1)), (n, places)
+    assert decontaminate.covering_masks(13)[:3] == decontaminate.MASKS
+
+
+def test_short_items_and_edited_runs_are_found(spark, frame):
+    """Items of every length, whole and with each allowed number of substitutions anywhere."""
+    from itertools import combinations
+    items, texts, want = {}, {}, {}
+    for n in range(1, 16):
+        item = [f"i{n}w{k}" for k in range(n)]
+        items[n] = " ".join(item)
+        size = min(n, 13)
+        for wrong in range(size - math.ceil(0.8 * size - 1e-9) + 2):
+            for places in list(combinations(range(size), wrong))[:80]:
+                words = [f"x{n}" if k in places else w for k, w in enumerate(item[:size])]
+                texts[len(texts)] = " ".join(["before", *words, "after"])
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    got = {r.doc_id: r["items"] for r in decontaminate.find_contamination(frame(texts.items()), bench).collect()}
+    want = {i: brute.leaked(t, items, decontaminate.WINDOW, decontaminate.SIMILARITY) for i, t in texts.items()}
+    assert got == want and sum(map(bool, want.values())) > 300
+
+
 def test_token_counts_equal_the_library(texts):
     import sentencepiece
     count = counter(queries.model_path())
@@ -302,9 +331,9 @@ def test_pairs_of_a_near_family_are_not_listed(spark, frame, scratch):
         # all nodes as one family, nothing known: every pair is compared, few links leave
         family = members.selectExpr("CAST(0 AS BIGINT) AS family", "node")
         none = members.selectExpr("node", "node AS root").filter("false")
-        links = jaccard_join.residual_links(family, none, members, 85).collect()
+        links = jaccard_join.residual_links(family, none, members, scratch, 85).collect()
         assert len(links) == members.count() - len({c for _, c in brute.near_components(texts).values()})
-        chunked = jaccard_join.residual_links(family, none, members, 85, 40).count()
+        chunked = jaccard_join.residual_links(family, none, members, scratch, 85, 40).count()
         assert chunked <= 2 * n * -(-n // 40)
         made[n] = len(links)
     assert made[300] <= 2.2 * max(made[150], 1) + 2
