@@ -20,7 +20,6 @@ from quarry.llm import decontaminate, jaccard_join, piece_codec, pii, quality_ru
 from quarry.llm._columns import table
 from quarry.llm._scratch import Scratch
 from quarry.llm.queries import configure, model_path, trusted
-from quarry.operators.joins import bounded_broadcast
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -29,30 +28,34 @@ NEAR_WORDS = 5
 NEAR_PERCENT = 80
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, row)``: what operators read, and the whole row as one value, so that no
+    column's name can meet one that an operator puts beside it."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that pass the quality rules (operator 8)."""
-    return quality_rules.keep_good(docs, trusted(configure(spark), sf_dir))
+    kept = quality_rules.keep_good(packed(docs), trusted(configure(spark), sf_dir))
+    return kept.select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of smallest id of every group of near copies (operator 10).
+    """Keep one document of every group of near copies (operator 10): the one of smallest id.
 
-    Near copies share 80 percent of their distinct runs of five words. Texts without words and rows without an id stay.
+    Near copies share 80 percent of their distinct runs of five words. Rows are judged each
+    by their own text, whether their id is repeated or NULL; texts without words stay.
     """
     configure(spark)
     with Scratch(spark, "near-copies") as scratch:
-        groups = jaccard_join.near_duplicates(docs, scratch, words=NEAR_WORDS,
-                                              percent=NEAR_PERCENT)
-        dropped = scratch.keep(groups.filter("component_id != doc_id").select("doc_id").distinct())
-    return docs.join(bounded_broadcast(dropped), "doc_id", "left_anti").select(docs.columns)
+        return scratch.keep(jaccard_join.keep_one(docs, scratch, words=NEAR_WORDS, percent=NEAR_PERCENT))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that hold no benchmark passage (operator 2)."""
     found = decontaminate.find_contamination(
-        docs, table(configure(spark), sf_dir, "benchmark"), keep_cols=tuple(docs.columns[1:]),
-        id_col=docs.columns[0], text_col="text")
-    return found.filter("not contaminated").select(docs.columns)
+        packed(docs), table(configure(spark), sf_dir, "benchmark"), keep_cols=("row",))
+    return found.filter("not contaminated").select("row.*")
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +63,9 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     configure(spark)
     with Scratch(spark, "redacted") as scratch:
         found = scratch.keep(pii.find_personal_data(docs, scratch))
-    return (pii.redact_documents(docs, found)
-            .withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
+    cleaned = pii.redact_documents(packed(docs), found)
+    return cleaned.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
