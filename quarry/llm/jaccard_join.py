@@ -446,7 +446,9 @@ def residual_links(families: DataFrame, roots: DataFrame, members: DataFrame, sc
     tag = ["family", "first", "second"]
 
     def tasks(rows: DataFrame, columns: list[str]) -> DataFrame:
-        held = rows.join(members.select("node", *columns).hint("merge"), "node")
+        wanted = bounded_broadcast(rows.select("node").distinct())
+        some = members.join(wanted, "node", "left_semi").select("node", *columns)
+        held = rows.join(some.hint("merge"), "node")
         return held.repartition(*tag).sortWithinPartitions(*tag)
 
     # Sets are large: only those of nodes that the tree could not rule out are moved.
