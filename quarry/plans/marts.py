@@ -1,8 +1,10 @@
 """Maintained marts (A1, A2): a build changes what its new staging rows change.
 
 Staging is copy-on-write (``sinks.buckets``), so two versions name the buckets in which
-they differ. Inside those, the rows of both are joined on their key, bucket by bucket
-without a shuffle, and rows that are equal fall out. What is left maintains the marts:
+they differ. Inside those, the rows of both are joined once on their key alone, which is
+what they are bucketed on: bucket by bucket, without a shuffle (a second join key would
+make Spark deal both sides out anew). Rows that are equal in the columns a mart reads
+fall out. What is left maintains the marts:
 
 * ``fct_postings`` is a function of each staging row: the touched buckets are written anew;
 * ``fct_tag_popularity`` counts by signed deltas: every (posting, tag) pair of an old row
@@ -16,13 +18,15 @@ the staging version before this build (a failed or skipped build) is built whole
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import bounded_broadcast
 from ..sinks.buckets import (manifest, only, stored_in_buckets, touched_buckets, write_buckets)
 from ..sinks.materialize import table_property
-from .postings import (POPULARITY_COLUMNS, posting_tags, postings_mart, row_hash,
+from .postings import (POPULARITY_COLUMNS, STAGING_COLUMNS, posting_tags, postings_mart,
                        tag_popularity_mart)
 
 BUILT_FROM = "quarry.built_from"
@@ -35,29 +39,55 @@ def changed_buckets(spark: SparkSession, staging: str, before: str, after: str)
     return sorted(b for b in new if old.get(b) != new[b])
 
 
+def changes(spark: SparkSession, staging: str, before: str, after: str,
+            columns: Sequence[str] = STAGING_COLUMNS) -> DataFrame:
+    """One row per key whose ``columns`` differ between two staging versions: ``was`` and
+    ``now``, structs of them, NULL where a version lacks the key.
+
+    Keys are unique; NULL is one key, joined apart over at most one row from each side
+    (row group statistics answer that read).
+    """
+    touched = changed_buckets(spark, staging, before, after)
+    old, new = (only(spark, v, touched).select("posting_id", F.struct(*columns).alias(side))
+                for v, side in ((before, "was"), (after, "now")))
+    theirs = F.col("n.posting_id")
+
+    def joined(keys, on: Column) -> DataFrame:
+        return (old.filter(keys).alias("o").join(new.filter(keys).alias("n"), on, "full_outer")
+                .select("was", "now"))
+
+    key = F.col("posting_id")
+    both = joined(key.isNotNull(), F.col("o.posting_id") == theirs).unionByName(
+        joined(key.isNull(), F.col("o.posting_id").eqNullSafe(theirs)))
+    return both.filter(~F.col("was").eqNullSafe(F.col("now")))
+
+
 def changed_rows(spark: SparkSession, staging: str, before: str, after: str
                  ) -> tuple[DataFrame, DataFrame]:
     """Staging rows that only ``before`` holds, and rows that only ``after`` holds."""
-    touched = changed_buckets(spark, staging, before, after)
-    old, new = (only(spark, v, touched).withColumn("__hash", row_hash()) for v in (before, after))
-    return _without(old, new), _without(new, old)
+    found = changes(spark, staging, before, after)
+    removed, added = (found.filter(F.col(side).isNotNull()).select(f"{side}.*")
+                      for side in ("was", "now"))
+    return removed, added
 
 
-def _without(rows: DataFrame, others: DataFrame) -> DataFrame:
-    """Rows whose key or content ``others`` lacks. Keys are unique; NULL is one key, compared apart."""
-    key = F.col("posting_id")
-    theirs = others.select("posting_id", "__hash")
-    keyed = rows.filter(key.isNotNull()).join(
-        theirs.filter(key.isNotNull()), ["posting_id", "__hash"], "left_anti")
-    no_key = rows.filter(key.isNull()).join(
-        theirs.filter(key.isNull()).select("__hash"), "__hash", "left_anti")
-    return keyed.unionByName(no_key.select(keyed.columns)).drop("__hash")
+def signed_rows(found: DataFrame) -> DataFrame:
+    """The rows of ``changes``: those that went with ``sign`` -1, those that came with 1."""
+    sides = F.array(F.struct(F.lit(-1).alias("sign"), F.col("was").alias("row")),
+                    F.struct(F.lit(1).alias("sign"), F.col("now").alias("row")))
+    return (found.select(F.explode(sides).alias("s")).select("s.sign", "s.row")
+            .filter(F.col("row").isNotNull()).select("sign", "row.*"))
 
 
 def tag_deltas(removed: DataFrame, added: DataFrame) -> DataFrame:
+    """``signed_deltas`` of rows that went and rows that came."""
+    return signed_deltas(removed.withColumn("sign", F.lit(-1))
+                         .unionByName(added.withColumn("sign", F.lit(1))))
+
+
+def signed_deltas(rows: DataFrame) -> DataFrame:
     """Per tag: ``delta``, and the extreme times of the pairs that went and that came."""
-    pairs = (posting_tags(removed).withColumn("sign", F.lit(-1))
-             .unionByName(posting_tags(added).withColumn("sign", F.lit(1))))
+    pairs = posting_tags(rows, carry=["sign"])
     gone, come = (F.when(F.col("sign") == s, F.col("posted_at")) for s in (-1, 1))
     return pairs.groupBy("tag").agg(
         F.sum("sign").alias("delta"), F.min(gone).alias("gone_first"), F.max(gone).alias("gone_last"),
@@ -138,7 +168,8 @@ def popularity_into(spark: SparkSession, staging: str, before: str | None, name:
         mode = MAINTAINED
         if before == after:
             return spark.table(name), mode
-        deltas = tag_deltas(*changed_rows(spark, staging, before, after)).checkpoint(eager=True)
+        found = changes(spark, staging, before, after, ["posting_id", "tags", "posted_at"])
+        deltas = signed_deltas(signed_rows(found)).checkpoint(eager=True)
         touched = touched_buckets(deltas, "tag", len(manifest(spark, name, version)))
         if touched:
             result = popularity_after(only(spark, version, touched), deltas, rows)

@@ -8,6 +8,7 @@ the tag grain as a view; marts as versions behind a view) and returns the frames
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -89,13 +90,13 @@ def stage(raw: DataFrame, newest_by_day: bool = False) -> DataFrame:
     return newest(rename_raw(raw), newest_by_day)
 
 
-def posting_tags(stg: DataFrame) -> DataFrame:
-    """One row per (posting, cleaned tag) with the posting's time.
+def posting_tags(stg: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per (posting, cleaned tag) with the posting's time and ``carry``.
 
     Staging holds one row per posting_id, so per-posting de-duplication needs
     no shuffle.
     """
-    return explode_clean(stg, "posting_id", "tags", "tag", carry=["posted_at"])
+    return explode_clean(stg, "posting_id", "tags", "tag", carry=["posted_at", *carry])
 
 
 def postings_mart(stg: DataFrame) -> DataFrame:

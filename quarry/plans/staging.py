@@ -26,12 +26,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import bounded_broadcast, side_size
 from ..session import checkpoint_dir
 from ..sinks.buckets import manifest as bucket_manifest
 from ..sinks.buckets import only, stored_in_buckets, touched_buckets, write_buckets
 from ..sources.landing import read_landing
 from .postings import STAGING_COLUMNS, newest, rename_raw, version
 
+# The rows of one bucket that a merge may hold in a hash table, on average.
+HASHED_BUCKET_BYTES = 16 * 1024 * 1024
 FULL, INCREMENTAL, UNCHANGED = "full", "incremental", "unchanged"
 
 
@@ -53,7 +56,8 @@ def read_files(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
     The list itself stays distributed: only its days (at most one per calendar
     day) and its oldest modification time come to the driver. Both prune the
     listing before any file is opened; a semi join on the path then keeps
-    exactly the listed files.
+    exactly the listed files. A list within the broadcast bounds is broadcast: joined by
+    a shuffle, all records of one file would go to one task.
     """
     day = F.regexp_extract("path", r"/ingest_date=([^/]+)/[^/]+$", 1)
     span = files.agg(F.collect_set(day).alias("days"), F.min("modificationTime").alias("oldest"))
@@ -62,7 +66,7 @@ def read_files(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
     return (read_landing(spark, root)
             .filter(F.col("ingest_date").cast("string").isin(days))
             .filter(F.col("ingested_at") >= F.lit(oldest))
-            .join(wanted, "source_file", "left_semi"))
+            .join(bounded_broadcast(wanted), "source_file", "left_semi"))
 
 
 def merge_newest(previous: DataFrame, fresh: DataFrame, newest_by_day: bool = False
@@ -94,6 +98,16 @@ def merge_newest(previous: DataFrame, fresh: DataFrame, newest_by_day: bool = Fa
     return merged.unionByName(null_keys)
 
 
+def hashed_if_small(fresh: DataFrame, buckets: int) -> DataFrame:
+    """``fresh``, hinted as the hash side of a join by bucket if its measured size allows.
+
+    Its keys are unique, so buckets are even. A hash join reads the previous rows as they
+    are stored; a merge join, kept beyond the bound, sorts all of them.
+    """
+    return (fresh.hint("shuffle_hash")
+            if side_size(fresh).first()["bytes"] <= HASHED_BUCKET_BYTES * buckets else fresh)
+
+
 def stage_into(spark: SparkSession, landing_root: str, name: str, buckets: int | None = None,
                full: bool = False, newest_by_day: bool = False) -> tuple[DataFrame, str]:
     """Bring staging view ``name`` up to date with the landing zone; return it and the mode.
@@ -124,7 +138,8 @@ def stage_into(spark: SparkSession, landing_root: str, name: str, buckets: int |
         touched = touched_buckets(fresh, "posting_id", n)
         # The merge joins on the previous version's buckets, so its tasks already
         # hold one bucket each: no re-layout before the bucketed write.
-        result = merge_newest(only(spark, previous, touched), fresh, newest_by_day)
+        result = merge_newest(only(spark, previous, touched), hashed_if_small(fresh, len(touched)),
+                              newest_by_day)
         write_buckets(result, name, "posting_id", previous=previous, touched=touched, align=False)
     snapshot.write.mode("overwrite").format("parquet").saveAsTable(manifest)
     return spark.table(name), mode

@@ -12,6 +12,7 @@ from quarry.plans.marts import (MAINTAINED, changed_rows, popularity_after, popu
                                 postings_into, tag_deltas)
 from quarry.plans.postings import (POPULARITY_COLUMNS, STAGING_COLUMNS, build, posting_tags,
                                    postings_mart, stage, tag_popularity_mart)
+from quarry.plans import staging
 from quarry.plans.staging import stage_into
 from quarry.operators.aggregates import duplicate_groups
 from quarry.operators.joins import orphans
@@ -79,6 +80,56 @@ def test_buckets_join_and_group_without_a_shuffle(spark):
         buckets.drop_buckets(spark, name)
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().splitlines()
+
+
+def test_changed_rows_join_by_bucket_without_a_shuffle(spark, tmpdir_path):
+    """Only the rows without a key, one at most from each version, are dealt out anew."""
+    root = os.path.join(tmpdir_path, "landing")
+    days = [[dict(GOOD, slug=s, title="A") for s in ("a", "b", None)],
+            [dict(GOOD, slug="b", title="B"), dict(GOOD, slug="c", tags=None)],
+            [dict(GOOD, slug=None, title="N", tags=None)]]
+    stored = []
+    for day, records in enumerate(days):
+        write_day(root, f"2026-08-1{day}", records, mtime=1_786_500_000 + day)
+        stage_into(spark, root, "cow_diff", buckets=1)
+        stored.append(buckets.stored_in_buckets(spark, "cow_diff"))
+        if day == 0:
+            continue
+        pair = changed_rows(spark, "cow_diff", *stored[-2:])
+        found = [[(r["posting_id"], r["title"]) for r in side.collect()] for side in pair]
+        assert list(map(lambda x: sorted(x, key=repr), found)) == (
+            [[("b", "A")], [("b", "B"), ("c", "Data Engineer")]] if day == 1 else [[(None, "A")], [(None, "N")]])
+        for side in pair:
+            tree = _plan(side)
+            moved = [i for i, line in enumerate(tree) if "Exchange" in line]
+            below = [next(line for line in tree[i:] if "Filter" in line) for i in moved]
+            assert all("isnull(posting_id" in line for line in below), "\n".join(tree)
+    buckets.drop_buckets(spark, "cow_diff")
+
+
+def test_new_files_are_read_and_merged_without_moving_or_sorting_the_rest(spark, tmpdir_path, monkeypatch):
+    root = os.path.join(tmpdir_path, "landing")
+    write_day(root, "2026-08-12", [dict(GOOD, slug=f"k{i}") for i in range(20)] + [dict(GOOD, slug=None)],
+              mtime=1_786_500_000)
+    stage_into(spark, root, "cow_merge", buckets=2)
+    write_day(root, "2026-08-13", [dict(GOOD, slug=s, title="New") for s in ("k3", "k99", None)],
+              mtime=1_786_600_000)
+    landed = staging.landed_files(spark, root).filter(F.col("path").contains("2026-08-13"))
+    rows = staging.read_files(spark, root, landed)
+    assert rows.count() == 3
+    assert not any("Exchange hashpartitioning(source_file" in line for line in _plan(rows))
+    fresh, want = stage(rows).checkpoint(), _rows(stage(read_landing(spark, root)))
+    previous = spark.table(buckets.stored_in_buckets(spark, "cow_merge"))
+    for bound, join in ((staging.HASHED_BUCKET_BYTES, "ShuffledHashJoin"), (0, "SortMergeJoin")):
+        monkeypatch.setattr(staging, "HASHED_BUCKET_BYTES", bound)
+        merged = staging.merge_newest(previous, staging.hashed_if_small(fresh, 2))
+        assert any(f"{join} [posting_id" in line and "FullOuter" in line for line in _plan(merged))
+        assert _rows(merged, STAGING_COLUMNS) == want
+    buckets.drop_buckets(spark, "cow_merge")
+
+
 def test_a_failed_write_leaves_the_view(spark):
     buckets.write_buckets(spark.range(10).withColumn("v", F.lit(1)), "cow_fail", "id", 3)
     bad = spark.range(10).withColumn("v", F.raise_error(F.lit("broken")).cast("int"))
