@@ -8,7 +8,10 @@ smaller size and the threshold. Sizes are cut into bands so that linked nodes li
 in one band or two adjacent ones, and per band the shingle hashes are split into
 more than ``K`` groups: by pigeonhole some group is identical in both sets. A node
 therefore joins the blocks named by the content of each of its groups; blocks of
-one node, almost all of them, end in one window count.
+one node, almost all of them, end in one window count. A common passage fills some
+groups of every set that holds it, and those blocks grow with the corpus. So sets are
+split into ``extra`` groups more than needed, and each node leaves its ``extra`` fullest
+blocks: linked sets still meet in the least full one that they share.
 
 Linking. Nodes whose blocks have the same smallest node form a family. First every
 family is compared with that smallest node, which joins a group of near copies in
@@ -44,6 +47,8 @@ WORDS = 4
 PERCENT = 85
 LEAST_GROUPS, MOST_GROUPS = 64, 4096  # coordinates of a count vector: about half the set's size
 NEAR_PERCENT = 60   # bound from which two families are searched as one
+EXTRA = 8           # a set has a group to spare for so many shingles that may differ
+FULL_BLOCK = 4      # nodes up to which no node leaves a block
 FULL = 255          # a count of FULL stands for that many or more
 CHUNK_NODES = 2048  # nodes of a family that one side of a task holds
 CHUNK_SHINGLES = 1 << 21  # shingles of them (16 MB)
@@ -80,8 +85,8 @@ def band_edges(largest: int, percent: int) -> np.ndarray:
 
 
 def group_keys(rows: np.ndarray, found: np.ndarray, n: int, percent: int
-               ) -> tuple[np.ndarray, np.ndarray]:
-    """``(row, key)`` of every block that a set belongs to.
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, key)`` of every block that a set belongs to, and how many it may leave.
 
     A set of band ``i`` takes part in space ``i`` (with its own band and the next)
     and in space ``i - 1``. A space splits hashes into ``K + 1 + extra`` groups,
@@ -89,18 +94,26 @@ def group_keys(rows: np.ndarray, found: np.ndarray, n: int, percent: int
     ``i``; at least ``1 + extra`` groups are identical. Empty groups would be
     shared by chance, so they are named only by sets with more than ``extra`` of
     them: if all identical groups are empty, both sets have that many.
+
+    A set with fewer empty groups may leave as many blocks as it lacks to ``extra``, the
+    fullest of its space first. Order the groups of a space, filled ones by how full
+    their blocks are and empty ones as the fullest: neither of two linked sets leaves the
+    least full group that they share, each of them sharing ``extra`` fuller ones.
+    ``spare[row, s]`` is that number in the space whose number is ``s`` modulo 2, which
+    is also the last bit of the space's keys.
     """
     size = np.bincount(rows, minlength=n)
     edges = band_edges(int(size.max(initial=1)), percent)
     band = np.searchsorted(edges, size, "right") - 1
     out_rows, out_keys = [], []
+    spare = np.zeros((n, 2), np.int32)
     spread = _text.mix(found ^ U64(0xA5A5A5A5A5A5A5A5))
     for back in (0, 1):
         space = band - back
         takes = (size > 0) & (space >= 0)
         upper = edges[np.minimum(np.maximum(space, 0) + 1, len(edges) - 1)] - 1
         differ = (100 - percent) * upper // percent
-        extra = np.where(differ > 0, 1 + differ // 32, 0)
+        extra = np.where(differ > 0, 2 + differ // EXTRA, 0)
         groups = np.where(takes, differ + 1 + extra, 0)
         base = np.r_[0, np.cumsum(groups)]
         total = int(base[-1])
@@ -114,9 +127,11 @@ def group_keys(rows: np.ndarray, found: np.ndarray, n: int, percent: int
         empties = np.bincount(owner[~filled], minlength=n)
         named = filled | (empties > extra)[owner]
         salt = (space[owner].astype(U64) << U64(32)) + number.astype(U64) + U64(1)
+        key = _text.mix(content + _text.mix(salt)) & ~U64(1) | (space[owner] & 1).astype(U64)
         out_rows.append(owner[named])
-        out_keys.append(_text.mix(content + _text.mix(salt))[named])
-    return np.concatenate(out_rows), np.concatenate(out_keys)
+        out_keys.append(key[named])
+        spare[takes, space[takes] & 1] = np.where(empties > extra, 0, extra - empties)[takes]
+    return np.concatenate(out_rows), np.concatenate(out_keys), spare
 
 
 def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
@@ -125,7 +140,8 @@ def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.List
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """``(__id, text_hash, n_shingles, node, keys)`` of every whole text; ``node`` names its set."""
+    """``(__id, text_hash, n_shingles, node, spare, keys)`` of every whole text; ``node`` names
+    its set, ``keys`` its blocks, of which it may leave ``spare`` (see ``group_keys``)."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for low, high in _text.chunks(part.column(1)):
@@ -134,19 +150,20 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
                 rows, found = set_rows(*_text.column_bytes(texts), words)
                 size = np.bincount(rows, minlength=n)
                 node = _text.mix(_group_sums(rows, _text.mix(found), n) + size.astype(U64))
-                owner, keys = group_keys(rows, found, n, percent)
+                owner, keys, spare = group_keys(rows, found, n, percent)
                 order = np.argsort(owner, kind="stable")
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).slice(low, n), part.column(2).slice(low, n), pa.array(size, pa.int64()),
                      pa.array(_text.signed(node)),
+                     _lists(spare.ravel(), np.full(n, 2), pa.int32()),
                      _lists(_text.signed(keys[order]), np.bincount(owner, minlength=n), pa.int64())],
-                    names=["__id", "text_hash", "n_shingles", "node", "keys"])
+                    names=["__id", "text_hash", "n_shingles", "node", "spare", "keys"])
 
     rows = docs.select(F.col(f"`{id_col}`").alias("__id"),
                        F.col(f"`{text_col}`").cast("string").alias("__text"), text_hash(text_col).alias("__hash"))
     kind = rows.schema["__id"].dataType.simpleString()
     return rows.mapInArrow(batches, f"__id {kind}, text_hash bigint, n_shingles bigint, node bigint, "
-                                    "keys array<bigint>")
+                                    "spare array<int>, keys array<bigint>")
 
 
 def text_hash(text_col: str) -> Column:
@@ -458,21 +475,44 @@ def residual_links(families: DataFrame, roots: DataFrame, members: DataFrame, sc
         _joining_links(percent), "a bigint, b bigint").distinct()
 
 
+def block_families(keys: DataFrame, nodes: DataFrame, scratch, full: int = FULL_BLOCK) -> DataFrame:
+    """``(family, node)`` of blocks ``(node, key)``: those of one smallest node are a family.
+
+    Of its blocks of more than ``full`` nodes a node leaves the fullest, as many as
+    ``spare`` of ``nodes`` says for their space. No linked pair is lost by it
+    (see ``group_keys``).
+    """
+    together = Window.partitionBy("key")
+    least_most = {"family": F.min("node").over(together), "most": F.max("node").over(together)}
+    large = F.col("n") > full
+    # Of a small block only its family matters from here on, of a full one its key.
+    shared = scratch.save(
+        keys.withColumns(least_most | {"n": F.count(F.lit(1)).over(together)}).filter("family != most")
+        .select(F.when(large, F.col("key")).alias("key"), F.when(large, F.col("n")).alias("n"), "family", "node")
+        .distinct())
+    space = F.col("key").bitwiseAND(F.lit(1).cast("bigint"))
+    fullest = Window.partitionBy("node", space).orderBy(F.desc("n"), "key")
+    kept = (shared.filter("key IS NOT NULL").withColumn("place", F.row_number().over(fullest))
+            .join(nodes.select("node", "spare"), "node")
+            .filter(F.col("place") > F.element_at("spare", space.cast("int") + 1))
+            .select("key", "node").withColumns(least_most).filter("family != most"))
+    return (shared.filter("key IS NULL").select("family", "node")
+            .unionByName(kept.select("family", "node")).distinct())
+
+
 def classified(docs: DataFrame, scratch, id_col: str, text_col: str, words: int, percent: int
                ) -> tuple[DataFrame, DataFrame]:
     """The signatures of all rows, and ``(node, root)`` of every set."""
     rows = scratch.save(signatures(docs, id_col, text_col, words, percent))
     nodes = scratch.save(rows.filter("n_shingles > 0").groupBy("node").agg(
-        F.min("__id").alias("__id")))
-    # One document's keys stand for each node; a copy's keys are the same ones.
-    keys = (rows.filter("n_shingles > 0")
-            .join(bounded_broadcast(nodes), (rows["node"] == nodes["node"])
-                  & rows["__id"].eqNullSafe(nodes["__id"]), "left_semi")
+        F.min("__id").alias("__id"), F.min("spare").alias("spare"), F.count(F.lit(1)).alias("copies")))
+    # One document's keys stand for each node; a copy's keys are the same ones. Only nodes
+    # of several documents are looked up, so the keys of the others need not move for it.
+    several = nodes.filter("copies > 1").select("node", F.col("__id").alias("chosen"), "copies")
+    keys = (rows.filter("n_shingles > 0").join(bounded_broadcast(several), "node", "left")
+            .filter(F.col("copies").isNull() | F.col("__id").eqNullSafe(F.col("chosen")))
             .select("node", F.explode("keys").alias("key")))
-    together = Window.partitionBy("key")
-    families = scratch.save(
-        keys.withColumns({"family": F.min("node").over(together), "most": F.max("node").over(together)})
-        .filter("family != most").select("family", "node").distinct())
+    families = scratch.save(block_families(keys, nodes, scratch))
     involved = families.select("node").distinct().join(nodes, "node")
     members = sets(docs, involved, id_col, text_col, words, scratch)
     stars = families.filter("family != node").select(F.col("family").alias("a"),

@@ -339,6 +339,60 @@ def test_pairs_of_a_near_family_are_not_listed(spark, frame, scratch):
     assert made[300] <= 2.2 * max(made[150], 1) + 2
 
 
+def test_a_common_passage_makes_no_large_family(frame, scratch, monkeypatch):
+    """Texts that share a passage, a twentieth of their words, are not compared pairwise."""
+    rng = random.Random(5)
+    passage = " ".join(f"p{k}" for k in range(12))
+    texts = {}
+    for i in range(0, 400, 2):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(220, 240))]
+        texts[i] = " ".join([*words[:90], passage, *words[90:]])
+        words[100:100 + rng.randrange(100)] = ["n"]
+        texts[i + 1] = " ".join([*words[:90], passage, *words[90:]])
+    largest = []
+
+    def residual_links(families, *rest, f=jaccard_join.residual_links):
+        largest.append(max((r["count"] for r in families.groupBy("family").count().collect()), default=0))
+        return f(families, *rest)
+
+    monkeypatch.setattr(jaccard_join, "residual_links", residual_links)
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in jaccard_join.near_duplicates(frame(texts.items()), scratch, words=5, percent=80).collect()}
+    assert got == brute.near_components(texts, percent=80, words=5)
+    assert 250 < len({c for _, c in got.values()}) < 400
+    assert largest[0] <= 20
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_sets_meet_whatever_blocks_are_left(percent):
+    """With any order of fullness both sets keep a block that they share."""
+    import numpy as np
+    rng = np.random.default_rng(percent)
+    for size in [*range(1, 40), 63, 64, 120, 333]:
+        for _ in range(20):
+            a = rng.integers(1, 2**63, size).astype(np.uint64)
+            differ = (100 - percent) * size // percent
+            b = a.copy()
+            gone = int(rng.integers(0, differ + 1)) // 2
+            b[:gone] = rng.integers(1, 2**63, gone).astype(np.uint64)
+            b = np.r_[b, rng.integers(1, 2**63, int(rng.integers(0, differ - 2 * gone + 1))).astype(np.uint64)]
+            both, either = size - gone, len(b) + gone
+            if 100 * both < percent * either:
+                continue
+            rows, keys, spare = jaccard_join.group_keys(
+                np.r_[np.zeros(size, np.int64), np.ones(len(b), np.int64)], np.r_[a, b], 2, percent)
+            fullness = {k: (int(rng.integers(0, 3)), k) for k in keys.tolist()}
+            shared = set(keys[rows == 0].tolist()) & set(keys[rows == 1].tolist())
+            for worst in (False, True):  # at worst, what both share is what is left first
+                order = lambda k: (worst and k in shared, *fullness[k])
+                left = []
+                for row in (0, 1):
+                    mine = keys[rows == row].tolist()
+                    left.append({k for s in (0, 1) for k in sorted(
+                        (k for k in mine if k & 1 == s), key=order, reverse=True)[spare[row, s]:]})
+                assert left[0] & left[1]
+
+
 CLASH = ("items", "contaminated", "n_items", "__verdict", "__key", "__size", "row", "doc", "text_hash", "__text", "copies")
 
 
